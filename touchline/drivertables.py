@@ -27,6 +27,7 @@ from touchline.schemas import (
     UNKNOWN_TYPE,
 )
 from touchline.scope import Scope
+from touchline.session import written
 
 SCOPE = Scope(2, ("1996/1997", "1997/1998", "1998/1999", "1999/2000"))
 FIRST_YEAR, LAST_YEAR = 1996, 2000
@@ -211,12 +212,12 @@ class DriverTables:
 
     @cached_property
     def squads(self) -> DataFrame:
-        """Numbered and written once per session and folder, like any staged table."""
-        return stage_squads(self.matches)
+        """Written once per session and folder, as staged tables are, and read by every question."""
+        return written(stage_squads(self.matches))
 
     @cached_property
     def rosters(self) -> DataFrame:
-        return stage_rosters(self.raw_matches, self.squads)
+        return written(stage_rosters(self.raw_matches, self.squads))
 
 
 _TABLES: WeakKeyDictionary[SparkSession, dict[str, DriverTables]] = WeakKeyDictionary()

@@ -79,6 +79,14 @@ def team_goal_averages(
     )
 
 
+def _strength_sums(attributes: DataFrame, keys: list[str]) -> DataFrame:
+    """Sum of the complete rating rows per ``keys``. A row with a missing value has a null sum, which the
+    aggregate passes over; a key with nothing else drops out afterwards. One predicate over all nineteen
+    columns would say the same, but makes the optimizer rewrite it for every combination of aliases."""
+    row_sum = reduce(add, (F.col(c) for c in STRENGTH_COLUMNS))
+    return attributes.groupBy(*keys).agg(F.sum(row_sum).alias("sum")).filter(F.col("sum").isNotNull())
+
+
 def squad_strength(
     attributes: DataFrame,
     rosters: DataFrame,
@@ -96,20 +104,18 @@ def squad_strength(
     Rating rows shrink to one sum per player (and season) before they are joined, so their number
     multiplies nothing.
     """
-    complete = attributes.dropna(subset=STRENGTH_COLUMNS)
-    row_sum = reduce(add, (F.col(c) for c in STRENGTH_COLUMNS))
     total = F.sum("strength").alias("Suma_Atributos_Plantel")
     if not season_free:
         keys = ["ID_jugador", "Temporada"]
-        sums = complete.groupBy(*keys).agg(F.sum(row_sum).alias("strength"))
+        sums = _strength_sums(attributes, keys).withColumnRenamed("sum", "strength")
         members = rosters.join(scope.squads(squads, teams), "ID_plantel")
         return members.join(sums, keys).groupBy("ID_plantel", "ID_equipo", "Temporada").agg(total)
-    sums = complete.groupBy("ID_jugador").agg(F.sum(row_sum).alias("once"))
+    sums = _strength_sums(attributes, ["ID_jugador"])
     memberships = (
         scoped_rosters(rosters, squads, teams, scope).groupBy("ID_jugador").agg(F.count(F.lit(1)).alias("squads"))
     )
     repeated = sums.join(memberships, "ID_jugador").select(
-        "ID_jugador", (F.col("once") * F.col("squads")).alias("strength")
+        "ID_jugador", (F.col("sum") * F.col("squads")).alias("strength")
     )
     per_squad = rosters.join(repeated, "ID_jugador").groupBy("ID_plantel").agg(total)
     return squads.join(per_squad, "ID_plantel").select("ID_plantel", "ID_equipo", "Temporada", "Suma_Atributos_Plantel")

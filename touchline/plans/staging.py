@@ -108,22 +108,25 @@ def explode_goal_xml(
     """One row per goal of the distinct (match, document) pairs: ``ID_Gol, ID_Partido, ID_Jugador, Tipo,
     Subtipo``.
 
-    Documents are parsed before duplicates are dropped: a digest stands for the text, and only the few
-    parsed fields are shuffled. Text that is not a goal document stops the job with its match id, or is
-    left out with ``malformed="skip"`` (``malformed_goal_documents`` lists it).
+    Parsing costs far more than moving the text. So copies are dropped first, on the map side already,
+    and the shuffle that takes spreads the parsing evenly, even after a file that cannot be split.
+
+    Text that is not a goal document stops the job with its match id, or is left out with
+    ``malformed="skip"`` (``malformed_goal_documents`` lists it).
     """
     if malformed not in ("fail", "skip"):
         raise ValueError("malformed must be 'fail' or 'skip'")
     xml = F.col("xml")
-    parsed = documents.select(F.col(id_column).alias("ID_Partido"), F.col(xml_column).alias("xml")).filter(
-        xml.isNotNull()
-    )
-    parsed = parsed.withColumn("doc", parse_document(xml))
+    texts = documents.select(F.col(id_column).alias("ID_Partido"), F.col(xml_column).alias("xml"))
+    parsed = texts.filter(xml.isNotNull()).distinct().withColumn("doc", parse_document(xml))
     complaint = F.concat(F.lit("malformed goal document of match "), F.col("ID_Partido").cast("string"))
     rejected = F.raise_error(complaint) if malformed == "fail" else F.lit(None)
     values = F.when(is_malformed(xml, F.col("doc")), rejected).otherwise(F.col("doc.value"))
-    goals = parsed.select("ID_Partido", F.sha2("xml", 256).alias("digest"), values.alias("goals")).distinct()
-    return goals.select("ID_Partido", F.explode("goals").alias("goal")).select(
+    goals = parsed.select("ID_Partido", values.alias("goals"))
+    # The outer form, for explode alone makes the optimizer add "array not empty" below the distinct,
+    # where every document would be parsed once more.
+    exploded = goals.select("ID_Partido", F.explode_outer("goals").alias("goal"))
+    return exploded.filter(F.col("goal").isNotNull()).select(
         F.col("goal.id").try_cast("bigint").alias("ID_Gol"),
         "ID_Partido",
         F.col("goal.player1").try_cast("bigint").alias("ID_Jugador"),
