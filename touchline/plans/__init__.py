@@ -18,6 +18,7 @@ from touchline.plans.players import (
     teams_per_player,
     top_scorers,
 )
+from touchline.plans.report import answers
 from touchline.plans.staging import (
     explode_goal_xml,
     line_ups,

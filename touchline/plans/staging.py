@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from touchline.functions import goal_subtype, goal_type, is_malformed, outcome, parse_document, season_of
 from touchline.operators import dense_index
 from touchline.schemas import AWAY_SLOTS, HOME_SLOTS, SKILLS
+from touchline.session import written
 
 
 def stage_countries(countries: DataFrame) -> DataFrame:
@@ -156,9 +157,17 @@ def stage_attributes(ratings: DataFrame, **season_rule) -> DataFrame:
     )
 
 
-def stage_all(raw: dict[str, DataFrame], malformed: str = "fail", **season_rule) -> dict[str, DataFrame]:
-    """Every staged table by name, ready for ``write_tables``."""
+def stage_all(
+    raw: dict[str, DataFrame], malformed: str = "fail", landed: bool = False, **season_rule
+) -> dict[str, DataFrame]:
+    """Every staged table by name, ready for ``write_tables``.
+
+    Seven tables come from the raw matches. Unless they are ``landed`` in a columnar format already,
+    they are copied to one first: the text is read once, and each table then reads its own columns.
+    """
     raw_matches = raw["enunciado_partidos"]
+    if not landed:
+        raw_matches = written(raw_matches)
     matches = stage_matches(raw_matches)
     squads = stage_squads(matches)
     return {
