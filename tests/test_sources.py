@@ -1,0 +1,112 @@
+"""Files in and out."""
+
+import csv
+import datetime as dt
+
+import pytest
+
+from touchline import plans
+from touchline.schemas import AWAY_SLOTS, HOME_SLOTS, RAW, SKILLS, STAGED
+from touchline.scope import Scope
+from touchline.sources import read_csv, read_raw, read_staged, write_tables
+
+from tests import league as L
+from tests.league import S1, S2, rows
+
+
+def write_csv(path, header, lines):
+    with open(path, "w", newline="") as f:
+        writer = csv.writer(f)
+        writer.writerow(header)
+        writer.writerows(lines)
+
+
+def test_columns_are_found_by_name(spark, tmp_path):
+    path = str(tmp_path / "x.csv")
+    write_csv(path, ["extra", "B", "a"], [["?", 'say "hi", you', "12.0"], ["?", "", "oops"], ["?", "x", "9007199254740993"]])
+    df = read_csv(spark, path, "a BIGINT, b STRING")
+    assert df.columns == ["a", "b"]
+    assert rows(df) == sorted([(12, 'say "hi", you'), (None, None), (9007199254740993, "x")], key=repr)
+
+
+def test_missing_column_is_named(spark, tmp_path):
+    path = str(tmp_path / "x.csv")
+    write_csv(path, ["a"], [[1]])
+    with pytest.raises(ValueError, match="no column b, c"):
+        read_csv(spark, path, "a INT, b INT, c INT")
+
+
+def raw_files(directory, seasons=(S1, S2)):
+    """A league of three teams; the fields of a goal document hold commas and quotes."""
+    write_csv(directory / "enunciado_paises.csv", ["id", "name"], [[5, "Here"]])
+    write_csv(directory / "enunciado_liga.csv", ["id", "country_id", "name"], [[1, 5, "First"]])
+    write_csv(directory / "enunciado_equipos.csv", ["team_api_id", "team_long_name"], [[1, "One"], [2, "O'Two"], [3, "Three"]])
+    write_csv(
+        directory / "enunciado_jugadores.csv", ["id", "player_name", "player_api_id"], [[0, f"P{i}", i] for i in range(10, 16)]
+    )
+    header = [part.split()[0] for part in RAW["enunciado_partidos"].split(", ")]
+    lines = []
+    for season in seasons:
+        for home, away, scored in ((1, 2, 2), (2, 1, 0), (1, 3, 1), (3, 2, 0)):
+            number = len(lines) + 1
+            line = dict.fromkeys(header, "")
+            line.update(
+                match_api_id=number, league_id=24, country_id=5, season=season, date=f"{season[:4]}-09-0{home} 00:00:00",
+                home_team_api_id=home, away_team_api_id=away, home_team_goal=scored, away_team_goal=1,
+                goal=f'<goal><value><id>{number}</id><player1>{9 + home}</player1><note a="x,y"/></value></goal>',
+                home_player_1=f"{9 + home}.0", away_player_11=f"{9 + away}.0",
+            )
+            lines.append([line[c] for c in header])
+    write_csv(directory / "enunciado_partidos.csv", header, lines)
+    write_csv(
+        directory / "enunciado_jugadores_atributos.csv",
+        ["player_api_id", "date", "overall_rating", "potential", "preferred_foot", *SKILLS],
+        [[p, f"{y}-10-01", 60 + p, 70 + (y - 2012) * (p - 9), "left", *[1] * len(SKILLS)] for p in (10, 11, 12) for y in (2012, 2013)],
+    )
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv", "orc"])
+def test_raw_files_to_answers(spark, tmp_path, fmt):
+    raw_files(tmp_path)
+    staged = plans.stage_all(read_raw(spark, str(tmp_path)), first_year=2007, last_year=2016)
+    assert {n: df.columns for n, df in staged.items()} == {
+        n: [part.split()[0] for part in ddl.split(", ")] for n, ddl in STAGED.items()
+    }
+    out = str(tmp_path / "staged")
+    write_tables(staged, out, fmt)
+    tables = read_staged(spark, out, fmt)
+    for name, df in staged.items():
+        assert dict(tables[name].dtypes) == dict(df.dtypes), name
+        assert rows(tables[name].select(df.columns)) == rows(df), name
+    found = {k: rows(v) for k, v in plans.answers(tables, Scope(24, (S1, S2)), "Here").items()}
+    assert found["league_lookup"] == [(24,)]
+    # T1 beats T2 at home twice; away it draws nothing and loses 0:1 .. so T1 wins in both roles
+    assert found["most_wins"] == [("One",)]
+    assert found["season_churn"] == []
+    assert found["squad_sizes"] == [(1, "One", 0, 1), (1, "One", 3, 1), (2, "O'Two", 1, 1), (2, "O'Two", 4, 1), (3, "Three", 2, 1), (3, "Three", 5, 1)]
+    assert found["top_scorers"] == [("P10", 4)]
+    assert found["least_variation_potential"] == [(10, 1.0)]
+    assert found["season_role_totals"] == [(S1, 3, 4), (S2, 3, 4)]
+    assert all(isinstance(v, list) for v in found.values()) and len(found) == 22
+
+
+def test_written_tables_replace_older_ones(spark, tmp_path):
+    out = str(tmp_path)
+    for name in ("One", "Two"):
+        write_tables({"tabla_pais": L.table(spark, "tabla_pais", [(name,)])}, out)
+    assert rows(spark.read.parquet(f"{out}/tabla_pais")) == [("Two",)]
+
+
+def test_matches_are_stored_by_league_and_season(spark, tmp_path):
+    played = [(S1, 1, 2, 0, 0), (S1, 3, 4, 0, 0, 9), (S2, 1, 2, 0, 0, 1, dt.datetime(2013, 9, 1))]
+    write_tables({"tabla_partidos": L.matches(spark, played)}, str(tmp_path))
+    table = spark.read.schema(STAGED["tabla_partidos"]).parquet(str(tmp_path / "tabla_partidos"))
+    plan = Scope(1, (S1,)).matches(table)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ID_liga" in plan and "DataFilters: []" in plan
+
+
+def test_slots_are_read_as_numbers(spark, tmp_path):
+    raw_files(tmp_path)
+    matches = read_raw(spark, str(tmp_path))["enunciado_partidos"]
+    assert {t for c, t in matches.dtypes if c in HOME_SLOTS + AWAY_SLOTS} == {"double"}
+    assert dict(matches.dtypes)["date"] == "timestamp_ntz"

@@ -81,6 +81,8 @@ def test_churn_over_neighbouring_seasons(spark):
         (4, "T4", S4, "Ascendio"),
     ]
     assert rows(plans.absent_next_season(matches, SCOPE)) == [(2, S2), (3, S1), (3, S3)]
+    # neighbours are those of the list, not of the calendar
+    assert rows(plans.absent_next_season(matches, Scope(1, (S1, S3)))) == [(2, S1)]
 
 
 def test_churn_of_a_single_season_is_empty(spark):

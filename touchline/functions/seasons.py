@@ -27,9 +27,3 @@ def season_of(
     if last_year is not None:
         known = known & (year <= last_year)
     return F.when(known, label)
-
-
-def following(season: Column) -> Column:
-    """Label of the season after ``season``."""
-    end = F.substring_index(season, "/", -1).cast("int")
-    return F.concat_ws("/", end.cast("string"), (end + 1).cast("string"))

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.functions import following
 from touchline.operators import extreme_rows, extreme_rows_by, outcome_counts, rows_without, two_sided
 from touchline.schemas import DRAWN, LOST, PROMOTED, RELEGATED, WON
 from touchline.scope import Scope
@@ -99,10 +98,12 @@ def teams_by_season(matches: DataFrame, scope: Scope) -> DataFrame:
 
 
 def absent_next_season(matches: DataFrame, scope: Scope) -> DataFrame:
-    """Teams of a season that are not there in the season after; the last season has none to compare."""
+    """Teams of a season that are not there in the next one of the list; the last has none to compare."""
     played = teams_by_season(matches, scope)
-    seasons = [s for s in scope.seasons if s != scope.last_season]
-    leaving = played.filter(F.col("season").isin(*seasons)).withColumn("next", following(F.col("season")))
+    following = F.lit(None).cast("string")
+    for before, after in zip(scope.seasons, scope.seasons[1:]):
+        following = F.when(F.col("season") == before, after).otherwise(following)
+    leaving = played.withColumn("next", following)
     gone = rows_without(leaving, played.select("team", F.col("season").alias("next")), ["team", "next"])
     return gone.select(F.col("team").alias("ID_equipo"), F.col("season").alias("Temporada"))
 
