@@ -1,0 +1,129 @@
+"""Operators against plain Python."""
+
+import random
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from touchline.operators import (
+    dense_index,
+    extreme_rows,
+    extreme_rows_by,
+    histogram,
+    outcome_counts,
+    present_in_all,
+    rows_with,
+    rows_without,
+    two_sided,
+)
+
+from tests import league as L
+from tests.league import S1, S2, rows
+
+
+def frame(spark, data, ddl, parts=4):
+    return spark.createDataFrame(data, ddl).repartition(parts)
+
+
+@pytest.mark.parametrize("how, pick", [("max", max), ("min", min)])
+def test_extremes(spark, how, pick):
+    rnd = random.Random(1)
+    data = [(rnd.randint(0, 5), rnd.choice([None, *range(8)])) for _ in range(200)]
+    df = frame(spark, data, "k INT, v INT")
+    known = [r for r in data if r[1] is not None]
+    best = pick(v for _, v in known)
+    assert rows(extreme_rows(df, "v", how)) == sorted([r for r in known if r[1] == best], key=repr)
+    by = defaultdict(list)
+    for k, v in known:
+        by[k].append(v)
+    expected = [(k, v) for k, v in known if v == pick(by[k])]
+    assert rows(extreme_rows_by(df, "v", ["k"], how)) == sorted(expected, key=repr)
+
+
+def test_extremes_of_nothing(spark):
+    df = frame(spark, [], "k INT, v INT")
+    assert rows(extreme_rows(df, "v")) == rows(extreme_rows_by(df, "v", ["k"])) == []
+    nulls = frame(spark, [(1, None)], "k INT, v INT")
+    assert rows(extreme_rows(nulls, "v", "min")) == []
+
+
+@pytest.mark.parametrize("size", [0, 1, 7, 5000])
+def test_dense_index(spark, size):
+    data = [(f"s{i % 3}", i * 7919 % 10007) for i in range(size)]
+    df = frame(spark, data, "s STRING, t BIGINT", 13)
+    found = {tuple(r)[:2]: r.id for r in dense_index(df, ["s", "t"], "id").collect()}
+    assert found == {key: i for i, key in enumerate(sorted(data))}
+
+
+def test_dense_index_over_many_partitions(spark, conf):
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false", spark__sql__shuffle__partitions="16")
+    df = spark.range(10000).select((F.col("id") * 31 % 10000).alias("t"))
+    numbered = dense_index(df, ["t"], "id")
+    assert numbered.filter("id <> t").count() == 0 and numbered.count() == 10000
+
+
+def test_membership(spark):
+    left = frame(spark, [(1, "a"), (1, "b"), (2, "c"), (None, "d")], "k INT, v STRING")
+    right = frame(spark, [(1,), (1,), (None,), (3,)], "k INT")
+    assert rows(rows_with(left, right, ["k"])) == [(1, "a"), (1, "b")]
+    assert rows(rows_without(left, right, ["k"])) == [(2, "c")]
+
+
+def test_present_in_all(spark):
+    data = [("x", 1), ("x", 2), ("x", 2), ("x", 9), ("y", 1), ("y", 1), (None, 1), ("z", None)]
+    df = frame(spark, data, "e STRING, b INT")
+    assert rows(present_in_all(df, "e", "b", [1, 2])) == [("x",)]
+    assert rows(present_in_all(df, "e", "b", [1, 1])) == sorted([("x",), ("y",), (None,)], key=repr)
+
+
+def test_histogram(spark):
+    rnd = random.Random(2)
+    data = [(rnd.choice("ab"), rnd.choice([None, 0, 1, 2]), rnd.randint(1, 4)) for _ in range(100)]
+    df = frame(spark, data, "k STRING, v INT, w INT")
+    plain = Counter(v for _, v, _ in data if v is not None)
+    assert rows(histogram(df, "v")) == sorted(plain.items(), key=repr)
+    keyed = Counter((k, v) for k, v, _ in data if v is not None)
+    assert rows(histogram(df, "v", ["k"])) == sorted([(*k, n) for k, n in keyed.items()], key=repr)
+    weighted = Counter()
+    for _, v, w in data:
+        weighted[v] += w if v is not None else 0
+    del weighted[None]
+    assert rows(histogram(df, "v", weight="w")) == sorted(weighted.items(), key=repr)
+
+
+def played(rnd, count, teams=6):
+    found = []
+    for _ in range(count):
+        home, away = rnd.sample(range(1, teams + 1), 2)
+        found.append((rnd.choice([S1, S2]), home, away, rnd.randint(0, 3), rnd.randint(0, 3)))
+    return found
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_both_sides_balance(spark, seed):
+    sides = two_sided(L.matches(spark, played(random.Random(seed), 60))).cache()
+    assert sides.count() == 120
+    total = sides.agg(
+        F.sum("goals_for"), F.sum("goals_against"),
+        F.count_if(F.col("outcome") == "Ganado"), F.count_if(F.col("outcome") == "Perdido"),
+        F.count_if(F.col("outcome") == "Empatado"),
+    ).first()
+    assert total[0] == total[1] and total[2] == total[3] and total[4] % 2 == 0
+    assert sum(total[2:5]) == 120
+    sides.unpersist()
+
+
+@pytest.mark.parametrize("both", [True, False])
+def test_outcome_counts(spark, both):
+    found = played(random.Random(5), 40) + [(S1, None, 1, 1, 0), (S1, 1, None, 0, 1)]
+    home, away = Counter(), Counter()
+    for season, h, a, gh, ga in found:
+        if gh > ga and h:
+            home[h, season] += 1
+        if ga > gh and a:
+            away[a, season] += 1
+    keys = set(home) & set(away) if both else set(home) | set(away)
+    expected = [(t, s, home[t, s], away[t, s], home[t, s] + away[t, s]) for t, s in keys]
+    counted = outcome_counts(two_sided(L.matches(spark, found)), "Ganado", ["team", "season"], both)
+    assert rows(counted) == sorted(expected, key=repr)

@@ -11,11 +11,15 @@ _PICK = {"max": F.max, "min": F.min}
 def extreme_rows(df: DataFrame, column: str, how: str = "max") -> DataFrame:
     """All rows whose ``column`` equals the extreme over ``df``.
 
-    The extreme is a scalar subquery. When ``df`` ends in an aggregate, the subquery reads the same
-    shuffle output (``ReusedExchange``), so the sources are scanned once.
+    The extreme is a scalar subquery over whole rows, compared by ``column`` first. It so asks for the
+    same columns as the answer, and when ``df`` ends in an aggregate it reads the shuffle output the
+    answer reads (``ReusedExchange``): the sources are scanned once. For that to hold, give ``df`` just
+    the columns that are used later, and no null in a column that is joined on later.
     """
-    extreme = df.agg(_PICK[how](column).alias("extreme")).scalar()
-    return df.filter(F.col(column) == extreme)
+    known = df.filter(F.col(column).isNotNull())
+    others = [c for c in df.columns if c != column]
+    extreme = known.agg(_PICK[how](F.struct(column, *others))[column].alias("extreme")).scalar()
+    return known.filter(F.col(column) == extreme)
 
 
 def extreme_rows_by(df: DataFrame, column: str, keys: list[str], how: str = "max") -> DataFrame:

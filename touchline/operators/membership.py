@@ -17,7 +17,13 @@ def rows_without(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
     Null keys are dropped on both sides first. That gives the plain anti-join, which can shuffle,
     rather than the null-aware one of ``NOT IN``, which always broadcasts ``other``.
     """
-    return df.dropna(subset=keys).join(other.select(*keys).dropna(), keys, "left_anti")
+    return _without_nulls(df, keys).join(_without_nulls(other.select(*keys), keys), keys, "left_anti")
+
+
+def _without_nulls(df: DataFrame, keys: list[str]) -> DataFrame:
+    for key in keys:
+        df = df.filter(F.col(key).isNotNull())
+    return df
 
 
 def present_in_all(df: DataFrame, entity: str, bucket: str, buckets: list) -> DataFrame:

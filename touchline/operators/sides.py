@@ -48,9 +48,10 @@ def outcome_counts(
     large part of all matches sends one row per task. With ``require_both_roles`` a key needs the
     outcome at least once at home and once away.
     """
+    for key in keys:
+        sides = sides.filter(F.col(key).isNotNull())
     counted = (
         sides.filter(F.col("outcome") == wanted)
-        .dropna(subset=keys)
         .groupBy(*keys)
         .agg(
             F.count_if(F.col("role") == HOME).alias("home"),

@@ -8,8 +8,8 @@ from operator import add
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.operators import histogram, present_in_all, rows_with, two_sided
-from touchline.plans.players import scoped_rosters
+from touchline.operators import histogram, present_in_all, two_sided
+from touchline.plans.players import members, scoped_rosters
 from touchline.plans.teams import named
 from touchline.schemas import STRENGTH_COLUMNS
 from touchline.scope import Scope
@@ -37,8 +37,10 @@ def yearly_goals(
     played in every one of them."""
     goals = _goals_by_year(matches, league_id, first_year, last_year)
     if in_all_years:
-        steady = present_in_all(goals, "ID_equipo", "anio", range(first_year, last_year + 1))
-        goals = rows_with(goals, steady, ["ID_equipo"])
+        # one row per team and year: a team's list is never longer than the years asked for
+        row = F.struct(*(c for c in goals.columns if c != "ID_equipo"))
+        years = goals.groupBy("ID_equipo").agg(F.collect_list(row).alias("years"))
+        goals = years.filter(F.size("years") == last_year - first_year + 1).select("ID_equipo", F.inline("years"))
     return (
         named(goals, teams)
         .select("anio", "ID_equipo", "Nombre", "total_goles_a_favor", "total_goles_en_contra")
@@ -108,8 +110,8 @@ def squad_strength(
     if not season_free:
         keys = ["ID_jugador", "Temporada"]
         sums = _strength_sums(attributes, keys).withColumnRenamed("sum", "strength")
-        members = rosters.join(scope.squads(squads, teams), "ID_plantel")
-        return members.join(sums, keys).groupBy("ID_plantel", "ID_equipo", "Temporada").agg(total)
+        belonging = members(rosters).join(scope.squads(squads, teams), "ID_plantel")
+        return belonging.join(sums, keys).groupBy("ID_plantel", "ID_equipo", "Temporada").agg(total)
     sums = _strength_sums(attributes, ["ID_jugador"])
     memberships = (
         scoped_rosters(rosters, squads, teams, scope).groupBy("ID_jugador").agg(F.count(F.lit(1)).alias("squads"))
@@ -117,7 +119,7 @@ def squad_strength(
     repeated = sums.join(memberships, "ID_jugador").select(
         "ID_jugador", (F.col("sum") * F.col("squads")).alias("strength")
     )
-    per_squad = rosters.join(repeated, "ID_jugador").groupBy("ID_plantel").agg(total)
+    per_squad = members(rosters).join(repeated, "ID_jugador").groupBy("ID_plantel").agg(total)
     return squads.join(per_squad, "ID_plantel").select("ID_plantel", "ID_equipo", "Temporada", "Suma_Atributos_Plantel")
 
 

@@ -17,9 +17,14 @@ def named_players(df: DataFrame, players: DataFrame) -> DataFrame:
     return df.join(players.select(F.col("ID").alias("ID_jugador"), "Nombre"), "ID_jugador")
 
 
+def members(rosters: DataFrame) -> DataFrame:
+    """Roster rows with both ids, said before any join: plans that share rosters then share their shuffles."""
+    return rosters.filter(F.col("ID_plantel").isNotNull() & F.col("ID_jugador").isNotNull())
+
+
 def scoped_rosters(rosters: DataFrame, squads: DataFrame, teams: DataFrame, scope: Scope) -> DataFrame:
     """Members of the scope's squads: ``ID_plantel, ID_jugador``."""
-    return rows_with(rosters, scope.squads(squads, teams), ["ID_plantel"])
+    return rows_with(members(rosters), scope.squads(squads, teams), ["ID_plantel"])
 
 
 def top_scorers(
@@ -52,7 +57,7 @@ def player_team_wins(
         F.col("team").alias("ID_equipo"), F.col("season").alias("Temporada"), "total"
     ).join(squads, ["Temporada", "ID_equipo"])
     totals = (
-        rosters.join(squad_wins.select("ID_plantel", "total"), "ID_plantel")
+        members(rosters).join(squad_wins.select("ID_plantel", "total"), "ID_plantel")
         .groupBy("ID_jugador")
         .agg(F.sum("total").alias("Total_Ganados"))
     )
@@ -71,7 +76,7 @@ def teams_per_player(
     """Players who were in the most teams, or in the most squads with ``count_squads``."""
     hosts = scope.matches(matches).select("Temporada", F.col("ID_local").alias("ID_equipo")).distinct()
     hosting = rows_with(squads, hosts, ["Temporada", "ID_equipo"]).select("ID_plantel", "ID_equipo")
-    belonging = rosters.join(hosting, "ID_plantel")
+    belonging = members(rosters).join(hosting, "ID_plantel")
     counted = F.count("ID_equipo") if count_squads else F.count_distinct("ID_equipo")
     counts = belonging.groupBy("ID_jugador").agg(counted.alias("Cantidad_equipos"))
     best = named_players(extreme_rows(counts, "Cantidad_equipos"), players)
@@ -102,14 +107,14 @@ def least_variation(
             F.count(F.lit(1)).alias("rows"),
         )
     )
-    members = scoped_rosters(rosters, squads, teams, scope)
+    belonging = scoped_rosters(rosters, squads, teams, scope)
     if global_guard:
-        memberships = members.groupBy("ID_jugador").agg(F.count(F.lit(1)).alias("squads"))
+        memberships = belonging.groupBy("ID_jugador").agg(F.count(F.lit(1)).alias("squads"))
         spans = spans.join(memberships, "ID_jugador")
         pairs = spans.agg(F.sum(F.col("rows") * F.col("squads")).alias("pairs")).scalar()
         spans = spans.filter(pairs > 1)
     else:
-        spans = rows_with(spans.filter(F.col("rows") > 1), members, ["ID_jugador"])
+        spans = rows_with(spans.filter(F.col("rows") > 1), belonging, ["ID_jugador"])
     return extreme_rows(spans.select("ID_jugador", "Deltamaxmin"), "Deltamaxmin", "min")
 
 
@@ -140,10 +145,10 @@ def penalty_leaders(
         chosen = scope.squads(squads, teams)
     else:
         keys = ["ID_jugador"]
-        chosen = squads.filter(F.col("Temporada") == fixed_squad_season)
+        chosen = squads.filter((F.col("Temporada") == fixed_squad_season) & F.col("ID_equipo").isNotNull())
     counts = scored.groupBy(*keys).agg(F.count(F.lit(1)).alias("goals"))
-    members = rosters.join(chosen, "ID_plantel")
+    belonging = members(rosters).join(chosen, "ID_plantel")
     per_team = (
-        members.join(counts, keys).groupBy("ID_equipo").agg(F.sum("goals").alias("penales_a_favor"))
+        belonging.join(counts, keys).groupBy("ID_equipo").agg(F.sum("goals").alias("penales_a_favor"))
     )
     return named(extreme_rows(per_team, "penales_a_favor"), teams).select("Nombre", "penales_a_favor")

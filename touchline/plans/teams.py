@@ -23,7 +23,11 @@ def most_wins(matches: DataFrame, teams: DataFrame, scope: Scope, require_both_r
     """Names of the teams with the most wins. Teams without a win in one of the roles do not count
     unless ``require_both_roles`` is off."""
     wins = outcome_counts(two_sided(scope.matches(matches)), WON, ["team"], require_both_roles)
-    best = extreme_rows(wins, "total").withColumnRenamed("team", "ID_equipo")
+    return _most(wins, teams)
+
+
+def _most(counts: DataFrame, teams: DataFrame) -> DataFrame:
+    best = extreme_rows(counts.select(F.col("team").alias("ID_equipo"), "total"), "total")
     return named(best, teams).select("Nombre")
 
 
@@ -41,9 +45,7 @@ def most_draws_last_season(
     matches: DataFrame, teams: DataFrame, scope: Scope, require_both_roles: bool = True
 ) -> DataFrame:
     sides = two_sided(scope.only_last().matches(matches))
-    draws = outcome_counts(sides, DRAWN, ["team"], require_both_roles)
-    best = extreme_rows(draws, "total").withColumnRenamed("team", "ID_equipo")
-    return named(best, teams).select("Nombre")
+    return _most(outcome_counts(sides, DRAWN, ["team"], require_both_roles), teams)
 
 
 def team_goals(matches: DataFrame, scope: Scope) -> DataFrame:
@@ -60,7 +62,7 @@ def team_goals(matches: DataFrame, scope: Scope) -> DataFrame:
 
 
 def most_goals_for(matches: DataFrame, teams: DataFrame, scope: Scope) -> DataFrame:
-    best = extreme_rows(team_goals(matches, scope), "Goles_totales")
+    best = extreme_rows(team_goals(matches, scope).select("ID_equipo", "Goles_totales"), "Goles_totales")
     return named(best, teams).select("ID_equipo", "Nombre", "Goles_totales")
 
 
@@ -94,7 +96,7 @@ def squad_sizes(rosters: DataFrame, squads: DataFrame, teams: DataFrame, scope:
 def teams_by_season(matches: DataFrame, scope: Scope) -> DataFrame:
     """Distinct (team, season) over both roles."""
     sides = two_sided(scope.matches(matches))
-    return sides.select("team", "season").dropna().distinct()
+    return sides.select("team", "season").filter(F.col("team").isNotNull() & F.col("season").isNotNull()).distinct()
 
 
 def absent_next_season(matches: DataFrame, scope: Scope) -> DataFrame:
