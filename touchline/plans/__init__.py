@@ -12,9 +12,15 @@ from touchline.plans.charts import (
 )
 from touchline.plans.players import (
     least_variation,
+    penalty_goals,
     penalty_leaders,
+    player_goals,
+    player_team_counts,
     player_team_wins,
+    player_wins,
+    rating_spans,
     scoped_rosters,
+    team_penalties,
     teams_per_player,
     top_scorers,
 )
@@ -47,6 +53,9 @@ from touchline.plans.teams import (
     season_churn,
     season_role_totals,
     squad_sizes,
+    team_draws,
     team_goals,
+    team_losses,
+    team_wins,
     teams_by_season,
 )

@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.operators import extreme_rows, outcome_counts, rows_with, two_sided
-from touchline.plans.teams import named
-from touchline.schemas import PENALTY_TYPES, WON
+from touchline.operators import extreme_rows, rows_with
+from touchline.plans.teams import named, team_wins
+from touchline.schemas import PENALTY_TYPES
 from touchline.scope import Scope
 
 
@@ -27,20 +27,41 @@ def scoped_rosters(rosters: DataFrame, squads: DataFrame, teams: DataFrame, scop
     return rows_with(members(rosters), scope.squads(squads, teams), ["ID_plantel"])
 
 
-def top_scorers(
-    goals: DataFrame, matches: DataFrame, players: DataFrame, scope: Scope, null_player_counts: bool = False
+def player_goals(
+    goals: DataFrame, matches: DataFrame, scope: Scope, null_player_counts: bool = False
 ) -> DataFrame:
-    """Names and goals of the players with the most goals of any type. Goals without a player are left
-    out; with ``null_player_counts`` they compete as one nameless player."""
+    """Goals of any type per player. Goals without a player are left out; with ``null_player_counts``
+    they make up one nameless player."""
     scored = goals.select(F.col("ID_Partido").alias("ID_partido"), F.col("ID_Jugador").alias("ID_jugador"))
     if not null_player_counts:
         scored = scored.filter(F.col("ID_jugador").isNotNull())
-    counts = (
+    return (
         rows_with(scored, scope.matches(matches), ["ID_partido"])
         .groupBy("ID_jugador")
         .agg(F.count(F.lit(1)).alias("Goles"))
     )
-    return named_players(extreme_rows(counts, "Goles"), players).select("Nombre", "Goles")
+
+
+def top_scorers(
+    goals: DataFrame, matches: DataFrame, players: DataFrame, scope: Scope, null_player_counts: bool = False
+) -> DataFrame:
+    """Names and goals of the players with the most goals; a nameless one can win, but has no name to show."""
+    best = extreme_rows(player_goals(goals, matches, scope, null_player_counts), "Goles")
+    return named_players(best, players).select("Nombre", "Goles")
+
+
+def player_wins(
+    matches: DataFrame, squads: DataFrame, rosters: DataFrame, scope: Scope, require_both_roles: bool = True
+) -> DataFrame:
+    """Wins of a player's teams: a season's wins count for every member of the squad."""
+    wins = team_wins(matches, scope, by_season=True, require_both_roles=require_both_roles)
+    squad_wins = wins.join(squads, ["Temporada", "ID_equipo"]).select("ID_plantel", "Ganados")
+    return (
+        members(rosters)
+        .join(squad_wins, "ID_plantel")
+        .groupBy("ID_jugador")
+        .agg(F.sum("Ganados").alias("Total_Ganados"))
+    )
 
 
 def player_team_wins(
@@ -51,18 +72,20 @@ def player_team_wins(
     scope: Scope,
     require_both_roles: bool = True,
 ) -> DataFrame:
-    """Players whose teams won most, counting a season's wins for every member of the squad."""
-    wins = outcome_counts(two_sided(scope.matches(matches)), WON, ["team", "season"], require_both_roles)
-    squad_wins = wins.select(
-        F.col("team").alias("ID_equipo"), F.col("season").alias("Temporada"), "total"
-    ).join(squads, ["Temporada", "ID_equipo"])
-    totals = (
-        members(rosters).join(squad_wins.select("ID_plantel", "total"), "ID_plantel")
-        .groupBy("ID_jugador")
-        .agg(F.sum("total").alias("Total_Ganados"))
-    )
-    best = named_players(extreme_rows(totals, "Total_Ganados"), players)
-    return best.select("ID_jugador", "Nombre", "Total_Ganados")
+    """Players whose teams won most."""
+    best = extreme_rows(player_wins(matches, squads, rosters, scope, require_both_roles), "Total_Ganados")
+    return named_players(best, players).select("ID_jugador", "Nombre", "Total_Ganados")
+
+
+def player_team_counts(
+    matches: DataFrame, squads: DataFrame, rosters: DataFrame, scope: Scope, count_squads: bool = False
+) -> DataFrame:
+    """Teams a player belonged to, or squads with ``count_squads``, among those that hosted in the scope."""
+    hosts = scope.matches(matches).select("Temporada", F.col("ID_local").alias("ID_equipo")).distinct()
+    hosting = rows_with(squads, hosts, ["Temporada", "ID_equipo"]).select("ID_plantel", "ID_equipo")
+    counted = F.count("ID_equipo") if count_squads else F.count_distinct("ID_equipo")
+    belonging = members(rosters).join(hosting, "ID_plantel")
+    return belonging.groupBy("ID_jugador").agg(counted.alias("Cantidad_equipos"))
 
 
 def teams_per_player(
@@ -74,16 +97,11 @@ def teams_per_player(
     count_squads: bool = False,
 ) -> DataFrame:
     """Players who were in the most teams, or in the most squads with ``count_squads``."""
-    hosts = scope.matches(matches).select("Temporada", F.col("ID_local").alias("ID_equipo")).distinct()
-    hosting = rows_with(squads, hosts, ["Temporada", "ID_equipo"]).select("ID_plantel", "ID_equipo")
-    belonging = members(rosters).join(hosting, "ID_plantel")
-    counted = F.count("ID_equipo") if count_squads else F.count_distinct("ID_equipo")
-    counts = belonging.groupBy("ID_jugador").agg(counted.alias("Cantidad_equipos"))
-    best = named_players(extreme_rows(counts, "Cantidad_equipos"), players)
-    return best.select("ID_jugador", "Nombre", "Cantidad_equipos").orderBy(F.desc("Cantidad_equipos"))
+    best = extreme_rows(player_team_counts(matches, squads, rosters, scope, count_squads), "Cantidad_equipos")
+    return named_players(best, players).select("ID_jugador", "Nombre", "Cantidad_equipos")
 
 
-def least_variation(
+def rating_spans(
     attributes: DataFrame,
     rosters: DataFrame,
     squads: DataFrame,
@@ -92,7 +110,7 @@ def least_variation(
     rating: str = "Potencial",
     global_guard: bool = False,
 ) -> DataFrame:
-    """Players of the scope's squads whose ``rating`` varied least (largest minus smallest, all dates).
+    """Largest minus smallest ``rating``, over all dates, of the players of the scope's squads.
 
     Players with a single rating row have no variation and are left out. With ``global_guard`` only the
     whole set of (squad member, rating row) pairs has to hold more than one, so single rows count as 0.
@@ -100,7 +118,7 @@ def least_variation(
     Ratings shrink to one row per player before they meet the squads.
     """
     spans = (
-        attributes.filter(F.col(rating).isNotNull())
+        attributes.filter(F.col(rating).isNotNull() & F.col("ID_jugador").isNotNull())
         .groupBy("ID_jugador")
         .agg(
             F.round(F.max(rating) - F.min(rating)).alias("Deltamaxmin"),
@@ -115,10 +133,35 @@ def least_variation(
         spans = spans.filter(pairs > 1)
     else:
         spans = rows_with(spans.filter(F.col("rows") > 1), belonging, ["ID_jugador"])
-    return extreme_rows(spans.select("ID_jugador", "Deltamaxmin"), "Deltamaxmin", "min")
+    return spans.select("ID_jugador", "Deltamaxmin")
 
 
-def penalty_leaders(
+def least_variation(
+    attributes: DataFrame,
+    rosters: DataFrame,
+    squads: DataFrame,
+    teams: DataFrame,
+    scope: Scope,
+    rating: str = "Potencial",
+    global_guard: bool = False,
+) -> DataFrame:
+    """Players whose ``rating`` varied least."""
+    spans = rating_spans(attributes, rosters, squads, teams, scope, rating, global_guard)
+    return extreme_rows(spans, "Deltamaxmin", "min")
+
+
+def penalty_goals(
+    goals: DataFrame, matches: DataFrame, scope: Scope, types: Sequence[str] = PENALTY_TYPES
+) -> DataFrame:
+    """Goals of the penalty ``types`` with the season they fell in: ``ID_partido, ID_jugador, Temporada``."""
+    played = scope.matches(matches).select("ID_partido", "Temporada")
+    kicks = goals.filter(F.col("Tipo").isin(*types)).select(
+        F.col("ID_Partido").alias("ID_partido"), F.col("ID_Jugador").alias("ID_jugador")
+    )
+    return kicks.join(played, "ID_partido")
+
+
+def team_penalties(
     goals: DataFrame,
     matches: DataFrame,
     squads: DataFrame,
@@ -128,27 +171,34 @@ def penalty_leaders(
     types: Sequence[str] = PENALTY_TYPES,
     fixed_squad_season: str | None = None,
 ) -> DataFrame:
-    """Teams whose players scored the most goals of the penalty ``types``.
+    """Penalty goals per team.
 
     A goal counts for the league's squads the player belonged to in the goal's season. With
     ``fixed_squad_season`` it counts for the player's squads of that one season, in any league.
     Goals shrink to a count per player (and season) before they meet the rosters.
     """
-    played = scope.matches(matches).select("ID_partido", "Temporada")
-    scored = (
-        goals.filter(F.col("Tipo").isin(*types) & F.col("ID_Jugador").isNotNull())
-        .select(F.col("ID_Partido").alias("ID_partido"), F.col("ID_Jugador").alias("ID_jugador"))
-        .join(played, "ID_partido")
-    )
     if fixed_squad_season is None:
         keys = ["ID_jugador", "Temporada"]
         chosen = scope.squads(squads, teams)
     else:
         keys = ["ID_jugador"]
         chosen = squads.filter((F.col("Temporada") == fixed_squad_season) & F.col("ID_equipo").isNotNull())
-    counts = scored.groupBy(*keys).agg(F.count(F.lit(1)).alias("goals"))
+    kicks = penalty_goals(goals.filter(F.col("ID_Jugador").isNotNull()), matches, scope, types)
+    counts = kicks.groupBy(*keys).agg(F.count(F.lit(1)).alias("goals"))
     belonging = members(rosters).join(chosen, "ID_plantel")
-    per_team = (
-        belonging.join(counts, keys).groupBy("ID_equipo").agg(F.sum("goals").alias("penales_a_favor"))
-    )
-    return named(extreme_rows(per_team, "penales_a_favor"), teams).select("Nombre", "penales_a_favor")
+    return belonging.join(counts, keys).groupBy("ID_equipo").agg(F.sum("goals").alias("penales_a_favor"))
+
+
+def penalty_leaders(
+    goals: DataFrame,
+    matches: DataFrame,
+    squads: DataFrame,
+    rosters: DataFrame,
+    teams: DataFrame,
+    scope: Scope,
+    types: Sequence[str] = PENALTY_TYPES,
+    fixed_squad_season: str | None = None,
+) -> DataFrame:
+    """Names of the teams whose players scored the most goals of the penalty ``types``."""
+    counts = team_penalties(goals, matches, squads, rosters, teams, scope, types, fixed_squad_season)
+    return named(extreme_rows(counts, "penales_a_favor"), teams).select("Nombre", "penales_a_favor")

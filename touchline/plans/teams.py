@@ -19,33 +19,58 @@ def league_id_of(leagues: DataFrame, country: str) -> DataFrame:
     return leagues.filter(F.col("Nombre_pais") == country).select(F.col("ID").alias("ID_liga"))
 
 
-def most_wins(matches: DataFrame, teams: DataFrame, scope: Scope, require_both_roles: bool = True) -> DataFrame:
-    """Names of the teams with the most wins. Teams without a win in one of the roles do not count
-    unless ``require_both_roles`` is off."""
-    wins = outcome_counts(two_sided(scope.matches(matches)), WON, ["team"], require_both_roles)
-    return _most(wins, teams)
+def outcome_totals(
+    matches: DataFrame, scope: Scope, wanted: str, by_season: bool, names: tuple[str, str, str], both: bool = True
+) -> DataFrame:
+    """Matches with one outcome per team (and season): home, away and together, under the given names."""
+    keys = ["team", "season"] if by_season else ["team"]
+    counts = outcome_counts(two_sided(scope.matches(matches)), wanted, keys, both)
+    renamed = {"team": "ID_equipo", "season": "Temporada", **dict(zip(("home", "away", "total"), names))}
+    return counts.withColumnsRenamed(renamed)
+
+
+def team_wins(
+    matches: DataFrame, scope: Scope, by_season: bool = False, require_both_roles: bool = True
+) -> DataFrame:
+    """Wins per team (and season). Teams without a win in one of the roles do not count unless
+    ``require_both_roles`` is off."""
+    names = "Ganados_local", "Ganados_visitante", "Ganados"
+    return outcome_totals(matches, scope, WON, by_season, names, require_both_roles)
+
 
+def team_losses(matches: DataFrame, scope: Scope, require_both_roles: bool = True) -> DataFrame:
+    """Losses per team and season."""
+    names = "Perdidos_local", "Perdidos_visitante", "Perdidos_totales"
+    return outcome_totals(matches, scope, LOST, True, names, require_both_roles)
 
-def _most(counts: DataFrame, teams: DataFrame) -> DataFrame:
-    best = extreme_rows(counts.select(F.col("team").alias("ID_equipo"), "total"), "total")
-    return named(best, teams).select("Nombre")
+
+def team_draws(matches: DataFrame, scope: Scope, require_both_roles: bool = True) -> DataFrame:
+    """Draws per team in the last season."""
+    names = "Empatados_local", "Empatados_visitante", "Empatados"
+    return outcome_totals(matches, scope.only_last(), DRAWN, False, names, require_both_roles)
+
+
+def most_wins(matches: DataFrame, teams: DataFrame, scope: Scope, require_both_roles: bool = True) -> DataFrame:
+    """Names of the teams with the most wins."""
+    wins = team_wins(matches, scope, require_both_roles=require_both_roles).select("ID_equipo", "Ganados")
+    return named(extreme_rows(wins, "Ganados"), teams).select("Nombre")
 
 
 def most_losses_per_season(
     matches: DataFrame, teams: DataFrame, scope: Scope, require_both_roles: bool = True
 ) -> DataFrame:
-    losses = outcome_counts(two_sided(scope.matches(matches)), LOST, ["team", "season"], require_both_roles)
-    worst = extreme_rows_by(losses, "total", ["season"]).select(
-        F.col("team").alias("ID_equipo"), F.col("season").alias("Temporada"), F.col("total").alias("Perdidos_totales")
-    )
+    """Names of the teams with the most losses of each season."""
+    losses = team_losses(matches, scope, require_both_roles).select("ID_equipo", "Temporada", "Perdidos_totales")
+    worst = extreme_rows_by(losses, "Perdidos_totales", ["Temporada"])
     return named(worst, teams).select("Nombre", "Temporada", "Perdidos_totales").orderBy("Temporada")
 
 
 def most_draws_last_season(
     matches: DataFrame, teams: DataFrame, scope: Scope, require_both_roles: bool = True
 ) -> DataFrame:
-    sides = two_sided(scope.only_last().matches(matches))
-    return _most(outcome_counts(sides, DRAWN, ["team"], require_both_roles), teams)
+    """Names of the teams with the most draws of the last season."""
+    draws = team_draws(matches, scope, require_both_roles).select("ID_equipo", "Empatados")
+    return named(extreme_rows(draws, "Empatados"), teams).select("Nombre")
 
 
 def team_goals(matches: DataFrame, scope: Scope) -> DataFrame:

@@ -90,9 +90,9 @@ def _both_roles(home_condition: str, away_condition: str, source: str = "scoped"
     return {
         "at_home": f"SELECT ID_local AS team, Temporada, count(*) AS n FROM {source} WHERE {home_condition} GROUP BY 1, 2",
         "away": f"SELECT ID_visitante AS team, Temporada, count(*) AS n FROM {source} WHERE {away_condition} GROUP BY 1, 2",
-        "by_season": "SELECT h.team, h.Temporada, h.n + a.n AS n FROM at_home AS h, away AS a "
+        "by_season": "SELECT h.team, h.Temporada, h.n AS h, a.n AS a, h.n + a.n AS n FROM at_home AS h, away AS a "
         "WHERE h.team = a.team AND h.Temporada = a.Temporada",
-        "overall": "SELECT h.team, h.n + a.n AS n FROM (SELECT team, CAST(sum(n) AS BIGINT) AS n FROM at_home GROUP BY 1) AS h "
+        "overall": "SELECT h.team, h.n AS h, a.n AS a, h.n + a.n AS n FROM (SELECT team, CAST(sum(n) AS BIGINT) AS n FROM at_home GROUP BY 1) AS h "
         "JOIN (SELECT team, CAST(sum(n) AS BIGINT) AS n FROM away GROUP BY 1) AS a ON h.team = a.team",
     }
 
@@ -149,6 +149,22 @@ def _penalties(types: str, squads: str, on: str) -> dict[str, str]:
     }
 
 
+_BOTH_PENALTIES = _penalties("'penal en juego', 'penal por desempate'", "scoped_squads", "s.Temporada = k.Temporada")
+_PLAYER_WINS = {
+    **_WINS,
+    "won": "SELECT r.ID_jugador, CAST(sum(w.n) AS BIGINT) AS n FROM by_season AS w "
+    "JOIN squads AS s ON s.ID_equipo = w.team AND s.Temporada = w.Temporada JOIN rosters AS r USING (ID_plantel) GROUP BY 1",
+}
+
+
+def _belonged(what: str) -> dict[str, str]:
+    return {
+        "hosts": "SELECT DISTINCT ID_local AS ID_equipo, Temporada FROM scoped",
+        "belonged": f"SELECT r.ID_jugador, count({what} s.ID_equipo) AS n FROM hosts AS h "
+        "JOIN squads AS s ON s.ID_equipo = h.ID_equipo AND s.Temporada = h.Temporada JOIN rosters AS r USING (ID_plantel) GROUP BY 1",
+    }
+
+
 _PENALTY_ANSWER = """
 SELECT Nombre, n AS penales_a_favor FROM per_team JOIN teams USING (ID_equipo)
 WHERE n = (SELECT max(n) FROM per_team)"""
@@ -203,6 +219,30 @@ _ATTRIBUTE_COLUMNS = "ID_jugador, Fecha, Puntos_Generales, Potencial, Pie_Prefer
 
 ORACLES: dict[str, str] = {
     "league_lookup": "SELECT CAST(r_regionkey AS BIGINT) AS ID_liga FROM region WHERE r_name = 'ASIA'",
+    "team_wins": _ask(
+        "SELECT team AS ID_equipo, h AS Ganados_local, a AS Ganados_visitante, n AS Ganados FROM overall", **_WINS
+    ),
+    "team_wins_by_season": _ask(
+        "SELECT team AS ID_equipo, Temporada, h AS Ganados_local, a AS Ganados_visitante, n AS Ganados FROM by_season",
+        **_WINS,
+    ),
+    "team_losses_by_season": _ask(
+        "SELECT team AS ID_equipo, Temporada, h AS Perdidos_local, a AS Perdidos_visitante, n AS Perdidos_totales FROM by_season",
+        **_LOSSES,
+    ),
+    "team_draws_last_season": _ask(
+        "SELECT team AS ID_equipo, h AS Empatados_local, a AS Empatados_visitante, n AS Empatados FROM overall",
+        last_season=f"SELECT * FROM scoped WHERE Temporada = '{LAST}'",
+        **_DRAWS,
+    ),
+    "team_goals": _ask(
+        """SELECT team AS ID_equipo, f.n AS Goles_totales, a.n AS Goles_en_contra_totales
+        FROM total_for AS f JOIN total_against AS a USING (team)""",
+        **_TEAM_GOALS,
+    ),
+    "teams_by_season": _ask(
+        "SELECT ID_local AS team, Temporada AS season FROM scoped UNION SELECT ID_visitante, Temporada FROM scoped"
+    ),
     "most_wins": _ask(
         "SELECT Nombre FROM overall JOIN teams ON team = ID_equipo WHERE n = (SELECT max(n) FROM overall)", **_WINS
     ),
@@ -253,6 +293,16 @@ ORACLES: dict[str, str] = {
         CAST(sum(Goles_visitante) AS BIGINT) AS Goles_visitante FROM scoped GROUP BY 1"""
     ),
     "home_team_list": _ask("SELECT ID_local FROM scoped"),
+    "scoped_rosters": _ask("SELECT * FROM scoped_rosters"),
+    "player_goals": _ask("SELECT ID_Jugador AS ID_jugador, Goles FROM tally", **_SCORERS),
+    "player_wins": _ask("SELECT ID_jugador, n AS Total_Ganados FROM won", **_PLAYER_WINS),
+    "player_team_counts": _ask("SELECT ID_jugador, n AS Cantidad_equipos FROM belonged", **_belonged("DISTINCT")),
+    "rating_spans": _ask("SELECT * FROM span", span=_span("Potencial", single=False)),
+    "penalty_goals": _ask(
+        """SELECT m.ID_partido, g.ID_Jugador AS ID_jugador, m.Temporada FROM goals AS g, scoped AS m
+        WHERE m.ID_partido = g.ID_Partido AND (g.Tipo = 'penal en juego' OR g.Tipo = 'penal por desempate')"""
+    ),
+    "team_penalties": _ask("SELECT ID_equipo, n AS penales_a_favor FROM per_team", **_BOTH_PENALTIES),
     "top_scorer": _ask(
         """SELECT Nombre, Goles FROM tally JOIN players ON ID = ID_Jugador
         WHERE Goles = (SELECT max(Goles) FROM tally WHERE ID_Jugador IS NOT NULL)""",
@@ -265,17 +315,13 @@ ORACLES: dict[str, str] = {
     "player_team_wins": _ask(
         """SELECT ID_jugador, Nombre, n AS Total_Ganados FROM won JOIN players ON ID = ID_jugador
         WHERE n = (SELECT max(n) FROM won)""",
-        **_WINS,
-        won="SELECT r.ID_jugador, CAST(sum(w.n) AS BIGINT) AS n FROM by_season AS w "
-        "JOIN squads AS s ON s.ID_equipo = w.team AND s.Temporada = w.Temporada JOIN rosters AS r USING (ID_plantel) GROUP BY 1",
+        **_PLAYER_WINS,
     ),
     **{
         name: _ask(
             """SELECT ID_jugador, Nombre, n AS Cantidad_equipos FROM belonged JOIN players ON ID = ID_jugador
             WHERE n = (SELECT max(n) FROM belonged)""",
-            hosts="SELECT DISTINCT ID_local AS ID_equipo, Temporada FROM scoped",
-            belonged=f"SELECT r.ID_jugador, count({what} s.ID_equipo) AS n FROM hosts AS h "
-            "JOIN squads AS s ON s.ID_equipo = h.ID_equipo AND s.Temporada = h.Temporada JOIN rosters AS r USING (ID_plantel) GROUP BY 1",
+            **_belonged(what),
         )
         for name, what in (("teams_per_player", "DISTINCT"), ("squads_per_player", ""))
     },
@@ -288,7 +334,7 @@ ORACLES: dict[str, str] = {
     ),
     "penalty_leaders": _ask(
         _PENALTY_ANSWER,
-        **_penalties("'penal en juego', 'penal por desempate'", "scoped_squads", "s.Temporada = k.Temporada"),
+        **_BOTH_PENALTIES,
     ),
     "penalty_leaders_fixed_season": _ask(
         _PENALTY_ANSWER, **_penalties("'penal por desempate'", "squads", f"s.Temporada = '{LAST}'")
@@ -302,6 +348,19 @@ ORACLES: dict[str, str] = {
         GROUP BY 1, 2, 3""",
         **_GOALS_PER_SIDE,
     ),
+    "squad_strength": _ask(
+        "SELECT ID_plantel, ID_equipo, Temporada, total AS Suma_Atributos_Plantel FROM squad_strength", **_BY_SEASON
+    ),
+    "squad_strength_season_free": _ask(
+        """SELECT ID_plantel, s.ID_equipo, s.Temporada, total AS Suma_Atributos_Plantel
+        FROM squad_strength JOIN squads AS s USING (ID_plantel)""",
+        **_SEASON_FREE,
+    ),
+    "league_sides": _ask(
+        """SELECT ID_partido, Temporada, ID_local AS ID_equipo, Goles_local AS Goles FROM played
+        UNION ALL SELECT ID_partido, Temporada, ID_visitante, Goles_visitante FROM played""",
+        **_QUALIFIED,
+    ),
     "squad_match_goals": _ask(
         "SELECT ID_plantel, ID_partido, Goles, total AS Suma_Atributos_Plantel FROM pairs", **_BY_SEASON
     ),
