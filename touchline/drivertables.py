@@ -54,6 +54,15 @@ STATS_TAGS = {
 }
 
 
+def _by_flags(values: dict[str, str]) -> Column:
+    """The value for a line item's return flag and line status."""
+    flags = F.concat("l_returnflag", "l_linestatus")
+    chosen = F
+    for pair, value in values.items():
+        chosen = chosen.when(flags == pair, value)
+    return chosen
+
+
 class DriverTables:
     """Raw and staged league tables over one folder of driver tables."""
 
@@ -107,16 +116,24 @@ class DriverTables:
             (F.floor("o_totalprice") % 5).cast("int").alias("home_team_goal"),
             (F.floor(F.col("o_totalprice") / 7) % 4).cast("int").alias("away_team_goal"),
         )
-        return bare.select(
+        # what all slots of a side share is computed once
+        match, odd = F.col("match_api_id"), F.col("match_api_id") % 3
+        shared = bare.select(
             "*",
-            *(self._slot("home_team_api_id", i, i).alias(c) for i, c in zip(SLOTS, HOME_SLOTS)),
-            *(self._slot("away_team_api_id", i, i + 11).alias(c) for i, c in zip(SLOTS, AWAY_SLOTS)),
+            (F.col("home_team_api_id") * 11 + odd).alias("home_base"),
+            (F.col("away_team_api_id") * 11 + odd).alias("away_base"),
+            (match % 17).alias("rest"),
+        )
+        return shared.select(
+            *bare.columns,
+            *(self._slot("home_base", i, i).alias(c) for i, c in zip(SLOTS, HOME_SLOTS)),
+            *(self._slot("away_base", i, i + 11).alias(c) for i, c in zip(SLOTS, AWAY_SLOTS)),
         )
 
-    def _slot(self, team: str, number: int, gap: int) -> Column:
-        match = F.col("match_api_id")
-        player = (F.col(team) * 11 + number * number + match % 3) % self.player_count
-        return F.when((match + gap) % 17 != 0, player.cast("double"))
+    def _slot(self, base: str, number: int, gap: int) -> Column:
+        """A player, or nobody where (match + gap) is divisible by 17."""
+        player = (F.col(base) + number * number) % self.player_count
+        return F.when(F.col("rest") != -gap % 17, player.cast("double"))
 
     @cached_property
     def raw_ratings(self) -> DataFrame:
@@ -139,23 +156,27 @@ class DriverTables:
     def goal_documents(self) -> DataFrame:
         """One document per line item: its goal and, for every third one, an own goal without player
         whose subtype is empty."""
-        goals = self.goals.select("*", F.col("ID_Gol").cast("string").alias("number"))
-        player = F.coalesce(F.concat(F.lit("<player1>"), F.col("ID_Jugador").cast("string"), F.lit("</player1>")), F.lit(""))
-        stats = F.lit("")
-        for kind, tags in STATS_TAGS.items():
-            stats = F.when(F.col("Tipo") == kind, f"<stats>{tags}</stats>").otherwise(stats)
-        subtype = F.when(
-            F.col("Subtipo") != ABSENT, F.concat(F.lit("<subtype>"), F.col("Subtipo"), F.lit("</subtype>"))
-        ).otherwise("")
+        number = (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("number")
+        line = F.col("l_linenumber")
+        tags = {flags: f"<stats>{STATS_TAGS[kind]}</stats>" for flags, kind in GOAL_TYPES.items() if kind in STATS_TAGS}
+        parts = self.lineitem.select(
+            F.col("l_orderkey").alias("match_api_id"),
+            number,
+            number.cast("string").alias("id"),
+            F.when(line != 7, F.concat(F.lit("<player1>"), F.col("l_partkey").cast("string"), F.lit("</player1>")))
+            .otherwise("").alias("player"),
+            _by_flags(tags).otherwise("").alias("stats"),
+            F.when(line % 2 == 0, "<subtype>header</subtype>").otherwise("").alias("subtype"),
+        )
         second = F.when(
-            F.col("ID_Gol") % 3 == 0,
-            F.concat(F.lit("<value><id>-"), "number", F.lit("</id><subtype/><stats><owngoals/></stats></value>")),
+            F.col("number") % 3 == 0,
+            F.concat(F.lit("<value><id>-"), "id", F.lit("</id><subtype/><stats><owngoals/></stats></value>")),
         ).otherwise("")
         document = F.concat(
-            F.lit("<goal><value><comment>n</comment>"), stats, player, subtype,
-            F.lit("<id>"), "number", F.lit("</id></value>"), second, F.lit("</goal>"),
-        )
-        return goals.select(F.col("ID_Partido").alias("match_api_id"), document.alias("goal"))
+            F.lit("<goal><value><comment>n</comment>"), "stats", "player", "subtype",
+            F.lit("<id>"), "id", F.lit("</id></value>"), second, F.lit("</goal>"),
+        )
+        return parts.select("match_api_id", document.alias("goal"))
 
     # ---- staged tables ----------------------------------------------------------------------
 
@@ -195,14 +216,11 @@ class DriverTables:
 
     @cached_property
     def goals(self) -> DataFrame:
-        kind, flags = F.lit(None).cast("string"), F.concat("l_returnflag", "l_linestatus")
-        for pair, name in GOAL_TYPES.items():
-            kind = F.when(flags == pair, name).otherwise(kind)
         return self.lineitem.select(
             (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ID_Gol"),
             F.col("l_orderkey").alias("ID_Partido"),
             F.when(F.col("l_linenumber") != 7, F.col("l_partkey")).alias("ID_Jugador"),
-            kind.alias("Tipo"),
+            _by_flags(GOAL_TYPES).alias("Tipo"),
             F.when(F.col("l_linenumber") % 2 == 0, "header").otherwise(ABSENT).alias("Subtipo"),
         )
 

@@ -84,14 +84,13 @@ def line_ups(matches: DataFrame) -> DataFrame:
     ``distinct`` combines before it shuffles and shuffles on all three columns, so a team with a large
     part of the matches is spread by player.
     """
-    at_home = F.col("role") == "home"
+    sides = F.array(
+        F.struct(F.col("home_team_api_id").alias("ID_equipo"), F.array(*HOME_SLOTS).alias("players")),
+        F.struct(F.col("away_team_api_id").alias("ID_equipo"), F.array(*AWAY_SLOTS).alias("players")),
+    )
     return (
-        matches.withColumn("role", F.explode(F.array(F.lit("home"), F.lit("away"))))
-        .select(
-            F.col("season").alias("Temporada"),
-            F.when(at_home, F.col("home_team_api_id")).otherwise(F.col("away_team_api_id")).alias("ID_equipo"),
-            F.explode(F.when(at_home, F.array(*HOME_SLOTS)).otherwise(F.array(*AWAY_SLOTS))).alias("slot"),
-        )
+        matches.select(F.col("season").alias("Temporada"), F.inline(sides))
+        .select("Temporada", "ID_equipo", F.explode("players").alias("slot"))
         .select("Temporada", "ID_equipo", F.col("slot").try_cast("bigint").alias("ID_jugador"))
         .filter(F.col("ID_jugador").isNotNull())
         .distinct()
