@@ -74,8 +74,27 @@ def test_years_reach_the_scan_as_a_range(spark, stored):
     assert "year(" not in plan.split("FileScan")[1].split("PartitionFilters")[0]
 
 
-def test_a_large_other_side_is_not_broadcast(spark, stored, conf):
-    """No plan forces a broadcast: without room for one, every join shuffles."""
+def test_only_an_extreme_is_always_broadcast(spark, conf):
+    """Without room for a broadcast every join shuffles, but for the one row an extreme is."""
     conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
-    for name in ("most_wins", "penalty_leaders", "attributes_vs_goals", "absent_next_season", "stage_rosters"):
-        assert "BroadcastExchange" not in plan_of(spark, name)
+    one_row = {"most_wins": 1, "penalty_leaders": 1, "most_losses_per_season": 0}
+    for name in (*one_row, "attributes_vs_goals", "absent_next_season", "stage_rosters", "stage_league", "stage_team"):
+        plan = plan_of(spark, name)
+        assert plan.count("BroadcastExchange") == one_row.get(name, 0)
+
+
+# the answer and its extreme read one shuffle of the counts
+SHARED = [
+    "most_wins", "most_draws_last_season", "most_goals_for", "goal_difference_top_only", "most_losses_per_season",
+    "top_scorer", "player_team_wins", "teams_per_player", "squads_per_player", "least_variation_potential",
+    "penalty_leaders", "penalty_leaders_fixed_season",
+]
+
+
+@pytest.mark.parametrize("name", SHARED)
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_extremes_share_the_counts(spark, conf, name, threshold):
+    conf(spark__sql__autoBroadcastJoinThreshold=threshold, spark__sql__adaptive__autoBroadcastJoinThreshold=threshold)
+    plan = plan_of(spark, name)
+    assert "ReusedExchange" in plan
+    assert scans(plan, "orders.parquet") <= 1 and scans(plan, "lineitem.parquet") <= 1
