@@ -6,8 +6,7 @@ column is arithmetic on the given tables, so the work of a query grows with them
 
 from __future__ import annotations
 
-from functools import cached_property
-from weakref import WeakKeyDictionary
+from functools import cache, cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,7 +66,6 @@ class DriverTables:
     """Raw and staged league tables over one folder of driver tables."""
 
     def __init__(self, spark: SparkSession, directory: str):
-        # the session is not kept: it is the weak key this object is remembered under
         def read(table: str) -> DataFrame:
             return spark.read.parquet(f"{directory}/{table}.parquet")
 
@@ -238,11 +236,6 @@ class DriverTables:
         return written(stage_rosters(self.raw_matches, self.squads))
 
 
-_TABLES: WeakKeyDictionary[SparkSession, dict[str, DriverTables]] = WeakKeyDictionary()
-
-
+@cache
 def driver_tables(spark: SparkSession, directory: str) -> DriverTables:
-    known = _TABLES.setdefault(spark, {})
-    if directory not in known:
-        known[directory] = DriverTables(spark, directory)
-    return known[directory]
+    return DriverTables(spark, directory)
