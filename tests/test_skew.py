@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from touchline import plans
 from touchline.schemas import STAGED
 from touchline.scope import Scope
+from touchline.sources import write_tables
 
 from tests.league import S1, S2, rows
 from tests.plans import executed
@@ -109,3 +110,14 @@ def test_hot_groups_are_combined_before_they_are_shuffled(hot, shuffled):
         scan = next(n for n, line in enumerate(lines) if "FileScan" in line and f"/{fact}" in line)
         shuffle = max(n for n, line in enumerate(lines[:scan]) if "Exchange hashpartitioning" in line)
         assert any("HashAggregate" in line for line in lines[shuffle:scan])
+
+
+def test_a_hot_folder_is_written_by_several_tasks(spark, hot, conf, tmp_path):
+    conf(spark__sql__adaptive__advisoryPartitionSizeInBytes="64KB", spark__sql__shuffle__partitions="8")
+    # league 1 has everything but every ninth match
+    matches = hot["tabla_partidos"].withColumn("ID_liga", F.when(F.col("ID_partido") % 9 == 0, 2).otherwise(1).cast("bigint"))
+    write_tables({"tabla_partidos": matches}, str(tmp_path))
+    files = {
+        league: len(list((tmp_path / "tabla_partidos" / f"ID_liga={league}").glob("*/*.parquet"))) for league in (1, 2)
+    }
+    assert files[1] > 4 * files[2] and files[2] <= 4
