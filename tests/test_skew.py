@@ -112,12 +112,11 @@ def test_hot_groups_are_combined_before_they_are_shuffled(hot, shuffled):
         assert any("HashAggregate" in line for line in lines[shuffle:scan])
 
 
-def test_a_hot_folder_is_written_by_several_tasks(spark, hot, conf, tmp_path):
-    conf(spark__sql__adaptive__advisoryPartitionSizeInBytes="64KB", spark__sql__shuffle__partitions="8")
-    # league 1 has everything but every ninth match
-    matches = hot["tabla_partidos"].withColumn("ID_liga", F.when(F.col("ID_partido") % 9 == 0, 2).otherwise(1).cast("bigint"))
-    write_tables({"tabla_partidos": matches}, str(tmp_path))
-    files = {
-        league: len(list((tmp_path / "tabla_partidos" / f"ID_liga={league}").glob("*/*.parquet"))) for league in (1, 2)
-    }
-    assert files[1] > 4 * files[2] and files[2] <= 4
+@pytest.mark.parametrize("size, least, most", [("64KB", 6, 40), ("64MB", 2, 2)])
+def test_a_hot_folder_is_written_by_several_tasks(spark, hot, conf, tmp_path, size, least, most):
+    """Files per folder follow from the size asked for: league 1 has two seasons of a size beyond 64 KB."""
+    conf(spark__sql__adaptive__advisoryPartitionSizeInBytes=size, spark__sql__shuffle__partitions="8")
+    write_tables({"tabla_partidos": hot["tabla_partidos"]}, str(tmp_path))
+    files = list((tmp_path / "tabla_partidos" / "ID_liga=1").glob("*/*.parquet"))
+    assert least <= len(files) <= most
+    assert spark.read.parquet(str(tmp_path / "tabla_partidos")).count() == COUNT - 1
