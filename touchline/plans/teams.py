@@ -1,4 +1,8 @@
-"""Questions about teams. Staged tables in, answers out; nothing runs before the caller's action."""
+"""Questions about teams. Staged tables in, answers out; nothing runs before the caller's action.
+
+Answers that are sorted by a value many rows share are sorted by an id or a name after it: a sort spreads
+rows over its tasks by the sorted columns, and rows alike in all of them meet in one task.
+"""
 
 from __future__ import annotations
 
@@ -62,7 +66,7 @@ def most_losses_per_season(
     """Names of the teams with the most losses of each season."""
     losses = team_losses(matches, scope, require_both_roles).select("ID_equipo", "Temporada", "Perdidos_totales")
     worst = extreme_rows_by(losses, "Perdidos_totales", ["Temporada"])
-    return named(worst, teams).select("Nombre", "Temporada", "Perdidos_totales").orderBy("Temporada")
+    return named(worst, teams).select("Nombre", "Temporada", "Perdidos_totales").orderBy("Temporada", "Nombre")
 
 
 def most_draws_last_season(
@@ -102,7 +106,7 @@ def goal_difference(
     return (
         named(goals, teams)
         .select("ID_equipo", "Nombre", difference.alias("Diferencia_goles"))
-        .orderBy(F.desc_nulls_last("Diferencia_goles"))
+        .orderBy(F.desc_nulls_last("Diferencia_goles"), "ID_equipo")
     )
 
 
@@ -114,7 +118,7 @@ def squad_sizes(rosters: DataFrame, squads: DataFrame, teams: DataFrame, scope:
     return (
         named(counted, teams)
         .select("ID_equipo", "Nombre", "ID_plantel", "Cantidad_Jugadores")
-        .orderBy("Cantidad_Jugadores")
+        .orderBy("Cantidad_Jugadores", "ID_plantel")
     )
 
 
@@ -156,7 +160,7 @@ def season_churn(matches: DataFrame, teams: DataFrame, scope: Scope) -> DataFram
         .filter(F.col("change.happened"))
         .select("ID_equipo", "change.Temporada", "change.Estado")
     )
-    return named(churn, teams).select("ID_equipo", "Nombre", "Temporada", "Estado").orderBy("Temporada")
+    return named(churn, teams).select("ID_equipo", "Nombre", "Temporada", "Estado").orderBy("Temporada", "ID_equipo")
 
 
 def _change(happened, season: str, state: str):
