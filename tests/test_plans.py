@@ -87,7 +87,7 @@ def test_only_an_extreme_is_always_broadcast(spark, conf):
 SHARED = [
     "most_wins", "most_draws_last_season", "most_goals_for", "goal_difference_top_only", "most_losses_per_season",
     "top_scorer", "player_team_wins", "teams_per_player", "squads_per_player", "least_variation_potential",
-    "penalty_leaders", "penalty_leaders_fixed_season",
+    "least_variation_global_guard", "penalty_leaders", "penalty_leaders_fixed_season",
 ]
 
 

@@ -112,8 +112,8 @@ def rating_spans(
 ) -> DataFrame:
     """Largest minus smallest ``rating``, over all dates, of the players of the scope's squads.
 
-    Players with a single rating row have no variation and are left out. With ``global_guard`` only the
-    whole set of (squad member, rating row) pairs has to hold more than one, so single rows count as 0.
+    Players with a single rating row have no variation and are left out. With ``global_guard`` they vary
+    by 0, and ``pairs`` says how many (squad member, rating row) pairs a player makes up.
 
     Ratings shrink to one row per player before they meet the squads.
     """
@@ -126,14 +126,12 @@ def rating_spans(
         )
     )
     belonging = scoped_rosters(rosters, squads, teams, scope)
-    if global_guard:
-        memberships = belonging.groupBy("ID_jugador").agg(F.count(F.lit(1)).alias("squads"))
-        spans = spans.join(memberships, "ID_jugador")
-        pairs = spans.agg(F.sum(F.col("rows") * F.col("squads")).alias("pairs")).scalar()
-        spans = spans.filter(pairs > 1)
-    else:
-        spans = rows_with(spans.filter(F.col("rows") > 1), belonging, ["ID_jugador"])
-    return spans.select("ID_jugador", "Deltamaxmin")
+    if not global_guard:
+        return rows_with(spans.filter(F.col("rows") > 1), belonging, ["ID_jugador"]).drop("rows")
+    memberships = belonging.groupBy("ID_jugador").agg(F.count(F.lit(1)).alias("squads"))
+    return spans.join(memberships, "ID_jugador").select(
+        "ID_jugador", "Deltamaxmin", (F.col("rows") * F.col("squads")).alias("pairs")
+    )
 
 
 def least_variation(
@@ -145,9 +143,17 @@ def least_variation(
     rating: str = "Potencial",
     global_guard: bool = False,
 ) -> DataFrame:
-    """Players whose ``rating`` varied least."""
+    """Players whose ``rating`` varied least. With ``global_guard`` there are none unless the whole set of
+    (squad member, rating row) pairs holds more than one."""
     spans = rating_spans(attributes, rosters, squads, teams, scope, rating, global_guard)
-    return extreme_rows(spans, "Deltamaxmin", "min")
+    if not global_guard:
+        return extreme_rows(spans, "Deltamaxmin", "min")
+    # The one row of least and total takes whole rows, and the answer asks for the pairs every player has:
+    # so both need the same counts, and read the same shuffles.
+    least = spans.agg(F.min(F.struct("Deltamaxmin", "ID_jugador", "pairs")).alias("least"), F.sum("pairs").alias("total"))
+    allowed = least.filter(F.col("total") > 1).select("least.Deltamaxmin")
+    counted = spans.filter(F.col("pairs") > 0)
+    return counted.join(F.broadcast(allowed), "Deltamaxmin", "left_semi").select("ID_jugador", "Deltamaxmin")
 
 
 def penalty_goals(
