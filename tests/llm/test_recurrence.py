@@ -47,7 +47,7 @@ def frame(spark, texts):
     return spark.createDataFrame(list(enumerate(texts)), SCHEMA).repartition(3)
 
 
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("seed", [1])
 @pytest.mark.parametrize("bucket", [4000, 6])  # with 6, most anchors are too large for a bucket
 def test_phrases_equal_brute_force(spark, seed, bucket):
     texts = corpus(seed, "ab c")
@@ -59,8 +59,8 @@ def test_phrases_equal_brute_force(spark, seed, bucket):
         assert (got[i].n_words, got[i].n_removed, got[i].kept) == (len(words[i]), sum(gone), kept)
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-@pytest.mark.parametrize(("size", "gram", "bucket", "shard"), [(24, 8, 4000, 32), (48, 10, 4000, 1 << 15), (20, 4, 5, 64), (7, 7, 50, 16)])
+@pytest.mark.parametrize("seed", [2])
+@pytest.mark.parametrize(("size", "gram", "bucket", "shard"), [(48, 10, 4000, 32), (20, 4, 5, 64), (7, 7, 50, 16)])
 def test_strings_equal_brute_force(spark, seed, size, gram, bucket, shard):
     texts = corpus(seed, "abé")
     data = [(t or "").encode() for t in texts]

@@ -1,11 +1,12 @@
 """The registered queries of this folder and their SQL."""
 
-from touchline.llm import bwt_dedup, exact_dedup, packing, phrase_dedup, sharding
+from touchline.llm import bwt_dedup, exact_dedup, jaccard, packing, phrase_dedup, sharding
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
     "op5_phrase_automata": phrase_dedup.op5_phrase_automata,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
+    "op8_vertical_jaccard": jaccard.op8_vertical_jaccard,
     "op9_external_shuffle": sharding.op9_external_shuffle,
     "op10_bwt_dedup": bwt_dedup.op10_bwt_dedup,
 }
