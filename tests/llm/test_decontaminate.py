@@ -1,0 +1,73 @@
+"""Passages with edits against plain edit distance."""
+
+import random
+
+from touchline.llm.decontaminate import Index, budget, clean_documents, codes, contaminated, normal, passages
+from touchline.llm.rolling import Roller
+
+
+def least_edits(item: str, text: str) -> int:
+    """Between ``item`` and any part of ``text``."""
+    row = [0] * (len(text) + 1)
+    for i, c in enumerate(item):
+        after = [i + 1]
+        for j, d in enumerate(text):
+            after.append(min(row[j] + (c != d), row[j + 1] + 1, after[j] + 1))
+        row = after
+    return min(row)
+
+
+def edited(rng, text, n):
+    text = list(text)
+    for _ in range(n):
+        at = rng.randrange(len(text))
+        kind = rng.randrange(3)
+        if kind == 0:
+            text[at] = rng.choice("abcdefgh")
+        elif kind == 1:
+            text.insert(at, rng.choice("abcdefgh"))
+        else:
+            del text[at]
+    return "".join(text)
+
+
+def test_passages_equal_edit_distance():
+    rng = random.Random(2)
+    fresh = lambda n: "".join(rng.choice("abcdefg é") for _ in range(n))
+    items = [normal(fresh(n)) for n in (15, 38, 45, 90, 160, 240)]
+    index = Index(list(enumerate(items)), 0.05)
+    met = 0
+    for _ in range(150):
+        which = rng.randrange(len(items))
+        text = normal(fresh(rng.randint(0, 200)) + edited(rng, items[which], rng.randint(0, 16)) + fresh(rng.randint(0, 200)))
+        got = {i: e for i, _, e in passages(index, Roller(), text)}
+        for i, item in enumerate(items):
+            least = least_edits(item, text)
+            want = least if least <= budget(len(codes(item)), 0.05) else None
+            assert got.get(i) == want, (item, text)
+            met += want is not None
+    assert met > 30
+
+
+def test_rows_shards_and_odd_tables(spark):
+    rng = random.Random(4)
+    words = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(n))
+    items = [(i, words(20)) for i in range(12)] + [(50, None), (51, ""), (52, "short")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    rows = [
+        (1, words(40), "x", 1),
+        (2, words(10) + "!!  " + items[3][1].upper().replace(" ", ",\n") + "?" + words(30), "x", 1),
+        (None, items[4][1], None, 1),
+        (5, None, "x", 1),
+        (6, "", "x", 1),
+        (7, words(30_000) + " " + items[0][1], "x", 1),
+        (2, items[3][1], "y", 2),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, Item_id string, edits long")
+    for shard in (4 << 20, 300):
+        found = contaminated(docs, benchmark, shard_characters=shard).collect()
+        assert sorted((r.doc_id or 0, r.item_id, r.edits) for r in found) == [(0, 4, 0), (2, 3, 0), (2, 3, 0), (7, 0, 0)]
+        kept = clean_documents(docs, benchmark, shard_characters=shard)
+        assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 5, 6]
+    assert contaminated(docs, benchmark.limit(0)).count() == 0
+    assert contaminated(docs.limit(0), benchmark).count() == 0

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,6 +50,13 @@ def arrow_bytes(column) -> list[bytes]:
     return [b"" if x is None else x for x in column.cast("binary").to_pylist()]
 
 
+def share(spark: SparkSession, value):
+    """A function that gives ``value`` on executors. Callers see to it that its size is bounded. It is packed here,
+    so that workers need no copy of this folder to read it."""
+    held = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: cloudpickle.loads(held.value)
+
+
 class BitFilter:
     """A Bloom filter of two bits in one 64-bit word for each key. Its size is bounded by ``max_words``; beyond
     that it lets more keys through that are not in it, and never loses one that is."""
@@ -82,3 +91,21 @@ class BitFilter:
         one = np.uint64(1)
         bits = (one << (keys >> np.uint64(58))) | (one << ((keys >> np.uint64(52)) & np.uint64(63)))
         return (word & bits) == bits
+
+
+def sum_slices(parts: DataFrame, slices: int, dtype: type) -> list[np.ndarray]:
+    """Add up the arrays in (slice INT, data BINARY), slice by slice, as they come in; the driver gets one array
+    for each slice. Its size is that of the arrays, however many there are."""
+
+    def run(batches):
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for number, data in zip(batch["slice"].to_pylist(), batch["data"].to_pylist(), strict=True):
+                array = np.frombuffer(data, dtype)
+                sums[number] = sums[number] + array if number in sums else array
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(sums.keys(), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], ["slice", "data"]
+        )
+
+    rows = parts.repartition(slices, "slice").mapInArrow(run, "slice int, data binary").collect()
+    return [np.frombuffer(r.data, dtype) for r in sorted(rows, key=lambda r: r.slice)]

@@ -4,8 +4,10 @@ All shingles have one global order, the rare ones first as far as a small table
 shingle's place in it. The order is cut into fragments. A pair's overlap is counted fragment by fragment, each from
 its own part of both sets, and the parts are summed per pair.
 
-Texts with equal sets are one class. Two classes can only be linked if they share one of the first keys of either
-(as many as may be missing, and one), so those keys give the candidates. As groups are wanted, not all links within
+Texts with equal sets are one class. Two linked sets share some of the first keys of either: at least m of the first
+(as many as may be missing, and m). A set of which fewer than m first keys occur in other sets is linked with none.
+The others drop the most frequent of their first keys, up to (m - 1) / 2, which leaves every linked pair one in
+common; what remains of those keys gives the candidates. As groups are wanted, not all links within
 them, a key's classes are compared with a few centres of that key at a time, and pairs whose classes are joined by
 then are left out. The number of centres is doubled, and doubled again, until every two classes of a key are in one
 group or have been compared. No link between groups is missed, and a large group of copies costs as many pairs as
@@ -18,10 +20,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from touchline.llm.common import BitFilter, Plain, arrow_bytes, table
+from touchline.llm.common import BitFilter, Plain, arrow_bytes, share, sum_slices, table
 from touchline.llm.recurrence import chunks
 from touchline.llm.rolling import Roller, mix
 from touchline.session import written
@@ -32,6 +34,8 @@ FRAGMENTS = 4
 #: Cells of the table of counts. It orders shingles and decides nothing, so its size is fixed.
 CELLS = 1 << 18
 SLICES = 16
+#: Sets take one first key more, and share one more, for each so many shingles.
+SPARE = 20
 
 
 def _shingles(roller: Roller, texts: list[bytes], size: int) -> list[np.ndarray]:
@@ -89,16 +93,11 @@ def _counts(size: int):
             for _, texts in chunks(arrow_bytes(batch["text"])):
                 met += np.bincount(_cell(np.concatenate(_shingles(roller, texts, size))).astype(np.int64), minlength=CELLS)
         parts = [x.tobytes() for x in np.split(met, SLICES)]
-        yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array(parts, pa.binary())], ["slice", "met"])
+        yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array(parts, pa.binary())], ["slice", "data"])
 
     return run
 
 
-def _total(parts: pa.Table) -> pa.Table:
-    met = np.sum([np.frombuffer(x, np.int64) for x in parts["met"].to_pylist()], axis=0)
-    return pa.table({"slice": parts["slice"][:1], "met": pa.array([met.tobytes()], pa.binary())})
-
-
 class Order:
     """The global order: how common a shingle is, in powers of two, and then its hash."""
 
@@ -117,20 +116,30 @@ class Order:
         return np.sort((self.level[_cell(shingles).astype(np.int64)] << np.uint64(58)) | (mix(shingles) >> np.uint64(6)))
 
 
+def _least(n, percent: int):
+    """The least overlap of a set of ``n`` with any set that it is linked to."""
+    return -(-percent * n // 100)
+
+
+def _common(n):
+    """How many of the first keys two linked sets share, if the smaller has ``n``."""
+    return 1 + n // SPARE
+
+
 def _first(n: int, percent: int) -> int:
-    """How many of a set's first keys share one with the first keys of any set that it is linked to."""
-    return n - -(-percent * n // 100) + 1 if n else 0
+    """How many first keys a set of ``n`` takes, to share ``_common`` with those of any set that it is linked to."""
+    return n - _least(n, percent) + _common(n) if n else 0
 
 
 def _keys(size: int, percent: int, order):
     """The first keys of each text's set, with its name."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        roller = Roller()
+        roller, keys = Roller(), order().keys
         for batch in batches:
             for _, texts in chunks(arrow_bytes(batch["text"])):
                 sets = _shingles(roller, texts, size)
-                firsts = [order.value.keys(s)[: _first(len(s), percent)] for s in sets]
+                firsts = [keys(s)[: _first(len(s), percent)] for s in sets]
                 names = np.repeat(np.array([_name(s)[0] for s in sets], np.int64), [len(x) for x in firsts])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(firsts).view(np.int64)), pa.array(names)], ["key", "a"]
@@ -143,21 +152,24 @@ CLASSES = "a long, b long, n long, keys array<long>, parts array<array<long>>"
 
 
 def _classes(size: int, percent: int, order, shared):
-    """The sets that share a first key with another, once for each task."""
+    """The sets that share enough first keys with others, once for each task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roller, seen = Roller(), set()
+        ordered, known = order(), shared()
+        pivots = np.array(ordered.cuts, np.uint64)
         for batch in batches:
             for _, texts in chunks(arrow_bytes(batch["text"])):
                 rows = []
                 for s in _shingles(roller, texts, size):
-                    keys = order.value.keys(s)
+                    keys = ordered.keys(s)
                     first = keys[: _first(len(s), percent)]
-                    first = first[shared.value.may_hold(first)]
+                    first = first[known.may_hold(first)]
                     name = _name(s)
-                    if len(first) and name not in seen:
+                    # the smallest set that this one can be linked to shares so many
+                    if len(s) and len(first) >= _common(_least(len(s), percent)) and name not in seen:
                         seen.add(name)
-                        cuts = np.searchsorted(keys, np.array(order.value.cuts, np.uint64))
+                        cuts = np.searchsorted(keys, pivots)
                         parts = [x.view(np.int64) for x in np.split(keys, cuts)]
                         rows.append((*name, len(s), first.view(np.int64), parts))
                 if len(seen) > 1_000_000:
@@ -218,11 +230,23 @@ def _similar_sizes(x: Column, y: Column, percent: int) -> Column:
     return F.least(x, y) * 100 >= F.greatest(x, y) * percent
 
 
+def _common_column(n: Column) -> Column:
+    return 1 + F.floor(n / SPARE)
+
+
 def _grouped(classes: DataFrame, percent: int) -> DataFrame | None:
     """(id, label) of the classes that are linked to others; None if there are none."""
     ident = F.struct("a", "b").alias("id")
     parts = classes.select(ident, "n", F.posexplode("parts").alias("fragment", "part"))
-    buckets = written(classes.select(F.explode("keys").alias("key"), ident, "n"))
+    keys = written(classes.select(F.explode("keys").alias("key"), ident, "n"))
+    sizes = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    # a class has no more rows here than its text has shingles
+    frequent = Window.partitionBy("id").orderBy(F.desc("size"), "key")
+    smallest = F.ceil(F.col("n") * percent / 100)
+    spared = F.floor((_common_column(smallest) - 1) / 2)
+    buckets = written(
+        keys.join(sizes, "key").withColumn("place", F.row_number().over(frequent)).where(F.col("place") > spared).select("key", "id", "n")
+    )
     edges: DataFrame | None = None
     labels: DataFrame | None = None
     centres = 0  # 0: each class is first compared with one centre only
@@ -281,9 +305,8 @@ def jaccard_groups(
     texts = rows.select("text")
 
     sets = written(rows.mapInArrow(_sets(shingle), f"doc_id {id_type}, n long, a long, b long"))
-    counts = texts.mapInArrow(_counts(shingle), "slice int, met binary").groupBy("slice").applyInArrow(_total, "slice int, met binary")
-    met = [np.frombuffer(r.met, np.int64) for r in counts.sort("slice").collect()]
-    order = spark.sparkContext.broadcast(Order(np.concatenate(met) if met else np.zeros(CELLS), fragments))
+    met = sum_slices(texts.mapInArrow(_counts(shingle), "slice int, data binary"), SLICES, np.int64)
+    order = share(spark, Order(np.concatenate(met) if met else np.zeros(CELLS), fragments))
 
     shared = written(
         texts.mapInArrow(_keys(shingle, percent, order), "key long, a long")
@@ -292,7 +315,7 @@ def jaccard_groups(
         .where("low < high")
         .select("key")
     )
-    held = spark.sparkContext.broadcast(BitFilter.of(shared, "key", shared.count()))
+    held = share(spark, BitFilter.of(shared, "key", shared.count()))
     found = texts.mapInArrow(_classes(shingle, percent, order, held), CLASSES)
     classes = written(
         found.groupBy("a", "b").agg(*[F.first(c).alias(c) for c in ("n", "keys", "parts")])

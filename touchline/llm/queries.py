@@ -1,14 +1,20 @@
 """The registered queries of this folder and their SQL."""
 
-from touchline.llm import bwt_dedup, exact_dedup, jaccard, packing, phrase_dedup, sharding
+import corpus_pipeline
+from touchline.llm import bwt_dedup, decontaminate, exact_dedup, jaccard, packing, phrase_dedup, quality, sharding
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
+    "op3_quality_classifier": quality.op3_quality_classifier,
     "op5_phrase_automata": phrase_dedup.op5_phrase_automata,
+    "op6_qgram_decontamination": decontaminate.op6_qgram_decontamination,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
     "op8_vertical_jaccard": jaccard.op8_vertical_jaccard,
     "op9_external_shuffle": sharding.op9_external_shuffle,
     "op10_bwt_dedup": bwt_dedup.op10_bwt_dedup,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES = {"op7_exact_dedup": exact_dedup.OP7_SQL}
+if corpus_pipeline.ORACLE_SQL:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import BitFilter, Plain, arrow_bytes, text_key
+from touchline.llm.common import BitFilter, Plain, arrow_bytes, share, text_key
 from touchline.llm.rolling import Roller
 from touchline.session import written
 
@@ -132,7 +132,7 @@ REMEMBERED = 500_000
 def _runs(windows: Windows, recurring, mixed):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roller = Roller()
-        one, several = recurring.value, mixed.value
+        one, several = recurring(), mixed()
         seen: set[int] = set()
         for batch in batches:
             keys = [batch[k].to_numpy() for k in ("k0", "k1")]
@@ -208,7 +208,7 @@ def find(
         .select("anchor", "mixed")
     )
     several = recurring.where("mixed").select("anchor")
-    filters = [spark.sparkContext.broadcast(BitFilter.of(x, "anchor", x.count())) for x in (recurring, several)]
+    filters = [share(spark, BitFilter.of(x, "anchor", x.count())) for x in (recurring, several)]
     runs = written(docs.select("k0", "k1", "text").mapInArrow(_runs(windows, *filters), RUNS))
 
     # The runs of mixed anchors, each different one once, with the number of its occurrences.
