@@ -9,7 +9,7 @@ Texts with equal sets are one class. Two linked sets share some of the first key
 The others drop the most frequent of their first keys, up to (m - 1) / 2, which leaves every linked pair one in
 common; what remains of those keys gives the candidates. As groups are wanted, not all links within
 them, a key's classes are compared with a few centres of that key at a time, and pairs whose classes are joined by
-then are left out. The number of centres is doubled, and doubled again, until every two classes of a key are in one
+then are left out, as are those that differ too much by size or by a signature of their sets. The number of centres is doubled, and doubled again, until every two classes of a key are in one
 group or have been compared. No link between groups is missed, and a large group of copies costs as many pairs as
 it has members.
 """
@@ -36,6 +36,8 @@ CELLS = 1 << 18
 SLICES = 16
 #: Sets take one first key more, and share one more, for each so many shingles.
 SPARE = 20
+#: 64-bit words of a set's signature.
+SIGNS = 8
 
 
 def _shingles(roller: Roller, texts: list[bytes], size: int) -> list[np.ndarray]:
@@ -148,7 +150,14 @@ def _keys(size: int, percent: int, order):
     return run
 
 
-CLASSES = "a long, b long, n long, keys array<long>, parts array<array<long>>"
+CLASSES = "a long, b long, n long, signs array<long>, keys array<long>, parts array<array<long>>"
+
+
+def _signs(shingles: np.ndarray) -> np.ndarray:
+    """A signature of bits, each telling whether an odd number of shingles fall on it. Two sets differ in at least
+    as many shingles as their signatures do in bits."""
+    met = np.bincount((mix(shingles + np.uint64(99)) % np.uint64(64 * SIGNS)).astype(np.int64), minlength=64 * SIGNS)
+    return np.packbits((met & 1).astype(np.uint8)).view(np.int64)
 
 
 def _classes(size: int, percent: int, order, shared):
@@ -171,14 +180,14 @@ def _classes(size: int, percent: int, order, shared):
                         seen.add(name)
                         cuts = np.searchsorted(keys, pivots)
                         parts = [x.view(np.int64) for x in np.split(keys, cuts)]
-                        rows.append((*name, len(s), first.view(np.int64), parts))
+                        rows.append((*name, len(s), _signs(s), first.view(np.int64), parts))
                 if len(seen) > 1_000_000:
                     seen.clear()
-                a, b, n, firsts, parts = zip(*rows, strict=True) if rows else ((),) * 5
+                a, b, n, signs, firsts, parts = zip(*rows, strict=True) if rows else ((),) * 6
                 longs = pa.list_(pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [*[pa.array(x, pa.int64()) for x in (a, b, n)], pa.array(firsts, longs), pa.array(parts, pa.list_(longs))],
-                    ["a", "b", "n", "keys", "parts"],
+                    [*[pa.array(x, pa.int64()) for x in (a, b, n)], pa.array(signs, longs), pa.array(firsts, longs), pa.array(parts, pa.list_(longs))],
+                    ["a", "b", "n", "signs", "keys", "parts"],
                 )
 
     return run
@@ -226,8 +235,11 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _similar_sizes(x: Column, y: Column, percent: int) -> Column:
-    return F.least(x, y) * 100 >= F.greatest(x, y) * percent
+def _may_be_linked(x: Column, y: Column, percent: int) -> Column:
+    """By size and signature. Linked sets differ in at most this part of the sum of their sizes."""
+    apart = sum((F.bit_count(x[f"s{i}"].bitwiseXOR(y[f"s{i}"])) for i in range(SIGNS)), F.lit(0))
+    sizes = F.least(x["n"], y["n"]) * 100 >= F.greatest(x["n"], y["n"]) * percent
+    return sizes & (apart * (100 + percent) <= (x["n"] + y["n"]) * (100 - percent))
 
 
 def _common_column(n: Column) -> Column:
@@ -238,14 +250,15 @@ def _grouped(classes: DataFrame, percent: int) -> DataFrame | None:
     """(id, label) of the classes that are linked to others; None if there are none."""
     ident = F.struct("a", "b").alias("id")
     parts = classes.select(ident, "n", F.posexplode("parts").alias("fragment", "part"))
-    keys = written(classes.select(F.explode("keys").alias("key"), ident, "n"))
+    about = F.struct("n", *[F.col("signs")[i].alias(f"s{i}") for i in range(SIGNS)]).alias("about")
+    keys = written(classes.select(F.explode("keys").alias("key"), ident, "n", about))
     sizes = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     # a class has no more rows here than its text has shingles
     frequent = Window.partitionBy("id").orderBy(F.desc("size"), "key")
     smallest = F.ceil(F.col("n") * percent / 100)
     spared = F.floor((_common_column(smallest) - 1) / 2)
     buckets = written(
-        keys.join(sizes, "key").withColumn("place", F.row_number().over(frequent)).where(F.col("place") > spared).select("key", "id", "n")
+        keys.join(sizes, "key").withColumn("place", F.row_number().over(frequent)).where(F.col("place") > spared).select("key", "id", "about")
     )
     edges: DataFrame | None = None
     labels: DataFrame | None = None
@@ -254,15 +267,15 @@ def _grouped(classes: DataFrame, percent: int) -> DataFrame | None:
         labelled = buckets.withColumn("label", F.col("id"))
         if labels is not None:
             mine = labels.withColumnRenamed("label", "own")
-            labelled = buckets.join(mine, "id", "left").select("key", "id", "n", F.coalesce("own", "id").alias("label"))
+            labelled = buckets.join(mine, "id", "left").select("key", "id", "about", F.coalesce("own", "id").alias("label"))
         # keys whose classes are not in one group yet
         open_keys = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
         labelled = written(labelled.join(open_keys.select("key"), "key"))
         part = F.pmod(F.xxhash64("id"), F.lit(max(1, centres)))
-        chosen = labelled.groupBy("key", part.alias("part")).agg(F.min(F.struct("id", "n", "label")).alias("centre"))
+        chosen = labelled.groupBy("key", part.alias("part")).agg(F.min(F.struct("id", "about", "label")).alias("centre"))
         chosen = chosen.select("key", "centre")
         met = labelled.join(chosen, "key").where(
-            (F.col("centre.label") != F.col("label")) & _similar_sizes(F.col("centre.n"), F.col("n"), percent)
+            (F.col("centre.label") != F.col("label")) & _may_be_linked(F.col("centre.about"), F.col("about"), percent)
         )
         # a pair is told by its lower end, whichever of the two is the centre
         low, high = F.least("id", "centre.id"), F.greatest("id", "centre.id")
@@ -279,7 +292,7 @@ def _grouped(classes: DataFrame, percent: int) -> DataFrame | None:
         if centres:
             # a centre has now met all classes of its key
             done = chosen.select("key", F.col("centre.id").alias("id"))
-            buckets = written(labelled.select("key", "id", "n").join(done, ["key", "id"], "left_anti"))
+            buckets = written(labelled.select("key", "id", "about").join(done, ["key", "id"], "left_anti"))
         centres = 4 * centres or 1
 
 
@@ -318,7 +331,7 @@ def jaccard_groups(
     held = share(spark, BitFilter.of(shared, "key", shared.count()))
     found = texts.mapInArrow(_classes(shingle, percent, order, held), CLASSES)
     classes = written(
-        found.groupBy("a", "b").agg(*[F.first(c).alias(c) for c in ("n", "keys", "parts")])
+        found.groupBy("a", "b").agg(*[F.first(c).alias(c) for c in ("n", "signs", "keys", "parts")])
     )
     labels = _grouped(classes, percent)
 
