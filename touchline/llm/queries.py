@@ -1,11 +1,13 @@
 """The registered queries of this folder and their SQL."""
 
 import corpus_pipeline
-from touchline.llm import bwt_dedup, decontaminate, exact_dedup, jaccard, packing, phrase_dedup, quality, sharding
+from touchline.llm import bwt_dedup, decontaminate, exact_dedup, jaccard, lm_score, packing, phrase_dedup, quality, revisits, sharding
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
+    "op2_cross_entropy_difference": lm_score.op2_cross_entropy_difference,
     "op3_quality_classifier": quality.op3_quality_classifier,
+    "op4_revisit_resolution": revisits.op4_revisit_resolution,
     "op5_phrase_automata": phrase_dedup.op5_phrase_automata,
     "op6_qgram_decontamination": decontaminate.op6_qgram_decontamination,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
