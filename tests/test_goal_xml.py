@@ -134,3 +134,39 @@ def test_written_documents_are_read_back(spark, matches):
         for number, player, subtype, stats in found_goals
     ]
     assert found == sorted(expected, key=repr)
+
+
+def _goal(number, player="7"):
+    return f"<value><id>{number}</id><player1>{player}</player1><stats><goals>1</goals></stats></value>"
+
+
+def test_exactly_one_root_and_readable_goal_ids(spark):
+    import pytest
+
+    from touchline.plans.staging import explode_goal_xml, malformed_goal_documents
+
+    one = f"<goal>{_goal(1)}</goal>"
+    good = {
+        1: one,
+        2: "﻿" + '<?xml version="1.0"?> <!-- c --> ' + one + " \n<!-- d -->",
+        3: "<goal/>",
+        4: f"<goal>{_goal(2, '')}</goal>",
+        5: "<goal><value><id>3</id><subtype> a b </subtype></value></goal>",
+    }
+    bad = {
+        11: one + one,
+        12: one + " more",
+        13: "<!DOCTYPE goal>" + one,
+        14: f"<goal>{_goal('G-4')}</goal>",
+        15: f"<goal>{_goal('9' * 20)}</goal>",
+        16: "<card/>",
+        17: "",
+    }
+    docs = spark.createDataFrame([*good.items(), *bad.items()], "match_api_id long, goal string")
+    kept = explode_goal_xml(docs, malformed="skip").collect()
+    assert sorted((r.ID_Partido, r.ID_Gol, r.ID_Jugador or 0) for r in kept) == [(1, 1, 7), (2, 1, 7), (4, 2, 0), (5, 3, 0)]
+    assert [r.Subtipo for r in kept if r.ID_Gol == 3] == [" a b "]
+    assert sorted(r.match_api_id for r in malformed_goal_documents(docs).collect()) == sorted(bad)
+    for number in bad:
+        with pytest.raises(Exception, match=f"malformed goal document of match {number}"):
+            explode_goal_xml(docs.where(f"match_api_id = {number}")).collect()

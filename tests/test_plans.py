@@ -19,7 +19,7 @@ def plan_of(spark, name):
     return executed(driver.queries()[name](spark, SF_DIR))
 
 
-@pytest.mark.parametrize("name", list(driver.queries()))
+@pytest.mark.parametrize("name", list(driver.QUERIES))
 def test_no_nested_loops_and_no_python(spark, name):
     plan = plan_of(spark, name)
     for operator in ("BroadcastNestedLoopJoin", "CartesianProduct", "EvalPython", "MapInPandas", "WindowExec", "Window ["):

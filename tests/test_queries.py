@@ -15,13 +15,13 @@ def duck():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", list(driver.queries()))
+@pytest.mark.parametrize("name", list(driver.QUERIES))
 def test_query_equals_oracle(spark, duck, name):
     assert differences(driver.queries()[name](spark, SF_DIR), duck, driver.oracle_sql()[name]) == []
 
 
 def test_every_query_has_an_oracle():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(driver.QUERIES) == set(driver.ORACLES)
 
 
 def test_entry_has_rows(spark):

@@ -10,23 +10,42 @@ from touchline.schemas import ABSENT, OPEN_PLAY, OWN_GOAL, PENALTY_IN_PLAY, SHOO
 CORRUPT = "_corrupt_record"
 
 # The tags of a goal that are read.
-DOCUMENT = (
-    "value ARRAY<STRUCT<id STRING, player1 STRING, subtype STRING, "
-    "stats STRUCT<goals STRING, shoton STRING, penalty STRING, penalties STRING, owngoals STRING>>>, "
-    f"{CORRUPT} STRING"
+GOALS = (
+    "ARRAY<STRUCT<id STRING, player1 STRING, subtype STRING, "
+    "stats STRUCT<goals STRING, shoton STRING, penalty STRING, penalties STRING, owngoals STRING>>>"
 )
+# The parser reads one element and stops, so the text is wrapped in an outer one: a second root, or text beside the
+# root, then shows.
+OUTER = "touchline-document"
+DOCUMENT = f"goal ARRAY<STRUCT<value {GOALS}>>, _VALUE STRING, {CORRUPT} STRING"
 
-# An optional declaration and comments, then the root element.
-GOAL_ROOT = r"^\s*(<\?xml[^>]*\?>\s*)?(<!--(?s:.*?)-->\s*)*<goal[\s/>]"
+# A byte-order mark and a declaration, which can't stand inside an element. A document type is not read and rejected.
+PROLOGUE = r"^\x{FEFF}?\s*(<\?xml[^>]*\?>)?"
 
 
 def parse_document(xml: Column) -> Column:
-    """Parse inside the JVM; text that is no XML comes back in the corrupt-record field."""
-    return F.from_xml(xml, DOCUMENT, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    """Parse inside the JVM; text that is no XML comes back in the corrupt-record field. Blanks in values stay."""
+    wrapped = F.concat(F.lit(f"<{OUTER}>"), F.regexp_replace(xml, PROLOGUE, ""), F.lit(f"</{OUTER}>"))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "ignoreSurroundingSpaces": "false"}
+    return F.from_xml(wrapped, DOCUMENT, options)
+
+
+def goals_of(parsed: Column) -> Column:
+    return parsed["goal"][0]["value"]
+
+
+def _unreadable(number: Column) -> Column:
+    return (F.trim(number) != "") & number.try_cast("bigint").isNull()
 
 
 def is_malformed(xml: Column, parsed: Column) -> Column:
-    return xml.isNotNull() & (parsed[CORRUPT].isNotNull() | ~xml.rlike(GOAL_ROOT))
+    """Anything but one ``goal`` element with nothing beside it, or a goal's id that is no number. A player's id that is
+    no number is null in the result."""
+    roots = F.coalesce(F.size(parsed["goal"]), F.lit(-1))
+    beside = F.coalesce(F.regexp_replace(parsed["_VALUE"], r"\s", ""), F.lit("")) != ""
+    ids = F.exists(goals_of(parsed), lambda g: F.coalesce(_unreadable(g["id"]), F.lit(False)))
+    bad = parsed[CORRUPT].isNotNull() | (roots != 1) | beside | F.coalesce(ids, F.lit(False)) | xml.contains(OUTER)
+    return xml.isNotNull() & bad
 
 
 def goal_type(stats: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.functions import goal_subtype, goal_type, is_malformed, outcome, parse_document, season_of
+from touchline.functions import goal_subtype, goal_type, goals_of, is_malformed, outcome, parse_document, season_of
 from touchline.operators import dense_index
 from touchline.schemas import AWAY_SLOTS, HOME_SLOTS, SKILLS
 from touchline.session import written
@@ -121,7 +121,7 @@ def explode_goal_xml(
     parsed = texts.filter(xml.isNotNull()).distinct().withColumn("doc", parse_document(xml))
     complaint = F.concat(F.lit("malformed goal document of match "), F.col("ID_Partido").cast("string"))
     rejected = F.raise_error(complaint) if malformed == "fail" else F.lit(None)
-    values = F.when(is_malformed(xml, F.col("doc")), rejected).otherwise(F.col("doc.value"))
+    values = F.when(is_malformed(xml, F.col("doc")), rejected).otherwise(goals_of(F.col("doc")))
     goals = parsed.select("ID_Partido", values.alias("goals"))
     # The outer form, for explode alone makes the optimizer add "array not empty" below the distinct,
     # where every document would be parsed once more.
