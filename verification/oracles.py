@@ -6,14 +6,13 @@ IN``, ``>= ALL`` and scalar subqueries, where the Spark plans use merged aggrega
 
 from __future__ import annotations
 
+from touchline.schemas import SKILLS
+
 SEASONS = ("1996/1997", "1997/1998", "1998/1999", "1999/2000")
 LAST = SEASONS[-1]
 LEAGUE = 2
 IN_SEASONS = "(" + ", ".join(f"'{s}'" for s in SEASONS) + ")"
-SKILL_COLUMNS = (
-    "Cruce Finalizacion Dribbling Precision_Patada_libre Control_Pelota Aceleracion Velocidad_Corriendo Agilidad "
-    "Reacciones Balance Poder_de_Tiro Salto Fuerza Agresion Intercepciones Vision Penales Marcar"
-).split()
+SKILL_COLUMNS = list(SKILLS.values())
 
 
 def _season(date: str) -> str:
