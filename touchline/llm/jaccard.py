@@ -9,9 +9,9 @@ Texts with equal sets are one class. Two linked sets share some of the first key
 The others drop the most frequent of their first keys, up to (m - 1) / 2, which leaves every linked pair one in
 common; what remains of those keys gives the candidates. As groups are wanted, not all links within
 them, a key's classes are compared with a few centres of that key at a time, and pairs whose classes are joined by
-then are left out, as are those that differ too much by size or by a signature of their sets. The number of centres is doubled, and doubled again, until every two classes of a key are in one
-group or have been compared. No link between groups is missed, and a large group of copies costs as many pairs as
-it has members.
+then are left out, as are those that differ too much by size or by a signature of their sets. A few rounds take more
+centres each; the last one takes all classes that are not in one group yet and that size and signature don't tell
+apart. No link between groups is missed, and a large group of copies costs as many pairs as it has members.
 """
 
 from __future__ import annotations
@@ -38,6 +38,8 @@ SLICES = 16
 SPARE = 20
 #: 64-bit words of a set's signature.
 SIGNS = 8
+#: Centres of a key in each round. 0: each class is compared with one centre only; None: with all that are left.
+CENTRES = (0, 1, 16, None)
 
 
 def _shingles(roller: Roller, texts: list[bytes], size: int) -> list[np.ndarray]:
@@ -225,13 +227,10 @@ def components(edges: DataFrame) -> DataFrame:
         nearest = both.join(theirs, "y").groupBy(F.col("x").alias("id")).agg(F.min("theirs").alias("theirs"))
         lower = labels.join(nearest, "id").select("id", "label", F.least("label", "theirs").alias("lower"))
         jump = labels.select(F.col("id").alias("lower"), F.col("label").alias("jumped"))
-        after = written(
-            lower.join(jump, "lower").select("id", F.least("lower", "jumped").alias("label"), (F.col("jumped") < F.col("label")).alias("moved"))
-        )
-        moved = after.where("moved").limit(1).count()
-        changed = moved or after.select("id", "label").exceptAll(labels).limit(1).count()
+        least = F.least("lower", "jumped")
+        after = written(lower.join(jump, "lower").select("id", least.alias("label"), (least < F.col("label")).alias("moved")))
         labels = after.select("id", "label")
-        if not changed:
+        if not after.where("moved").limit(1).count():
             return labels
 
 
@@ -260,10 +259,8 @@ def _grouped(classes: DataFrame, percent: int) -> DataFrame | None:
     buckets = written(
         keys.join(sizes, "key").withColumn("place", F.row_number().over(frequent)).where(F.col("place") > spared).select("key", "id", "about")
     )
-    edges: DataFrame | None = None
     labels: DataFrame | None = None
-    centres = 0  # 0: each class is first compared with one centre only
-    while True:
+    for centres in CENTRES:
         labelled = buckets.withColumn("label", F.col("id"))
         if labels is not None:
             mine = labels.withColumnRenamed("label", "own")
@@ -271,29 +268,34 @@ def _grouped(classes: DataFrame, percent: int) -> DataFrame | None:
         # keys whose classes are not in one group yet
         open_keys = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
         labelled = written(labelled.join(open_keys.select("key"), "key"))
-        part = F.pmod(F.xxhash64("id"), F.lit(max(1, centres)))
-        chosen = labelled.groupBy("key", part.alias("part")).agg(F.min(F.struct("id", "about", "label")).alias("centre"))
-        chosen = chosen.select("key", "centre")
-        met = labelled.join(chosen, "key").where(
-            (F.col("centre.label") != F.col("label")) & _may_be_linked(F.col("centre.about"), F.col("about"), percent)
-        )
+        chosen = labelled
+        if centres is not None:
+            part = F.pmod(F.xxhash64("id"), F.lit(max(1, centres)))
+            chosen = labelled.groupBy("key", part.alias("part")).agg(F.min(F.struct("id", "about", "label")).alias("centre"))
+            chosen = chosen.select("key", "centre.*")
+        chosen = _as(chosen, "centre")
+        apart = (F.col("centre_label") != F.col("label")) & _may_be_linked(F.col("centre_about"), F.col("about"), percent)
+        if centres is None:
+            apart = apart & (F.col("centre_id") < F.col("id"))
+        met = labelled.join(chosen, (F.col("key") == F.col("centre_key")) & apart)
         # a pair is told by its lower end, whichever of the two is the centre
-        low, high = F.least("id", "centre.id"), F.greatest("id", "centre.id")
-        if not centres:
-            pairs = met.groupBy(F.col("id").alias("y")).agg(F.min("centre.id").alias("x")).select("x", "y")
+        low, high = F.least("id", "centre_id"), F.greatest("id", "centre_id")
+        if centres == 0:
+            pairs = met.groupBy(F.col("id").alias("y")).agg(F.min("centre_id").alias("x")).select("x", "y")
         else:
             pairs = met.select(low.alias("x"), high.alias("y")).distinct()
         found = written(links(pairs, parts, percent))
         if found.limit(1).count():
-            edges = found if edges is None else written(edges.unionByName(found))
+            # what earlier links made is one edge from each class to the least of its group
+            edges = found if labels is None else found.unionByName(labels.where("id != label").select(F.col("label").alias("x"), F.col("id").alias("y")))
             labels = components(edges)
-        if not labelled.limit(1).count():
-            return labels
         if centres:
             # a centre has now met all classes of its key
-            done = chosen.select("key", F.col("centre.id").alias("id"))
-            buckets = written(labelled.select("key", "id", "about").join(done, ["key", "id"], "left_anti"))
-        centres = 4 * centres or 1
+            done = chosen.select(F.col("centre_key").alias("key"), F.col("centre_id").alias("id"))
+            buckets = labelled.select("key", "id", "about").join(done, ["key", "id"], "left_anti")
+        else:
+            buckets = labelled.select("key", "id", "about")
+    return labels
 
 
 def jaccard_groups(
