@@ -6,7 +6,10 @@ word. A word's loss is interpolated from its bigram and its unigram, and a docum
 of the losses, target less background: below zero, it reads like the target.
 
 The counts are Spark aggregates and grow with the corpus. Documents ask for the values of their own n-grams by a
-join; bounded filters let only those bigrams and words travel that a model may hold.
+join, some megabytes of text at a time: such a chunk has one row for each of its n-grams, with the places of the
+documents that hold it, and comes together again to be summed up. Bounded filters let only those bigrams ask that a
+model may hold; the others ask for their word. Input that is not read from files should be written first, so that a
+task that is run again sees the same chunks.
 """
 
 from __future__ import annotations
@@ -47,49 +50,96 @@ def _bigram(before: np.ndarray, word: np.ndarray) -> np.ndarray:
     return mix(before * np.uint64(3) + word)
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Bigrams of the training parts, added up for some texts at a time."""
+def _training(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(word before, word, whether of the target part), some texts at a time."""
     roller = Roller()
     for batch in batches:
         side = batch["target"].to_numpy(zero_copy_only=False)
         for begin, texts in chunks(arrow_bytes(batch["text"])):
             text, before, word = _pairs(roller, texts)
-            _, some, which = np.unique(_bigram(before, word), return_index=True, return_inverse=True)
-            target = np.bincount(which, weights=side[begin + text], minlength=len(some)).astype(np.int64)
-            times = np.bincount(which, minlength=len(some)).astype(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(before[some].view(np.int64)), pa.array(word[some].view(np.int64)), pa.array(target), pa.array(times - target)],
-                ["before", "word", "t", "b"],
-            )
+            yield before, word, side[begin + text].astype(bool)
+
+
+def _sums(which: np.ndarray, n: int, target: np.ndarray) -> list[pa.Array]:
+    """For each of ``n`` things its occurrences in the target and in the background."""
+    t, all_ = np.bincount(which[target], minlength=n), np.bincount(which, minlength=n)
+    return [pa.array(t.astype(np.int64)), pa.array((all_ - t).astype(np.int64))]
 
 
-def _asked(bigrams, words):
-    """What a text needs: its bigrams that a model may hold, else its words, else a count of unknown words."""
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How often each word stands in the training parts, and how often before another."""
+    for before, word, target in _training(batches):
+        some, which = np.unique(np.concatenate((word, before)), return_inverse=True)
+        own, as_before = (_sums(w, len(some), target) for w in np.split(which, 2))
+        yield pa.RecordBatch.from_arrays([pa.array(some.view(np.int64)), *own, *as_before], ["word", "t", "b", "all_t", "all_b"])
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bigrams of the training parts, added up for some texts at a time."""
+    for before, word, target in _training(batches):
+        _, some, which = np.unique(_bigram(before, word), return_index=True, return_inverse=True)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(before[some].view(np.int64)), pa.array(word[some].view(np.int64)), *_sums(which, len(some), target)],
+            ["before", "word", "t", "b"],
+        )
+
+
+def _asked(bigrams, words, wants_pairs: bool):
+    """What a chunk of texts needs: its bigrams that a model may hold, or the words of all others. ``places`` holds
+    the number of the text, within the chunk, of each occurrence. The row of unknown words is always there, for it
+    carries the ids of the texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roller, pairs, known = Roller(), bigrams(), words()
         for batch in batches:
-            keys = [batch[k].to_numpy() for k in ("k0", "k1")]
+            numbers = batch["row"].to_numpy()
             for begin, texts in chunks(arrow_bytes(batch["text"])):
                 text, before, word = _pairs(roller, texts)
                 pair = _bigram(before, word)
-                pair = np.where(pairs.may_hold(pair), pair, np.uint64(UNKNOWN))
-                word = np.where((pair == UNKNOWN) & ~known.may_hold(word), np.uint64(UNKNOWN), word)
-                _, some, times = np.unique(mix(pair) ^ mix(word + text.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), return_index=True, return_counts=True)
-                at = text[some] + begin
+                may = pairs.may_hold(pair)
+                mine = may if wants_pairs else ~may
+                pair, word, text = np.where(may, pair, np.uint64(UNKNOWN))[mine], word[mine], text[mine]
+                if not wants_pairs:
+                    word = np.where(known.may_hold(word), word, np.uint64(UNKNOWN))
+                _, some, which, times = np.unique(
+                    pair if wants_pairs else word, return_index=True, return_inverse=True, return_counts=True
+                )
+                places = text[np.argsort(which, kind="stable")].astype(np.int32)
+                pair, word, ends = pair[some], word[some], np.concatenate(([0], np.cumsum(times)))
+                ids: list = [None] * len(some)
+                if not wants_pairs:
+                    if not len(word) or word[0] != UNKNOWN:
+                        pair, word = (np.concatenate(([np.uint64(UNKNOWN)], x)) for x in (pair, word))
+                        ends, ids = np.concatenate(([0], ends)), [None, *ids]
+                    ids[0] = batch["doc_id"].slice(begin, len(texts)).to_pylist()
+                held = pa.Array.from_buffers(pa.binary(), len(word), [None, pa.py_buffer((ends * 4).astype(np.int32)), pa.py_buffer(places)])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *[pa.array(k[at]) for k in keys],
-                        pa.array(pair[some].view(np.int64)),
-                        pa.array(word[some].view(np.int64)),
-                        pa.array(times.astype(np.int64)),
+                        pa.array(np.full(len(word), numbers[begin])),
+                        pa.array(pair.view(np.int64)),
+                        pa.array(word.view(np.int64)),
+                        held,
+                        pa.array(ids, pa.list_(batch["doc_id"].type)),
                     ],
-                    ["k0", "k1", "pair", "word", "times"],
+                    ["chunk", "pair", "word", "places", "ids"],
                 )
 
     return run
 
 
+def _scored(rows: pa.Table) -> pa.Table:
+    """The scores of a chunk's texts."""
+    held = [x for x in rows["ids"] if x.is_valid]
+    ids = pa.concat_arrays([x.values for x in held])
+    places = [np.frombuffer(x, np.int32) for x in rows["places"].to_pylist()]
+    values = np.repeat(rows["value"].to_numpy(), [len(x) for x in places])
+    places = np.concatenate(places)
+    n = np.bincount(places, minlength=len(ids))
+    total = np.bincount(places, weights=values, minlength=len(ids))
+    mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
+    return pa.table({"doc_id": ids, "n_words": pa.array(n.astype(np.int64)), "score": mean})
+
+
 def score(
     docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "quality"
 ) -> DataFrame:
@@ -100,20 +150,21 @@ def score(
     spark = docs.sparkSession
     plain, marks = Plain(docs), Plain(labels)
     good = marks.df.where(F.col(marks[label_column]) == 1).select(F.col(marks[id_column]).alias("good")).distinct()
-    k0, k1 = text_key(F.col("text"))
     rows = plain.df.select(F.col(plain[id_column]).alias("doc_id"), F.coalesce(F.col(plain[text_column]), F.lit("")).alias("text"))
-    rows = rows.select("doc_id", "text", k0.alias("k0"), k1.alias("k1"))
-    target = rows.join(good, F.col("doc_id") == F.col("good"), "left").select("text", "k0", F.col("good").isNotNull().alias("target"))
+    target = rows.withColumn("k0", text_key(F.col("text"))[0]).join(good, F.col("doc_id") == F.col("good"), "left").select("text", "k0", F.col("good").isNotNull().alias("target"))
     n_good, n_all = target.agg(F.count_if("target"), F.count(F.lit(1))).first()
     matched = min(1.0, n_good / max(1, n_all - n_good))
     drawn = F.col("target") | (F.pmod(F.xxhash64("k0"), F.lit(1_000_000)) < int(matched * 1_000_000))
 
-    bigrams = written(
-        target.where(drawn).mapInArrow(_counted, "before long, word long, t long, b long").groupBy("before", "word").agg(F.sum("t").alias("t"), F.sum("b").alias("b"))
+    training = target.where(drawn)
+    both = [F.sum(c).alias(c) for c in ("t", "b")]
+    all_words = written(
+        training.mapInArrow(_words, "word long, t long, b long, all_t long, all_b long").groupBy("word").agg(*both, *[F.sum(c).alias(c) for c in ("all_t", "all_b")])
     )
-    unigrams = bigrams.groupBy("word").agg(F.sum("t").alias("t"), F.sum("b").alias("b"))
-    words = written(unigrams.where(F.col("t") + F.col("b") >= LEAST_WORD))
-    n_t, n_b = (x or 0 for x in bigrams.agg(F.sum("t"), F.sum("b")).first())
+    often = F.col("t") + F.col("b")
+    bigrams = training.mapInArrow(_counted, "before long, word long, t long, b long").groupBy("before", "word").agg(*both).where(often >= LEAST_BIGRAM)
+    words = all_words.where(often >= LEAST_WORD)
+    n_t, n_b = (x or 0 for x in all_words.agg(F.sum("t"), F.sum("b")).first())
     k_t, k_b, size = (x or 0 for x in words.agg(F.sum("t"), F.sum("b"), F.count(F.lit(1))).first())
     # all words, the unknown one included, have one more than they were seen
     share_of = lambda count, total: (count + 1) / F.lit(float(total + size + 1))
@@ -121,19 +172,21 @@ def score(
     p_t, p_b = share_of(F.col("t"), n_t), share_of(F.col("b"), n_b)
     values = words.select(F.col("word").alias("known"), (F.log(p_b) - F.log(p_t)).alias("value"), p_t.alias("p_t"), p_b.alias("p_b"))
 
-    after = bigrams.groupBy("before").agg(F.sum("t").alias("all_t"), F.sum("b").alias("all_b"))
-    often = bigrams.where(F.col("t") + F.col("b") >= LEAST_BIGRAM).join(after, "before").join(values, F.col("word") == F.col("known"))
+    after = all_words.select(F.col("word").alias("before"), "all_t", "all_b")
+    often = bigrams.join(after, "before").join(values, F.col("word") == F.col("known"))
     mixed = lambda n, total, p: F.lit(WEIGHT) * F.coalesce(F.try_divide(n, total), F.lit(0.0)) + F.lit(1 - WEIGHT) * p
     loss = F.log(mixed(F.col("b"), F.col("all_b"), F.col("p_b"))) - F.log(mixed(F.col("t"), F.col("all_t"), F.col("p_t")))
     pairs = written(often.select("before", "word", loss.alias("pair_value")).mapInArrow(_named, "pair long, pair_value double"))
 
     filters = [share(spark, BitFilter.of(x, c, x.count())) for x, c in ((pairs, "pair"), (words.select("word"), "word"))]
-    asked = rows.dropDuplicates(["k0", "k1"]).select("k0", "k1", "text")
-    asked = asked.mapInArrow(_asked(*filters), "k0 long, k1 long, pair long, word long, times long")
-    told = asked.join(pairs, "pair", "left").join(values.select("known", "value"), F.col("word") == F.col("known"), "left")
-    value = F.coalesce("pair_value", "value", F.lit(unknown))
-    scores = told.groupBy("k0", "k1").agg(F.sum("times").alias("n_words"), (F.sum(value * F.col("times")) / F.sum("times")).alias("score"))
-    return rows.select("doc_id", "k0", "k1").join(scores, ["k0", "k1"], "left").select("doc_id", F.coalesce("n_words", F.lit(0)).alias("n_words"), "score")
+    id_type = rows.schema["doc_id"].dataType.simpleString()
+    shape = f"chunk long, pair long, word long, places binary, ids array<{id_type}>"
+    texts = rows.withColumn("row", F.monotonically_increasing_id())
+    by_pair, by_word = (texts.mapInArrow(_asked(*filters, wants_pairs), shape) for wants_pairs in (True, False))
+    told = by_pair.join(pairs, "pair", "left").unionByName(by_word.withColumn("pair_value", F.lit(None).cast("double")))
+    told = told.join(values.select("known", "value"), F.col("word") == F.col("known"), "left")
+    told = told.select("chunk", "places", "ids", F.coalesce("pair_value", "value", F.lit(unknown)).alias("value"))
+    return told.groupBy("chunk").applyInArrow(_scored, f"doc_id {id_type}, n_words long, score double")
 
 
 def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
