@@ -33,6 +33,8 @@ WEIGHT = 0.6
 #: The word before a document's first.
 BEGIN = np.uint64(0x0BEB1)
 UNKNOWN = 0
+#: Bytes of text that are counted, or ask for their n-grams, together.
+CHUNK = 8 << 20
 
 
 def _pairs(roller: Roller, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -55,7 +57,7 @@ def _training(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, n
     roller = Roller()
     for batch in batches:
         side = batch["target"].to_numpy(zero_copy_only=False)
-        for begin, texts in chunks(arrow_bytes(batch["text"])):
+        for begin, texts in chunks(arrow_bytes(batch["text"]), CHUNK):
             text, before, word = _pairs(roller, texts)
             yield before, word, side[begin + text].astype(bool)
 
@@ -93,7 +95,7 @@ def _asked(bigrams, words, wants_pairs: bool):
         roller, pairs, known = Roller(), bigrams(), words()
         for batch in batches:
             numbers = batch["row"].to_numpy()
-            for begin, texts in chunks(arrow_bytes(batch["text"])):
+            for begin, texts in chunks(arrow_bytes(batch["text"]), CHUNK):
                 text, before, word = _pairs(roller, texts)
                 pair = _bigram(before, word)
                 may = pairs.may_hold(pair)

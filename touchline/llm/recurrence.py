@@ -62,11 +62,11 @@ class Runs:
     cover: Callable[[int], bytes]
 
 
-def chunks(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
-    """Parts of a list, of about ``CHUNK`` bytes, with the number of the first text."""
+def chunks(texts: list[bytes], limit: int = CHUNK) -> Iterator[tuple[int, list[bytes]]]:
+    """Parts of a list, of about ``limit`` bytes, with the number of the first text."""
     begin, size = 0, 0
     for i, t in enumerate(texts):
-        if size and size + len(t) > CHUNK:
+        if size and size + len(t) > limit:
             yield begin, texts[begin:i]
             begin, size = i, 0
         size += len(t) + 1
