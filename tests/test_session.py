@@ -3,8 +3,9 @@
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
-from touchline.session import durable_dir, written
+from touchline.session import SHUFFLE_CLEANUP, durable_dir, shuffles_dropped, written
 
 from tests.league import rows
 
@@ -40,3 +41,14 @@ def test_written_tables_are_read_from_files(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "FileScan parquet" in plan and "Range" not in plan
     assert rows(df) == [(i, str(i)) for i in range(5)]
+
+
+def test_writing_a_table_leaves_the_callers_setting(spark):
+    before = spark.conf.get(SHUFFLE_CLEANUP)
+    held = written(spark.range(10).groupBy((F.col("id") % 3).alias("k")).count())
+    assert spark.conf.get(SHUFFLE_CLEANUP) == before
+    assert sorted(held.collect()) == sorted(written(held).collect())
+    with pytest.raises(ZeroDivisionError), shuffles_dropped(spark):
+        assert spark.conf.get(SHUFFLE_CLEANUP) == "true"
+        raise ZeroDivisionError
+    assert spark.conf.get(SHUFFLE_CLEANUP) == before

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,10 +44,25 @@ def durable_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what runs inside go when it ends, and not when the driver next collects its garbage."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def written(df: DataFrame) -> DataFrame:
     """Write ``df`` to the durable folder and read it back. Later plans start from the files: they
     see one fixed result, with known sizes, whatever happens to the executors that made it."""
     spark = df.sparkSession
     path = f"{durable_dir(spark)}/tables/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with shuffles_dropped(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
