@@ -6,9 +6,10 @@ word. A word's loss is interpolated from its bigram and its unigram, and a docum
 of the losses, target less background: below zero, it reads like the target.
 
 The counts are Spark aggregates and grow with the corpus. Documents ask for the values of their own n-grams by a
-join, some megabytes of text at a time: such a chunk has one row for each of its n-grams, with the places of the
-documents that hold it, and comes together again to be summed up. Bounded filters let only those bigrams ask that a
-model may hold; the others ask for their word. Input that is not read from files should be written first, so that a
+join, some megabytes of text at a time: such a chunk has one row for each of its bigrams and one for each of its
+words, with the places of the documents that hold it, and comes together again to be summed up. Bounded filters let
+only those bigrams ask that a model may hold, and such a row knows its word by number, for the case that none does;
+the other occurrences are counted with their word. Input that is not read from files should be written first, so that a
 task that is run again sees the same chunks.
 """
 
@@ -76,54 +77,63 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(some.view(np.int64)), *own, *as_before], ["word", "t", "b", "all_t", "all_b"])
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Bigrams of the training parts, added up for some texts at a time."""
-    for before, word, target in _training(batches):
-        _, some, which = np.unique(_bigram(before, word), return_index=True, return_inverse=True)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(before[some].view(np.int64)), pa.array(word[some].view(np.int64)), *_sums(which, len(some), target)],
-            ["before", "word", "t", "b"],
-        )
+def _counted(words):
+    """Bigrams of the training parts that may end in a known word, added up for some texts at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = words()
+        for before, word, target in _training(batches):
+            may = known.may_hold(word)
+            before, word, target = before[may], word[may], target[may]
+            _, some, which = np.unique(_bigram(before, word), return_index=True, return_inverse=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(before[some].view(np.int64)), pa.array(word[some].view(np.int64)), *_sums(which, len(some), target)],
+                ["before", "word", "t", "b"],
+            )
+
+    return run
+
+
+def _held(which: np.ndarray, n: int, text: np.ndarray) -> pa.Array:
+    """For each of ``n`` things the numbers of the texts where it occurs, one for each occurrence."""
+    places = text[np.argsort(which, kind="stable")].astype(np.int32)
+    ends = np.concatenate(([0], np.cumsum(np.bincount(which, minlength=n)))) * 4
+    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(places)])
 
 
 def _asked(bigrams, words, wants_pairs: bool):
-    """What a chunk of texts needs: its bigrams that a model may hold, or the words of all others. ``places`` holds
-    the number of the text, within the chunk, of each occurrence. The row of unknown words is always there, for it
-    carries the ids of the texts."""
+    """What a chunk of texts needs: its bigrams that a model may hold, or its words, with the occurrences that no
+    bigram stands for. ``number`` is a word's, within the chunk; that of unknown words is 0 and always there, for
+    its row carries the ids of the texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roller, pairs, known = Roller(), bigrams(), words()
         for batch in batches:
-            numbers = batch["row"].to_numpy()
+            rows = batch["row"].to_numpy()
             for begin, texts in chunks(arrow_bytes(batch["text"]), CHUNK):
                 text, before, word = _pairs(roller, texts)
                 pair = _bigram(before, word)
                 may = pairs.may_hold(pair)
-                mine = may if wants_pairs else ~may
-                pair, word, text = np.where(may, pair, np.uint64(UNKNOWN))[mine], word[mine], text[mine]
-                if not wants_pairs:
-                    word = np.where(known.may_hold(word), word, np.uint64(UNKNOWN))
-                _, some, which, times = np.unique(
-                    pair if wants_pairs else word, return_index=True, return_inverse=True, return_counts=True
-                )
-                places = text[np.argsort(which, kind="stable")].astype(np.int32)
-                pair, word, ends = pair[some], word[some], np.concatenate(([0], np.cumsum(times)))
+                word = np.where(known.may_hold(word), word, np.uint64(UNKNOWN))
+                some, number = np.unique(np.concatenate(([np.uint64(UNKNOWN)], word)), return_inverse=True)
+                number = number[1:]
+                if wants_pairs:
+                    some, first, which = np.unique(pair[may], return_index=True, return_inverse=True)
+                    numbers, held = number[may][first], _held(which, len(some), text[may])
+                else:
+                    numbers, held = np.arange(len(some)), _held(number[~may], len(some), text[~may])
                 ids: list = [None] * len(some)
                 if not wants_pairs:
-                    if not len(word) or word[0] != UNKNOWN:
-                        pair, word = (np.concatenate(([np.uint64(UNKNOWN)], x)) for x in (pair, word))
-                        ends, ids = np.concatenate(([0], ends)), [None, *ids]
                     ids[0] = batch["doc_id"].slice(begin, len(texts)).to_pylist()
-                held = pa.Array.from_buffers(pa.binary(), len(word), [None, pa.py_buffer((ends * 4).astype(np.int32)), pa.py_buffer(places)])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.full(len(word), numbers[begin])),
-                        pa.array(pair.view(np.int64)),
-                        pa.array(word.view(np.int64)),
+                        pa.array(np.full(len(some), rows[begin])),
+                        pa.array(some.view(np.int64)),
+                        pa.array(numbers.astype(np.int32)),
                         held,
                         pa.array(ids, pa.list_(batch["doc_id"].type)),
                     ],
-                    ["chunk", "pair", "word", "places", "ids"],
+                    ["chunk", "gram", "number", "places", "ids"],
                 )
 
     return run
@@ -131,10 +141,15 @@ def _asked(bigrams, words, wants_pairs: bool):
 
 def _scored(rows: pa.Table) -> pa.Table:
     """The scores of a chunk's texts."""
-    held = [x for x in rows["ids"] if x.is_valid]
-    ids = pa.concat_arrays([x.values for x in held])
+    ids = pa.concat_arrays([x.values for x in rows["ids"] if x.is_valid])
+    number, value = rows["number"].to_numpy(), rows["value"].to_numpy()
+    of_word = rows["of_word"].to_numpy()
+    words = np.zeros(number.max() + 1)
+    words[number[of_word]] = value[of_word]
+    # a bigram that only the filter took for one that a model holds
+    value = np.where(np.isnan(value), words[number], value)
     places = [np.frombuffer(x, np.int32) for x in rows["places"].to_pylist()]
-    values = np.repeat(rows["value"].to_numpy(), [len(x) for x in places])
+    values = np.repeat(value, [len(x) for x in places])
     places = np.concatenate(places)
     n = np.bincount(places, minlength=len(ids))
     total = np.bincount(places, weights=values, minlength=len(ids))
@@ -164,10 +179,12 @@ def score(
         training.mapInArrow(_words, "word long, t long, b long, all_t long, all_b long").groupBy("word").agg(*both, *[F.sum(c).alias(c) for c in ("all_t", "all_b")])
     )
     often = F.col("t") + F.col("b")
-    bigrams = training.mapInArrow(_counted, "before long, word long, t long, b long").groupBy("before", "word").agg(*both).where(often >= LEAST_BIGRAM)
     words = all_words.where(often >= LEAST_WORD)
     n_t, n_b = (x or 0 for x in all_words.agg(F.sum("t"), F.sum("b")).first())
     k_t, k_b, size = (x or 0 for x in words.agg(F.sum("t"), F.sum("b"), F.count(F.lit(1))).first())
+    known = share(spark, BitFilter.of(words, "word", size))
+    counted = training.mapInArrow(_counted(known), "before long, word long, t long, b long")
+    bigrams = counted.groupBy("before", "word").agg(*both).where(often >= LEAST_BIGRAM)
     # all words, the unknown one included, have one more than they were seen
     share_of = lambda count, total: (count + 1) / F.lit(float(total + size + 1))
     unknown = float(np.log((n_b - k_b + 1) / (n_b + size + 1)) - np.log((n_t - k_t + 1) / (n_t + size + 1)))
@@ -180,15 +197,16 @@ def score(
     loss = F.log(mixed(F.col("b"), F.col("all_b"), F.col("p_b"))) - F.log(mixed(F.col("t"), F.col("all_t"), F.col("p_t")))
     pairs = written(often.select("before", "word", loss.alias("pair_value")).mapInArrow(_named, "pair long, pair_value double"))
 
-    filters = [share(spark, BitFilter.of(x, c, x.count())) for x, c in ((pairs, "pair"), (words.select("word"), "word"))]
+    held = share(spark, BitFilter.of(pairs, "pair", pairs.count()))
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    shape = f"chunk long, pair long, word long, places binary, ids array<{id_type}>"
+    shape = f"chunk long, gram long, number int, places binary, ids array<{id_type}>"
     texts = rows.withColumn("row", F.monotonically_increasing_id())
-    by_pair, by_word = (texts.mapInArrow(_asked(*filters, wants_pairs), shape) for wants_pairs in (True, False))
-    told = by_pair.join(pairs, "pair", "left").unionByName(by_word.withColumn("pair_value", F.lit(None).cast("double")))
-    told = told.join(values.select("known", "value"), F.col("word") == F.col("known"), "left")
-    told = told.select("chunk", "places", "ids", F.coalesce("pair_value", "value", F.lit(unknown)).alias("value"))
-    return told.groupBy("chunk").applyInArrow(_scored, f"doc_id {id_type}, n_words long, score double")
+    by_pair, by_word = (texts.mapInArrow(_asked(held, known, wants_pairs), shape) for wants_pairs in (True, False))
+    told = lambda value, of_word: ("chunk", "number", "places", "ids", value.alias("value"), F.lit(of_word).alias("of_word"))
+    of_pairs = by_pair.join(pairs, F.col("gram") == F.col("pair"), "left").select(*told(F.col("pair_value"), False))
+    of_words = by_word.join(values.select("known", "value"), F.col("gram") == F.col("known"), "left")
+    of_words = of_words.select(*told(F.coalesce("value", F.lit(unknown)), True))
+    return of_pairs.unionByName(of_words).groupBy("chunk").applyInArrow(_scored, f"doc_id {id_type}, n_words long, score double")
 
 
 def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
