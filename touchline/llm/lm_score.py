@@ -5,12 +5,12 @@ hash. Both share one vocabulary: the words that occur often enough in the two to
 word. A word's loss is interpolated from its bigram and its unigram, and a document's score is the mean difference
 of the losses, target less background: below zero, it reads like the target.
 
-The counts are Spark aggregates and grow with the corpus. Documents ask for the values of their own n-grams by a
-join, some megabytes of text at a time: such a chunk has one row for each of its bigrams and one for each of its
-words, with the places of the documents that hold it, and comes together again to be summed up. Bounded filters let
-only those bigrams ask that a model may hold, and such a row knows its word by number, for the case that none does;
-the other occurrences are counted with their word. Input that is not read from files should be written first, so that a
-task that is run again sees the same chunks.
+The counts are Spark aggregates and grow with the corpus. Documents ask for the values of their own n-grams by
+joins, some megabytes of text at a time: such a chunk has one row for each of its n-grams, with the places of the
+documents that hold it. Bounded filters let only those bigrams ask that a model may hold; the others, and those that
+none holds after all, ask for their word. What is found is added up per document before and after it comes together
+by chunk. Input that is not read from files should be written first, so that a task that is run again sees the same
+chunks.
 """
 
 from __future__ import annotations
@@ -102,9 +102,8 @@ def _held(which: np.ndarray, n: int, text: np.ndarray) -> pa.Array:
 
 
 def _asked(bigrams, words, wants_pairs: bool):
-    """What a chunk of texts needs: its bigrams that a model may hold, or its words, with the occurrences that no
-    bigram stands for. ``number`` is a word's, within the chunk; that of unknown words is 0 and always there, for
-    its row carries the ids of the texts."""
+    """What a chunk of texts needs: its bigrams that a model may hold, or the words of all others. The row of unknown
+    words is always there, for it carries the ids of the texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roller, pairs, known = Roller(), bigrams(), words()
@@ -115,44 +114,72 @@ def _asked(bigrams, words, wants_pairs: bool):
                 pair = _bigram(before, word)
                 may = pairs.may_hold(pair)
                 word = np.where(known.may_hold(word), word, np.uint64(UNKNOWN))
-                some, number = np.unique(np.concatenate(([np.uint64(UNKNOWN)], word)), return_inverse=True)
-                number = number[1:]
                 if wants_pairs:
-                    some, first, which = np.unique(pair[may], return_index=True, return_inverse=True)
-                    numbers, held = number[may][first], _held(which, len(some), text[may])
+                    pair, first, which = np.unique(pair[may], return_index=True, return_inverse=True)
+                    word, held, ids = word[may][first], _held(which, len(pair), text[may]), [None] * len(pair)
                 else:
-                    numbers, held = np.arange(len(some)), _held(number[~may], len(some), text[~may])
-                ids: list = [None] * len(some)
-                if not wants_pairs:
-                    ids[0] = batch["doc_id"].slice(begin, len(texts)).to_pylist()
+                    word, which = np.unique(np.concatenate(([np.uint64(UNKNOWN)], word[~may])), return_inverse=True)
+                    pair, held = np.zeros(len(word), np.uint64), _held(which[1:], len(word), text[~may])
+                    ids = [batch["doc_id"].slice(begin, len(texts)).to_pylist(), *[None] * (len(word) - 1)]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.full(len(some), rows[begin])),
-                        pa.array(some.view(np.int64)),
-                        pa.array(numbers.astype(np.int32)),
+                        pa.array(np.full(len(word), rows[begin])),
+                        pa.array(pair.view(np.int64)),
+                        pa.array(word.view(np.int64)),
                         held,
                         pa.array(ids, pa.list_(batch["doc_id"].type)),
                     ],
-                    ["chunk", "gram", "number", "places", "ids"],
+                    ["chunk", "pair", "word", "places", "ids"],
                 )
 
     return run
 
 
+def _numbers(column: pa.ChunkedArray, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """What the binaries of a column hold, one after another, and how many each has."""
+    held = column.to_pylist()
+    return np.frombuffer(b"".join(held), kind), np.array([len(x) // np.dtype(kind).itemsize for x in held], np.int64)
+
+
+def _sum(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+    """Occurrences whose value is known, added up per chunk and text; the others as they are."""
+    names = ["chunk", "word", "places", "counts", "sums", "ids"]
+    missed = rows.filter(rows["value"].is_null())
+    none = pa.nulls(len(missed), pa.binary())
+    yield from pa.table([missed["chunk"], missed["word"], missed["places"], none, none, missed["ids"]], names).to_batches()
+    found = rows.filter(rows["value"].is_valid())
+    text, times = _numbers(found["places"], np.int32)
+    chunk, which = np.unique(found["chunk"].to_numpy(), return_inverse=True)
+    width = int(text.max(initial=0)) + 1
+    some, which = np.unique(np.repeat(which, times) * width + text, return_inverse=True)
+    counts = np.bincount(which, minlength=len(some)).astype(np.int32)
+    sums = np.bincount(which, weights=np.repeat(found["value"].to_numpy(), times), minlength=len(some))
+    cuts = np.searchsorted(some, np.arange(1, len(chunk)) * width)
+    parts = ([x.tobytes() for x in np.split(y, cuts)][: len(chunk)] for y in ((some % width).astype(np.int32), counts, sums))
+    empty = pa.nulls(len(chunk), pa.int64()), pa.nulls(len(chunk), rows["ids"].type)
+    yield pa.RecordBatch.from_arrays([pa.array(chunk, pa.int64()), empty[0], *[pa.array(x, pa.binary()) for x in parts], empty[1]], names)
+    told = found.filter(found["ids"].is_valid())
+    blank = pa.array([b""] * len(told), pa.binary())
+    yield from pa.table([told["chunk"], pa.nulls(len(told), pa.int64()), blank, blank, blank, told["ids"]], names).to_batches()
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= CHUNK:
+            yield from _sum(pa.Table.from_batches(held))
+            held, size = [], 0
+    if held:
+        yield from _sum(pa.Table.from_batches(held))
+
+
 def _scored(rows: pa.Table) -> pa.Table:
     """The scores of a chunk's texts."""
     ids = pa.concat_arrays([x.values for x in rows["ids"] if x.is_valid])
-    number, value = rows["number"].to_numpy(), rows["value"].to_numpy()
-    of_word = rows["of_word"].to_numpy()
-    words = np.zeros(number.max() + 1)
-    words[number[of_word]] = value[of_word]
-    # a bigram that only the filter took for one that a model holds
-    value = np.where(np.isnan(value), words[number], value)
-    places = [np.frombuffer(x, np.int32) for x in rows["places"].to_pylist()]
-    values = np.repeat(value, [len(x) for x in places])
-    places = np.concatenate(places)
-    n = np.bincount(places, minlength=len(ids))
-    total = np.bincount(places, weights=values, minlength=len(ids))
+    text, counts, sums = (_numbers(rows[c], kind)[0] for c, kind in (("places", np.int32), ("counts", np.int32), ("sums", np.float64)))
+    n, total = (np.bincount(text, weights=x, minlength=len(ids)) for x in (counts, sums))
     mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
     return pa.table({"doc_id": ids, "n_words": pa.array(n.astype(np.int64)), "score": mean})
 
@@ -199,14 +226,17 @@ def score(
 
     held = share(spark, BitFilter.of(pairs, "pair", pairs.count()))
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    shape = f"chunk long, gram long, number int, places binary, ids array<{id_type}>"
+    asked = f"chunk long, pair long, word long, places binary, ids array<{id_type}>"
+    added = f"chunk long, word long, places binary, counts binary, sums binary, ids array<{id_type}>"
     texts = rows.withColumn("row", F.monotonically_increasing_id())
-    by_pair, by_word = (texts.mapInArrow(_asked(held, known, wants_pairs), shape) for wants_pairs in (True, False))
-    told = lambda value, of_word: ("chunk", "number", "places", "ids", value.alias("value"), F.lit(of_word).alias("of_word"))
-    of_pairs = by_pair.join(pairs, F.col("gram") == F.col("pair"), "left").select(*told(F.col("pair_value"), False))
-    of_words = by_word.join(values.select("known", "value"), F.col("gram") == F.col("known"), "left")
-    of_words = of_words.select(*told(F.coalesce("value", F.lit(unknown)), True))
-    return of_pairs.unionByName(of_words).groupBy("chunk").applyInArrow(_scored, f"doc_id {id_type}, n_words long, score double")
+    by_pair, by_word = (texts.mapInArrow(_asked(held, known, wants_pairs), asked) for wants_pairs in (True, False))
+    of_pairs = by_pair.join(pairs, "pair", "left").select("chunk", "word", "places", "ids", F.col("pair_value").alias("value"))
+    of_pairs = written(of_pairs.mapInArrow(_added, added))
+    rest = by_word.select("chunk", "word", "places", "ids").unionByName(of_pairs.where("word IS NOT NULL").select("chunk", "word", "places", "ids"))
+    of_words = rest.join(values.select("known", "value"), F.col("word") == F.col("known"), "left")
+    of_words = of_words.select("chunk", "word", "places", "ids", F.coalesce("value", F.lit(unknown)).alias("value"))
+    told = of_words.mapInArrow(_added, added).unionByName(of_pairs.where("word IS NULL"))
+    return told.groupBy("chunk").applyInArrow(_scored, f"doc_id {id_type}, n_words long, score double")
 
 
 def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
