@@ -8,8 +8,7 @@ of the losses, target less background: below zero, it reads like the target.
 The counts are Spark aggregates and grow with the corpus. Documents ask for the values of their own n-grams by
 joins, some megabytes of text at a time: such a chunk has one row for each of its n-grams, with the places of the
 documents that hold it. Bounded filters let only those bigrams ask that a model may hold; the others, and those that
-none holds after all, ask for their word. What is found is added up per document before and after it comes together
-by chunk. Input that is not read from files should be written first, so that a task that is run again sees the same
+none holds after all, ask for their word. What is found is added up per document, in each task first. Input that is not read from files should be written first, so that a task that is run again sees the same
 chunks.
 """
 
@@ -33,7 +32,8 @@ LEAST_WORD, LEAST_BIGRAM = 3, 2
 WEIGHT = 0.6
 #: The word before a document's first.
 BEGIN = np.uint64(0x0BEB1)
-UNKNOWN = 0
+#: Makes a key of its own of a chunk.
+UNKNOWN = np.uint64(0x0DD)
 #: Bytes of text that are counted, or ask for their n-grams, together.
 CHUNK = 8 << 20
 
@@ -94,16 +94,16 @@ def _counted(words):
     return run
 
 
-def _held(which: np.ndarray, n: int, text: np.ndarray) -> pa.Array:
+def _held(which: np.ndarray, n: int, text: np.ndarray) -> pa.ListArray:
     """For each of ``n`` things the numbers of the texts where it occurs, one for each occurrence."""
     places = text[np.argsort(which, kind="stable")].astype(np.int32)
-    ends = np.concatenate(([0], np.cumsum(np.bincount(which, minlength=n)))) * 4
-    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(places)])
+    ends = np.concatenate(([0], np.cumsum(np.bincount(which, minlength=n))))
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(places))
 
 
 def _asked(bigrams, words, wants_pairs: bool):
-    """What a chunk of texts needs: its bigrams that a model may hold, or the words of all others. The row of unknown
-    words is always there, for it carries the ids of the texts."""
+    """What a chunk of texts needs: its bigrams that a model may hold, or the words of all others and, in a row of its
+    own, the ids of the texts. Unknown words are one word in a chunk, another one in each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roller, pairs, known = Roller(), bigrams(), words()
@@ -113,14 +113,19 @@ def _asked(bigrams, words, wants_pairs: bool):
                 text, before, word = _pairs(roller, texts)
                 pair = _bigram(before, word)
                 may = pairs.may_hold(pair)
-                word = np.where(known.may_hold(word), word, np.uint64(UNKNOWN))
+                own = mix(rows[begin : begin + 1].view(np.uint64) + UNKNOWN)
+                word = np.where(known.may_hold(word), word, own)
                 if wants_pairs:
                     pair, first, which = np.unique(pair[may], return_index=True, return_inverse=True)
                     word, held, ids = word[may][first], _held(which, len(pair), text[may]), [None] * len(pair)
                 else:
-                    word, which = np.unique(np.concatenate(([np.uint64(UNKNOWN)], word[~may])), return_inverse=True)
-                    pair, held = np.zeros(len(word), np.uint64), _held(which[1:], len(word), text[~may])
-                    ids = [batch["doc_id"].slice(begin, len(texts)).to_pylist(), *[None] * (len(word) - 1)]
+                    word, which = np.unique(word[~may], return_inverse=True)
+                    all_texts = np.arange(len(texts))
+                    which = np.concatenate((which, np.full(len(texts), len(word))))
+                    word = np.concatenate((word, own))
+                    held = _held(which, len(word), np.concatenate((text[~may], all_texts)))
+                    ids = [*[None] * (len(word) - 1), batch["doc_id"].slice(begin, len(texts)).to_pylist()]
+                    pair = np.zeros(len(word), np.uint64)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.full(len(word), rows[begin])),
@@ -135,55 +140,6 @@ def _asked(bigrams, words, wants_pairs: bool):
     return run
 
 
-def _numbers(column: pa.ChunkedArray, kind: type) -> tuple[np.ndarray, np.ndarray]:
-    """What the binaries of a column hold, one after another, and how many each has."""
-    held = column.to_pylist()
-    return np.frombuffer(b"".join(held), kind), np.array([len(x) // np.dtype(kind).itemsize for x in held], np.int64)
-
-
-def _sum(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-    """Occurrences whose value is known, added up per chunk and text; the others as they are."""
-    names = ["chunk", "word", "places", "counts", "sums", "ids"]
-    missed = rows.filter(rows["value"].is_null())
-    none = pa.nulls(len(missed), pa.binary())
-    yield from pa.table([missed["chunk"], missed["word"], missed["places"], none, none, missed["ids"]], names).to_batches()
-    found = rows.filter(rows["value"].is_valid())
-    text, times = _numbers(found["places"], np.int32)
-    chunk, which = np.unique(found["chunk"].to_numpy(), return_inverse=True)
-    width = int(text.max(initial=0)) + 1
-    some, which = np.unique(np.repeat(which, times) * width + text, return_inverse=True)
-    counts = np.bincount(which, minlength=len(some)).astype(np.int32)
-    sums = np.bincount(which, weights=np.repeat(found["value"].to_numpy(), times), minlength=len(some))
-    cuts = np.searchsorted(some, np.arange(1, len(chunk)) * width)
-    parts = ([x.tobytes() for x in np.split(y, cuts)][: len(chunk)] for y in ((some % width).astype(np.int32), counts, sums))
-    empty = pa.nulls(len(chunk), pa.int64()), pa.nulls(len(chunk), rows["ids"].type)
-    yield pa.RecordBatch.from_arrays([pa.array(chunk, pa.int64()), empty[0], *[pa.array(x, pa.binary()) for x in parts], empty[1]], names)
-    told = found.filter(found["ids"].is_valid())
-    blank = pa.array([b""] * len(told), pa.binary())
-    yield from pa.table([told["chunk"], pa.nulls(len(told), pa.int64()), blank, blank, blank, told["ids"]], names).to_batches()
-
-
-def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held, size = [], 0
-    for batch in batches:
-        held.append(batch)
-        size += batch.nbytes
-        if size >= CHUNK:
-            yield from _sum(pa.Table.from_batches(held))
-            held, size = [], 0
-    if held:
-        yield from _sum(pa.Table.from_batches(held))
-
-
-def _scored(rows: pa.Table) -> pa.Table:
-    """The scores of a chunk's texts."""
-    ids = pa.concat_arrays([x.values for x in rows["ids"] if x.is_valid])
-    text, counts, sums = (_numbers(rows[c], kind)[0] for c, kind in (("places", np.int32), ("counts", np.int32), ("sums", np.float64)))
-    n, total = (np.bincount(text, weights=x, minlength=len(ids)) for x in (counts, sums))
-    mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
-    return pa.table({"doc_id": ids, "n_words": pa.array(n.astype(np.int64)), "score": mean})
-
-
 def score(
     docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "quality"
 ) -> DataFrame:
@@ -226,17 +182,25 @@ def score(
 
     held = share(spark, BitFilter.of(pairs, "pair", pairs.count()))
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    asked = f"chunk long, pair long, word long, places binary, ids array<{id_type}>"
-    added = f"chunk long, word long, places binary, counts binary, sums binary, ids array<{id_type}>"
+    asked = f"chunk long, pair long, word long, places array<int>, ids array<{id_type}>"
     texts = rows.withColumn("row", F.monotonically_increasing_id())
     by_pair, by_word = (texts.mapInArrow(_asked(held, known, wants_pairs), asked) for wants_pairs in (True, False))
-    of_pairs = by_pair.join(pairs, "pair", "left").select("chunk", "word", "places", "ids", F.col("pair_value").alias("value"))
-    of_pairs = written(of_pairs.mapInArrow(_added, added))
-    rest = by_word.select("chunk", "word", "places", "ids").unionByName(of_pairs.where("word IS NOT NULL").select("chunk", "word", "places", "ids"))
-    of_words = rest.join(values.select("known", "value"), F.col("word") == F.col("known"), "left")
-    of_words = of_words.select("chunk", "word", "places", "ids", F.coalesce("value", F.lit(unknown)).alias("value"))
-    told = of_words.mapInArrow(_added, added).unionByName(of_pairs.where("word IS NULL"))
-    return told.groupBy("chunk").applyInArrow(_scored, f"doc_id {id_type}, n_words long, score double")
+    missed = F.when(F.col("pair_value").isNull(), F.col("word"))
+    of_pairs = by_pair.join(pairs, "pair", "left").select("chunk", missed.alias("word"), "pair_value", F.explode("places").alias("text"))
+    of_pairs = written(of_pairs.groupBy("chunk", "text", "word").agg(F.count(F.lit(1)).alias("n"), F.sum("pair_value").alias("value")))
+
+    no_ids = F.lit(None).cast(f"array<{id_type}>").alias("ids")
+    again = of_pairs.where("word IS NOT NULL").select("chunk", "word", F.array("text").alias("places"), no_ids, "n")
+    of_words = by_word.select("chunk", "word", "places", "ids", F.lit(1).cast("long").alias("n")).unionByName(again)
+    of_words = of_words.join(values.select("known", "value"), F.col("word") == F.col("known"), "left")
+    # the row of the ids is no word
+    n = F.when(F.col("ids").isNull(), F.col("n")).otherwise(0)
+    place = F.transform("places", lambda text, i: F.struct(text.alias("text"), F.get("ids", i).alias("doc_id")))
+    of_words = of_words.select("chunk", n.alias("n"), (n * F.coalesce("value", F.lit(unknown))).alias("value"), F.inline(place))
+    of_pairs = of_pairs.where("word IS NULL").select("chunk", "n", "value", "text", F.lit(None).cast(id_type).alias("doc_id"))
+    sums = (F.first("doc_id", ignorenulls=True).alias("doc_id"), F.sum("n").alias("n_words"), F.sum("value").alias("value"))
+    told = of_words.unionByName(of_pairs).groupBy("chunk", "text").agg(*sums)
+    return told.select("doc_id", "n_words", F.when(F.col("n_words") > 0, F.col("value") / F.col("n_words")).alias("score"))
 
 
 def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
