@@ -32,7 +32,7 @@ LEAST_WORD, LEAST_BIGRAM = 3, 2
 WEIGHT = 0.6
 #: The word before a document's first.
 BEGIN = np.uint64(0x0BEB1)
-#: Makes a key of its own of a chunk.
+#: Makes a key that is no word of the number of a text.
 UNKNOWN = np.uint64(0x0DD)
 #: Bytes of text that are counted, or ask for their n-grams, together.
 CHUNK = 8 << 20
@@ -102,8 +102,8 @@ def _held(which: np.ndarray, n: int, text: np.ndarray) -> pa.ListArray:
 
 
 def _asked(bigrams, words, wants_pairs: bool):
-    """What a chunk of texts needs: its bigrams that a model may hold, or the words of all others and, in a row of its
-    own, the ids of the texts. Unknown words are one word in a chunk, another one in each."""
+    """What a chunk of texts needs: its bigrams that a model may hold, or the words of all others and, in a row that
+    counts nothing, the id of each text. Unknown words are one word in a chunk, another one in each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roller, pairs, known = Roller(), bigrams(), words()
@@ -113,28 +113,23 @@ def _asked(bigrams, words, wants_pairs: bool):
                 text, before, word = _pairs(roller, texts)
                 pair = _bigram(before, word)
                 may = pairs.may_hold(pair)
-                own = mix(rows[begin : begin + 1].view(np.uint64) + UNKNOWN)
-                word = np.where(known.may_hold(word), word, own)
+                own = mix(rows[begin : begin + len(texts)].view(np.uint64) + UNKNOWN)
+                word = np.where(known.may_hold(word), word, own[0])
                 if wants_pairs:
                     pair, first, which = np.unique(pair[may], return_index=True, return_inverse=True)
-                    word, held, ids = word[may][first], _held(which, len(pair), text[may]), [None] * len(pair)
+                    key, word, held = pair.view(np.int64), word[may][first], _held(which, len(pair), text[may])
+                    ids = pa.nulls(len(pair), batch["doc_id"].type)
                 else:
                     word, which = np.unique(word[~may], return_inverse=True)
                     all_texts = np.arange(len(texts))
-                    which = np.concatenate((which, np.full(len(texts), len(word))))
+                    key = np.repeat([1, 0], [len(word), len(texts)])
+                    which = np.concatenate((which, len(word) + all_texts))
+                    ids = pa.concat_arrays([pa.nulls(len(word), batch["doc_id"].type), batch["doc_id"].slice(begin, len(texts))])
                     word = np.concatenate((word, own))
                     held = _held(which, len(word), np.concatenate((text[~may], all_texts)))
-                    ids = [*[None] * (len(word) - 1), batch["doc_id"].slice(begin, len(texts)).to_pylist()]
-                    pair = np.zeros(len(word), np.uint64)
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(len(word), rows[begin])),
-                        pa.array(pair.view(np.int64)),
-                        pa.array(word.view(np.int64)),
-                        held,
-                        pa.array(ids, pa.list_(batch["doc_id"].type)),
-                    ],
-                    ["chunk", "pair", "word", "places", "ids"],
+                    [pa.array(np.full(len(word), rows[begin])), pa.array(key), pa.array(word.view(np.int64)), held, ids],
+                    ["chunk", "pair" if wants_pairs else "n", "word", "places", "doc_id"],
                 )
 
     return run
@@ -182,22 +177,20 @@ def score(
 
     held = share(spark, BitFilter.of(pairs, "pair", pairs.count()))
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    asked = f"chunk long, pair long, word long, places array<int>, ids array<{id_type}>"
+    asked = f"chunk long, %s long, word long, places array<int>, doc_id {id_type}"
     texts = rows.withColumn("row", F.monotonically_increasing_id())
-    by_pair, by_word = (texts.mapInArrow(_asked(held, known, wants_pairs), asked) for wants_pairs in (True, False))
+    by_pair = texts.mapInArrow(_asked(held, known, True), asked % "pair")
+    by_word = texts.mapInArrow(_asked(held, known, False), asked % "n")
     missed = F.when(F.col("pair_value").isNull(), F.col("word"))
     of_pairs = by_pair.join(pairs, "pair", "left").select("chunk", missed.alias("word"), "pair_value", F.explode("places").alias("text"))
     of_pairs = written(of_pairs.groupBy("chunk", "text", "word").agg(F.count(F.lit(1)).alias("n"), F.sum("pair_value").alias("value")))
 
-    no_ids = F.lit(None).cast(f"array<{id_type}>").alias("ids")
-    again = of_pairs.where("word IS NOT NULL").select("chunk", "word", F.array("text").alias("places"), no_ids, "n")
-    of_words = by_word.select("chunk", "word", "places", "ids", F.lit(1).cast("long").alias("n")).unionByName(again)
-    of_words = of_words.join(values.select("known", "value"), F.col("word") == F.col("known"), "left")
-    # the row of the ids is no word
-    n = F.when(F.col("ids").isNull(), F.col("n")).otherwise(0)
-    place = F.transform("places", lambda text, i: F.struct(text.alias("text"), F.get("ids", i).alias("doc_id")))
-    of_words = of_words.select("chunk", n.alias("n"), (n * F.coalesce("value", F.lit(unknown))).alias("value"), F.inline(place))
-    of_pairs = of_pairs.where("word IS NULL").select("chunk", "n", "value", "text", F.lit(None).cast(id_type).alias("doc_id"))
+    no_id = F.lit(None).cast(id_type).alias("doc_id")
+    again = of_pairs.where("word IS NOT NULL").select("chunk", "n", "word", F.array("text").alias("places"), no_id)
+    of_words = by_word.unionByName(again).join(values.select("known", "value"), F.col("word") == F.col("known"), "left")
+    value = (F.col("n") * F.coalesce("value", F.lit(unknown))).alias("value")
+    of_words = of_words.select("chunk", "n", value, "doc_id", F.explode("places").alias("text"))
+    of_pairs = of_pairs.where("word IS NULL").select("chunk", "n", "value", "text", no_id)
     sums = (F.first("doc_id", ignorenulls=True).alias("doc_id"), F.sum("n").alias("n_words"), F.sum("value").alias("value"))
     told = of_words.unionByName(of_pairs).groupBy("chunk", "text").agg(*sums)
     return told.select("doc_id", "n_words", F.when(F.col("n_words") > 0, F.col("value") / F.col("n_words")).alias("score"))
