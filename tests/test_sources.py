@@ -8,7 +8,7 @@ import pytest
 from touchline import plans
 from touchline.schemas import AWAY_SLOTS, HOME_SLOTS, RAW, SKILLS, STAGED
 from touchline.scope import Scope
-from touchline.sources import read_csv, read_raw, read_staged, write_tables
+from touchline.sources import malformed_csv_rows, read_csv, read_raw, read_staged, write_tables
 
 from tests import league as L
 from tests.league import S1, S2, rows
@@ -24,7 +24,10 @@ def write_csv(path, header, lines):
 def test_columns_are_found_by_name(spark, tmp_path):
     path = str(tmp_path / "x.csv")
     write_csv(path, ["extra", "B", "a"], [["?", 'say "hi", you', "12.0"], ["?", "", "oops"], ["?", "x", "9007199254740993"]])
-    df = read_csv(spark, path, "a BIGINT, b STRING")
+    with pytest.raises(Exception, match="malformed row in .*x.csv"):
+        read_csv(spark, path, "a BIGINT, b STRING").select("b").collect()
+    df = read_csv(spark, path, "a BIGINT, b STRING", malformed="null")
+    assert [r["a"] for r in malformed_csv_rows(spark, path, "a BIGINT, b STRING").collect()] == ["oops"]
     assert df.columns == ["a", "b"]
     assert rows(df) == sorted([(12, 'say "hi", you'), (None, None), (9007199254740993, "x")], key=repr)
 
@@ -36,6 +39,35 @@ def test_missing_column_is_named(spark, tmp_path):
         read_csv(spark, path, "a INT, b INT, c INT")
 
 
+def test_line_breaks_in_quotes_are_kept(spark, tmp_path):
+    path = str(tmp_path / "x.csv")
+    write_csv(path, ["a", "b"], [[1, "one"], [2, "two\nlines"]])
+    assert rows(read_csv(spark, path, "a INT, b STRING")) == [(1, "one"), (2, "two\nlines")]
+    with pytest.raises(Exception, match="malformed row"):
+        read_csv(spark, path, "a INT, b STRING", multi_line=False).collect()
+
+
+def test_each_file_of_a_folder_has_its_own_header(spark, tmp_path):
+    write_csv(tmp_path / "1.csv", ["id", "name"], [[1, "one"]])
+    write_csv(tmp_path / "2.csv", ["name", "more", "ID"], [["two", "?", 2]])
+    assert rows(read_csv(spark, str(tmp_path), "id INT, name STRING")) == [(1, "one"), (2, "two")]
+    write_csv(tmp_path / "3.csv", ["id"], [[3]])
+    with pytest.raises(ValueError, match="3.csv has no column name"):
+        read_csv(spark, str(tmp_path), "id INT, name STRING")
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_uneven_rows_are_not_cut_silently(spark, tmp_path, multi_line):
+    path, ddl = str(tmp_path / "x.csv"), "a INT, b STRING"
+    write_csv(path, ["a", "b", "c"], [[1, "x", "?"], [2], [3, "y", "?", "more"]])
+    with pytest.raises(Exception, match="malformed row"):
+        read_csv(spark, path, ddl, multi_line).select("a").collect()
+    assert rows(read_csv(spark, path, ddl, multi_line, malformed="null")) == sorted([(1, "x"), (2, None), (3, "y")], key=repr)
+    assert [r["a"] for r in malformed_csv_rows(spark, path, ddl, multi_line).orderBy("a").collect()] == ["2", "3"]
+    with pytest.raises(ValueError):
+        read_csv(spark, path, ddl, multi_line, malformed="drop")
+
+
 def raw_files(directory, seasons=(S1, S2)):
     """A league of three teams; the fields of a goal document hold commas and quotes."""
     write_csv(directory / "enunciado_paises.csv", ["id", "name"], [[5, "Here"]])

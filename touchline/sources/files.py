@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,22 +12,71 @@ from touchline.schemas import RAW, STAGED
 
 # The quoting of the CSV files (a quote inside a field is doubled).
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"'}
+CORRUPT = "_corrupt_record"
+
 
+def read_csv(spark: SparkSession, path: str, ddl: str, multi_line: bool = True, malformed: str = "fail") -> DataFrame:
+    """Read a headered CSV file or folder. Columns are found by their header name, wherever they stand in each
+    file and whatever others there are, and cast to the given types. Nothing is inferred, so the only work at this
+    point is listing the files and reading the header line of each.
 
-def read_csv(spark: SparkSession, path: str, ddl: str, multi_line: bool = False) -> DataFrame:
-    """Read a headered CSV file or folder. Columns are found by their header name, wherever they stand
-    and whatever others there are, and cast to the given types; a value that does not fit becomes null.
-    Nothing is inferred, so the only work at this point is reading one header line.
+    A row with more or fewer fields than its header, or with a value that does not fit its type, stops the job with
+    its path; with ``malformed="null"`` such a value, and every field that is not there, is null.
+    ``malformed_csv_rows`` lists those rows. An empty field is null and fits any type.
 
-    ``multi_line`` is needed when quoted fields hold line breaks; such files cannot be split.
+    Quoted fields may hold line breaks. Files without any can be split, and read faster, with ``multi_line=False``;
+    a row that ends inside a quoted field is then malformed.
     """
+    if malformed not in ("fail", "null"):
+        raise ValueError("malformed must be 'fail' or 'null'")
     schema = T.StructType.fromDDL(ddl)
-    text = spark.read.options(**CSV_OPTIONS, multiLine=str(multi_line).lower()).csv(path)
-    stored = {c.lower() for c in text.columns}
-    missing = [f.name for f in schema if f.name.lower() not in stored]
-    if missing:
-        raise ValueError(f"{path} has no column {', '.join(missing)}")
-    return text.select(*(_typed(f).alias(f.name) for f in schema))
+    rows = _csv_rows(spark, path, schema, multi_line)
+    if malformed == "null":
+        return rows.select(*(_typed(f).alias(f.name) for f in schema))
+    complaint = F.concat(F.lit("malformed row in "), F.col("_path"))
+    # each value carries the check, so that a plan that reads one column makes it too
+    return rows.select(*(F.when(_is_malformed(schema), F.raise_error(complaint)).otherwise(_typed(f)).alias(f.name) for f in schema))
+
+
+def malformed_csv_rows(spark: SparkSession, path: str, ddl: str, multi_line: bool = True) -> DataFrame:
+    """The rows that ``read_csv`` does not accept: their path, and the wanted fields as text."""
+    schema = T.StructType.fromDDL(ddl)
+    return _csv_rows(spark, path, schema, multi_line).where(_is_malformed(schema)).select("_path", *(_field(f) for f in schema))
+
+
+def _csv_rows(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool) -> DataFrame:
+    """The wanted fields as text. Files with equal headers are one scan, with all columns of theirs."""
+    headers: dict[tuple[str, ...], list[str]] = {}
+    for file in spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path").toLocalIterator():
+        headers.setdefault(tuple(_csv_text(spark, [file.path], multi_line).columns), []).append(file.path)
+    scans = []
+    for header, files in headers.items():
+        stored = {c.lower() for c in header}
+        if missing := [f.name for f in schema if f.name.lower() not in stored]:
+            raise ValueError(f"{files[0]} has no column {', '.join(missing)}")
+        fields = T.StructType([T.StructField(c, T.StringType()) for c in (*header, CORRUPT)])
+        rows = _csv_text(spark, files, multi_line, fields)
+        scans.append(rows.select(*(_field(f) for f in schema), CORRUPT, F.input_file_name().alias("_path")))
+    if not scans:
+        raise ValueError(f"no file in {path}")
+    return reduce(DataFrame.unionByName, scans)
+
+
+def _csv_text(spark: SparkSession, files: list[str], multi_line: bool, schema: T.StructType | None = None) -> DataFrame:
+    reader = spark.read.options(**CSV_OPTIONS, multiLine=str(multi_line).lower(), columnNameOfCorruptRecord=CORRUPT)
+    # a parser that skips columns doesn't count the fields of a row
+    reader = reader.options(mode="PERMISSIVE", columnPruning="false")
+    return (reader.schema(schema) if schema else reader).csv(files)
+
+
+def _field(field: T.StructField):
+    return F.col(f"`{field.name}`").alias(field.name)
+
+
+def _is_malformed(schema: T.StructType):
+    """Told by the parser, or a value that is there and lost by its type."""
+    lost = [F.col(f"`{f.name}`").isNotNull() & _typed(f).isNull() for f in schema if not isinstance(f.dataType, T.StringType)]
+    return reduce(lambda x, y: x | y, lost, F.col(CORRUPT).isNotNull())
 
 
 def _typed(field: T.StructField):
@@ -38,9 +89,9 @@ def _typed(field: T.StructField):
     return column.try_cast(field.dataType)
 
 
-def read_raw(spark: SparkSession, directory: str, multi_line: bool = False) -> dict[str, DataFrame]:
+def read_raw(spark: SparkSession, directory: str, multi_line: bool = True, malformed: str = "fail") -> dict[str, DataFrame]:
     """The six raw tables by name."""
-    return {name: read_csv(spark, f"{directory}/{name}.csv", ddl, multi_line) for name, ddl in RAW.items()}
+    return {name: read_csv(spark, f"{directory}/{name}.csv", ddl, multi_line, malformed) for name, ddl in RAW.items()}
 
 
 def read_staged(spark: SparkSession, directory: str, fmt: str = "parquet") -> dict[str, DataFrame]:
