@@ -32,6 +32,8 @@ SCOPE = Scope(2, ("1996/1997", "1997/1998", "1998/1999", "1999/2000"))
 FIRST_YEAR, LAST_YEAR = 1996, 2000
 LEAGUES = 5
 COUNTRY = "ASIA"
+# A team of the scope's league.
+TEAM = "Customer#000000007"
 
 # (return flag, line status) -> type of goal
 GOAL_TYPES = {

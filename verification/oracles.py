@@ -10,6 +10,7 @@ from touchline.schemas import SKILLS
 
 SEASONS = ("1996/1997", "1997/1998", "1998/1999", "1999/2000")
 LAST = SEASONS[-1]
+TEAM = "Customer#000000007"
 LEAGUE = 2
 IN_SEASONS = "(" + ", ".join(f"'{s}'" for s in SEASONS) + ")"
 SKILL_COLUMNS = list(SKILLS.values())
@@ -294,6 +295,7 @@ ORACLES: dict[str, str] = {
     "home_team_list": _ask("SELECT ID_local FROM scoped"),
     "scoped_rosters": _ask("SELECT * FROM scoped_rosters"),
     "player_goals": _ask("SELECT ID_Jugador AS ID_jugador, Goles FROM tally", **_SCORERS),
+    "player_goals_named": _ask("SELECT ID_Jugador AS ID_jugador, Goles FROM tally WHERE ID_Jugador IS NOT NULL", **_SCORERS),
     "player_wins": _ask("SELECT ID_jugador, n AS Total_Ganados FROM won", **_PLAYER_WINS),
     "player_team_counts": _ask("SELECT ID_jugador, n AS Cantidad_equipos FROM belonged", **_belonged("DISTINCT")),
     "rating_spans": _ask("SELECT * FROM span", span=_span("Potencial", single=False)),
@@ -331,6 +333,14 @@ ORACLES: dict[str, str] = {
         raw="SELECT r.ID_jugador, a.Potencial FROM attributes AS a JOIN scoped_rosters AS r ON r.ID_jugador = a.ID_jugador WHERE a.Potencial IS NOT NULL",
         span="SELECT ID_jugador, round(max(Potencial) - min(Potencial)) AS Deltamaxmin FROM raw WHERE 1 < (SELECT count(*) FROM raw) GROUP BY 1",
     ),
+    "least_variation_overall_global_guard": _ask(
+        _LEAST,
+        raw="SELECT r.ID_jugador, a.Puntos_Generales FROM attributes AS a JOIN scoped_rosters AS r ON r.ID_jugador = a.ID_jugador WHERE a.Puntos_Generales IS NOT NULL",
+        span="SELECT ID_jugador, round(max(Puntos_Generales) - min(Puntos_Generales)) AS Deltamaxmin FROM raw WHERE 1 < (SELECT count(*) FROM raw) GROUP BY 1",
+    ),
+    "penalty_leaders_shoot_out": _ask(
+        _PENALTY_ANSWER, **_penalties("'penal por desempate'", "scoped_squads", "s.Temporada = k.Temporada")
+    ),
     "penalty_leaders": _ask(
         _PENALTY_ANSWER,
         **_BOTH_PENALTIES,
@@ -347,6 +357,11 @@ ORACLES: dict[str, str] = {
         GROUP BY 1, 2, 3""",
         **_GOALS_PER_SIDE,
     ),
+    "avg_goals_one_team": _ask(
+        f"""SELECT ID_equipo, Nombre, Temporada, avg(g) AS Promedio_gol FROM sides JOIN teams USING (ID_equipo)
+        WHERE Nombre = '{TEAM}' GROUP BY 1, 2, 3""",
+        **_GOALS_PER_SIDE,
+    ),
     "squad_strength": _ask(
         "SELECT ID_plantel, ID_equipo, Temporada, total AS Suma_Atributos_Plantel FROM squad_strength", **_BY_SEASON
     ),
