@@ -83,3 +83,13 @@ def test_revisits_equal_a_scan(spark):
             assert (got[i].original_id, got[i].state) == (best[0], state)
             assert got[i].headers == (want if state != "changed" else None)
     assert resolve_revisits(records.limit(0)).count() == 0
+
+
+def test_ids_of_any_type_and_clashing_columns(spark):
+    rows = [("x", "a b a b", 1), ("x", "a b a b", 1), (None, "a b", 2), ("y", None, 3), ("z", " \n", 4)]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, chunk int").selectExpr("*", "chunk AS n", "chunk AS word")
+    labels = spark.createDataFrame([("x", 1)], "doc_id string, quality int")
+    got = score(docs, labels).collect()
+    assert sorted((r.doc_id or "", r.n_words) for r in got) == [("", 2), ("x", 4), ("x", 4), ("y", 0), ("z", 0)]
+    assert all((r.score is None) == (r.n_words == 0) for r in got)
+    assert len({r.score for r in got if r.doc_id == "x"}) == 1
