@@ -93,3 +93,33 @@ def test_ids_of_any_type_and_clashing_columns(spark):
     assert sorted((r.doc_id or "", r.n_words) for r in got) == [("", 2), ("x", 4), ("x", 4), ("y", 0), ("z", 0)]
     assert all((r.score is None) == (r.n_words == 0) for r in got)
     assert len({r.score for r in got if r.doc_id == "x"}) == 1
+
+
+def test_whole_background_counts_every_row(spark):
+    """Against plain counts, with one text in a third of the rows; a draw by text takes all its copies or none."""
+    good = ["a b c a b c d", "a b a b"]
+    rest = ["d d c b", "b a d d yy", "c c a", "zz zz zz b"] + ["e f e b"] * 3
+    docs = spark.createDataFrame(list(enumerate(good + rest)), "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(0, 1), (1, 1), (2, 0)], "doc_id long, quality int")
+    sides = {"t": [t.split() for t in good], "b": [t.split() for t in rest]}
+    one = {s: Counter(w for ws in sides[s] for w in ws) for s in sides}
+    pair = {s: Counter(p for w in ws for p in zip(["<"] + w, w)) for s, ws in sides.items()}
+    after = {s: Counter(v for (v, _), n in pair[s].items() for _ in range(n)) for s in sides}
+    vocabulary = {w for w in one["t"] | one["b"] if one["t"][w] + one["b"][w] >= 3}
+    assert {"e", "f", "zz"} <= vocabulary
+    total = sum(one["t"].values())
+
+    def loss(s, v, w):
+        scale = total / sum(one[s].values())
+        n = sum(one[s][x] for x in one[s] if x not in vocabulary) if w not in vocabulary else one[s][w]
+        p = (n * scale + 1) / (total + len(vocabulary) + 1)
+        if w not in vocabulary or pair["t"][v, w] + pair["b"][v, w] < 2:
+            return -math.log(p)
+        return -math.log(0.6 * (pair[s][v, w] / after[s][v] if after[s][v] else 0) + 0.4 * p)
+
+    got = {r.doc_id: r.score for r in score(docs, labels, whole_background=True).collect()}
+    for i, text in enumerate(good + rest):
+        words = text.split()
+        want = sum(loss("t", v, w) - loss("b", v, w) for v, w in zip(["<"] + words, words)) / len(words)
+        assert got[i] == pytest.approx(want, abs=1e-9)
+    assert {r.score for r in score(docs, labels.limit(0), whole_background=True).collect()} == {0.0}

@@ -1,8 +1,8 @@
 """Cross-entropy difference of documents under two bigram models.
 
-The target model is learnt from documents labelled as good, the background model from as many others, drawn by
-hash. Both share one vocabulary: the words that occur often enough in the two together; all others are one unknown
-word. A word's loss is interpolated from its bigram and its unigram, and a document's score is the mean difference
+The target model is learnt from documents labelled as good, the background model from all others; its counts are
+scaled to the words of the target, so that the models are alike in size. Both share one vocabulary: the words that
+occur often enough in the two together; all others are one unknown word. A word's loss is interpolated from its bigram and its unigram, and a document's score is the mean difference
 of the losses, target less background: below zero, it reads like the target.
 
 The counts are Spark aggregates and grow with the corpus. Documents ask for the values of their own n-grams by
@@ -136,22 +136,32 @@ def _asked(bigrams, words, wants_pairs: bool):
 
 
 def score(
-    docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "quality"
+    docs: DataFrame,
+    labels: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    label_column: str = "quality",
+    whole_background: bool = False,
 ) -> DataFrame:
     """One row for each row of ``docs``: doc_id, n_words, score (target loss less background loss, per word).
 
     A null, empty or blank text has no words and a null score; rows that repeat get equal scores; rows of
-    ``labels`` without id are left out. Without any labelled good row both models are alike and scores are 0."""
+    ``labels`` without id are left out. Without any labelled good row both models are alike and scores are 0.
+
+    With ``whole_background``, as in the registered query, every row that is not good counts in the background, as
+    often as it is there, and the counts are scaled to as many words as the target has. Without it the background is
+    a draw of about as many rows as are good, by the hash of their text: copies of a text are in or out together."""
     spark = docs.sparkSession
     plain, marks = Plain(docs), Plain(labels)
     good = marks.df.where(F.col(marks[label_column]) == 1).select(F.col(marks[id_column]).alias("good")).distinct()
     rows = plain.df.select(F.col(plain[id_column]).alias("doc_id"), F.coalesce(F.col(plain[text_column]), F.lit("")).alias("text"))
     target = rows.withColumn("k0", text_key(F.col("text"))[0]).join(good, F.col("doc_id") == F.col("good"), "left").select("text", "k0", F.col("good").isNotNull().alias("target"))
-    n_good, n_all = target.agg(F.count_if("target"), F.count(F.lit(1))).first()
-    matched = min(1.0, n_good / max(1, n_all - n_good))
-    drawn = F.col("target") | (F.pmod(F.xxhash64("k0"), F.lit(1_000_000)) < int(matched * 1_000_000))
+    training = target
+    if not whole_background:
+        n_good, n_all = target.agg(F.count_if("target"), F.count(F.lit(1))).first()
+        matched = min(1.0, n_good / max(1, n_all - n_good))
+        training = target.where(F.col("target") | (F.pmod(F.xxhash64("k0"), F.lit(1_000_000)) < int(matched * 1_000_000)))
 
-    training = target.where(drawn)
     both = [F.sum(c).alias(c) for c in ("t", "b")]
     all_words = written(
         training.mapInArrow(_words, "word long, t long, b long, all_t long, all_b long").groupBy("word").agg(*both, *[F.sum(c).alias(c) for c in ("all_t", "all_b")])
@@ -159,14 +169,19 @@ def score(
     often = F.col("t") + F.col("b")
     words = all_words.where(often >= LEAST_WORD)
     n_t, n_b = (x or 0 for x in all_words.agg(F.sum("t"), F.sum("b")).first())
+    scale = 1.0
+    if whole_background:
+        # a background word counts as so many; without a word in the target there is no model to tell apart
+        scale = n_t / max(1, n_b)
+        words = words if n_t else words.where(F.lit(False))
     k_t, k_b, size = (x or 0 for x in words.agg(F.sum("t"), F.sum("b"), F.count(F.lit(1))).first())
     known = share(spark, BitFilter.of(words, "word", size))
     counted = training.mapInArrow(_counted(known), "before long, word long, t long, b long")
     bigrams = counted.groupBy("before", "word").agg(*both).where(often >= LEAST_BIGRAM)
     # all words, the unknown one included, have one more than they were seen
     share_of = lambda count, total: (count + 1) / F.lit(float(total + size + 1))
-    unknown = float(np.log((n_b - k_b + 1) / (n_b + size + 1)) - np.log((n_t - k_t + 1) / (n_t + size + 1)))
-    p_t, p_b = share_of(F.col("t"), n_t), share_of(F.col("b"), n_b)
+    unknown = float(np.log(((n_b - k_b) * scale + 1) / (n_b * scale + size + 1)) - np.log((n_t - k_t + 1) / (n_t + size + 1)))
+    p_t, p_b = share_of(F.col("t"), n_t), share_of(F.col("b") * scale, n_b * scale)
     values = words.select(F.col("word").alias("known"), (F.log(p_b) - F.log(p_t)).alias("value"), p_t.alias("p_t"), p_b.alias("p_b"))
 
     after = all_words.select(F.col("word").alias("before"), "all_t", "all_b")
@@ -203,4 +218,4 @@ def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def op2_cross_entropy_difference(spark, sf_dir) -> DataFrame:
-    return score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), whole_background=True)
