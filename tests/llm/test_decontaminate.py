@@ -2,7 +2,7 @@
 
 import random
 
-from touchline.llm.decontaminate import Index, budget, clean_documents, codes, contaminated, normal, passages
+from touchline.llm.decontaminate import REGION, STRIDE, Index, budget, clean_documents, codes, contaminated, normal, passages
 from touchline.llm.rolling import Roller
 
 
@@ -71,3 +71,43 @@ def test_rows_shards_and_odd_tables(spark):
         assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 5, 6]
     assert contaminated(docs, benchmark.limit(0)).count() == 0
     assert contaminated(docs.limit(0), benchmark).count() == 0
+
+
+def test_regions_equal_edit_distance():
+    rng = random.Random(5)
+    fresh = lambda n: "".join(rng.choice("abcdefgh é") for _ in range(n))
+    items = [normal(fresh(n)) for n in (55, 90, 160, 241)]
+    index = Index(list(enumerate(items)), 0.05, REGION)
+    whole, part = 0, 0
+    for _ in range(80):
+        item = rng.choice(items)
+        a = rng.randrange(len(item))
+        quote = item[a : a + rng.randint(40, 200)] if rng.random() < 0.8 else item
+        text = normal(fresh(rng.randint(0, 150)) + edited(rng, quote, rng.randint(0, 8)) + fresh(rng.randint(0, 150)))
+        got = {i: e for i, _, e in passages(index, Roller(), text)}
+        for i, item in enumerate(items):
+            want = least_edits(item, text)
+            if want <= budget(len(item), 0.05):
+                whole += 1
+            else:
+                last = len(item) - REGION
+                starts = [*range(0, last, STRIDE), last] if last > 0 else []
+                want = min((least_edits(item[s : s + REGION], text) for s in starts), default=99)
+                want = want if want <= budget(REGION, 0.05) else None
+                part += want is not None
+            assert got.get(i) == want, (item, text)
+    assert whole > 10 and part > 10
+
+
+def test_truncated_and_half_quoted_items_are_met(spark):
+    rng = random.Random(6)
+    words = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(n))
+    items = [(i, words(38)) for i in range(3)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    cut = [w.split() for _, w in items]
+    quotes = [cut[0][:-3], cut[1][3:], cut[2][:19], cut[0][19:], cut[1][10:24], cut[2][:7]]
+    rows = [(n, words(20) + " " + " ".join(q) + " " + words(20)) for n, q in enumerate(quotes)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = sorted((r.doc_id, r.item_id) for r in contaminated(docs, benchmark).collect())
+    assert found == [(0, 0), (1, 1), (2, 2), (3, 0), (4, 1)]
+    assert [r.doc_id for r in clean_documents(docs, benchmark).collect()] == [5]

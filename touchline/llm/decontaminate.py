@@ -5,6 +5,9 @@ least m + 1 - q - k q of its q-grams with it, on diagonals that lie within a ban
 passage is also there unchanged, which tells where to count: a piece met in a text opens the two overlapping
 diagonal bands that hold its diagonal. Bands with enough shared q-grams are verified by a banded alignment.
 
+Passages are the whole items and, for documents that quote a part of one, its overlapping regions of a fixed length,
+each with its own edits, pieces, count and alignment. An unedited part of REGION + STRIDE - 1 characters holds one.
+
 The benchmark's pieces are broadcast in shards of a bounded size; a larger benchmark takes more passes over the
 documents.
 """
@@ -29,6 +32,9 @@ GRAM = 5
 PIECE = 12
 #: Passages below this length may not be edited; those shorter than a piece are not looked for.
 SHORT = 40
+#: Characters of a region of an item, and from one region's start to the next. Shorter items are only looked for whole.
+REGION = 60
+STRIDE = 15
 #: Characters of benchmark text that are broadcast at once.
 SHARD_CHARACTERS = 4 << 20
 
@@ -57,10 +63,11 @@ class Item:
 
 
 class Index:
-    """The passages of a shard and their pieces by hash."""
+    """The passages of a shard and their pieces by hash: whole items, and their regions of ``region`` characters."""
 
-    def __init__(self, items: list[tuple[object, str | None]], edits: float) -> None:
+    def __init__(self, items: list[tuple[object, str | None]], edits: float, region: int | None = None) -> None:
         self.items: list[Item] = []
+        self.region, self.region_edits = region, budget(region or 0, edits)
         roller, found = Roller(), []
         for item_id, raw in items:
             text = codes(normal(raw))
@@ -72,16 +79,28 @@ class Index:
             self.items.append(Item(item_id, text, k, _grams(roller, text)))
             places = np.arange(k + 1) * (m // (k + 1))
             sums = roller.prefix(mix(text.astype(np.uint64)))
-            found += [(h, number, j) for h, j in zip(roller.spans(sums, places, places + PIECE).tolist(), places.tolist(), strict=True)]
+            found += [(h, number, j, False) for h, j in zip(roller.spans(sums, places, places + PIECE).tolist(), places.tolist(), strict=True)]
+            if self.has_regions(number):
+                own = np.arange(self.region_edits + 1) * (region // (self.region_edits + 1))
+                places = np.unique(self.starts(number)[:, None] + own)
+                found += [(h, number, j, True) for h, j in zip(roller.spans(sums, places, places + PIECE).tolist(), places.tolist(), strict=True)]
         found.sort()
-        hashes, item, place = zip(*found, strict=True) if found else ((),) * 3
-        self.item, self.place = np.array(item, np.int64), np.array(place, np.int64)
+        hashes, item, place, part = zip(*found, strict=True) if found else ((),) * 4
+        self.item, self.place, self.part = np.array(item, np.int64), np.array(place, np.int64), np.array(part, bool)
         self.hashes, self.first, self.times = np.unique(np.array(hashes, np.uint64), return_index=True, return_counts=True)
         self.filter = np.zeros(1 << 20, bool)
         self.filter[(self.hashes >> np.uint64(44)).astype(np.int64)] = True
 
-    def candidates(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(item, diagonal) of the pieces met, given the hash at each place of a text."""
+    def has_regions(self, number: int) -> bool:
+        return self.region is not None and len(self.items[number].text) > self.region
+
+    def starts(self, number: int) -> np.ndarray:
+        """Where the regions of an item begin; the last one ends with the item."""
+        last = len(self.items[number].text) - self.region
+        return np.append(np.arange(0, last, STRIDE), last)
+
+    def candidates(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(item, diagonal, whether of a region) of the pieces met, given the hash at each place of a text."""
         at = np.flatnonzero(self.filter[(hashes >> np.uint64(44)).astype(np.int64)])
         where = np.searchsorted(self.hashes, hashes[at])
         same = where < len(self.hashes)
@@ -89,7 +108,7 @@ class Index:
         at, where = at[same], where[same]
         times = self.times[where]
         flat = np.repeat(self.first[where], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
-        return self.item[flat], np.repeat(at, times) - self.place[flat]
+        return self.item[flat], np.repeat(at, times) - self.place[flat], self.part[flat]
 
 
 def _grams(roller: Roller, text: np.ndarray) -> np.ndarray:
@@ -98,15 +117,15 @@ def _grams(roller: Roller, text: np.ndarray) -> np.ndarray:
     return roller.spans(roller.prefix(mix(text.astype(np.uint64))), places, places + GRAM)
 
 
-def shared_grams(item: np.ndarray, part: np.ndarray, shift: int, width: int) -> int:
-    """How many of an item's grams occur in a text's part on the diagonals shift .. shift + width - 1."""
+def shared_grams(item: np.ndarray, part: np.ndarray, shift: int, width: int) -> np.ndarray:
+    """Which of an item's grams occur in a text's part on the diagonals shift .. shift + width - 1."""
     padded = np.zeros(len(item) + width - 1, np.uint64)
     a, b = max(0, shift), min(len(part), shift + len(padded))
     if b <= a:
-        return 0
+        return np.zeros(len(item), bool)
     padded[a - shift : b - shift] = part[a:b]
     rows = np.lib.stride_tricks.sliding_window_view(padded, width)
-    return int((rows == item[:, None]).any(axis=1).sum())
+    return (rows == item[:, None]).any(axis=1)
 
 
 def alignment(item: np.ndarray, part: np.ndarray, shift: int, width: int, most: int) -> tuple[int, int] | None:
@@ -133,38 +152,53 @@ def alignment(item: np.ndarray, part: np.ndarray, shift: int, width: int, most:
 
 
 def passages(index: Index, roller: Roller, text: str) -> list[tuple[object, int, int]]:
-    """(item id, end, edits) of the passages in a normalised text: the best place of each."""
+    """(item id, end, edits) of the items in a normalised text: the best place of each, of the whole item if that
+    is there, else of its regions."""
     whole = codes(text)
     if len(whole) < PIECE:
         return []
     symbols = mix(whole.astype(np.uint64))
     sums = roller.prefix(symbols)
     places = np.arange(len(whole) - PIECE + 1)
-    item, diagonal = index.candidates(roller.spans(sums, places, places + PIECE))
-    if not len(item):
-        return []
-    edits = np.array([i.edits for i in index.items])[item]
-    # bands are twice as wide as the diagonals of a match can differ, and begin that far apart
-    stride = edits + 1
-    band = np.floor_divide(diagonal, stride)
-    seen = {(i, b) for i, b in zip(item.tolist(), band.tolist(), strict=True)}
-    seen |= {(i, b - 1) for i, b in seen}
+    item, diagonal, part = index.candidates(roller.spans(sums, places, places + PIECE))
     best: dict[int, tuple[int, int]] = {}
-    for i, b in sorted(seen):
+    for i, b in _bands(item[~part], diagonal[~part], np.array([i.edits for i in index.items])[item[~part]]):
         found = index.items[i]
-        k, m = found.edits, len(found.text)
-        low, width = b * (k + 1), 2 * (k + 1)
-        since = max(0, low - k)
-        part = whole[since : max(since, low + width + m + k)]
-        bound = m + 1 - GRAM - k * GRAM
-        if bound > 0 and shared_grams(found.grams, _grams(roller, part), low - since, width) < bound:
-            continue
-        aligned = alignment(found.text, part, low - since, width, k)
-        if aligned and (i not in best or aligned < best[i]):
-            best[i] = (aligned[0], aligned[1] + since)
+        _verify(best, i, found, roller, whole, b, found.edits, len(found.text), np.zeros(1, np.int64))
+    if part.any():
+        part &= ~np.isin(item, list(best))
+        regions: dict[int, tuple[int, int]] = {}
+        for i, b in _bands(item[part], diagonal[part], np.full(int(part.sum()), index.region_edits)):
+            _verify(regions, i, index.items[i], roller, whole, b, index.region_edits, index.region, index.starts(i))
+        best |= regions
     return [(index.items[i].item_id, end, e) for i, (e, end) in best.items()]
 
 
+def _bands(item: np.ndarray, diagonal: np.ndarray, edits: np.ndarray) -> list[tuple[int, int]]:
+    """(item, band): bands are twice as wide as the diagonals of a match can differ, and begin that far apart."""
+    band = np.floor_divide(diagonal, edits + 1)
+    seen = {(i, b) for i, b in zip(item.tolist(), band.tolist(), strict=True)}
+    return sorted(seen | {(i, b - 1) for i, b in seen})
+
+
+def _verify(best, i: int, found: Item, roller: Roller, whole: np.ndarray, band: int, k: int, m: int, starts: np.ndarray) -> None:
+    """Keep in ``best`` the best place of those parts of ``m`` characters of an item, from ``starts``, that stand in
+    a text with at most ``k`` edits on the diagonals of a band."""
+    low, width = band * (k + 1), 2 * (k + 1)
+    since = max(0, low - k)
+    part = whole[since : max(since, low + width + len(found.text) + k)]
+    bound = m + 1 - GRAM - k * GRAM
+    if bound > 0:
+        met = np.concatenate(([0], np.cumsum(shared_grams(found.grams, _grams(roller, part), low - since, width))))
+        starts = starts[met[starts + m + 1 - GRAM] - met[starts] >= bound]
+    for start in starts.tolist():
+        # a match ends on the band at most k further on
+        begin = max(0, low + start - k)
+        aligned = alignment(found.text[start : start + m], whole[begin : max(begin, low + start + width + m + k)], low + start - begin, width, k)
+        if aligned and (i not in best or (aligned[0], aligned[1] + begin) < best[i]):
+            best[i] = (aligned[0], aligned[1] + begin)
+
+
 def _matches(index, item_type: pa.DataType):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roller, held = Roller(), index()
@@ -200,7 +234,9 @@ def contaminated(
 
     Texts are compared as letters and digits in lower case, with one blank for all between; ``passage_end`` is
     a place in that. Passages may differ by ``edits`` of their characters, those below 40 characters not at all, and
-    those below 12 are not looked for. Null or empty texts hold nothing; of rows that repeat, each is reported; a
+    those below 12 are not looked for. An item that is not there as a whole is met by any of its regions of 60
+    characters, which start 15 apart; ``passage_end`` and ``edits`` are then those of the best region. Items of up to
+    60 characters are met only whole. Null or empty texts hold nothing; of rows that repeat, each is reported; a
     null id is reported as null; an empty benchmark or table gives an empty result."""
     spark = docs.sparkSession
     plain, items = Plain(docs), Plain(benchmark)
@@ -213,7 +249,7 @@ def contaminated(
     for shard in range(shards):
         of = F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == shard
         held = [(r.item_id, r.text) for r in passages_.where(of).distinct().toLocalIterator()]
-        index = share(spark, Index(held, edits))
+        index = share(spark, Index(held, edits, REGION))
         part = rows.mapInArrow(
             _matches(index, pa.int64()), f"doc_id {id_type}, item_id long, passage_end long, edits int"
         )
@@ -232,7 +268,7 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS,
     text, rows = kept[text_column], kept.df
     for shard in range(shards):
         held = texts.where(F.pmod(F.xxhash64("text"), F.lit(shards)) == shard).distinct().toLocalIterator()
-        index = share(spark, Index([(None, r.text) for r in held], edits))
+        index = share(spark, Index([(None, r.text) for r in held], edits, REGION))
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             roller, shard_index = Roller(), index()
