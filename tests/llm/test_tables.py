@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from touchline.llm import quality
 from touchline.llm.exact_dedup import exact_dedup, exact_groups
 from touchline.llm.packing import OpenBins, pack
 from touchline.llm.quality import classify
@@ -109,6 +110,41 @@ def test_classifier_tells_held_out_documents_apart(spark):
     assert classify(docs.limit(0), labels).count() == 0
 
 
+def test_every_word_has_its_own_vector(spark, monkeypatch):
+    """Features against plain sums by word, of far more words than are broadcast; the share of those that are broadcast
+    changes no score."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("bcdfg") + rng.choice("aeiou") for _ in range(rng.choice((1, 3, 5))))
+    texts = [" ".join(word() for _ in range(rng.randrange(1, 400))) for _ in range(300)] + ["", None, "ba ba"]
+    texts += texts[:2]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    split = [(t or "").split() for t in texts]
+    hashes = dict(zip(words := sorted({w for ws in split for w in ws}), quality._words(quality.Roller(), [w.encode() for w in words])[0].tolist()))
+    assert len(words) > 1.2 * len({h % (1 << 15) for h in hashes.values()})  # in rows by hash many would share one
+    own = {}
+    for w in words:
+        dimension, sign = quality.random_vectors(np.array([hashes[w]], np.uint64))
+        own[w] = np.bincount(dimension[0], weights=sign[0], minlength=quality.DIMENSIONS)
+    count, context = Counter(w for ws in split for w in ws), {w: np.zeros(quality.DIMENSIONS) for w in words}
+    for ws in split:
+        for i, w in enumerate(ws):
+            for j in range(max(0, i - quality.REACH), min(len(ws), i + quality.REACH + 1)):
+                if j != i:
+                    context[w] += own[ws[j]]
+    total = sum(count.values())
+    vector = {w: (context[w] / (np.linalg.norm(context[w]) + 1e-9) + own[w] / 2) * (1e-2 / (1e-2 + count[w] / total)) for w in words}
+    scores = []
+    for frequent in (1 << 15, 100, 0):
+        monkeypatch.setattr(quality, "FREQUENT", frequent)
+        vectors = quality.WordVectors(docs.select("text"))
+        got = {r.doc_id: np.frombuffer(r.features, np.float32) for r in vectors.features(docs, "text", ["doc_id"]).collect()}
+        for i, ws in enumerate(split):
+            mean = sum(vector[w] for w in ws) / len(ws) if ws else np.zeros(quality.DIMENSIONS)
+            assert np.allclose(got[i], [*mean, np.linalg.norm(mean), np.log1p(len(ws))], atol=1e-5)
+        scores.append({i: x.tobytes() for i, x in got.items()})
+        assert scores[-1] == scores[0] and got[0].tobytes() == got[len(texts) - 2].tobytes()
+
+
 def test_pipeline_keeps_columns_and_clean_documents(spark):
     sf_dir = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")

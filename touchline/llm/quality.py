@@ -2,7 +2,13 @@
 
 Each word has a fixed sparse random vector, drawn from its hash. One pass over all documents adds to a word's
 context vector those of its neighbours, so that words in like company get like vectors. A document is the weighted
-mean of its words' vectors, frequent words weighing less. A network of two layers, trained in numpy on a bounded
+mean of its words' vectors, frequent words weighing less.
+
+Every word has its own vector and count, however many there are. Both are Spark aggregates by the word's 64-bit hash.
+The vectors of the most frequent words are broadcast. Those of the others go by a join to the documents that hold
+them, some megabytes of text at a time. A word that stands once in the corpus has its whole context in its own
+document. Vectors are added up as whole numbers, so that no order of rows changes a score. Input that is not read
+from files should be written first. A network of two layers, trained in numpy on a bounded
 sample of labelled documents, gives a probability, which a temperature fitted on labelled documents apart from
 those calibrates.
 """
@@ -13,22 +19,27 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm.common import Plain, arrow_bytes, share, sum_slices, table
+from touchline.llm.common import BitFilter, Plain, arrow_bytes, share, table
 from touchline.llm.recurrence import chunks
 from touchline.llm.rolling import Roller, mix
+from touchline.session import written
 
-#: Rows of the table of word vectors; words share rows by hash. With the dimensions it fixes the model's size: 8 MB.
-ROWS = 1 << 15
+#: Words whose vectors are broadcast, at most: 32 MB.
+FREQUENT = 1 << 17
 DIMENSIONS = 64
 FEATURES = DIMENSIONS + 2
 #: Entries of a word's random vector that are not 0.
 ENTRIES = 4
 #: Neighbours on either side that make a word's context.
 REACH = 2
-SLICES = 32
+#: Steps of a vector's numbers when they are added up.
+UNIT = float(1 << 24)
+#: Bytes of text that are counted, or ask for their words, together.
+CHUNK = 8 << 20
 #: Labelled documents for training and calibration, at most: those with the least hashes of their ids.
 SAMPLE = 20_000
 HIDDEN = 32
@@ -40,7 +51,7 @@ def held_out(doc_id: Column) -> Column:
 
 
 def _words(roller: Roller, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(rows, ends): the words of all texts as rows of the table, and how many there are up to each text's end.
+    """(hashes, ends): the words of all texts, and how many there are up to each text's end.
 
     A word is a run of lower-case letters (and of all letters but A-Z), of capitals, of digits or of signs."""
     buffer = np.frombuffer(b"\n".join(texts), np.uint8)
@@ -55,76 +66,238 @@ def _words(roller: Roller, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     start, end = start[real], end[real]
     hashes = roller.spans(roller.prefix(roller.bytes[buffer]), start, end)
     ends = np.searchsorted(start, np.cumsum([len(t) + 1 for t in texts]) - 1)
-    return (hashes & np.uint64(ROWS - 1)).astype(np.int64), ends
+    return hashes, ends
 
 
-def random_vectors() -> tuple[np.ndarray, np.ndarray]:
-    """(dimensions, signs) of the entries of each row's random vector."""
-    seeds = mix(np.arange(ROWS * ENTRIES, dtype=np.uint64) + np.uint64(0x5EED)).reshape(ROWS, ENTRIES)
+def random_vectors(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(dimensions, signs) of the entries of each word's random vector."""
+    seeds = mix(words[:, None] + np.arange(1, ENTRIES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     return (seeds % np.uint64(DIMENSIONS)).astype(np.int64), np.where(seeds >> np.uint64(63), 1.0, -1.0)
 
 
-def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Context vectors and counts of the words of a task's documents, in slices."""
+def _contexts(some: np.ndarray, which: np.ndarray, wanted: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The sums of the neighbours' random vectors for the ``wanted`` among the different words ``some`` of some texts;
+    ``which`` is the number of each place's word."""
+    dimension, sign = random_vectors(some)
+    text = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
+    number = np.cumsum(wanted) - 1
+    total = np.zeros(int(wanted.sum()) * DIMENSIONS)
+    for apart in range(1, REACH + 1):
+        same = text[apart:] == text[:-apart]
+        a, b = which[:-apart][same], which[apart:][same]
+        for word, near in ((a, b), (b, a)):
+            these = wanted[word]
+            word, near = number[word[these]], near[these]
+            cells = (word[:, None] * DIMENSIONS + dimension[near]).ravel()
+            total += np.bincount(cells, weights=sign[near].ravel(), minlength=len(total))
+    return total.reshape(-1, DIMENSIONS).astype(np.int64)
+
+
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     roller = Roller()
-    dimension, sign = random_vectors()
-    width = DIMENSIONS + 1
-    total = np.zeros(ROWS * width)
     for batch in batches:
-        for _, texts in chunks(arrow_bytes(batch["text"])):
-            words, ends = _words(roller, texts)
-            text = np.searchsorted(ends, np.arange(len(words)), side="right")
-            cells, weights = [words * width + DIMENSIONS], [np.ones(len(words))]
-            for apart in range(1, REACH + 1):
-                same = text[apart:] == text[:-apart]
-                a, b = words[:-apart][same], words[apart:][same]
-                for word, near in ((a, b), (b, a)):
-                    cells.append((word[:, None] * width + dimension[near]).ravel())
-                    weights.append(sign[near].ravel())
-            total += np.bincount(np.concatenate(cells), weights=np.concatenate(weights), minlength=len(total))
-    parts = [x.astype(np.float32).tobytes() for x in np.split(total, SLICES)]
-    yield pa.RecordBatch.from_arrays([pa.array(range(SLICES), pa.int32()), pa.array(parts, pa.binary())], ["slice", "data"])
-
-
-def word_vectors(texts: DataFrame) -> np.ndarray:
-    """A vector for each row of the table, from all documents: its context's direction and its own random vector,
-    times a weight that falls with its frequency."""
-    slices = sum_slices(texts.mapInArrow(_contexts, "slice int, data binary"), SLICES, np.float32)
-    table = np.concatenate(slices) if slices else np.zeros(ROWS * (DIMENSIONS + 1), np.float32)
-    table = table.reshape(ROWS, DIMENSIONS + 1).astype(np.float64)
-    contexts, count = table[:, :-1], table[:, -1:]
-    contexts /= np.linalg.norm(contexts, axis=1, keepdims=True) + 1e-9
-    own = np.zeros((ROWS, DIMENSIONS))
-    dimension, sign = random_vectors()
-    np.add.at(own, (np.arange(ROWS)[:, None], dimension), sign / np.sqrt(ENTRIES))
-    share = count / max(1.0, count.sum())
-    return ((contexts + own) * (1e-2 / (1e-2 + share))).astype(np.float32)
-
-
-def _pooled(roller: Roller, vectors: np.ndarray, texts: list[bytes]) -> np.ndarray:
-    """Of each text: the mean vector, its length (which tells how alike the words are), and the logarithm of the
-    number of words; zeros for a text without words."""
-    words, ends = _words(roller, texts)
-    begins = np.concatenate(([0], ends[:-1]))
-    out = np.zeros((len(texts), FEATURES), np.float32)
-    some = ends > begins
-    if some.any():
-        sums = np.add.reduceat(vectors[words], begins[some], axis=0)
-        out[some, :DIMENSIONS] = sums / (ends - begins)[some, None]
-        out[:, DIMENSIONS] = np.linalg.norm(out[:, :DIMENSIONS], axis=1)
-        out[:, DIMENSIONS + 1] = np.log1p(ends - begins)
+        for _, texts in chunks(arrow_bytes(batch["text"]), CHUNK):
+            some, count = np.unique(_words(roller, texts)[0], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(some.view(np.int64)), pa.array(count)], ["word", "n"])
+
+
+#: Two of a context's numbers are added up in one BIGINT.
+SUMS = [f"s{i}" for i in range(DIMENSIONS // 2)]
+
+
+def _context_rows(frequent, recurring):
+    """Counts and contexts: of the frequent words one row a task, of the other words that recur one for some texts."""
+
+    def rows(words: np.ndarray, count: np.ndarray, total: np.ndarray) -> pa.RecordBatch:
+        two = total[:, ::2] + (total[:, 1::2] << 32)
+        sums = [pa.array(np.ascontiguousarray(c)) for c in two.T]
+        return pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(count.astype(np.int64)), *sums], ["word", "n", *SUMS])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        roller, often, known = Roller(), frequent(), recurring()
+        counts, totals = np.zeros(len(often), np.int64), np.zeros((len(often), DIMENSIONS), np.int64)
+        for batch in batches:
+            for _, texts in chunks(arrow_bytes(batch["text"])):
+                words, ends = _words(roller, texts)
+                some, which, count = np.unique(words, return_inverse=True, return_counts=True)
+                at, is_often = _at(often, some)
+                wanted = is_often | known.may_hold(some)
+                total = _contexts(some, which, wanted, ends)
+                some, count, at, is_often = some[wanted], count[wanted], at[wanted], is_often[wanted]
+                counts[at[is_often]] += count[is_often]
+                totals[at[is_often]] += total[is_often]
+                yield rows(some[~is_often], count[~is_often], total[~is_often])
+        seen = counts > 0
+        yield rows(often[seen], counts[seen], totals[seen])
+
+    return run
+
+
+def _at(table: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each word stands in a sorted table, and whether it does."""
+    at = np.searchsorted(table, words)
+    at[at == len(table)] = 0
+    return at, (table[at] == words if len(table) else np.zeros(len(words), bool))
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Contexts in as few bytes as their numbers need."""
+    for batch in batches:
+        two = np.stack([batch[c].to_numpy() for c in SUMS], axis=1) if batch.num_rows else np.zeros((0, len(SUMS)), np.int64)
+        low = two.astype(np.int32).astype(np.int64)
+        total = np.stack((low, (two - low) >> 32), axis=2).reshape(-1, DIMENSIONS)
+        most = np.abs(total).max(axis=1, initial=0)
+        data = np.empty(len(total), object)
+        for kind, above, below in ((np.int8, -1, 1 << 7), (np.int16, (1 << 7) - 1, 1 << 15), (np.int32, (1 << 15) - 1, 1 << 32)):
+            these = (most > above) & (most < below)
+            data[these] = [x.tobytes() for x in total[these].astype(kind)]
+        yield pa.RecordBatch.from_arrays([batch["word"], batch["n"], pa.array(data.tolist(), pa.binary())], ["word", "n", "context"])
+
+
+def _unpacked(data: list[bytes | None]) -> np.ndarray:
+    """Contexts; of a word that has none, zeros."""
+    out = np.zeros((len(data), DIMENSIONS), np.int64)
+    sizes = np.array([len(x or b"") for x in data], np.int64)
+    for kind in (np.int8, np.int16, np.int32):
+        these = np.flatnonzero(sizes == DIMENSIONS * np.dtype(kind).itemsize)
+        out[these] = np.frombuffer(b"".join(data[i] for i in these), kind).reshape(-1, DIMENSIONS)
+    return out
+
+
+def vectors_of(words: np.ndarray, count: np.ndarray, context: np.ndarray, all_words: int) -> np.ndarray:
+    """The vectors of words: the direction of the context and the own random vector, times a weight that falls with
+    the frequency. In whole steps of 1 / UNIT."""
+    vectors = context / (np.sqrt((context.astype(np.float64) ** 2).sum(axis=1, keepdims=True)) + 1e-9)
+    dimension, sign = random_vectors(words)
+    np.add.at(vectors, (np.arange(len(words))[:, None], dimension), sign / np.sqrt(ENTRIES))
+    weight = 1e-2 / (1e-2 + count / max(1, all_words))
+    return np.rint(vectors * weight[:, None] * UNIT).astype(np.int64)
+
+
+class WordVectors:
+    """The vectors of all words of a corpus: a table of the frequent words and the number of all on executors, a
+    filter of the other words that recur, and the counts and contexts of these in a DataFrame."""
+
+    def __init__(self, texts: DataFrame) -> None:
+        """Of the column ``text``."""
+        spark = texts.sparkSession
+        counted = written(texts.mapInArrow(_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")))
+        # eight steps for each doubling of the count
+        step = F.floor(F.log2("n") * 8).cast("int")
+        steps = sorted(counted.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("words"), F.sum("n").alias("n")).collect(), reverse=True)
+        self.all_words, held, least, others = sum(r.n for r in steps), 0, 1 << 30, 0
+        for r in steps:
+            if least > r.step >= 8 and held + r.words <= FREQUENT and not others:
+                held, least = held + r.words, r.step
+            elif r.step >= 8:
+                others += r.words
+        words = counted.where(step >= least).select("word").toArrow()["word"].to_numpy().view(np.uint64)
+        frequent = share(spark, np.sort(words))
+        self.recurring = share(spark, BitFilter.of(counted.where((step < least) & (F.col("n") > 1)), "word", others))
+        long = ", ".join(f"{c} long" for c in ["word", "n", *SUMS])
+        rows = texts.mapInArrow(_context_rows(frequent, self.recurring), long)
+        sums = rows.groupBy("word").agg(*[F.sum(c).alias(c) for c in ["n", *SUMS]])
+        contexts = written(sums.mapInArrow(_packed, "word long, n long, context binary"))
+        got = contexts.where(step >= least).toArrow()
+        word, n = got["word"].to_numpy().view(np.uint64), got["n"].to_numpy()
+        order = np.argsort(word)
+        vectors = vectors_of(word, n, _unpacked(got["context"].to_pylist()), self.all_words)[order]
+        self.frequent = share(spark, (word[order], vectors.astype(np.int32)))
+        self.others = contexts.where(step < least)
+
+    def features(self, docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
+        """The columns ``keep`` of each row of ``docs`` and its ``features``."""
+        kinds = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in keep)
+        rows = docs.withColumn("row", F.monotonically_increasing_id())
+        asked = rows.mapInArrow(
+            _asked(self.frequent, self.recurring, self.all_words, text, keep),
+            f"chunk long, word long, text int, places array<int>, sums binary, words long{', ' if keep else ''}{kinds}",
+        )
+        told = asked.join(self.others, "word", "left")
+        return told.groupBy("chunk").applyInArrow(_pooled(self.all_words, keep), f"{kinds}{', ' if keep else ''}features binary")
+
+
+def _sum_up(vectors: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
+    """Add up the rows of ``vectors`` that belong to each of ``n`` texts; ``text`` ascends."""
+    out = np.zeros((n, DIMENSIONS), np.int64)
+    if len(text):
+        first = np.flatnonzero(np.concatenate(([True], text[1:] != text[:-1])))
+        out[text[first]] = np.add.reduceat(vectors, first, axis=0, dtype=np.int64)
     return out
 
 
-def _features(vectors):
+def _asked(frequent, recurring, all_words: int, text_column: str, keep: list[str]):
+    """For each text a row with the sum over its frequent words and those that stand nowhere else; for each other
+    word of some texts a row with the texts where it occurs, one for each occurrence. The first kind asks for a word
+    that is none, another one in each row."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        roller, table = Roller(), vectors()
+        roller, (often, table), known = Roller(), frequent(), recurring()
         for batch in batches:
-            rows = [_pooled(roller, table, t) for _, t in chunks(arrow_bytes(batch["text"]))]
-            data = [x.tobytes() for x in np.concatenate(rows)] if rows else []
-            yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], batch["label"], pa.array(data, pa.binary())], ["doc_id", "label", "features"]
-            )
+            row = batch["row"].to_numpy()
+            for begin, some_texts in chunks(arrow_bytes(batch[text_column]), CHUNK):
+                n = len(some_texts)
+                sums, words = np.zeros((n, DIMENSIONS), np.int64), np.zeros(n, np.int64)
+                rare, held = [np.zeros(0, np.uint64)], [np.zeros(0, np.int32)]
+                for start, texts in chunks(some_texts):
+                    hashes, ends = _words(roller, texts)
+                    different, which, count = np.unique(hashes, return_inverse=True, return_counts=True)
+                    at, is_often = _at(often, different)
+                    ask = ~is_often & known.may_hold(different)
+                    alone = ~is_often & ~ask
+                    vectors = np.zeros((len(different), DIMENSIONS), np.int32)
+                    vectors[is_often] = table[at[is_often]]
+                    vectors[alone] = vectors_of(different[alone], count[alone], _contexts(different, which, alone, ends), all_words)
+                    text = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
+                    sums[start : start + len(texts)] = _sum_up(vectors[which], text, len(texts))
+                    words[start : start + len(texts)] = np.diff(ends, prepend=0)
+                    asks = ask[which]
+                    rare.append(hashes[asks])
+                    held.append((text[asks] + start).astype(np.int32))
+                word, which = np.unique(np.concatenate(rare), return_inverse=True)
+                places = np.concatenate(held)[np.argsort(which, kind="stable")]
+                ends = np.concatenate(([0], np.cumsum(np.bincount(which, minlength=len(word)))))
+                own = mix(row[begin : begin + n].astype(np.uint64) + np.uint64(0x0DD))
+                k, chunk = len(word), row[begin]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(n + k, chunk)),
+                        pa.array(np.concatenate((own, word)).view(np.int64)),
+                        pa.concat_arrays([pa.array(np.arange(n, dtype=np.int32)), pa.nulls(k, pa.int32())]),
+                        pa.concat_arrays([pa.nulls(n, pa.list_(pa.int32())), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(places))]),
+                        pa.array([*(x.tobytes() for x in sums), *[None] * k], pa.binary()),
+                        pa.concat_arrays([pa.array(words), pa.nulls(k, pa.int64())]),
+                        *[pa.concat_arrays([batch[c].slice(begin, n), pa.nulls(k, batch[c].type)]) for c in keep],
+                    ],
+                    ["chunk", "word", "text", "places", "sums", "words", *keep],
+                )
+
+    return run
+
+
+def _pooled(all_words: int, keep: list[str]):
+    """Of each text of a chunk: the mean vector, its length (which tells how alike the words are), and the logarithm
+    of the number of words; zeros for a text without words."""
+
+    def run(part: pa.Table) -> pa.Table:
+        is_text = pa.compute.is_valid(part["text"])
+        texts, rare = part.filter(is_text), part.filter(pa.compute.invert(is_text))
+        text, words = texts["text"].to_numpy(), texts["words"].to_numpy()
+        sums = np.zeros((len(text), DIMENSIONS), np.int64)
+        sums[text] = np.frombuffer(b"".join(texts["sums"].to_pylist()), np.int64).reshape(-1, DIMENSIONS)
+        for batch in rare.to_batches(max_chunksize=20_000):
+            n = batch["n"].fill_null(1).to_numpy(zero_copy_only=False)
+            vectors = vectors_of(batch["word"].to_numpy().view(np.uint64), n, _unpacked(batch["context"].to_pylist()), all_words)
+            places = batch["places"].flatten().to_numpy()
+            which = np.repeat(np.arange(len(vectors)), batch["places"].value_lengths().to_numpy())
+            order = np.argsort(places, kind="stable")
+            for some in np.array_split(order, 1 + len(order) // 200_000):
+                sums += _sum_up(vectors[which[some]], places[some], len(sums))
+        out = np.zeros((len(text), FEATURES), np.float32)
+        out[:, :DIMENSIONS] = sums[text] / (UNIT * np.maximum(words, 1))[:, None]
+        out[:, DIMENSIONS] = np.linalg.norm(out[:, :DIMENSIONS], axis=1)
+        out[:, DIMENSIONS + 1] = np.log1p(words)
+        return pa.table([*[texts[c] for c in keep], pa.array([x.tobytes() for x in out], pa.binary())], names=[*keep, "features"])
 
     return run
 
@@ -180,27 +353,25 @@ class Network:
 
 
 class Classifier:
-    """Word vectors of a corpus and a network, on the executors."""
+    """Word vectors of a corpus, a network, and the features of the corpus."""
 
-    def __init__(self, spark: SparkSession, vectors: np.ndarray, network: Network | None) -> None:
-        self.vectors, self.network = share(spark, vectors), share(spark, network)
+    def __init__(self, plain: Plain, vectors: WordVectors, rows: DataFrame, network: Network | None) -> None:
+        self.plain, self.vectors, self.rows = plain, vectors, rows
+        self.fitted, self.network = network is not None, share(rows.sparkSession, network)
 
-    def score(self, docs: DataFrame, text_column: str = "text") -> tuple[Plain, DataFrame]:
-        """``docs`` under plain names, with a column ``score``. Without any labelled row all scores are 0.5."""
-        vectors, network = self.vectors, self.network
+    def scored(self) -> DataFrame:
+        """The corpus's kept columns under the names of ``plain``, with a column ``score``. Without any labelled row
+        all scores are 0.5."""
+        network, kept = self.network, [c for c in self.rows.columns if c != "features"]
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            roller, table, probability = Roller(), vectors(), network()
+            probability = network()
             for batch in batches:
-                rows = [_pooled(roller, table, t) for _, t in chunks(arrow_bytes(batch[text]))]
-                features = np.concatenate(rows) if rows else np.zeros((0, FEATURES), np.float32)
+                features = np.frombuffer(b"".join(batch["features"].to_pylist()), np.float32).reshape(-1, FEATURES)
                 score = np.full(len(features), 0.5) if probability is None else probability(features)
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], [*batch.schema.names, "score"])
+                yield pa.RecordBatch.from_arrays([*[batch[c] for c in kept], pa.array(score)], [*kept, "score"])
 
-        plain = Plain(docs)
-        text = plain[text_column]
-        schema = plain.df.withColumn("score", F.lit(0.0)).schema
-        return plain, plain.df.mapInArrow(run, schema)
+        return self.rows.mapInArrow(run, self.rows.select(*kept).withColumn("score", F.lit(0.0)).schema)
 
 
 def fit(
@@ -210,31 +381,30 @@ def fit(
     id_column: str = "doc_id",
     text_column: str = "text",
     label_column: str = "quality",
+    keep: list[str] | None = None,
 ) -> Classifier:
-    """Word vectors from all of ``docs``, the network from at most ``sample`` labelled rows that are not held out.
-    Rows of ``labels`` without id or label are left out."""
-    spark = docs.sparkSession
+    """Word vectors and features from all of ``docs``, the network from at most ``sample`` labelled rows that are not
+    held out. Rows of ``labels`` without id or label are left out. ``keep`` has the columns that go with the features,
+    the id among them; all by default."""
     plain, marks = Plain(docs), Plain(labels)
-    rows = plain.df.select(F.col(plain[id_column]).alias("doc_id"), F.col(plain[text_column]).alias("text"))
-    vectors = word_vectors(rows.select("text"))
+    vectors = WordVectors(plain.df.select(F.col(plain[text_column]).alias("text")))
+    kept = plain.columns if keep is None else [plain[c] for c in keep]
+    rows = written(vectors.features(plain.df, plain[text_column], kept))
     known = (
         marks.df.select(F.col(marks[id_column]).alias("doc_id"), F.col(marks[label_column]).cast("int").alias("label"))
         .where(F.col("doc_id").isNotNull() & F.col("label").isNotNull() & ~held_out(F.col("doc_id")))
         .orderBy(F.xxhash64("doc_id"), "doc_id", "label")
         .limit(sample)
     )
-    model = share(spark, vectors)
     # at most ``sample`` rows are broadcast
-    found = rows.join(F.broadcast(known), "doc_id").select("doc_id", "label", "text")
-    id_type = rows.schema["doc_id"].dataType.simpleString()
-    got = found.mapInArrow(_features(model), f"doc_id {id_type}, label int, features binary").collect()
+    got = rows.select(F.col(plain[id_column]).alias("doc_id"), "features").join(F.broadcast(known), "doc_id").collect()
     network = None
     if got:
         got.sort(key=lambda r: (r.doc_id, r.label, r.features))
         order = np.random.default_rng(1).permutation(len(got))
         features = np.frombuffer(b"".join([got[i].features for i in order]), np.float32).reshape(len(got), -1)
         network = Network(features.astype(np.float64), np.array([got[i].label for i in order]))
-    return Classifier(spark, vectors, network)
+    return Classifier(plain, vectors, rows, network)
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -242,17 +412,17 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, i
 
     A null or empty text has no words and gets the score of a zero vector; a null id is not held out; rows that
     repeat get equal scores; other columns play no part."""
-    plain, scored = fit(docs, labels, id_column=id_column, text_column=text_column).score(docs, text_column)
-    doc_id = F.col(plain[id_column])
-    return scored.select(
+    model = fit(docs, labels, id_column=id_column, text_column=text_column, keep=[id_column])
+    doc_id = F.col(model.plain[id_column])
+    return model.scored().select(
         doc_id.alias("doc_id"), held_out(doc_id).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
     )
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **columns: str) -> DataFrame:
     """The rows of ``docs`` that the classifier does not reject, with all their columns."""
-    plain, scored = fit(docs, labels, **columns).score(docs, columns.get("text_column", "text"))
-    return plain.restore(scored.where(F.col("score") >= threshold))
+    model = fit(docs, labels, **columns)
+    return model.plain.restore(model.scored().where(F.col("score") >= threshold))
 
 
 def op3_quality_classifier(spark, sf_dir) -> DataFrame:
