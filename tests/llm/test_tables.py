@@ -14,7 +14,7 @@ import corpus_pipeline
 from touchline.llm import quality
 from touchline.llm.exact_dedup import exact_dedup, exact_groups
 from touchline.llm.packing import OpenBins, pack
-from touchline.llm.quality import classify
+from touchline.llm.quality import classify, good_documents
 from touchline.llm.sharding import grown_shard_of, shuffled_shards, write_shards
 
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -145,6 +145,15 @@ def test_every_word_has_its_own_vector(spark, monkeypatch):
         assert scores[-1] == scores[0] and got[0].tobytes() == got[len(texts) - 2].tobytes()
 
 
+def test_quality_stage_without_usable_labels_rejects_nothing(spark):
+    docs = odd(spark)
+    labels = spark.createDataFrame([(None, 1), (7, None)], "doc_id long, quality int")
+    for none in (labels, labels.limit(0)):
+        kept = good_documents(docs, none)
+        assert kept.columns == docs.columns
+        assert Counter(map(str, kept.collect())) == Counter(map(str, docs.collect()))
+
+
 def test_pipeline_keeps_columns_and_clean_documents(spark):
     sf_dir = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -420,9 +420,11 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, i
 
 
 def good_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **columns: str) -> DataFrame:
-    """The rows of ``docs`` that the classifier does not reject, with all their columns."""
+    """The rows of ``docs`` that the classifier does not reject, with all their columns. Without any labelled row to
+    learn from it rejects none."""
     model = fit(docs, labels, **columns)
-    return model.plain.restore(model.scored().where(F.col("score") >= threshold))
+    rows = model.scored()
+    return model.plain.restore(rows.where(F.col("score") >= threshold) if model.fitted else rows)
 
 
 def op3_quality_classifier(spark, sf_dir) -> DataFrame:
