@@ -57,8 +57,17 @@ class LineRuns:
     def runs(self) -> list[DataFrame]:
         return [run for level in self.levels for run in level]
 
-    def _merged(self, runs: list[DataFrame]) -> DataFrame:
-        return reduce(DataFrame.unionByName, runs).groupBy("h0", "h1").agg(F.sum("documents").alias("documents"), F.max("keep").alias("keep"))
+    @staticmethod
+    def _merged(runs: list[DataFrame]) -> DataFrame:
+        """Runs are merged pair by pair: with equal buckets on both sides, that takes no shuffle."""
+
+        def merge(one: DataFrame, other: DataFrame) -> DataFrame:
+            other = other.withColumnsRenamed({"documents": "more", "keep": "later"})
+            both = F.coalesce("documents", F.lit(0)) + F.coalesce("more", F.lit(0))
+            joined = one.join(other, ["h0", "h1"], "full_outer")
+            return joined.select("h0", "h1", both.alias("documents"), F.greatest("keep", "later").alias("keep"))
+
+        return reduce(merge, runs)
 
     def add(self, lines: DataFrame) -> None:
         """Add a batch of (h0, h1, doc_id). All lines of a document must be in one batch."""
