@@ -1,7 +1,7 @@
 """The registered queries of this folder and their SQL."""
 
 import corpus_pipeline
-from touchline.llm import bwt_dedup, decontaminate, exact_dedup, jaccard, lexical, line_runs, lm_score, packing, phrase_dedup, quality, revisits, sharding
+from touchline.llm import bwt_dedup, collocations, decontaminate, exact_dedup, jaccard, lexical, line_runs, lm_score, packing, phrase_dedup, quality, revisits, sharding
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
@@ -14,11 +14,17 @@ QUERIES = {
     "op8_vertical_jaccard": jaccard.op8_vertical_jaccard,
     "op9_external_shuffle": sharding.op9_external_shuffle,
     "op10_bwt_dedup": bwt_dedup.op10_bwt_dedup,
+    "op11_phrase_fingerprints": collocations.op11_phrase_fingerprints,
     "op12_block_max_search": lexical.op12_block_max_search,
     "op13_levelled_line_dedup": line_runs.op13_levelled_line_dedup,
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLES = {"op7_exact_dedup": exact_dedup.OP7_SQL, "op12_block_max_search": lexical.OP12_SQL, "op13_levelled_line_dedup": line_runs.OP13_SQL}
+ORACLES = {
+    "op7_exact_dedup": exact_dedup.OP7_SQL,
+    "op11_phrase_fingerprints": collocations.OP11_SQL,
+    "op12_block_max_search": lexical.OP12_SQL,
+    "op13_levelled_line_dedup": line_runs.OP13_SQL,
+}
 if corpus_pipeline.ORACLE_SQL:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
