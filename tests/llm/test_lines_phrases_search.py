@@ -7,14 +7,18 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from touchline.llm import lexical, line_runs
 from touchline.llm.collocations import collocations
+from touchline.llm.common import BitFilter
 from touchline.llm.lexical import Best, Corpus, Shard, compress, max_score, search
 from touchline.llm.line_runs import LineRuns, drop_repeated_lines
+
 from touchline.llm.queries import ORACLES, QUERIES
+from touchline.llm.rolling import Roller
 from verification.check import connect
 
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -179,32 +183,57 @@ def test_phrases_equal_brute_force(spark, options):
     assert found == want and (want or options["times"] == 10_000)
 
 
-def test_phrases_of_many_chunks_and_buckets(spark, monkeypatch):
+@pytest.fixture
+def small_parts(monkeypatch):
+    """Workers import the module anew, so that small chunks are tried in this process."""
     from touchline.llm import collocations as module
 
-    rows = phrase_rows(2)
-    parts = [module._chunks.__globals__]
-    assert parts[0]["CHUNK"] == 16 << 20
-    # workers import the module anew, so that small chunks are tried here, in this process
-    monkeypatch.setattr(module, "CHUNK", 300)
-    monkeypatch.setattr(module, "PART", 50)
-    import pyarrow as pa
+    def change(chunk, part):
+        monkeypatch.setattr(module, "CHUNK", chunk)
+        monkeypatch.setattr(module, "PART", part)
+        return module
+
+    return change
 
+
+@pytest.mark.parametrize("chunk, part", [(300, 50), (3000, 7), (10**6, 10**6)])
+def test_chunks_and_buckets_lose_nothing(small_parts, chunk, part):
+    module = small_parts(chunk, part)
+    rows = phrase_rows(2)
     batch = pa.RecordBatch.from_pylist([{"lang": lang or "und", "text": t or ""} for lang, t in rows])
-    added = Counter()
-    for out in module._spelled([], 64)([batch]):
-        for r in out.to_pylist():
-            added[r["lang"]] += r["a"]
-    want = Counter()
+    words, pairs = Counter(), Counter()
     for lang, t in rows:
-        want[lang or "und"] += len(re.findall(r"[^ \t.,;:!?\n\x0b\x0c\r]+", t or ""))
-    assert +added == +want
-    found = list(module._entries(7, [], 64)([batch]))
-    kept = [b for out in found for b in out.to_pylist()]
-    assert len(found) > 20 and {b["bucket"] for b in kept} <= set(range(7))
-    numbers = [x for b in kept for x in np.frombuffer(b["fingerprints"], np.uint64).tolist()]
-    assert all(np.frombuffer(b["fingerprints"], np.uint64).max() * 7 // (1 << 64) <= b["bucket"] for b in kept[:0]) and numbers
-    assert sum(int(np.frombuffer(b["counts"], np.uint32).sum()) for b in kept) == sum(want.values())
+        for piece in re.split("[.,;:!?\n\x0b\x0c\r]", (t or "").translate(UPPER)):
+            own = re.findall("[^ \t]+", piece)
+            words.update((lang or "und", w.encode()) for w in own)
+            pairs.update((lang or "und", f"{a} {b}".encode()) for a, b in zip(own, own[1:]))
+    found = [r for out in module._entries(7, [], 64)([batch]) for r in out.to_pylist()]
+    assert {r["bucket"] for r in found} <= set(range(7))
+    assert sum(int(np.frombuffer(r["counts"], np.uint32).sum()) for r in found) == sum(words.values())
+    numbers = {x for r in found for x in np.frombuffer(r["fingerprints"], np.uint64).tolist()}
+    assert len(numbers) == len(words)
+    for r in found:
+        some = np.frombuffer(r["fingerprints"], np.uint64)
+        assert (np.diff(some) > 0).all() if len(some) > 1 else True
+        assert {int(x) * 7 >> 64 for x in some.tolist()} == {r["bucket"]}
+    held = BitFilter(np.full(1 << 10, np.uint64(2**64 - 1)))
+    out = [b for b in module._exact(1)(module._spelled(7, [lambda: held] * 2, 64)([batch]))]
+    counted = {(r["lang"], r["phrase"]): r["a"] for b in out for r in b.to_pylist() if r["n"]}
+    assert counted == dict(words + pairs)
+    assert sum(r["a"] for b in out for r in b.to_pylist() if r["n"] == 0) == sum(words.values())
+
+
+def test_words_of_one_hash_are_told_apart(small_parts, monkeypatch):
+    module = small_parts(1 << 20, 1 << 20)
+    roller = Roller()
+    monkeypatch.setattr(roller, "spans", lambda sums, start, end: np.zeros(len(start), np.uint64))
+    chunk = module.Chunk(roller, True)
+    chunk.add([b"one two. one", b"two three"])
+    chunk.close()
+    assert [chunk.spelled[i] for i in chunk.words] == [b"one", b"two", b"one", b"two", b"three"]
+    assert chunk.piece.tolist() == [0, 0, 1, 2, 2]
+    start = np.array([0, 2, 3])
+    assert sorted(chunk.told_apart(start, np.zeros(3, np.uint64), 1)) == [(0, 2), (3, 1)]
 
 
 def test_scores_beyond_64_bits(spark):

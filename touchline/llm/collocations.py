@@ -6,9 +6,9 @@
    word by word longer: an n-gram can only be frequent if its two parts of n - 1 words are, so that a filter of the
    frequent shorter ones holds back the others. Fingerprints that collide are counted together, which can only let
    more through.
-2. Pointers of fingerprints that are frequent are followed to the text: each task compares all occurrences with the
-   words of the one pointed to, parts those that only share the fingerprint, and writes out the words of what it has
-   found, for frequent fingerprints only. Added up by these words, the counts are exact.
+2. For frequent fingerprints only, pointers to their occurrences are followed to the text, in the task that holds it, so
+   that no text is shuffled: all occurrences are compared word by word with the one pointed to, those that only share
+   the fingerprint are parted, and the words are written out. Added up by these words, the counts are exact.
 3. Scores, the search for longer candidates and the ranks are joins and windows over the frequent phrases.
 """
 
@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,49 +38,77 @@ PART = 1 << 20
 CHUNK = 16 << 20
 #: Fingerprints that a task of the shuffle adds up, at most on average.
 FINGERPRINTS = 2_000_000
-#: A full stop stands for every end of a piece, and a comma for the end of a text: neither is part of a word.
-_STOP, _END = b".", b","
+#: Of a cleaned text: a blank ends a word, a full stop a piece too, and a comma the text. None is part of a word.
+_BLANK, _STOP, _END = 32, 46, 44
 _CLEAN = bytes(
-    c + 32 if 65 <= c <= 90 else 32 if c == 9 else 46 if c in b".,;:!?\n\x0b\x0c\r" else c for c in range(256)
+    c + 32 if 65 <= c <= 90 else _BLANK if c == 9 else _STOP if c in b".,;:!?\n\x0b\x0c\r" else c for c in range(256)
 )
 
 
+def _slices(texts: list[bytes]) -> Iterator[bytes]:
+    """Cleaned texts in parts of about ``PART`` bytes. A longer text is cut between words."""
+    held, size = [], 0
+    for text in texts:
+        clean = text.translate(_CLEAN) + b","
+        if size + len(clean) > PART and held:
+            yield b"".join(held)
+            held, size = [], 0
+        while len(clean) > PART:
+            cut = max(clean.rfind(b" ", 0, PART), clean.rfind(b".", 0, PART))
+            if cut < 0:  # a word of that size
+                cut = min(x for x in (clean.find(b" "), clean.find(b"."), len(clean) - 1) if x >= 0)
+            yield clean[: cut + 1]
+            clean = clean[cut + 1 :]
+        held.append(clean)
+        size += len(clean)
+    if held:
+        yield b"".join(held)
+
+
 class Chunk:
-    """The words of some texts of one language, numbered; ``piece`` and ``text`` say where each one stands."""
+    """The words of some texts of one language: their hashes, the piece each one stands in and, with ``exact``, a number
+    that equal words alone share."""
 
-    def __init__(self) -> None:
+    def __init__(self, roller: Roller, exact: bool) -> None:
+        self.roller, self.exact = roller, exact
         self.number: dict[bytes, int] = defaultdict(lambda: len(self.number))
-        self.number[_STOP], self.number[_END]
-        self.parts: list[np.ndarray] = []
+        self.found: list[tuple[np.ndarray, ...]] = []
+        self.pieces = 0
 
     def add(self, texts: list[bytes]) -> None:
-        held, size = [], 0
-        for text in [*texts, None]:
-            if held and (text is None or size + len(text) > PART):
-                clean = b"".join(b + b" , " for b in (t.translate(_CLEAN).replace(_STOP, b" . ") for t in held))
-                words = clean.split()
-                self.parts.append(np.fromiter(map(self.number.__getitem__, words), np.int32, len(words)))
-                held, size = [], 0
-            if text is not None:
-                held.append(text)
-                size += len(text)
+        for part in _slices(texts):
+            buffer = np.frombuffer(part, np.uint8)
+            ends = (buffer == _STOP) | (buffer == _END)
+            inside = np.zeros(len(buffer) + 2, bool)
+            inside[1:-1] = ~(ends | (buffer == _BLANK))
+            edges = np.flatnonzero(inside[1:] != inside[:-1])
+            start, end = edges[::2], edges[1::2]
+            hashes = self.roller.spans(self.roller.prefix(self.roller.bytes[buffer]), start, end)
+            piece = np.cumsum(ends, dtype=np.int64)
+            numbers = self._numbers(part, buffer, hashes, start, end) if self.exact else hashes[:0]
+            self.found.append((hashes, piece[start] + self.pieces, numbers))
+            self.pieces += int(piece[-1])
+
+    def _numbers(self, part: bytes, buffer: np.ndarray, hashes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Words of one hash are compared byte by byte with the first of them, and only that one is looked up."""
+        _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+        size, other = end - start, first[which]
+        same = bool((size == size[other]).all())
+        if same and len(start):
+            within = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+            same = bool((buffer[np.repeat(start, size) + within] == buffer[np.repeat(start[other], size) + within]).all())
+        if not same:
+            words = [part[a:b] for a, b in zip(start.tolist(), end.tolist(), strict=True)]
+            return np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        words = [part[a:b] for a, b in zip(start[first].tolist(), end[first].tolist(), strict=True)]
+        return np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))[which]
 
     def close(self) -> None:
-        tokens = np.concatenate(self.parts) if self.parts else np.zeros(0, np.int32)
-        self.parts = []
-        ends = tokens <= 1
-        self.piece = np.cumsum(ends, dtype=np.int32)[~ends]
-        self.words = tokens[~ends]
+        none = (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+        self.hashes, self.piece, self.words = (np.concatenate(x) for x in zip(none, *self.found, strict=True))
+        self.found = []
         self.spelled = list(self.number)
 
-    def hashes(self, roller: Roller, language: int) -> np.ndarray:
-        """Of each place's word in this language."""
-        joined = np.frombuffer(b" ".join(self.spelled), np.uint8)
-        sizes = np.array([len(w) for w in self.spelled])
-        begin = np.concatenate(([0], np.cumsum(sizes[:-1] + 1)))
-        each = roller.spans(roller.prefix(roller.bytes[joined]), begin, begin + sizes)
-        return mix(each ^ np.uint64(language))[self.words]
-
     def starts(self, n: int) -> np.ndarray:
         """Where ``n`` words of one piece begin."""
         if len(self.piece) < n:
@@ -106,9 +135,9 @@ class Chunk:
         yield from zip(pointer.tolist(), count.tolist(), strict=True)
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple[str, Chunk]]]:
+def _chunks(batches: Iterator[pa.RecordBatch], roller: Roller, exact: bool = False) -> Iterator[list[tuple[str, Chunk]]]:
     """The languages of some megabytes of text."""
-    held: dict[str, Chunk] = defaultdict(Chunk)
+    held: dict[str, Chunk] = defaultdict(lambda: Chunk(roller, exact))
     size = 0
 
     def closed() -> list[tuple[str, Chunk]]:
@@ -142,7 +171,7 @@ class Fingerprints:
 
     def of(self, chunk: Chunk, language: str) -> "Grams":
         seed = int.from_bytes(hashlib.blake2b(language.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
-        return Grams(chunk, self.roller, self.roller.prefix(chunk.hashes(self.roller, seed)), 64 - self.bits)
+        return Grams(chunk, self.roller, self.roller.prefix(mix(chunk.hashes ^ np.uint64(seed))), 64 - self.bits)
 
 
 class Grams:
@@ -165,7 +194,7 @@ class Grams:
             if n <= len(filters):
                 passed = filters[n - 1].may_hold(found.view(np.int64))
                 start, found = start[passed], found[passed]
-                alive = np.zeros(len(self.chunk.words) + 1, bool)
+                alive = np.zeros(len(self.chunk.hashes) + 1, bool)
                 alive[start] = True
             yield n, start, found
 
@@ -181,7 +210,7 @@ def _entries(buckets: int, held: list, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         maker, filters = Fingerprints(bits), [h() for h in held]
         inner = np.array(edges, np.uint64)
-        for chunk in _chunks(batches):
+        for chunk in _chunks(batches, maker.roller):
             found = []
             for language, own in chunk:
                 *_, (_, _, fingerprints) = maker.of(own, language).grown(filters)
@@ -223,24 +252,60 @@ def _frequent(times: int):
     return run
 
 
-def _spelled(held: list, bits: int):
-    """The words of what the filters hold: (lang, phrase, n, a) for each chunk. Pointers are followed in the chunk that
-    they point to. With n = 0, ``a`` is the number of all words."""
+SPELLED = "bucket int, lang array<string>, phrase array<binary>, n array<int>, a array<long>"
+_COLUMNS = {"lang": pa.string(), "phrase": pa.binary(), "n": pa.int32(), "a": pa.int64()}
+
+
+def _spelled(buckets: int, held: list, bits: int):
+    """The words of what the filters hold, with their counts in a chunk: of all that fall into a bucket of fingerprints
+    one row. A fingerprint's pointer is followed in the chunk that it points to. With n = 0, ``a`` is the number of all
+    words."""
+    edges = [(b << 64) // buckets for b in range(1, buckets)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         maker, filters = Fingerprints(bits), [h() for h in held]
-        for chunk in _chunks(batches):
+        inner = np.array(edges, np.uint64)
+        for chunk in _chunks(batches, maker.roller, exact=True):
+            rows: dict[int, list[tuple]] = defaultdict(list)
             for language, own in chunk:
+                rows[0].append((language, b"", 0, len(own.hashes)))
                 for n, start, found in maker.of(own, language).grown(filters):
                     if n > len(filters):
-                        phrases, counts = [b""], [len(own.words)]
-                        n = 0
-                    else:
-                        pointed = list(own.told_apart(start, found, n))
-                        phrases, counts = [own.phrase(s, n) for s, _ in pointed], [c for _, c in pointed]
-                    size = len(phrases)
-                    columns = [pa.array([language] * size, pa.string()), pa.array(phrases, pa.binary()), pa.array([n] * size, pa.int32())]
-                    yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64())], ["lang", "phrase", "n", "a"])
+                        break
+                    order = np.argsort(found, kind="stable")
+                    start, found = start[order], found[order]
+                    cut = [0, *np.searchsorted(found, inner).tolist(), len(found)]
+                    for bucket, (x, y) in enumerate(zip(cut, cut[1:])):
+                        if y > x:
+                            pointed = own.told_apart(start[x:y], found[x:y], n)
+                            rows[bucket].extend((language, own.phrase(s, n), n, count) for s, count in pointed)
+            for bucket, entries in rows.items():
+                columns = [pa.array([c], pa.list_(t)) for c, t in zip(zip(*entries, strict=True), _COLUMNS.values(), strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array([bucket], pa.int32()), *columns], ["bucket", *_COLUMNS])
+
+    return run
+
+
+def _exact(times: int):
+    """Adds up what is spelled alike."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[pa.Table] = []
+        size = merged = 0
+
+        def added() -> pa.Table:
+            keys = list(_COLUMNS)[:3]
+            return pa.concat_tables(parts).group_by(keys).aggregate([("a", "sum")]).rename_columns([*keys, "a"]).select(list(_COLUMNS))
+
+        for batch in batches:
+            parts.append(pa.table([batch[c].flatten() for c in _COLUMNS], schema=pa.schema(list(_COLUMNS.items()))))
+            size += len(parts[-1])
+            if size > FINGERPRINTS // 4 + 2 * merged:
+                parts = [added()]
+                size = merged = len(parts[0])
+        if parts:
+            found = added()
+            yield from found.filter((pc.field("a") >= times) | (pc.field("n") == 0)).to_batches(max_chunksize=100_000)
 
     return run
 
@@ -256,8 +321,8 @@ def frequent_phrases(texts: DataFrame, words: int = WORDS, times: int = TIMES, b
         entries = texts.mapInArrow(_entries(buckets, held, bits), ENTRIES).repartition(buckets, "bucket")
         frequent = written(entries.select("fingerprints", "counts").mapInArrow(_frequent(times), "fingerprint long"))
         held.append(share(spark, BitFilter.of(frequent, "fingerprint", frequent.count())))
-    spelled = texts.mapInArrow(_spelled(held, bits), "lang string, phrase binary, n int, a long")
-    counted = spelled.groupBy("lang", "phrase", "n").agg(F.sum("a").alias("a")).where((F.col("a") >= times) | (F.col("n") == 0))
+    spelled = texts.mapInArrow(_spelled(buckets, held, bits), SPELLED).repartition(buckets, "bucket")
+    counted = spelled.drop("bucket").mapInArrow(_exact(times), "lang string, phrase binary, n int, a long")
     return written(counted.withColumn("phrase", F.col("phrase").cast("string")))
 
 
