@@ -68,3 +68,14 @@ def test_empty_tables_null_ids_repeated_rows_and_clashing_names(spark):
     assert got == [(0, 2, 0), (0, 2, 0), (5, 0, 5), (5, 0, 5), (6, 1, 6)]
     kept = one_of_each(df)
     assert kept.columns == df.columns and kept.count() == 5
+
+
+def test_one_of_each_removes_rows_and_no_text_without_a_copy(spark):
+    a, b = "one two three four five six", "seven eight nine ten eleven twelve"
+    rows = [(1, a), (5, a), (5, b), (None, a), (7, None), (8, b), (8, b), (8, "alone here in this table")]
+    for repeat in (1, 2):
+        df = spark.createDataFrame(rows * repeat, SCHEMA).repartition(3)
+        want = sorted([(1, a), (5, b), (None, a), (7, None), (8, "alone here in this table")] * repeat, key=str)
+        assert sorted(map(tuple, one_of_each(df).collect()), key=str) == want
+    nameless = spark.createDataFrame([(None, a), (None, a)], SCHEMA)
+    assert one_of_each(nameless).count() == 2

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from touchline.llm.common import BitFilter, Plain, arrow_bytes, share, sum_slices, table
+from touchline.llm.common import BitFilter, Plain, arrow_bytes, share, sum_slices, table, text_key
 from touchline.llm.recurrence import chunks
 from touchline.llm.rolling import Roller, mix
 from touchline.session import written
@@ -351,12 +351,23 @@ def jaccard_groups(
 
 
 def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` without those that another of their group stands for: of each group the row with the
-    smallest id stays, and so do rows without an id. Rows that repeat an id stay together."""
+    """The rows of ``docs`` without those that another of their group stands for: of each group the rows with the
+    smallest id stay, and so do rows without words or without an id. A group whose rows have no id at all stays whole.
+    It is a row that goes, not an id: of rows that share an id and have different texts, each is judged by its own
+    text's group. Rows that repeat both are judged alike."""
     plain = Plain(docs)
-    groups = jaccard_groups(docs, id_column=id_column, text_column=text_column, **options)
-    gone = groups.where("doc_id != component_id").select("doc_id").distinct()
-    return plain.restore(plain.df.join(gone, plain.df[plain[id_column]] == gone["doc_id"], "left_anti"))
+    k0, k1 = text_key(F.col(plain[text_column]))
+    rows = plain.df.select("*", k0.alias("text_k0"), k1.alias("text_k1"))
+    own_id = F.col(plain[id_column])
+    # a row without id is none that a group can be named by
+    row = F.when(own_id.isNotNull(), F.struct(own_id.alias("id"), "text_k0", "text_k1"))
+    grouped = jaccard_groups(rows.select(row.alias("row"), F.col(plain[text_column]).alias("text")), id_column="row", text_column="text", **options)
+    # a group is named by its smallest row; the id in it is the smallest of the group
+    gone = grouped.where(F.col("doc_id.id") != F.col("component_id.id")).select(
+        F.col("doc_id.id").alias("gone_id"), F.col("doc_id.text_k0").alias("gone_k0"), F.col("doc_id.text_k1").alias("gone_k1")
+    )
+    same = (plain.df[plain[id_column]] == F.col("gone_id")) & (F.col("text_k0") == F.col("gone_k0")) & (F.col("text_k1") == F.col("gone_k1"))
+    return plain.restore(rows.join(gone.distinct(), same, "left_anti"))
 
 
 def op8_vertical_jaccard(spark, sf_dir) -> DataFrame:
