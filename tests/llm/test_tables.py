@@ -4,17 +4,21 @@ import hashlib
 import random
 import zlib
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from touchline.llm import quality
+from tests.llm.test_jaccard import shingles
+from touchline.llm import decontaminate, quality
 from touchline.llm.exact_dedup import exact_dedup, exact_groups
 from touchline.llm.packing import OpenBins, pack
 from touchline.llm.quality import classify, good_documents
+from touchline.llm.rolling import Roller
 from touchline.llm.sharding import grown_shard_of, shuffled_shards, write_shards
 
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -161,3 +165,57 @@ def test_pipeline_keeps_columns_and_clean_documents(spark):
         out = stage(spark, docs, sf_dir)
         assert out.columns == docs.columns, name
         assert out.join(docs, "doc_id", "left_anti").count() == 0 and out.count() > 0.7 * docs.count()
+
+
+def test_pipeline_equals_its_stages_by_hand(spark):
+    """From end to end: what each stage keeps against plain Python; the first and the last by what they promise."""
+    sf_dir = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    good = good_documents(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scores = {r.doc_id: r.predicted for r in classify(docs.select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/labels.parquet")).collect()}
+    left = {r.doc_id: r.text or "" for r in good.collect()}
+    assert set(left) == {i for i, predicted in scores.items() if predicted} and 0 < len(left) < docs.count()
+    # exact copies: the largest id stays
+    last = {t.translate(UPPER): i for i, t in sorted(left.items())}
+    left = {i: left[i] for i in last.values()}
+    # groups of similar texts: the smallest id stays
+    sets = {i: shingles(t, 5) for i, t in left.items()}
+    parent = {i: i for i in left}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, j in combinations(sorted(left), 2):
+        if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+            x, y = sorted((root(i), root(j)))
+            parent[y] = x
+    left = {i: t for i, t in left.items() if root(i) == i}
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    index = decontaminate.Index(items, decontaminate.EDITS, decontaminate.REGION)
+    left = {i: t for i, t in left.items() if not decontaminate.passages(index, Roller(), decontaminate.normal(t))}
+    assert not any(decontaminate.normal(q) in decontaminate.normal(t) for t in left.values() for _, q in items if len(q) > 12)
+    packed = corpus_pipeline.run(spark, sf_dir).collect()
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    got = defaultdict(int)
+    for r in packed:
+        got[r.doc_id] += r.length
+    assert got == {i: len(tokenizer.encode(t, add_special_tokens=False).ids) + 1 for i, t in left.items()}
+
+
+def test_words_that_are_counted_in_parts_are_counted_once(monkeypatch):
+    batch = pa.RecordBatch.from_pydict({"text": ["a b c " * 50, "", "b c d", "a"] * 30})
+    whole = {w: n for out in quality._counts([batch]) for w, n in zip(out["word"].to_pylist(), out["n"].to_pylist())}
+    monkeypatch.setattr(quality.chunks, "__defaults__", (200,))
+    parts = {w: n for out in quality._counts([batch]) for w, n in zip(out["word"].to_pylist(), out["n"].to_pylist())}
+    assert whole == parts and sorted(whole.values()) == [30, 1530, 1530, 1530]
+
+
+def test_repeated_labelled_rows_come_to_the_driver_once(spark, monkeypatch):
+    docs = spark.range(3000).selectExpr("id % 2 AS doc_id", "concat('some text ', id % 2) AS text")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(2)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "Network", lambda features, marks: seen.append(len(marks)) or (lambda x: np.zeros(len(x))))
+    quality.fit(docs, labels, sample=2)
+    assert seen == [2]

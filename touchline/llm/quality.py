@@ -8,14 +8,15 @@ Every word has its own vector and count, however many there are. Both are Spark
 The vectors of the most frequent words are broadcast. Those of the others go by a join to the documents that hold
 them, some megabytes of text at a time. A word that stands once in the corpus has its whole context in its own
 document. Vectors are added up as whole numbers, so that no order of rows changes a score. Input that is not read
-from files should be written first. A network of two layers, trained in numpy on a bounded
-sample of labelled documents, gives a probability, which a temperature fitted on labelled documents apart from
-those calibrates.
+from files should be written first.
+
+A network of two layers, trained in numpy on a bounded sample of labelled documents, gives a probability, which a
+temperature fitted on labelled documents apart from those calibrates.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,8 @@ ENTRIES = 4
 REACH = 2
 #: Steps of a vector's numbers when they are added up.
 UNIT = float(1 << 24)
+#: Words whose contexts a task adds up, on average.
+WORDS = 50_000
 #: Bytes of text that are counted, or ask for their words, together.
 CHUNK = 8 << 20
 #: Labelled documents for training and calibration, at most: those with the least hashes of their ids.
@@ -96,43 +99,109 @@ def _contexts(some: np.ndarray, which: np.ndarray, wanted: np.ndarray, ends: np.
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     roller = Roller()
     for batch in batches:
-        for _, texts in chunks(arrow_bytes(batch["text"]), CHUNK):
-            some, count = np.unique(_words(roller, texts)[0], return_counts=True)
+        for _, some_texts in chunks(arrow_bytes(batch["text"]), CHUNK):
+            # hashed in parts, for each byte of a part becomes several numbers
+            parts = [np.unique(_words(roller, texts)[0], return_counts=True) for _, texts in chunks(some_texts)]
+            some, count = _added(*zip(*parts, strict=True))
             yield pa.RecordBatch.from_arrays([pa.array(some.view(np.int64)), pa.array(count)], ["word", "n"])
 
 
-#: Two of a context's numbers are added up in one BIGINT.
-SUMS = [f"s{i}" for i in range(DIMENSIONS // 2)]
+def _added(words: Iterable[np.ndarray], *sums: Iterable[np.ndarray]) -> list[np.ndarray]:
+    """The different words, and what belongs to each one added up."""
+    words = np.concatenate(words)
+    order = np.argsort(words, kind="stable")
+    if not len(words):
+        return [words, *(np.concatenate(x) for x in sums)]
+    words = words[order]
+    first = np.flatnonzero(np.concatenate(([True], words[1:] != words[:-1])))
+    return [words[first], *(np.add.reduceat(np.concatenate(x)[order], first, axis=0) for x in sums)]
+
+
+#: The types that a context's numbers are sent in: the smallest that holds all of them.
+_KINDS = (np.int8, np.int16, np.int32)
+PACKED = "bucket int, kind int, words binary, counts binary, contexts binary"
+
 
+def _kinds(total: np.ndarray) -> np.ndarray:
+    most = np.abs(total).max(axis=1, initial=0)
+    return (most > np.iinfo(np.int8).max).astype(np.int64) + (most > np.iinfo(np.int16).max)
 
-def _context_rows(frequent, recurring):
-    """Counts and contexts: of the frequent words one row a task, of the other words that recur one for some texts."""
+
+def _context_rows(frequent, recurring, buckets: int):
+    """Counts and contexts, many words to a row: of the frequent words once a task, of the other words that recur once
+    for some texts. A bucket has the words of a range of hashes."""
+    edges = np.array([(b << 64) // buckets for b in range(1, buckets)], np.uint64)
 
     def rows(words: np.ndarray, count: np.ndarray, total: np.ndarray) -> pa.RecordBatch:
-        two = total[:, ::2] + (total[:, 1::2] << 32)
-        sums = [pa.array(np.ascontiguousarray(c)) for c in two.T]
-        return pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(count.astype(np.int64)), *sums], ["word", "n", *SUMS])
+        cut = np.searchsorted(words, edges)
+        bucket = np.zeros(len(words) + 1, np.int64)
+        np.add.at(bucket, cut, 1)
+        bucket = np.cumsum(bucket[:-1])
+        kind = _kinds(total)
+        group = bucket * len(_KINDS) + kind
+        order = np.argsort(group, kind="stable")
+        at = np.flatnonzero(np.diff(group[order], prepend=-1))
+        out = []
+        for these in np.split(order, at[1:]) if len(at) else ():
+            k = int(kind[these[0]])
+            out.append((int(bucket[these[0]]), k, words[these].tobytes(), count[these].astype(np.int64).tobytes(), total[these].astype(_KINDS[k]).tobytes()))
+        types = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+        columns = [pa.array([r[i] for r in out], t) for i, t in enumerate(types)]
+        return pa.RecordBatch.from_arrays(columns, ["bucket", "kind", "words", "counts", "contexts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roller, often, known = Roller(), frequent(), recurring()
-        counts, totals = np.zeros(len(often), np.int64), np.zeros((len(often), DIMENSIONS), np.int64)
+        counts, totals = np.zeros(len(often), np.int64), np.zeros((len(often), DIMENSIONS), np.int32)
         for batch in batches:
-            for _, texts in chunks(arrow_bytes(batch["text"])):
-                words, ends = _words(roller, texts)
-                some, which, count = np.unique(words, return_inverse=True, return_counts=True)
-                at, is_often = _at(often, some)
-                wanted = is_often | known.may_hold(some)
-                total = _contexts(some, which, wanted, ends)
-                some, count, at, is_often = some[wanted], count[wanted], at[wanted], is_often[wanted]
-                counts[at[is_often]] += count[is_often]
-                totals[at[is_often]] += total[is_often]
-                yield rows(some[~is_often], count[~is_often], total[~is_often])
+            for _, some_texts in chunks(arrow_bytes(batch["text"]), CHUNK // 2):
+                parts = []
+                for _, texts in chunks(some_texts):
+                    words, ends = _words(roller, texts)
+                    some, which, count = np.unique(words, return_inverse=True, return_counts=True)
+                    at, is_often = _at(often, some)
+                    wanted = is_often | known.may_hold(some)
+                    total = _contexts(some, which, wanted, ends).astype(np.int32)
+                    some, count, at, is_often = some[wanted], count[wanted], at[wanted], is_often[wanted]
+                    counts[at[is_often]] += count[is_often]
+                    totals[at[is_often]] += total[is_often]
+                    parts.append((some[~is_often], count[~is_often], total[~is_often]))
+                yield rows(*_added(*zip(*parts, strict=True)))
         seen = counts > 0
         yield rows(often[seen], counts[seen], totals[seen])
 
     return run
 
 
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(word, n, context) of the words of some buckets."""
+    parts: list[list[np.ndarray]] = []
+    size = merged = 0
+    for batch in batches:
+        for kind, words, counts, contexts in zip(*(batch[c].to_pylist() for c in ("kind", "words", "counts", "contexts")), strict=True):
+            held = np.frombuffer(contexts, _KINDS[kind]).reshape(-1, DIMENSIONS)
+            parts.append([np.frombuffer(words, np.uint64), np.frombuffer(counts, np.int64), held.astype(np.int64)])
+            size += len(held)
+            if size > WORDS + 2 * merged:
+                parts = [_added(*zip(*parts, strict=True))]
+                size = merged = len(parts[0][0])
+    if parts:
+        words, counts, contexts = _added(*zip(*parts, strict=True))
+        for a in range(0, len(words), WORDS):
+            b = a + WORDS
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(words[a:b].view(np.int64)), pa.array(counts[a:b]), pa.array(_packed(contexts[a:b]), pa.binary())], ["word", "n", "context"]
+            )
+
+
+def _packed(total: np.ndarray) -> list[bytes]:
+    """Contexts in as few bytes as their numbers need."""
+    kind, data = _kinds(total), np.empty(len(total), object)
+    for k, dtype in enumerate(_KINDS):
+        these = kind == k
+        data[these] = [x.tobytes() for x in total[these].astype(dtype)]
+    return data.tolist()
+
+
 def _at(table: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where each word stands in a sorted table, and whether it does."""
     at = np.searchsorted(table, words)
@@ -140,25 +209,11 @@ def _at(table: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, (table[at] == words if len(table) else np.zeros(len(words), bool))
 
 
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Contexts in as few bytes as their numbers need."""
-    for batch in batches:
-        two = np.stack([batch[c].to_numpy() for c in SUMS], axis=1) if batch.num_rows else np.zeros((0, len(SUMS)), np.int64)
-        low = two.astype(np.int32).astype(np.int64)
-        total = np.stack((low, (two - low) >> 32), axis=2).reshape(-1, DIMENSIONS)
-        most = np.abs(total).max(axis=1, initial=0)
-        data = np.empty(len(total), object)
-        for kind, above, below in ((np.int8, -1, 1 << 7), (np.int16, (1 << 7) - 1, 1 << 15), (np.int32, (1 << 15) - 1, 1 << 32)):
-            these = (most > above) & (most < below)
-            data[these] = [x.tobytes() for x in total[these].astype(kind)]
-        yield pa.RecordBatch.from_arrays([batch["word"], batch["n"], pa.array(data.tolist(), pa.binary())], ["word", "n", "context"])
-
-
 def _unpacked(data: list[bytes | None]) -> np.ndarray:
     """Contexts; of a word that has none, zeros."""
     out = np.zeros((len(data), DIMENSIONS), np.int64)
     sizes = np.array([len(x or b"") for x in data], np.int64)
-    for kind in (np.int8, np.int16, np.int32):
+    for kind in _KINDS:
         these = np.flatnonzero(sizes == DIMENSIONS * np.dtype(kind).itemsize)
         out[these] = np.frombuffer(b"".join(data[i] for i in these), kind).reshape(-1, DIMENSIONS)
     return out
@@ -194,10 +249,9 @@ class WordVectors:
         words = counted.where(step >= least).select("word").toArrow()["word"].to_numpy().view(np.uint64)
         frequent = share(spark, np.sort(words))
         self.recurring = share(spark, BitFilter.of(counted.where((step < least) & (F.col("n") > 1)), "word", others))
-        long = ", ".join(f"{c} long" for c in ["word", "n", *SUMS])
-        rows = texts.mapInArrow(_context_rows(frequent, self.recurring), long)
-        sums = rows.groupBy("word").agg(*[F.sum(c).alias(c) for c in ["n", *SUMS]])
-        contexts = written(sums.mapInArrow(_packed, "word long, n long, context binary"))
+        buckets = 1 + (held + others) // WORDS
+        rows = texts.mapInArrow(_context_rows(frequent, self.recurring, buckets), PACKED).repartition(buckets, "bucket")
+        contexts = written(rows.mapInArrow(_summed, "word long, n long, context binary"))
         got = contexts.where(step >= least).toArrow()
         word, n = got["word"].to_numpy().view(np.uint64), got["n"].to_numpy()
         order = np.argsort(word)
@@ -397,7 +451,9 @@ def fit(
         .limit(sample)
     )
     # at most ``sample`` rows are broadcast
-    got = rows.select(F.col(plain[id_column]).alias("doc_id"), "features").join(F.broadcast(known), "doc_id").collect()
+    got = rows.select(F.col(plain[id_column]).alias("doc_id"), "features").join(F.broadcast(known), "doc_id")
+    # rows that repeat an id count once, so that no more than ``sample`` come to the driver
+    got = got.groupBy("doc_id", "label").agg(F.min("features").alias("features")).collect()
     network = None
     if got:
         got.sort(key=lambda r: (r.doc_id, r.label, r.features))
