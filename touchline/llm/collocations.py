@@ -35,7 +35,7 @@ INSIDE = 100
 NO_LANGUAGE = "und"
 #: Bytes of text that are cut into words at once, and that are added up before rows are sent.
 PART = 1 << 20
-CHUNK = 16 << 20
+CHUNK = 8 << 20
 #: Fingerprints that a task of the shuffle adds up, at most on average.
 FINGERPRINTS = 2_000_000
 #: Of a cleaned text: a blank ends a word, a full stop a piece too, and a comma the text. None is part of a word.
