@@ -40,7 +40,7 @@ REACH = 2
 #: Steps of a vector's numbers when they are added up.
 UNIT = float(1 << 24)
 #: Words whose contexts a task adds up, on average.
-WORDS = 50_000
+WORDS = 30_000
 #: Bytes of text that are counted, or ask for their words, together.
 CHUNK = 8 << 20
 #: Labelled documents for training and calibration, at most: those with the least hashes of their ids.
@@ -102,19 +102,19 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, some_texts in chunks(arrow_bytes(batch["text"]), CHUNK):
             # hashed in parts, for each byte of a part becomes several numbers
             parts = [np.unique(_words(roller, texts)[0], return_counts=True) for _, texts in chunks(some_texts)]
-            some, count = _added(*zip(*parts, strict=True))
+            some, count = _added(parts)
             yield pa.RecordBatch.from_arrays([pa.array(some.view(np.int64)), pa.array(count)], ["word", "n"])
 
 
-def _added(words: Iterable[np.ndarray], *sums: Iterable[np.ndarray]) -> list[np.ndarray]:
-    """The different words, and what belongs to each one added up."""
-    words = np.concatenate(words)
-    order = np.argsort(words, kind="stable")
-    if not len(words):
-        return [words, *(np.concatenate(x) for x in sums)]
-    words = words[order]
-    first = np.flatnonzero(np.concatenate(([True], words[1:] != words[:-1])))
-    return [words[first], *(np.add.reduceat(np.concatenate(x)[order], first, axis=0) for x in sums)]
+def _added(parts: list[tuple[np.ndarray, ...]], dtype: type = np.int64) -> list[np.ndarray]:
+    """The different words of parts, in order, and what belongs to each one added up. A part has a word once."""
+    words = np.unique(np.concatenate([p[0] for p in parts]))
+    sums = [np.zeros((len(words), *x.shape[1:]), dtype) for x in parts[0][1:]]
+    for own, *values in parts:
+        at = np.searchsorted(words, own)
+        for total, value in zip(sums, values, strict=True):
+            total[at] += value
+    return [words, *sums]
 
 
 #: The types that a context's numbers are sent in: the smallest that holds all of them.
@@ -165,7 +165,7 @@ def _context_rows(frequent, recurring, buckets: int):
                     counts[at[is_often]] += count[is_often]
                     totals[at[is_often]] += total[is_often]
                     parts.append((some[~is_often], count[~is_often], total[~is_often]))
-                yield rows(*_added(*zip(*parts, strict=True)))
+                yield rows(*_added(parts, np.int32))
         seen = counts > 0
         yield rows(often[seen], counts[seen], totals[seen])
 
@@ -174,18 +174,18 @@ def _context_rows(frequent, recurring, buckets: int):
 
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(word, n, context) of the words of some buckets."""
-    parts: list[list[np.ndarray]] = []
+    parts: list[tuple[np.ndarray, ...]] = []
     size = merged = 0
     for batch in batches:
         for kind, words, counts, contexts in zip(*(batch[c].to_pylist() for c in ("kind", "words", "counts", "contexts")), strict=True):
             held = np.frombuffer(contexts, _KINDS[kind]).reshape(-1, DIMENSIONS)
-            parts.append([np.frombuffer(words, np.uint64), np.frombuffer(counts, np.int64), held.astype(np.int64)])
+            parts.append((np.frombuffer(words, np.uint64), np.frombuffer(counts, np.int64), held))
             size += len(held)
-            if size > WORDS + 2 * merged:
-                parts = [_added(*zip(*parts, strict=True))]
+            if size > 4 * WORDS + 2 * merged:
+                parts = [tuple(_added(parts))]
                 size = merged = len(parts[0][0])
     if parts:
-        words, counts, contexts = _added(*zip(*parts, strict=True))
+        words, counts, contexts = _added(parts)
         for a in range(0, len(words), WORDS):
             b = a + WORDS
             yield pa.RecordBatch.from_arrays(
