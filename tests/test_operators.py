@@ -63,6 +63,37 @@ def test_dense_index_over_many_partitions(spark, conf):
     assert numbered.filter("id <> t").count() == 0 and numbered.count() == 10000
 
 
+@pytest.mark.parametrize("bits", [(20, 20), (2, 2), (3,), (1, 4, 7)])
+def test_dense_index_over_buckets_of_any_size(spark, bits):
+    rnd = random.Random(4)
+    numbers = [None, 0, -1, 1, 2**63 - 1, -(2**63), *(rnd.randrange(-(2**k), 2**k) for k in range(1, 64))]
+    data = sorted({(g, n) for n in numbers for g in (None, "", "s1", "s2") if g is None or rnd.random() < 0.7}, key=repr)
+    df = frame(spark, data, "s STRING, t BIGINT", 5)
+    nulls_first = sorted(data, key=lambda r: (r[0] is not None, r[0] or "", r[1] is not None, r[1] or 0))
+    found = {(r.s, r.t): r.id for r in dense_index(df, ["s", "t"], "id", bits).collect()}
+    assert found == {key: i for i, key in enumerate(nulls_first)}
+
+
+def test_dense_index_runs_nothing_while_planning(spark):
+    df = spark.range(100).select((F.col("id") * 7 % 100).alias("t"))
+    context = spark.sparkContext
+    context.setJobGroup("planning", "nothing")
+    numbered = dense_index(df, ["t"], "id")
+    assert not context.statusTracker().getJobIdsForGroup("planning")
+    assert numbered.count() == 100 and context.statusTracker().getJobIdsForGroup("planning")
+    context._jsc.clearJobGroup()
+    with pytest.raises(ValueError):
+        dense_index(df.withColumn("_n", F.lit(1)), ["t"], "id")
+
+
+def test_dense_index_sorts_no_group_in_one_task(spark, conf):
+    """A group that holds all rows: ranks are taken inside buckets, and larger windows see only counts."""
+    conf(spark__sql__adaptive__enabled="false", spark__sql__shuffle__partitions="8", spark__sql__autoBroadcastJoinThreshold="-1")
+    df = spark.range(1 << 14).select(F.lit("s").alias("s"), F.col("id").alias("t"))
+    sizes = dense_index(df, ["s", "t"], "id", (8, 3)).groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) == 8 and max(r["count"] for r in sizes) < (1 << 14) // 3
+
+
 def test_membership(spark):
     left = frame(spark, [(1, "a"), (1, "b"), (2, "c"), (None, "d")], "k INT, v STRING")
     right = frame(spark, [(1,), (1,), (None,), (3,)], "k INT")

@@ -9,6 +9,7 @@ from touchline import plans
 from touchline.functions import season_of
 from touchline.schemas import AWAY_SLOTS, HOME_SLOTS, RAW, SKILLS
 
+from tests.plans import executed
 from tests.league import S1, S2, rows
 
 
@@ -70,10 +71,24 @@ def test_squads_and_rosters(spark):
     assert rows(plans.stage_rosters(matches, squads)) == [(0, 10), (1, 10), (1, 11), (1, 12), (2, 20), (2, 21)]
 
 
-def test_line_ups_use_every_slot(spark):
+def test_rosters_use_every_slot(spark):
     slots = {c: float(i) for i, c in enumerate(HOME_SLOTS + AWAY_SLOTS)}
-    found = rows(plans.line_ups(raw_matches(spark, [match(1, S1, 1, 2, **slots)])))
-    assert found == sorted([(S1, 1, i) for i in range(11)] + [(S1, 2, i) for i in range(11, 22)], key=repr)
+    matches = raw_matches(spark, [match(1, S1, 1, 2, **slots), match(2, S1, 2, 1)])
+    squads = plans.stage_squads(plans.stage_matches(matches))
+    found = rows(plans.stage_rosters(matches, squads))
+    assert found == sorted([(0, i) for i in range(11)] + [(1, i) for i in range(11, 22)], key=repr)
+    some = squads.filter("ID_equipo = 2")
+    assert rows(plans.stage_rosters(matches, some)) == [(1, i) for i in range(11, 22)]
+
+
+def test_rosters_shuffle_two_numbers(spark, conf):
+    """Sides meet the squads while they are two rows a match; no text goes with the players."""
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    matches = raw_matches(spark, [match(1, S1, 1, 2, home_player_1=10.0)])
+    plan = executed(plans.stage_rosters(matches, plans.stage_squads(plans.stage_matches(matches))))
+    assert "hashpartitioning(ID_plantel" in plan and "ID_jugador" in plan
+    last = next(line for line in plan.splitlines() if "hashpartitioning(ID_plantel" in line)
+    assert "Temporada" not in last
 
 
 def test_attributes(spark):

@@ -26,7 +26,6 @@ from touchline.schemas import (
     UNKNOWN_TYPE,
 )
 from touchline.scope import Scope
-from touchline.session import written
 
 SCOPE = Scope(2, ("1996/1997", "1997/1998", "1998/1999", "1999/2000"))
 FIRST_YEAR, LAST_YEAR = 1996, 2000
@@ -75,12 +74,13 @@ class DriverTables:
         self.lineitem, self.region = read("lineitem"), read("region")
 
     @cached_property
-    def team_count(self) -> int:
-        return self.customer.count()
+    def team_count(self) -> Column:
+        """A subquery, so that nothing is counted while planning."""
+        return self.customer.agg(F.count(F.lit(1))).scalar()
 
     @cached_property
-    def player_count(self) -> int:
-        return self.part.count()
+    def player_count(self) -> Column:
+        return self.part.agg(F.count(F.lit(1))).scalar()
 
     # ---- raw tables -------------------------------------------------------------------------
 
@@ -228,14 +228,16 @@ class DriverTables:
     def attributes(self) -> DataFrame:
         return stage_attributes(self.raw_ratings)
 
+    # Kept by the executors once a question has needed them, as staged tables are kept in files: nothing is written or
+    # run while planning, and what is lost with an executor is made again from the orders.
+
     @cached_property
     def squads(self) -> DataFrame:
-        """Written once per session and folder, as staged tables are, and read by every question."""
-        return written(stage_squads(self.matches))
+        return stage_squads(self.matches).persist()
 
     @cached_property
     def rosters(self) -> DataFrame:
-        return written(stage_rosters(self.raw_matches, self.squads))
+        return stage_rosters(self.raw_matches, self.squads).persist()
 
 
 @cache

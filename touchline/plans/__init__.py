@@ -3,6 +3,7 @@ from touchline.plans.charts import (
     goal_averages,
     goal_histogram,
     league_sides,
+    rated_squads,
     season_goal_averages,
     squad_match_goals,
     squad_strength,

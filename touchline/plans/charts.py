@@ -8,7 +8,7 @@ from operator import add
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.operators import histogram, present_in_all, two_sided
+from touchline.operators import histogram, present_in_all, rows_with, two_sided
 from touchline.plans.players import members, scoped_rosters
 from touchline.plans.teams import named
 from touchline.schemas import STRENGTH_COLUMNS
@@ -123,6 +123,28 @@ def squad_strength(
     return squads.join(per_squad, "ID_plantel").select("ID_plantel", "ID_equipo", "Temporada", "Suma_Atributos_Plantel")
 
 
+def rated_squads(
+    attributes: DataFrame,
+    rosters: DataFrame,
+    squads: DataFrame,
+    teams: DataFrame,
+    scope: Scope,
+    season_free: bool = False,
+) -> DataFrame:
+    """The squads that ``squad_strength`` has a sum for, without it: ``ID_plantel, ID_equipo, Temporada``. One member
+    with one complete rating row is enough, so that nothing is added up and both sides of the question are
+    semi-joins."""
+    keys = ["ID_jugador"] if season_free else ["ID_jugador", "Temporada"]
+    row_sum = reduce(add, (F.col(c) for c in STRENGTH_COLUMNS))
+    rated = attributes.filter(row_sum.isNotNull()).select(*keys).distinct()
+    if season_free:
+        rated = rows_with(rated, scoped_rosters(rosters, squads, teams, scope), keys)
+        found = rows_with(members(rosters), rated, keys)
+        return rows_with(squads, found, ["ID_plantel"]).select("ID_plantel", "ID_equipo", "Temporada")
+    belonging = members(rosters).join(scope.squads(squads, teams), "ID_plantel")
+    return rows_with(belonging, rated, keys).select("ID_plantel", "ID_equipo", "Temporada").distinct()
+
+
 def league_sides(
     matches: DataFrame, teams: DataFrame, scope: Scope, away_uses_home_goals: bool = False
 ) -> DataFrame:
@@ -191,17 +213,28 @@ def attributes_vs_goals(
 
 
 def goal_histogram(
-    sides: DataFrame, strength: DataFrame, season_free: bool = False, teams: DataFrame | None = None
+    sides: DataFrame,
+    squads: DataFrame,
+    season_free: bool = False,
+    teams: DataFrame | None = None,
+    team_name: str | None = None,
 ) -> DataFrame:
-    """How many (squad, match) pairs brought how many goals; per team name when ``teams`` is given.
+    """How many (squad, match) pairs brought how many goals. ``squads`` are the rated ones, with or without their
+    strength; with ``season_free`` each meets all matches of its team. ``teams`` gives a histogram for each team name,
+    and ``team_name`` only that of the teams called so, which are looked up before anything is counted.
 
     Match sides are counted by team and goals first; a team's squads then multiply the counts.
     """
     keys = _squad_keys(season_free)
-    counted = histogram(sides, "Goles", keys, name="sides")
-    squads = strength.groupBy(*keys).agg(F.count(F.lit(1)).alias("squads"))
-    pairs = counted.join(squads, keys).withColumn("pairs", F.col("sides") * F.col("squads"))
     by = []
+    if team_name is not None:
+        if teams is None:
+            raise ValueError("a name needs the teams")
+        called = teams.filter(F.col("Nombre") == team_name)
+        sides = rows_with(sides, called, ["ID_equipo"])
+    counted = histogram(sides, "Goles", keys, name="sides")
+    each = squads.groupBy(*keys).agg(F.count(F.lit(1)).alias("squads"))
+    pairs = counted.join(each, keys).withColumn("pairs", F.col("sides") * F.col("squads"))
     if teams is not None:
-        pairs, by = named(pairs, teams), ["Nombre"]
+        pairs, by = named(pairs, teams if team_name is None else called), ["Nombre"]
     return histogram(pairs, "Goles", by, weight="pairs", name="Partidos").orderBy(*by, F.desc("Partidos"), "Goles")

@@ -16,6 +16,7 @@ def answers(tables: dict[str, DataFrame], scope: Scope, country: str) -> dict[st
     people, goals, ratings = tables["tabla_jugador"], tables["tabla_goles"], tables["tabla_atributos_jugador"]
     years = int(scope.seasons[0].split("/")[0]), int(scope.last_season.split("/")[1])
     strength = charts.squad_strength(ratings, rosters, squads, names, scope)
+    rated = charts.rated_squads(ratings, rosters, squads, names, scope)
     sides = charts.league_sides(matches, names, scope)
     return {
         "league_lookup": teams.league_id_of(tables["tabla_liga"], country),
@@ -38,8 +39,8 @@ def answers(tables: dict[str, DataFrame], scope: Scope, country: str) -> dict[st
         "avg_goals_season": charts.season_goal_averages(matches, scope),
         "avg_goals_team_season": charts.team_goal_averages(matches, names, scope),
         "attributes_vs_goals": charts.attributes_vs_goals(sides, strength, names),
-        "goal_histogram": charts.goal_histogram(sides, strength),
-        "goal_histogram_by_team": charts.goal_histogram(sides, strength, teams=names),
+        "goal_histogram": charts.goal_histogram(sides, rated),
+        "goal_histogram_by_team": charts.goal_histogram(sides, rated, teams=names),
         "season_role_totals": teams.season_role_totals(matches, scope),
         "home_team_list": teams.home_team_list(matches, scope),
     }

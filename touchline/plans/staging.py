@@ -79,29 +79,33 @@ def stage_squads(staged_matches: DataFrame) -> DataFrame:
 
 
 def line_ups(matches: DataFrame) -> DataFrame:
-    """Distinct (season, team, player) out of the wide line-up columns, in one scan.
-
-    ``distinct`` combines before it shuffles and shuffles on all three columns, so a team with a large
-    part of the matches is spread by player.
-    """
+    """Both sides of each match, in one scan: ``Temporada, ID_equipo`` and the wide line-up columns as one array."""
     sides = F.array(
-        F.struct(F.col("home_team_api_id").alias("ID_equipo"), F.array(*HOME_SLOTS).alias("players")),
-        F.struct(F.col("away_team_api_id").alias("ID_equipo"), F.array(*AWAY_SLOTS).alias("players")),
+        F.struct(F.col("home_team_api_id").alias("ID_equipo"), F.array(*HOME_SLOTS).alias("slots")),
+        F.struct(F.col("away_team_api_id").alias("ID_equipo"), F.array(*AWAY_SLOTS).alias("slots")),
     )
+    return matches.select(F.col("season").alias("Temporada"), F.inline(sides))
+
+
+def stage_rosters(matches: DataFrame, squads: DataFrame) -> DataFrame:
+    """Members of each of the ``squads``, all or some. A side whose team has none of them in the season has no roster.
+
+    Sides meet the squads while they are two rows a match. Only then are they players, who are made distinct as two
+    numbers: ``distinct`` combines before it shuffles, and spreads a team with a large part of the matches by player.
+    Whoever asks for few squads has few players to make distinct.
+    """
+    seasons = squads.select(F.col("Temporada").alias("its_season"), F.col("ID_equipo").alias("its_team"), "ID_plantel")
+    same = (F.col("Temporada") == F.col("its_season")) & (F.col("ID_equipo") == F.col("its_team"))
     return (
-        matches.select(F.col("season").alias("Temporada"), F.inline(sides))
-        .select("Temporada", "ID_equipo", F.explode("players").alias("slot"))
-        .select("Temporada", "ID_equipo", F.col("slot").try_cast("bigint").alias("ID_jugador"))
+        line_ups(matches)
+        .join(seasons, same)
+        .select("ID_plantel", F.explode("slots").alias("slot"))
+        .select("ID_plantel", F.col("slot").try_cast("bigint").alias("ID_jugador"))
         .filter(F.col("ID_jugador").isNotNull())
         .distinct()
     )
 
 
-def stage_rosters(matches: DataFrame, squads: DataFrame) -> DataFrame:
-    """Members of each squad. A side whose team has no squad in the season has no roster."""
-    return line_ups(matches).join(squads, ["Temporada", "ID_equipo"]).select("ID_plantel", "ID_jugador")
-
-
 def explode_goal_xml(
     documents: DataFrame, id_column: str = "match_api_id", xml_column: str = "goal", malformed: str = "fail"
 ) -> DataFrame:

@@ -230,6 +230,18 @@ ORACLES: dict[str, str] = {
         "SELECT team AS ID_equipo, Temporada, h AS Perdidos_local, a AS Perdidos_visitante, n AS Perdidos_totales FROM by_season",
         **_LOSSES,
     ),
+    "team_losses_either_role": _ask(
+        """SELECT team AS ID_equipo, Temporada, count(*) FILTER (at_home) AS Perdidos_local,
+        count(*) FILTER (NOT at_home) AS Perdidos_visitante, count(*) AS Perdidos_totales FROM lost GROUP BY 1, 2""",
+        lost=f"SELECT ID_local AS team, Temporada, true AS at_home FROM scoped WHERE {_AWAY_WINS} "
+        f"UNION ALL SELECT ID_visitante, Temporada, false FROM scoped WHERE {_HOME_WINS}",
+    ),
+    "team_draws_either_role": _ask(
+        """SELECT team AS ID_equipo, count(*) FILTER (at_home) AS Empatados_local,
+        count(*) FILTER (NOT at_home) AS Empatados_visitante, count(*) AS Empatados FROM drawn GROUP BY 1""",
+        level=f"SELECT * FROM scoped WHERE Temporada = '{LAST}' AND Goles_local = Goles_visitante",
+        drawn="SELECT ID_local AS team, true AS at_home FROM level UNION ALL SELECT ID_visitante, false FROM level",
+    ),
     "team_draws_last_season": _ask(
         "SELECT team AS ID_equipo, h AS Empatados_local, a AS Empatados_visitante, n AS Empatados FROM overall",
         last_season=f"SELECT * FROM scoped WHERE Temporada = '{LAST}'",
@@ -384,6 +396,13 @@ ORACLES: dict[str, str] = {
     "goal_histogram_by_team": _ask(
         "SELECT Nombre, Goles, count(*) AS Partidos FROM pairs JOIN teams USING (ID_equipo) GROUP BY 1, 2", **_BY_SEASON
     ),
+    "goal_histogram_one_team": _ask(
+        f"SELECT Nombre, Goles, count(*) AS Partidos FROM pairs JOIN teams USING (ID_equipo) WHERE Nombre = '{TEAM}' GROUP BY 1, 2",
+        **_BY_SEASON,
+    ),
+    "goal_histogram_season_free_by_team": _ask(
+        "SELECT Nombre, Goles, count(*) AS Partidos FROM pairs JOIN teams USING (ID_equipo) GROUP BY 1, 2", **_SEASON_FREE
+    ),
     "goal_histogram_season_free": _ask("SELECT Goles, count(*) AS Partidos FROM pairs GROUP BY 1", **_SEASON_FREE),
     "stage_country": "SELECT r_name AS Nombre FROM region",
     "stage_player": "SELECT p_partkey AS ID, p_name AS Nombre FROM part",
