@@ -52,7 +52,7 @@ def test_players_subtypes_and_ids(spark):
         + "<value><id>4</id><id>5</id><player1>x</player1></value>"
         + "<other><value><id>6</id></value></other></goal>"
     )
-    assert rows(plans.explode_goal_xml(documents(spark, text))) == [
+    assert rows(plans.explode_goal_xml(documents(spark, text), players="null")) == [
         (1, 1, 7, "-", "header"), (2, 1, None, "-", "-"), (3, 1, None, "-", None), (5, 1, None, "-", "-"),
     ]
 
@@ -170,3 +170,19 @@ def test_exactly_one_root_and_readable_goal_ids(spark):
     for number in bad:
         with pytest.raises(Exception, match=f"malformed goal document of match {number}"):
             explode_goal_xml(docs.where(f"match_api_id = {number}")).collect()
+
+
+def test_ids_of_players_that_are_no_numbers(spark):
+    text = "<goal>" + _goal(1, "P-7") + _goal(2, " 8 ") + _goal(3, "") + "</goal>"
+    df = documents(spark, text)
+    with pytest.raises(Exception, match="malformed goal document"):
+        plans.explode_goal_xml(df).collect()
+    assert plans.malformed_goal_documents(df).count() == 1
+    assert plans.malformed_goal_documents(df, players="text").count() == 0
+    found = plans.explode_goal_xml(df, players="text").select("ID_Gol", "ID_Jugador")
+    assert rows(found) == [(1, "P-7"), (2, "8"), (3, None)]
+    found = plans.explode_goal_xml(df, players="null").select("ID_Gol", "ID_Jugador")
+    assert rows(found) == [(1, None), (2, 8), (3, None)]
+    assert plans.explode_goal_xml(df, malformed="skip").count() == 0
+    with pytest.raises(ValueError):
+        plans.explode_goal_xml(df, players="drop")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -38,12 +40,14 @@ def _unreadable(number: Column) -> Column:
     return (F.trim(number) != "") & number.try_cast("bigint").isNull()
 
 
-def is_malformed(xml: Column, parsed: Column) -> Column:
-    """Anything but one ``goal`` element with nothing beside it, or a goal's id that is no number. A player's id that is
-    no number is null in the result."""
+def is_malformed(xml: Column, parsed: Column, numbered_players: bool = True) -> Column:
+    """Anything but one ``goal`` element with nothing beside it, or a goal's id that is no number; with
+    ``numbered_players`` a player's too."""
     roots = F.coalesce(F.size(parsed["goal"]), F.lit(-1))
     beside = F.coalesce(F.regexp_replace(parsed["_VALUE"], r"\s", ""), F.lit("")) != ""
-    ids = F.exists(goals_of(parsed), lambda g: F.coalesce(_unreadable(g["id"]), F.lit(False)))
+    fields = ("id", "player1") if numbered_players else ("id",)
+    lost = [lambda g, f=f: F.coalesce(_unreadable(g[f]), F.lit(False)) for f in fields]
+    ids = F.exists(goals_of(parsed), lambda g: reduce(lambda x, y: x | y, (test(g) for test in lost)))
     bad = parsed[CORRUPT].isNotNull() | (roots != 1) | beside | F.coalesce(ids, F.lit(False)) | xml.contains(OUTER)
     return xml.isNotNull() & bad
 

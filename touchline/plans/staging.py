@@ -107,7 +107,11 @@ def stage_rosters(matches: DataFrame, squads: DataFrame) -> DataFrame:
 
 
 def explode_goal_xml(
-    documents: DataFrame, id_column: str = "match_api_id", xml_column: str = "goal", malformed: str = "fail"
+    documents: DataFrame,
+    id_column: str = "match_api_id",
+    xml_column: str = "goal",
+    malformed: str = "fail",
+    players: str = "number",
 ) -> DataFrame:
     """One row per goal of the distinct (match, document) pairs: ``ID_Gol, ID_Partido, ID_Jugador, Tipo,
     Subtipo``.
@@ -117,34 +121,42 @@ def explode_goal_xml(
 
     Text that is not a goal document stops the job with its match id, or is left out with
     ``malformed="skip"`` (``malformed_goal_documents`` lists it).
+
+    ``players`` says what becomes of a player's id that is no number: with ``"number"`` its document is malformed, so
+    that no scorer is lost in silence; with ``"text"`` all players' ids are kept as text, in a column of text; with
+    ``"null"`` it is null. An empty id is null in any case.
     """
     if malformed not in ("fail", "skip"):
         raise ValueError("malformed must be 'fail' or 'skip'")
+    if players not in ("number", "text", "null"):
+        raise ValueError("players must be 'number', 'text' or 'null'")
     xml = F.col("xml")
     texts = documents.select(F.col(id_column).alias("ID_Partido"), F.col(xml_column).alias("xml"))
     parsed = texts.filter(xml.isNotNull()).distinct().withColumn("doc", parse_document(xml))
     complaint = F.concat(F.lit("malformed goal document of match "), F.col("ID_Partido").cast("string"))
     rejected = F.raise_error(complaint) if malformed == "fail" else F.lit(None)
-    values = F.when(is_malformed(xml, F.col("doc")), rejected).otherwise(goals_of(F.col("doc")))
+    values = F.when(is_malformed(xml, F.col("doc"), players == "number"), rejected).otherwise(goals_of(F.col("doc")))
     goals = parsed.select("ID_Partido", values.alias("goals"))
     # The outer form, for explode alone makes the optimizer add "array not empty" below the distinct,
     # where every document would be parsed once more.
     exploded = goals.select("ID_Partido", F.explode_outer("goals").alias("goal"))
+    player = F.col("goal.player1")
+    player = F.when(F.trim(player) != "", F.trim(player)) if players == "text" else player.try_cast("bigint")
     return exploded.filter(F.col("goal").isNotNull()).select(
         F.col("goal.id").try_cast("bigint").alias("ID_Gol"),
         "ID_Partido",
-        F.col("goal.player1").try_cast("bigint").alias("ID_Jugador"),
+        player.alias("ID_Jugador"),
         goal_type(F.col("goal.stats")).alias("Tipo"),
         goal_subtype(F.col("goal.subtype")).alias("Subtipo"),
     )
 
 
 def malformed_goal_documents(
-    documents: DataFrame, id_column: str = "match_api_id", xml_column: str = "goal"
+    documents: DataFrame, id_column: str = "match_api_id", xml_column: str = "goal", players: str = "number"
 ) -> DataFrame:
     """The documents ``explode_goal_xml`` does not accept."""
     rows = documents.withColumn("_doc", parse_document(F.col(xml_column)))
-    return rows.filter(is_malformed(F.col(xml_column), F.col("_doc"))).select(id_column, xml_column)
+    return rows.filter(is_malformed(F.col(xml_column), F.col("_doc"), players == "number")).select(id_column, xml_column)
 
 
 def stage_attributes(ratings: DataFrame, **season_rule) -> DataFrame:
@@ -161,7 +173,7 @@ def stage_attributes(ratings: DataFrame, **season_rule) -> DataFrame:
 
 
 def stage_all(
-    raw: dict[str, DataFrame], malformed: str = "fail", landed: bool = False, **season_rule
+    raw: dict[str, DataFrame], malformed: str = "fail", landed: bool = False, players: str = "number", **season_rule
 ) -> dict[str, DataFrame]:
     """Every staged table by name, ready for ``write_tables``.
 
@@ -179,7 +191,7 @@ def stage_all(
         "tabla_temporada": stage_seasons(raw_matches),
         "tabla_liga": stage_leagues(raw["enunciado_liga"], raw["enunciado_paises"], raw_matches),
         "tabla_equipos": stage_teams(raw["enunciado_equipos"], raw_matches),
-        "tabla_goles": explode_goal_xml(raw_matches, malformed=malformed),
+        "tabla_goles": explode_goal_xml(raw_matches, malformed=malformed, players=players),
         "tabla_partidos": matches,
         "tabla_resultado": stage_outcomes(matches),
         "tabla_plantel": squads,
