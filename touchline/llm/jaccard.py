@@ -372,3 +372,27 @@ def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
 
 def op8_vertical_jaccard(spark, sf_dir) -> DataFrame:
     return jaccard_groups(table(spark, sf_dir, "documents"))
+
+
+OP8_SQL = r"""
+WITH RECURSIVE held AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+                                 ELSE [array_to_string(words[i : i + 3], ' ') FOR i IN range(1, len(words) - 2)] END) AS shingle
+  FROM held
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY x, y
+), links AS (
+  SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * common >= 85 * (p.n + q.n - common)
+), ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reached(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM sizes UNION SELECT r.doc_id, w.y FROM reached r JOIN ways w ON w.x = r.other
+), least AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, doc_id) AS component_id
+FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN least USING (doc_id)
+"""

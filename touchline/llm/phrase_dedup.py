@@ -103,3 +103,23 @@ def remove_phrases(
 def op5_phrase_automata(spark, sf_dir) -> DataFrame:
     found = remove_phrases(table(spark, sf_dir, "documents"))
     return found.selectExpr("doc_id", "n_words", "n_removed", "sha2(kept, 256) AS kept_sha256")
+
+
+OP5_SQL = r"""
+WITH held AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), windows AS (
+  SELECT doc_id, unnest([md5(array_to_string(words[i : i + 34], ' ')) FOR i IN range(1, len(words) - 33)]) AS window_hash,
+         unnest(range(1, len(words) - 33)) AS start
+  FROM held WHERE len(words) >= 35
+), again AS (SELECT window_hash FROM windows GROUP BY window_hash HAVING count(*) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start, start + 35)) AS place FROM windows SEMI JOIN again USING (window_hash)),
+placed AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM held),
+cut AS (
+  SELECT doc_id, count(*) AS n_words, count(g.place) AS n_removed,
+         string_agg(word, ' ' ORDER BY p.place) FILTER (g.place IS NULL) AS kept
+  FROM placed p LEFT JOIN gone g USING (doc_id, place) GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents LEFT JOIN cut USING (doc_id)
+"""

@@ -21,7 +21,9 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op5_phrase_automata": phrase_dedup.OP5_SQL,
     "op7_exact_dedup": exact_dedup.OP7_SQL,
+    "op8_vertical_jaccard": jaccard.OP8_SQL,
     "op11_phrase_fingerprints": collocations.OP11_SQL,
     "op12_block_max_search": lexical.OP12_SQL,
     "op13_levelled_line_dedup": line_runs.OP13_SQL,
