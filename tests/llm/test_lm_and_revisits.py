@@ -5,49 +5,10 @@ from collections import Counter
 
 import pytest
 
+from touchline.llm import lm_score
 from touchline.llm.lm_score import score
 from touchline.llm.revisits import canonical_url, resolve_revisits
-
-
-def test_scores_equal_plain_counts(spark):
-    good = ["a b c a b c d", "a b a b", "c a b zz"]
-    bad = ["d d c b", "b a d d yy", "c c"]
-    texts = [*good, *bad, "", None, "a b new words d d"]
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    labels = spark.createDataFrame([(0, 1), (1, 1), (2, 1), (3, 0), (None, 1)], "doc_id long, quality int")
-    got = {r.doc_id: r for r in score(docs, labels).collect()}
-    # three good of nine rows; which of the others are drawn is told by the hash
-    from pyspark.sql import functions as F
-
-    drawn = {r.text for r in docs.where("text != ''").where(F.pmod(F.xxhash64(F.xxhash64("text")), F.lit(1_000_000)) < 500_000).collect()} - set(good)
-    sides = {"t": [t.split() for t in good], "b": [t.split() for t in texts[3:] if t in drawn]}
-    pair = {s: Counter(p for w in ws for p in zip(["<"] + w, w)) for s, ws in sides.items()}
-    one = {s: Counter(w for ws in sides[s] for w in ws) for s in sides}
-    vocabulary = {w for w in one["t"] | one["b"] if one["t"][w] + one["b"][w] >= 3}
-    after = {s: Counter() for s in sides}
-    for s in sides:
-        for (v, _), n in pair[s].items():
-            after[s][v] += n
-    size = len(vocabulary)
-
-    def loss(s, v, w):
-        total = sum(one[s].values())
-        if w not in vocabulary:
-            return -math.log((total - sum(one[s][x] for x in vocabulary) + 1) / (total + size + 1))
-        p = (one[s][w] + 1) / (total + size + 1)
-        if pair["t"][v, w] + pair["b"][v, w] < 2:
-            return -math.log(p)
-        return -math.log(0.6 * (pair[s][v, w] / after[s][v] if after[s][v] else 0) + 0.4 * p)
-
-    for i, text in enumerate(texts):
-        words = (text or "").split()
-        assert got[i].n_words == len(words)
-        if words:
-            want = sum(loss("t", v, w) - loss("b", v, w) for v, w in zip(["<"] + words, words)) / len(words)
-            assert got[i].score == pytest.approx(want, abs=1e-9)
-        else:
-            assert got[i].score is None
-    assert score(docs.limit(0), labels).count() == 0
+from touchline.llm.rolling import Roller
 
 
 def test_revisits_equal_a_scan(spark):
@@ -95,12 +56,23 @@ def test_ids_of_any_type_and_clashing_columns(spark):
     assert len({r.score for r in got if r.doc_id == "x"}) == 1
 
 
-def test_whole_background_counts_every_row(spark):
-    """Against plain counts, with one text in a third of the rows; a draw by text takes all its copies or none."""
+def test_words_of_a_long_buffer_are_hashed_in_parts(monkeypatch):
+    text = b"  a bb ccc\td " + b"x" * 40 + b"\nlast a"
+    whole = [x.tolist() for x in lm_score._words_of(Roller(), text)]
+    assert len(whole[0]) == 7 and whole[0][0] == whole[0][-1]
+    monkeypatch.setattr(lm_score, "PART", 3)
+    assert [x.tolist() for x in lm_score._words_of(Roller(), text)] == whole
+    assert [len(x) for x in lm_score._pairs(Roller(), [b"", b" "])] == [0, 0, 0]
+
+
+@pytest.mark.parametrize("shared", [lm_score.SHARED, -1])
+def test_scores_equal_plain_counts(spark, monkeypatch, shared):
+    """With one text in a third of the rows; the good ids shared or joined."""
+    monkeypatch.setattr(lm_score, "SHARED", shared)
     good = ["a b c a b c d", "a b a b"]
-    rest = ["d d c b", "b a d d yy", "c c a", "zz zz zz b"] + ["e f e b"] * 3
-    docs = spark.createDataFrame(list(enumerate(good + rest)), "doc_id long, text string").repartition(3)
-    labels = spark.createDataFrame([(0, 1), (1, 1), (2, 0)], "doc_id long, quality int")
+    rest = ["d d c b", "b a d d yy", "c c a", "zz zz zz b"] + ["e f e b"] * 3 + ["", "a b new words d d", "once"]
+    docs = spark.createDataFrame([*enumerate(good + rest), (99, None)], "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(0, 1), (1, 1), (1, 1), (2, 0), (None, 1)], "doc_id long, quality int")
     sides = {"t": [t.split() for t in good], "b": [t.split() for t in rest]}
     one = {s: Counter(w for ws in sides[s] for w in ws) for s in sides}
     pair = {s: Counter(p for w in ws for p in zip(["<"] + w, w)) for s, ws in sides.items()}
@@ -117,9 +89,14 @@ def test_whole_background_counts_every_row(spark):
             return -math.log(p)
         return -math.log(0.6 * (pair[s][v, w] / after[s][v] if after[s][v] else 0) + 0.4 * p)
 
-    got = {r.doc_id: r.score for r in score(docs, labels, whole_background=True).collect()}
+    got = {r.doc_id: r.score for r in score(docs, labels).collect()}
+    assert got[99] is None and len(got) == len(good + rest) + 1
     for i, text in enumerate(good + rest):
         words = text.split()
+        if not words:
+            assert got[i] is None
+            continue
         want = sum(loss("t", v, w) - loss("b", v, w) for v, w in zip(["<"] + words, words)) / len(words)
         assert got[i] == pytest.approx(want, abs=1e-9)
-    assert {r.score for r in score(docs, labels.limit(0), whole_background=True).collect()} == {0.0}
+    assert {r.score for r in score(docs, labels.limit(0)).collect()} == {0.0, None}
+    assert score(docs.limit(0), labels).count() == 0

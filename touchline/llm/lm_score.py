@@ -2,26 +2,29 @@
 
 The target model is learnt from documents labelled as good, the background model from all others; its counts are
 scaled to the words of the target, so that the models are alike in size. Both share one vocabulary: the words that
-occur often enough in the two together; all others are one unknown word. A word's loss is interpolated from its bigram and its unigram, and a document's score is the mean difference
-of the losses, target less background: below zero, it reads like the target.
-
-The counts are Spark aggregates and grow with the corpus. Documents ask for the values of their own n-grams by
-joins, some megabytes of text at a time: such a chunk has one row for each of its n-grams, with the places of the
-documents that hold it. Bounded filters let only those bigrams ask that a model may hold; the others, and those that
-none holds after all, ask for their word. What is found is added up per document, in each task first. Input that is not read from files should be written first, so that a task that is run again sees the same
-chunks.
+occur often enough in the two together; all others are one unknown word. A word's loss is interpolated from its bigram
+and its unigram, and a document's score is the mean difference of the losses, target less background: below zero, it
+reads like the target.
+
+The counts are Spark aggregates and grow with the corpus. Documents ask for the values of their own n-grams by one
+join, some megabytes of text at a time: such a chunk has one row for each of its n-grams, with the places of the
+documents that hold it. Bounded filters let only those bigrams ask that a model may hold; the others ask for their
+word. What is found goes back to the chunk, n-gram by n-gram, and is added up there per document. Input that is not
+read from files should be written first, so that a task that is run again sees the same chunks.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.llm.common import BitFilter, Plain, arrow_bytes, share, table, text_key
+from touchline.llm.common import BitFilter, Plain, arrow_bytes, share, table
 from touchline.llm.recurrence import chunks
 from touchline.llm.rolling import Roller, mix
 from touchline.session import written
@@ -34,16 +37,35 @@ WEIGHT = 0.6
 BEGIN = np.uint64(0x0BEB1)
 #: Makes a key that is no word of the number of a text.
 UNKNOWN = np.uint64(0x0DD)
-#: Bytes of text that are counted, or ask for their n-grams, together.
-CHUNK = 8 << 20
+#: Bytes of text that are counted, or ask for their n-grams, together, and those hashed at once.
+CHUNK, PART = 8 << 20, 1 << 20
+#: Bytes of ids of good documents that are shared; more are joined.
+SHARED = 16 << 20
+#: What a row of a chunk asks for: nothing, as it tells of a text, or the value of a word or a bigram.
+TEXT, WORD, PAIR = 0, 1, 2
+
+_SPACE = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def _words_of(roller: Roller, buffer: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, start) of all words, hashed in parts that end at a space, for each byte becomes several numbers."""
+    found, begin = [(np.zeros(0, np.uint64), np.zeros(0, np.int64))], 0
+    while begin < len(buffer):
+        space = _SPACE.search(buffer, begin + PART)
+        end = space.start() if space else len(buffer)
+        words, start, _ = roller.words(np.frombuffer(buffer, np.uint8, end - begin, begin))
+        found.append((words, start + begin))
+        begin = end
+    words, start = zip(*found, strict=True)
+    return np.concatenate(words), np.concatenate(start)
 
 
 def _pairs(roller: Roller, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, word before, word) for each word of all texts."""
-    words, start, _ = roller.words(np.frombuffer(b"\n".join(texts), np.uint8))
+    words, start = _words_of(roller, b"\n".join(texts))
     until = np.searchsorted(start, np.cumsum([len(t) + 1 for t in texts]) - 1)
     text = np.searchsorted(until, np.arange(len(words)), side="right")
-    before = np.concatenate(([BEGIN], words[:-1])).astype(np.uint64)
+    before = np.concatenate(([BEGIN], words)).astype(np.uint64)[: len(words)]
     first = np.concatenate(([0], until[:-1]))
     before[first[first < until]] = BEGIN
     return text, before, words
@@ -101,66 +123,104 @@ def _held(which: np.ndarray, n: int, text: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(places))
 
 
-def _asked(bigrams, words, wants_pairs: bool):
-    """What a chunk of texts needs: its bigrams that a model may hold, or the words of all others and, in a row that
-    counts nothing, the id of each text. Unknown words are one word in a chunk, another one in each."""
+def _asked(bigrams, words):
+    """What a chunk of texts needs: its bigrams that a model may hold, the words that may be known, with the places where
+    no such bigram ends in them, and in a row for each text its id, words, and words that are unknown for certain."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roller, pairs, known = Roller(), bigrams(), words()
         for batch in batches:
             rows = batch["row"].to_numpy()
             for begin, texts in chunks(arrow_bytes(batch["text"]), CHUNK):
+                n = len(texts)
                 text, before, word = _pairs(roller, texts)
+                is_known = known.may_hold(word)
+                n_words, n_unknown = (np.bincount(t, minlength=n) for t in (text, text[~is_known]))
+                text, before, word = text[is_known], before[is_known], word[is_known]
                 pair = _bigram(before, word)
                 may = pairs.may_hold(pair)
-                own = mix(rows[begin : begin + len(texts)].view(np.uint64) + UNKNOWN)
-                word = np.where(known.may_hold(word), word, own[0])
-                if wants_pairs:
-                    pair, first, which = np.unique(pair[may], return_index=True, return_inverse=True)
-                    key, word, held = pair.view(np.int64), word[may][first], _held(which, len(pair), text[may])
-                    ids = pa.nulls(len(pair), batch["doc_id"].type)
-                else:
-                    word, which = np.unique(word[~may], return_inverse=True)
-                    all_texts = np.arange(len(texts))
-                    key = np.repeat([1, 0], [len(word), len(texts)])
-                    which = np.concatenate((which, len(word) + all_texts))
-                    ids = pa.concat_arrays([pa.nulls(len(word), batch["doc_id"].type), batch["doc_id"].slice(begin, len(texts))])
-                    word = np.concatenate((word, own))
-                    held = _held(which, len(word), np.concatenate((text[~may], all_texts)))
+                pair, first, which = np.unique(pair[may], return_index=True, return_inverse=True)
+                ends_in = word[may][first]
+                of_pairs = _held(which, len(pair), text[may])
+                # a word that has no place of its own is there for its bigrams, if no model holds them after all
+                some, which = np.unique(word, return_inverse=True)
+                of_words = _held(which[~may], len(some), text[~may])
+                of_texts = _held(np.arange(n), n, np.arange(n))
+                own = mix(rows[begin : begin + n].view(np.uint64) + UNKNOWN)
+                k = len(some) + len(pair)
+                none = pa.nulls(k, pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(word), rows[begin])), pa.array(key), pa.array(word.view(np.int64)), held, ids],
-                    ["chunk", "pair" if wants_pairs else "n", "word", "places", "doc_id"],
+                    [
+                        pa.array(np.full(n + k, rows[begin])),
+                        pa.array(np.repeat(np.array([TEXT, WORD, PAIR], np.int8), [n, len(some), len(pair)])),
+                        pa.array(np.concatenate((own, some, pair)).view(np.int64)),
+                        pa.concat_arrays([pa.nulls(n + len(some), pa.int64()), pa.array(ends_in.view(np.int64))]),
+                        pa.concat_arrays([of_texts, of_words, of_pairs]),
+                        pa.concat_arrays([pa.array(n_words.astype(np.int64)), none]),
+                        pa.concat_arrays([pa.array(n_unknown.astype(np.int64)), none]),
+                        pa.concat_arrays([batch["doc_id"].slice(begin, n), pa.nulls(k, batch["doc_id"].type)]),
+                    ],
+                    ["chunk", "kind", "key", "word", "places", "n_words", "n_unknown", "doc_id"],
                 )
 
     return run
 
 
+def _told(unknown: float):
+    """The scores of a chunk's texts. Values are added up in the order of their keys, so that equal texts score alike."""
+
+    def run(chunk: pa.Table) -> pa.Table:
+        chunk = chunk.sort_by([("kind", "ascending"), ("key", "ascending")])
+        kind = chunk["kind"].to_numpy()
+        texts, asked = chunk.slice(0, int((kind == TEXT).sum())), chunk.slice(int((kind == TEXT).sum()))
+        kind, key = asked["kind"].to_numpy(), asked["key"].to_numpy()
+        value = asked["value"].to_numpy().copy()
+        lost = np.isnan(value)
+        words = (kind == WORD) & ~lost
+        known, its_value = key[words], value[words]
+        # a bigram that no model holds is worth its last word, if that is known
+        lost_words = asked["word"].fill_null(0).to_numpy()[lost]
+        at = np.minimum(np.searchsorted(known, lost_words), max(0, len(known) - 1))
+        found = (kind[lost] == PAIR) & (known[at] == lost_words) if len(known) else np.zeros(len(lost_words), bool)
+        value[lost] = np.where(found, its_value[at] if len(known) else 0.0, unknown)
+        number = pc.list_flatten(texts["places"]).to_numpy()
+        each = np.repeat(value, pc.list_value_length(asked["places"]).to_numpy())
+        total = np.bincount(pc.list_flatten(asked["places"]).to_numpy(), weights=each, minlength=len(number))[number]
+        n_words = texts["n_words"].to_numpy()
+        total = (total + unknown * texts["n_unknown"].to_numpy()) / np.maximum(n_words, 1)
+        return pa.table([texts["doc_id"], texts["n_words"], pa.array(total, mask=n_words == 0)], names=["doc_id", "n_words", "score"])
+
+    return run
+
+
+def _sides(rows: DataFrame, good: DataFrame) -> DataFrame:
+    """(text, target): whether a row's id is good. So that texts stay where they are, the good ids go to them while
+    these are few by size; otherwise both meet by id."""
+    n, size = good.agg(F.count(F.lit(1)), F.sum(F.octet_length(F.col("good").cast("string")))).first()
+    if 16 * n + (size or 0) <= SHARED:
+        good = F.broadcast(good)
+    return rows.join(good, F.col("doc_id") == F.col("good"), "left").select("text", F.col("good").isNotNull().alias("target"))
+
+
 def score(
     docs: DataFrame,
     labels: DataFrame,
     id_column: str = "doc_id",
     text_column: str = "text",
     label_column: str = "quality",
-    whole_background: bool = False,
 ) -> DataFrame:
     """One row for each row of ``docs``: doc_id, n_words, score (target loss less background loss, per word).
 
     A null, empty or blank text has no words and a null score; rows that repeat get equal scores; rows of
     ``labels`` without id are left out. Without any labelled good row both models are alike and scores are 0.
 
-    With ``whole_background``, as in the registered query, every row that is not good counts in the background, as
-    often as it is there, and the counts are scaled to as many words as the target has. Without it the background is
-    a draw of about as many rows as are good, by the hash of their text: copies of a text are in or out together."""
+    Every row that is not good counts in the background, as often as it is there, and the counts are scaled to as many
+    words as the target has."""
     spark = docs.sparkSession
     plain, marks = Plain(docs), Plain(labels)
     good = marks.df.where(F.col(marks[label_column]) == 1).select(F.col(marks[id_column]).alias("good")).distinct()
     rows = plain.df.select(F.col(plain[id_column]).alias("doc_id"), F.coalesce(F.col(plain[text_column]), F.lit("")).alias("text"))
-    target = rows.withColumn("k0", text_key(F.col("text"))[0]).join(good, F.col("doc_id") == F.col("good"), "left").select("text", "k0", F.col("good").isNotNull().alias("target"))
-    training = target
-    if not whole_background:
-        n_good, n_all = target.agg(F.count_if("target"), F.count(F.lit(1))).first()
-        matched = min(1.0, n_good / max(1, n_all - n_good))
-        training = target.where(F.col("target") | (F.pmod(F.xxhash64("k0"), F.lit(1_000_000)) < int(matched * 1_000_000)))
+    training = _sides(rows, good)
 
     both = [F.sum(c).alias(c) for c in ("t", "b")]
     all_words = written(
@@ -169,11 +229,9 @@ def score(
     often = F.col("t") + F.col("b")
     words = all_words.where(often >= LEAST_WORD)
     n_t, n_b = (x or 0 for x in all_words.agg(F.sum("t"), F.sum("b")).first())
-    scale = 1.0
-    if whole_background:
-        # a background word counts as so many; without a word in the target there is no model to tell apart
-        scale = n_t / max(1, n_b)
-        words = words if n_t else words.where(F.lit(False))
+    # a background word counts as so many; without a word in the target there is no model to tell apart
+    scale = n_t / max(1, n_b)
+    words = words if n_t else words.where(F.lit(False))
     k_t, k_b, size = (x or 0 for x in words.agg(F.sum("t"), F.sum("b"), F.count(F.lit(1))).first())
     known = share(spark, BitFilter.of(words, "word", size))
     counted = training.mapInArrow(_counted(known), "before long, word long, t long, b long")
@@ -192,23 +250,17 @@ def score(
 
     held = share(spark, BitFilter.of(pairs, "pair", pairs.count()))
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    asked = f"chunk long, %s long, word long, places array<int>, doc_id {id_type}"
-    texts = rows.withColumn("row", F.monotonically_increasing_id())
-    by_pair = texts.mapInArrow(_asked(held, known, True), asked % "pair")
-    by_word = texts.mapInArrow(_asked(held, known, False), asked % "n")
-    missed = F.when(F.col("pair_value").isNull(), F.col("word"))
-    of_pairs = by_pair.join(pairs, "pair", "left").select("chunk", missed.alias("word"), "pair_value", F.explode("places").alias("text"))
-    of_pairs = written(of_pairs.groupBy("chunk", "text", "word").agg(F.count(F.lit(1)).alias("n"), F.sum("pair_value").alias("value")))
-
-    no_id = F.lit(None).cast(id_type).alias("doc_id")
-    again = of_pairs.where("word IS NOT NULL").select("chunk", "n", "word", F.array("text").alias("places"), no_id)
-    of_words = by_word.unionByName(again).join(values.select("known", "value"), F.col("word") == F.col("known"), "left")
-    value = (F.col("n") * F.coalesce("value", F.lit(unknown))).alias("value")
-    of_words = of_words.select("chunk", "n", value, "doc_id", F.explode("places").alias("text"))
-    of_pairs = of_pairs.where("word IS NULL").select("chunk", "n", "value", "text", no_id)
-    sums = (F.first("doc_id", ignorenulls=True).alias("doc_id"), F.sum("n").alias("n_words"), F.sum("value").alias("value"))
-    told = of_words.unionByName(of_pairs).groupBy("chunk", "text").agg(*sums)
-    return told.select("doc_id", "n_words", F.when(F.col("n_words") > 0, F.col("value") / F.col("n_words")).alias("score"))
+    asked = rows.withColumn("row", F.monotonically_increasing_id()).mapInArrow(
+        _asked(held, known),
+        f"chunk long, kind tinyint, key long, word long, places array<int>, n_words long, n_unknown long, doc_id {id_type}",
+    )
+    model = pairs.select(F.lit(PAIR).cast("tinyint").alias("kind"), F.col("pair").alias("key"), F.col("pair_value").alias("value")).unionByName(
+        values.select(F.lit(WORD).cast("tinyint").alias("kind"), F.col("known").alias("key"), "value")
+    )
+    # the last word of a bigram goes on only where it is needed
+    word = F.when(F.col("value").isNull(), F.col("word")).alias("word")
+    told = asked.join(model, ["kind", "key"], "left").select("chunk", "kind", "key", word, "places", "n_words", "n_unknown", "doc_id", "value")
+    return told.groupBy("chunk").applyInArrow(_told(unknown), f"doc_id {id_type}, n_words long, score double")
 
 
 def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -218,4 +270,4 @@ def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def op2_cross_entropy_difference(spark, sf_dir) -> DataFrame:
-    return score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), whole_background=True)
+    return score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
