@@ -6,11 +6,12 @@ occur often enough in the two together; all others are one unknown word. A word'
 and its unigram, and a document's score is the mean difference of the losses, target less background: below zero, it
 reads like the target.
 
-The counts are Spark aggregates and grow with the corpus. Documents ask for the values of their own n-grams by one
-join, some megabytes of text at a time: such a chunk has one row for each of its n-grams, with the places of the
-documents that hold it. Bounded filters let only those bigrams ask that a model may hold; the others ask for their
-word. What is found goes back to the chunk, n-gram by n-gram, and is added up there per document. Input that is not
-read from files should be written first, so that a task that is run again sees the same chunks.
+The counts are shuffled many to a row: keys in order, by the difference to the one before, and byte by byte, so that
+equal bytes lie together; a bucket has a range of keys and a bounded number of them. Documents ask for the counts of
+their own n-grams some megabytes of text at a time. Bounded filters let only those ask that a model may hold. The
+answers meet the texts of their chunk again, which knows the order that it asked in, and are added up there. This reads
+the input more than once: input that does not come the same way each time (a shuffle without an order, say) must be
+written first, and stops the job if an answer does not fit its chunk.
 """
 
 from __future__ import annotations
@@ -20,7 +21,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,14 +35,14 @@ LEAST_WORD, LEAST_BIGRAM = 3, 2
 WEIGHT = 0.6
 #: The word before a document's first.
 BEGIN = np.uint64(0x0BEB1)
-#: Makes a key that is no word of the number of a text.
-UNKNOWN = np.uint64(0x0DD)
 #: Bytes of text that are counted, or ask for their n-grams, together, and those hashed at once.
 CHUNK, PART = 8 << 20, 1 << 20
 #: Bytes of ids of good documents that are shared; more are joined.
 SHARED = 16 << 20
-#: What a row of a chunk asks for: nothing, as it tells of a text, or the value of a word or a bigram.
-TEXT, WORD, PAIR = 0, 1, 2
+#: N-grams of the corpus in a bucket, on average, and those that are added up at once.
+BUCKET = 1 << 20
+#: Tables of counts.
+WORD, PAIR = 0, 1
 
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
@@ -85,110 +85,249 @@ def _training(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, n
             yield before, word, side[begin + text].astype(bool)
 
 
-def _sums(which: np.ndarray, n: int, target: np.ndarray) -> list[pa.Array]:
+def _sums(which: np.ndarray, n: int, target: np.ndarray) -> list[np.ndarray]:
     """For each of ``n`` things its occurrences in the target and in the background."""
     t, all_ = np.bincount(which[target], minlength=n), np.bincount(which, minlength=n)
-    return [pa.array(t.astype(np.int64)), pa.array((all_ - t).astype(np.int64))]
+    return [t, all_ - t]
 
 
-def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _packed_keys(keys: np.ndarray) -> bytes:
+    return np.diff(keys, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _keys(data: bytes) -> np.ndarray:
+    steps = np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(np.uint64).ravel()
+    return np.cumsum(steps, dtype=np.uint64)
+
+
+def _packed_counts(counts: np.ndarray) -> bytes:
+    """In the fewest bytes that hold all."""
+    return counts.astype(np.min_scalar_type(int(counts.max(initial=0)))).tobytes()
+
+
+def _counts(data: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(data, f"u{len(data) // n}").astype(np.int64) if n else np.zeros(0, np.int64)
+
+
+def _cuts(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, slice]]:
+    """The buckets of sorted keys: ranges of their upper halves."""
+    bucket = (((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
+    first = np.flatnonzero(np.diff(bucket, prepend=-1))
+    for a, b in zip(first.tolist(), np.append(first[1:], len(keys)).tolist()[: len(first)], strict=True):
+        yield int(bucket[a]), slice(a, b)
+
+
+#: Keys of a bucket with what is counted of each; the sums cover keys that have been left out, too.
+COUNTED = "bucket long, n long, keys binary, t binary, b binary, all_t binary, all_b binary, sum_t long, sum_b long"
+
+
+def _rows(keys: np.ndarray, counts: list[np.ndarray], buckets: int, keep: np.ndarray | None = None) -> pa.RecordBatch:
+    rows = []
+    for bucket, these in _cuts(keys, buckets):
+        sums = [int(c[these].sum()) for c in counts[:2]]
+        kept = slice(None) if keep is None else keep[these]
+        own = keys[these][kept]
+        packed = [_packed_counts(c[these][kept]) for c in counts]
+        rows.append((bucket, len(own), _packed_keys(own), *packed, *[None] * (4 - len(packed)), *sums))
+    types = [pa.int64(), pa.int64(), *[pa.binary()] * 5, pa.int64(), pa.int64()]
+    columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(types)]
+    return pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in COUNTED.split(", ")])
+
+
+def _words(buckets: int):
     """How often each word stands in the training parts, and how often before another."""
-    for before, word, target in _training(batches):
-        some, which = np.unique(np.concatenate((word, before)), return_inverse=True)
-        own, as_before = (_sums(w, len(some), target) for w in np.split(which, 2))
-        yield pa.RecordBatch.from_arrays([pa.array(some.view(np.int64)), *own, *as_before], ["word", "t", "b", "all_t", "all_b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for before, word, target in _training(batches):
+            some, which = np.unique(np.concatenate((word, before)), return_inverse=True)
+            own, as_before = (_sums(w, len(some), target) for w in np.split(which, 2))
+            yield _rows(some, [*own, *as_before], buckets)
+
+    return run
 
 
-def _counted(words):
-    """Bigrams of the training parts that may end in a known word, added up for some texts at a time."""
+def _bigrams(words, buckets: int):
+    """How often each bigram that may end in a known word stands in the training parts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = words()
         for before, word, target in _training(batches):
             may = known.may_hold(word)
-            before, word, target = before[may], word[may], target[may]
-            _, some, which = np.unique(_bigram(before, word), return_index=True, return_inverse=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(before[some].view(np.int64)), pa.array(word[some].view(np.int64)), *_sums(which, len(some), target)],
-                ["before", "word", "t", "b"],
-            )
+            some, which = np.unique(_bigram(before[may], word[may]), return_inverse=True)
+            yield _rows(some, _sums(which, len(some), target[may]), buckets)
 
     return run
 
 
-def _held(which: np.ndarray, n: int, text: np.ndarray) -> pa.ListArray:
-    """For each of ``n`` things the numbers of the texts where it occurs, one for each occurrence."""
-    places = text[np.argsort(which, kind="stable")].astype(np.int32)
-    ends = np.concatenate(([0], np.cumsum(np.bincount(which, minlength=n))))
-    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(places))
+def _unpacked(batch: pa.RecordBatch | pa.Table, columns: list[str]) -> Iterator[tuple[np.ndarray, ...]]:
+    for n, keys, *counts in zip(*(batch[c].to_pylist() for c in ("n", "keys", *columns)), strict=True):
+        yield _keys(keys), *[_counts(c, n) for c in counts]
 
 
-def _asked(bigrams, words):
-    """What a chunk of texts needs: its bigrams that a model may hold, the words that may be known, with the places where
-    no such bigram ends in them, and in a row for each text its id, words, and words that are unknown for certain."""
+def _merged(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """Keys in order, with their counts added up."""
+    keys, *counts = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))[: len(keys)]
+    return keys[first], *[np.add.reduceat(c[order], first) if len(first) else c for c in counts]
+
+
+def _added(columns: list[str], buckets: int, keep):
+    """The keys of some buckets that ``keep`` chooses by their counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[tuple[np.ndarray, ...]] = []
+        size = merged = 0
+        for batch in batches:
+            for part in _unpacked(batch, columns):
+                parts.append(part)
+                size += len(part[0])
+                if size > BUCKET + 2 * merged:
+                    parts = [_merged(parts)]
+                    size = merged = len(parts[0][0])
+        if parts:
+            keys, *counts = _merged(parts)
+            yield _rows(keys, counts, buckets, keep(*counts))
+
+    return run
+
+
+def _often_words(t: np.ndarray, b: np.ndarray, all_t: np.ndarray, all_b: np.ndarray) -> np.ndarray:
+    """Known words, and those that a bigram of a model may start with."""
+    return (t + b >= LEAST_WORD) | (all_t + all_b >= LEAST_BIGRAM)
+
+
+def _often_bigrams(t: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return t + b >= LEAST_BIGRAM
+
+
+def _exploded(least: int):
+    """The keys that were counted so often, one to a row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        roller, pairs, known = Roller(), bigrams(), words()
         for batch in batches:
-            rows = batch["row"].to_numpy()
-            for begin, texts in chunks(arrow_bytes(batch["text"]), CHUNK):
-                n = len(texts)
-                text, before, word = _pairs(roller, texts)
-                is_known = known.may_hold(word)
-                n_words, n_unknown = (np.bincount(t, minlength=n) for t in (text, text[~is_known]))
-                text, before, word = text[is_known], before[is_known], word[is_known]
-                pair = _bigram(before, word)
-                may = pairs.may_hold(pair)
-                pair, first, which = np.unique(pair[may], return_index=True, return_inverse=True)
-                ends_in = word[may][first]
-                of_pairs = _held(which, len(pair), text[may])
-                # a word that has no place of its own is there for its bigrams, if no model holds them after all
-                some, which = np.unique(word, return_inverse=True)
-                of_words = _held(which[~may], len(some), text[~may])
-                of_texts = _held(np.arange(n), n, np.arange(n))
-                own = mix(rows[begin : begin + n].view(np.uint64) + UNKNOWN)
-                k = len(some) + len(pair)
-                none = pa.nulls(k, pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(n + k, rows[begin])),
-                        pa.array(np.repeat(np.array([TEXT, WORD, PAIR], np.int8), [n, len(some), len(pair)])),
-                        pa.array(np.concatenate((own, some, pair)).view(np.int64)),
-                        pa.concat_arrays([pa.nulls(n + len(some), pa.int64()), pa.array(ends_in.view(np.int64))]),
-                        pa.concat_arrays([of_texts, of_words, of_pairs]),
-                        pa.concat_arrays([pa.array(n_words.astype(np.int64)), none]),
-                        pa.concat_arrays([pa.array(n_unknown.astype(np.int64)), none]),
-                        pa.concat_arrays([batch["doc_id"].slice(begin, n), pa.nulls(k, batch["doc_id"].type)]),
-                    ],
-                    ["chunk", "kind", "key", "word", "places", "n_words", "n_unknown", "doc_id"],
-                )
+            for keys, t, b in _unpacked(batch, ["t", "b"]):
+                yield pa.RecordBatch.from_arrays([pa.array(keys[t + b >= least].view(np.int64))], ["key"])
+
+    return run
+
+
+def _known(least: int):
+    """(words, t, b) of the known words, summed up for each bucket."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, t, b in _unpacked(batch, ["t", "b"]):
+                often = t + b >= least
+                sums = [int(often.sum()), int(t[often].sum()), int(b[often].sum())]
+                yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in sums], ["words", "t", "b"])
+
+    return run
+
+
+class Wanted:
+    """What a chunk of texts has to know: its words and bigrams, in order, that a model may hold."""
+
+    def __init__(self, roller: Roller, texts: list[bytes], bigrams: BitFilter, words: BitFilter) -> None:
+        self.text, self.before, self.word = _pairs(roller, texts)
+        pair = _bigram(self.before, self.word)
+        self.known = words.may_hold(self.word)
+        self.may = self.known & bigrams.may_hold(pair)
+        self.pairs, self.pair = np.unique(pair[self.may], return_inverse=True)
+        self.words = np.unique(np.concatenate((self.word[self.known], self.before[self.may])))
+
+
+def _chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, int, list[bytes]]]:
+    """(rows of a chunk, its number, its texts)."""
+    for batch in batches:
+        for begin, texts in chunks(arrow_bytes(batch["text"]), CHUNK):
+            rows = batch.slice(begin, len(texts))
+            yield rows, rows["row"][0].as_py(), texts
+
+
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for rows, chunk, _ in _chunked(batches):
+        number = pa.array(np.arange(len(rows), dtype=np.int32))
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), chunk)), number, rows["doc_id"], rows["text"]], ["chunk", "number", "doc_id", "text"])
+
+
+def _asked(bigrams, words, buckets: int):
+    """(chunk, kind, bucket, n, keys): the words and bigrams that a chunk wants to know of a bucket."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        roller, pairs, known = Roller(), bigrams(), words()
+        for _, chunk, texts in _chunked(batches):
+            wanted = Wanted(roller, texts, pairs, known)
+            rows = [
+                (chunk, kind, bucket, these.stop - these.start, _packed_keys(keys[these]))
+                for kind, keys in ((WORD, wanted.words), (PAIR, wanted.pairs))
+                for bucket, these in _cuts(keys, buckets)
+            ]
+            types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
+            columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(types)]
+            yield pa.RecordBatch.from_arrays(columns, ["chunk", "kind", "bucket", "n", "keys"])
 
     return run
 
 
-def _told(unknown: float):
-    """The scores of a chunk's texts. Values are added up in the order of their keys, so that equal texts score alike."""
-
-    def run(chunk: pa.Table) -> pa.Table:
-        chunk = chunk.sort_by([("kind", "ascending"), ("key", "ascending")])
-        kind = chunk["kind"].to_numpy()
-        texts, asked = chunk.slice(0, int((kind == TEXT).sum())), chunk.slice(int((kind == TEXT).sum()))
-        kind, key = asked["kind"].to_numpy(), asked["key"].to_numpy()
-        value = asked["value"].to_numpy().copy()
-        lost = np.isnan(value)
-        words = (kind == WORD) & ~lost
-        known, its_value = key[words], value[words]
-        # a bigram that no model holds is worth its last word, if that is known
-        lost_words = asked["word"].fill_null(0).to_numpy()[lost]
-        at = np.minimum(np.searchsorted(known, lost_words), max(0, len(known) - 1))
-        found = (kind[lost] == PAIR) & (known[at] == lost_words) if len(known) else np.zeros(len(lost_words), bool)
-        value[lost] = np.where(found, its_value[at] if len(known) else 0.0, unknown)
-        number = pc.list_flatten(texts["places"]).to_numpy()
-        each = np.repeat(value, pc.list_value_length(asked["places"]).to_numpy())
-        total = np.bincount(pc.list_flatten(asked["places"]).to_numpy(), weights=each, minlength=len(number))[number]
-        n_words = texts["n_words"].to_numpy()
-        total = (total + unknown * texts["n_unknown"].to_numpy()) / np.maximum(n_words, 1)
-        return pa.table([texts["doc_id"], texts["n_words"], pa.array(total, mask=n_words == 0)], names=["doc_id", "n_words", "score"])
+COUNTS = ["t", "b", "all_t", "all_b"]
+ANSWER = "chunk long, kind int, bucket long, n long, t binary, b binary, all_t binary, all_b binary"
+
+
+def _answers(asked: pa.Table, model: pa.Table) -> pa.Table:
+    """The counts of what was asked of a bucket, none for what is not in it."""
+    rows = []
+    for chunk, kind, bucket, n, data in zip(*(asked[c].to_pylist() for c in ("chunk", "kind", "bucket", "n", "keys")), strict=True):
+        columns = COUNTS if kind == WORD else COUNTS[:2]
+        if not rows:
+            held = list(_unpacked(model, columns))
+            keys, *counts = held[0] if held else [np.zeros(0, np.int64)] * (1 + len(columns))
+        wanted = _keys(data)
+        at = np.searchsorted(keys, wanted) if len(keys) else np.zeros(n, np.int64)
+        at[at == len(keys)] = 0
+        found = keys[at] == wanted if len(keys) else np.zeros(n, bool)
+        packed = [_packed_counts(np.where(found, c[at], 0) if len(keys) else np.zeros(n, np.int64)) for c in counts]
+        rows.append((chunk, kind, bucket, n, *packed, *[None] * (4 - len(packed))))
+    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * 4]
+    columns = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(types)]
+    return pa.table(columns, names=[c.split()[0] for c in ANSWER.split(", ")])
+
+
+def _told(bigrams, words, least: int, totals: tuple[int, int, int], scale: float, unknown: float):
+    """The scores of a chunk's texts. Values are added up in the order of the words, so that equal texts score alike."""
+
+    def run(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        n_t, n_b, size = totals
+        texts, answers = texts.sort_by("number"), answers.sort_by("bucket")
+        held = arrow_bytes(texts["text"])
+        wanted = Wanted(Roller(), held, bigrams(), words())
+
+        def counts(kind: int, keys: np.ndarray, columns: list[str]) -> list[np.ndarray]:
+            own = answers.filter(pa.array(answers["kind"].to_numpy() == kind))
+            n = own["n"].to_pylist()
+            if sum(n) != len(keys):
+                raise ValueError("texts came in another order when they were read again; write them first")
+            none = [np.zeros(0, np.int64)]
+            return [np.concatenate(none + [_counts(x, m) for x, m in zip(own[c].to_pylist(), n, strict=True)]) for c in columns]
+
+        t, b, all_t, all_b = counts(WORD, wanted.words, COUNTS)
+        p_t, p_b = (t + 1) / (n_t + size + 1), (b * scale + 1) / (n_b * scale + size + 1)
+        is_word = t + b >= least
+        of_word = np.where(is_word, np.log(p_b) - np.log(p_t), unknown)
+        value = np.full(len(wanted.word), unknown)
+        value[wanted.known] = of_word[np.searchsorted(wanted.words, wanted.word[wanted.known])]
+        t, b = (x[wanted.pair] for x in counts(PAIR, wanted.pairs, COUNTS[:2]))
+        word, before = (np.searchsorted(wanted.words, x[wanted.may]) for x in (wanted.word, wanted.before))
+        mixed = [
+            WEIGHT * np.where(all_ > 0, n / np.maximum(all_, 1), 0.0) + (1 - WEIGHT) * p[word]
+            for n, all_, p in ((t, all_t[before], p_t), (b, all_b[before], p_b))
+        ]
+        of_pair = np.log(mixed[1]) - np.log(mixed[0])
+        value[wanted.may] = np.where((t + b >= LEAST_BIGRAM) & is_word[word], of_pair, value[wanted.may])
+        n_words = np.bincount(wanted.text, minlength=len(held))
+        score = np.bincount(wanted.text, weights=value, minlength=len(held)) / np.maximum(n_words, 1)
+        return pa.table([texts["doc_id"], pa.array(n_words), pa.array(score, mask=n_words == 0)], names=["doc_id", "n_words", "score"])
 
     return run
 
@@ -222,51 +361,34 @@ def score(
     rows = plain.df.select(F.col(plain[id_column]).alias("doc_id"), F.coalesce(F.col(plain[text_column]), F.lit("")).alias("text"))
     training = _sides(rows, good)
 
-    both = [F.sum(c).alias(c) for c in ("t", "b")]
-    all_words = written(
-        training.mapInArrow(_words, "word long, t long, b long, all_t long, all_b long").groupBy("word").agg(*both, *[F.sum(c).alias(c) for c in ("all_t", "all_b")])
-    )
-    often = F.col("t") + F.col("b")
-    words = all_words.where(often >= LEAST_WORD)
-    n_t, n_b = (x or 0 for x in all_words.agg(F.sum("t"), F.sum("b")).first())
+    # no bucket has more words than this leaves it, but for those that copies of one word fill: one for each chunk
+    buckets = 1 + (training.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // (4 * BUCKET)
+
+    def counted(run, columns, keep):
+        rows = training.mapInArrow(run, COUNTED).repartition(buckets, "bucket")
+        return written(rows.mapInArrow(_added(columns, buckets, keep), COUNTED))
+
+    all_words = counted(_words(buckets), COUNTS, _often_words)
+    n_t, n_b = (x or 0 for x in all_words.agg(F.sum("sum_t"), F.sum("sum_b")).first())
     # a background word counts as so many; without a word in the target there is no model to tell apart
     scale = n_t / max(1, n_b)
-    words = words if n_t else words.where(F.lit(False))
-    k_t, k_b, size = (x or 0 for x in words.agg(F.sum("t"), F.sum("b"), F.count(F.lit(1))).first())
-    known = share(spark, BitFilter.of(words, "word", size))
-    counted = training.mapInArrow(_counted(known), "before long, word long, t long, b long")
-    bigrams = counted.groupBy("before", "word").agg(*both).where(often >= LEAST_BIGRAM)
-    # all words, the unknown one included, have one more than they were seen
-    share_of = lambda count, total: (count + 1) / F.lit(float(total + size + 1))
+    least = LEAST_WORD if n_t else 1 << 62
+    sums = all_words.mapInArrow(_known(least), "words long, t long, b long")
+    size, k_t, k_b = (x or 0 for x in sums.agg(F.sum("words"), F.sum("t"), F.sum("b")).first())
     unknown = float(np.log(((n_b - k_b) * scale + 1) / (n_b * scale + size + 1)) - np.log((n_t - k_t + 1) / (n_t + size + 1)))
-    p_t, p_b = share_of(F.col("t"), n_t), share_of(F.col("b") * scale, n_b * scale)
-    values = words.select(F.col("word").alias("known"), (F.log(p_b) - F.log(p_t)).alias("value"), p_t.alias("p_t"), p_b.alias("p_b"))
-
-    after = all_words.select(F.col("word").alias("before"), "all_t", "all_b")
-    often = bigrams.join(after, "before").join(values, F.col("word") == F.col("known"))
-    mixed = lambda n, total, p: F.lit(WEIGHT) * F.coalesce(F.try_divide(n, total), F.lit(0.0)) + F.lit(1 - WEIGHT) * p
-    loss = F.log(mixed(F.col("b"), F.col("all_b"), F.col("p_b"))) - F.log(mixed(F.col("t"), F.col("all_t"), F.col("p_t")))
-    pairs = written(often.select("before", "word", loss.alias("pair_value")).mapInArrow(_named, "pair long, pair_value double"))
+    known = share(spark, BitFilter.of(all_words.mapInArrow(_exploded(least), "key long"), "key", size))
+    pairs = counted(_bigrams(known, buckets), COUNTS[:2], _often_bigrams)
+    n_pairs = pairs.agg(F.sum("n")).first()[0] or 0
+    held = share(spark, BitFilter.of(pairs.mapInArrow(_exploded(LEAST_BIGRAM), "key long"), "key", n_pairs))
 
-    held = share(spark, BitFilter.of(pairs, "pair", pairs.count()))
     id_type = rows.schema["doc_id"].dataType.simpleString()
-    asked = rows.withColumn("row", F.monotonically_increasing_id()).mapInArrow(
-        _asked(held, known),
-        f"chunk long, kind tinyint, key long, word long, places array<int>, n_words long, n_unknown long, doc_id {id_type}",
-    )
-    model = pairs.select(F.lit(PAIR).cast("tinyint").alias("kind"), F.col("pair").alias("key"), F.col("pair_value").alias("value")).unionByName(
-        values.select(F.lit(WORD).cast("tinyint").alias("kind"), F.col("known").alias("key"), "value")
-    )
-    # the last word of a bigram goes on only where it is needed
-    word = F.when(F.col("value").isNull(), F.col("word")).alias("word")
-    told = asked.join(model, ["kind", "key"], "left").select("chunk", "kind", "key", word, "places", "n_words", "n_unknown", "doc_id", "value")
-    return told.groupBy("chunk").applyInArrow(_told(unknown), f"doc_id {id_type}, n_words long, score double")
-
-
-def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        before, word = (batch[c].to_numpy().view(np.uint64) for c in ("before", "word"))
-        yield pa.RecordBatch.from_arrays([pa.array(_bigram(before, word).view(np.int64)), batch["pair_value"]], ["pair", "pair_value"])
+    numbered = rows.withColumn("row", F.monotonically_increasing_id())
+    asked = numbered.mapInArrow(_asked(held, known, buckets), "chunk long, kind int, bucket long, n long, keys binary")
+    model = all_words.withColumn("kind", F.lit(WORD)).unionByName(pairs.withColumn("kind", F.lit(PAIR)))
+    answers = asked.groupBy("kind", "bucket").cogroup(model.groupBy("kind", "bucket")).applyInArrow(_answers, ANSWER)
+    texts = numbered.mapInArrow(_texts, f"chunk long, number int, doc_id {id_type}, text string")
+    tell = _told(held, known, least, (n_t, n_b, size), scale, unknown)
+    return texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(tell, f"doc_id {id_type}, n_words long, score double")
 
 
 def op2_cross_entropy_difference(spark, sf_dir) -> DataFrame:
