@@ -1,11 +1,13 @@
 """What the executed plans look like."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 from touchline import plans
 from touchline.operators import two_sided
 from touchline.schemas import STAGED
+from touchline.scope import Scope
 from touchline.sources import write_tables
 
 from tests import league as L
@@ -120,3 +122,87 @@ def test_extremes_share_the_counts(spark, conf, name, threshold):
     assert scans(plan, "lineitem.parquet") <= 1
     # rosters are kept, and their own plan is printed with each use of them
     assert "InMemoryTableScan" in plan or scans(plan, "orders.parquet") <= 1
+
+
+@pytest.fixture(scope="module")
+def clustered(spark, tmp_path_factory):
+    """400 squads of 40 seasons with 20 players each and 800 matches of 10 goals, as ``write_tables`` leaves them."""
+    out = str(tmp_path_factory.mktemp("clustered"))
+    ids = spark.range(400).select(F.col("id").alias("ID_plantel"))
+    season = F.concat(F.lit("S"), F.lpad(F.floor(F.col("ID_plantel") / 10).cast("string"), 2, "0")).alias("Temporada")
+    squads = ids.select(season, (F.col("ID_plantel") % 10).alias("ID_equipo"), "ID_plantel")
+    number = F.explode(F.sequence(F.lit(0), F.lit(19))).alias("n")
+    player = (F.col("ID_plantel") % 10 * 20 + F.col("n")).alias("ID_jugador")
+    members = squads.select("Temporada", "ID_plantel", number).select("Temporada", "ID_plantel", player)
+    ratings = [c.strip().split(" ") for c in STAGED["tabla_atributos_jugador"].split(",")]
+    known = ("ID_jugador", "Temporada")
+    tables = {
+        "tabla_plantel": squads,
+        "tabla_equipos": spark.createDataFrame([(t, f"team {t}", 1) for t in range(10)], STAGED["tabla_equipos"]),
+        "tabla_conformacion_plantel": members.select("ID_plantel", "ID_jugador"),
+        "tabla_atributos_jugador": members.select(
+            *[F.col(c) if c in known else F.lit(1 if t == "DOUBLE" else None).cast(t).alias(c) for c, t in ratings]
+        ),
+        "tabla_goles": spark.range(8000).select(
+            F.col("id").alias("ID_Gol"), F.floor(F.col("id") / 10).alias("ID_Partido"), (F.col("id") % 7).alias("ID_Jugador"),
+            F.lit("n").alias("Tipo"), F.lit("").alias("Subtipo"),
+        ),
+        "tabla_partidos": spark.createDataFrame(
+            [(i, 1, "S07", None, 1, 2, 0, 0) for i in range(100, 120)], STAGED["tabla_partidos"]
+        ),
+    }
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")
+    write_tables(tables, out)
+    spark.conf.set(coalesce, "true")
+    return {n: spark.read.schema(STAGED[n]).parquet(f"{out}/{n}") for n in tables}
+
+
+def rows_scanned(df, table):
+    """The rows that each scan of a table brought out."""
+    rows = []
+
+    def visit(node):
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            return visit(node.executedPlan())
+        if kind.endswith("QueryStageExec"):
+            return visit(node.plan())
+        if kind == "FileSourceScanExec" and table in node.relation().location().rootPaths().mkString(","):
+            rows.append(node.metrics().apply("numOutputRows").value())
+        for i in range(node.children().size()):
+            visit(node.children().apply(i))
+
+    plan = df._jdf.queryExecution().executedPlan()
+    plan.executeCollect()
+    visit(plan)
+    return rows
+
+
+ASKED = {
+    "squad_sizes": lambda t, s: plans.squad_sizes(t["tabla_conformacion_plantel"], t["tabla_plantel"], t["tabla_equipos"], s),
+    "squad_strength": lambda t, s: plans.squad_strength(*_rated(t), s),
+    "rated_squads": lambda t, s: plans.rated_squads(*_rated(t), s),
+    "least_variation": lambda t, s: plans.least_variation(*_rated(t), s),
+    "player_goals": lambda t, s: plans.player_goals(t["tabla_goles"], t["tabla_partidos"], s),
+}
+
+
+def _rated(t):
+    names = ("tabla_atributos_jugador", "tabla_conformacion_plantel", "tabla_plantel", "tabla_equipos")
+    return [t[n] for n in names]
+
+
+@pytest.mark.parametrize("name", ASKED)
+def test_a_clustered_scope_passes_over_other_squads_and_matches(clustered, name):
+    table = "tabla_goles" if name == "player_goals" else "tabla_conformacion_plantel"
+    ask = ASKED[name]
+    whole, some = (ask(clustered, Scope(1, ("S07", "S08"), clustered=c)) for c in (False, True))
+    assert sorted(map(str, some.collect())) == sorted(map(str, whole.collect()))
+    assert max(rows_scanned(whole, table)) == 8000
+    assert max(rows_scanned(some, table)) <= 2500
+
+
+def test_seasons_pass_over_other_ratings(clustered):
+    strength = ASKED["squad_strength"](clustered, Scope(1, ("S07", "S08")))
+    assert max(rows_scanned(strength, "tabla_atributos_jugador")) <= 2500

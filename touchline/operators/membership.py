@@ -11,6 +11,15 @@ def rows_with(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
     return df.join(other.select(*keys), keys, "left_semi")
 
 
+def rows_within(df: DataFrame, key: str, other: DataFrame, other_key: str) -> DataFrame:
+    """Rows of ``df`` whose key lies between the least and the greatest of ``other``; none if there are none. Both ends
+    are subqueries of the plan. They reach the scan of a file, which passes over what lies outside: but for two
+    aggregates, which the optimizer makes one whose parts no scan takes. So the greatest is a top one."""
+    least = other.agg(F.min(other_key)).scalar()
+    greatest = other.select(other_key).orderBy(F.desc_nulls_last(other_key)).limit(1).scalar()
+    return df.filter(F.col(key).between(least, greatest))
+
+
 def rows_without(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``df`` whose key does not occur in ``other``.
 

@@ -110,7 +110,8 @@ def squad_strength(
     if not season_free:
         keys = ["ID_jugador", "Temporada"]
         sums = _strength_sums(attributes, keys).withColumnRenamed("sum", "strength")
-        belonging = members(rosters).join(scope.squads(squads, teams), "ID_plantel")
+        near = scope.near_rosters(rosters, squads, teams)
+        belonging = members(near).join(scope.squads(squads, teams), "ID_plantel")
         return belonging.join(sums, keys).groupBy("ID_plantel", "ID_equipo", "Temporada").agg(total)
     sums = _strength_sums(attributes, ["ID_jugador"])
     memberships = (
@@ -141,7 +142,8 @@ def rated_squads(
         rated = rows_with(rated, scoped_rosters(rosters, squads, teams, scope), keys)
         found = rows_with(members(rosters), rated, keys)
         return rows_with(squads, found, ["ID_plantel"]).select("ID_plantel", "ID_equipo", "Temporada")
-    belonging = members(rosters).join(scope.squads(squads, teams), "ID_plantel")
+    near = scope.near_rosters(rosters, squads, teams)
+    belonging = members(near).join(scope.squads(squads, teams), "ID_plantel")
     return rows_with(belonging, rated, keys).select("ID_plantel", "ID_equipo", "Temporada").distinct()
 
 

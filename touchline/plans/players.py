@@ -24,7 +24,8 @@ def members(rosters: DataFrame) -> DataFrame:
 
 def scoped_rosters(rosters: DataFrame, squads: DataFrame, teams: DataFrame, scope: Scope) -> DataFrame:
     """Members of the scope's squads: ``ID_plantel, ID_jugador``."""
-    return rows_with(members(rosters), scope.squads(squads, teams), ["ID_plantel"])
+    near = scope.near_rosters(rosters, squads, teams)
+    return rows_with(members(near), scope.squads(squads, teams), ["ID_plantel"])
 
 
 def player_goals(
@@ -32,7 +33,8 @@ def player_goals(
 ) -> DataFrame:
     """Goals of any type per player. Goals without a player are left out; with ``null_player_counts``
     they make up one nameless player."""
-    scored = goals.select(F.col("ID_Partido").alias("ID_partido"), F.col("ID_Jugador").alias("ID_jugador"))
+    near = scope.near_goals(goals, matches)
+    scored = near.select(F.col("ID_Partido").alias("ID_partido"), F.col("ID_Jugador").alias("ID_jugador"))
     if not null_player_counts:
         scored = scored.filter(F.col("ID_jugador").isNotNull())
     return (

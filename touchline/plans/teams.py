@@ -113,7 +113,7 @@ def goal_difference(
 def squad_sizes(rosters: DataFrame, squads: DataFrame, teams: DataFrame, scope: Scope) -> DataFrame:
     """Players per squad of the league's teams. Rosters are counted first: what is joined is one row
     per squad, however large a squad is."""
-    sizes = rosters.groupBy("ID_plantel").agg(F.count("ID_jugador").alias("Cantidad_Jugadores"))
+    sizes = scope.near_rosters(rosters, squads, teams).groupBy("ID_plantel").agg(F.count("ID_jugador").alias("Cantidad_Jugadores"))
     counted = sizes.join(scope.squads(squads, teams), "ID_plantel")
     return (
         named(counted, teams)

@@ -2,18 +2,25 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from touchline.operators import rows_within
+
 
 @dataclass(frozen=True)
 class Scope:
-    """One league and an ordered list of seasons; the last one is the "last season"."""
+    """One league and an ordered list of seasons; the last one is the "last season".
+
+    ``clustered`` says that rosters and goals are stored in the order of their squads and matches, as ``write_tables``
+    leaves them. Then it pays to ask for the range of the scope's ids first, so that the scan passes over the rest.
+    """
 
     league_id: int
     seasons: tuple[str, ...]
+    clustered: bool = False
 
     def __post_init__(self):
         if not self.seasons:
@@ -25,7 +32,7 @@ class Scope:
         return self.seasons[-1]
 
     def only_last(self) -> Scope:
-        return Scope(self.league_id, (self.last_season,))
+        return replace(self, seasons=(self.last_season,))
 
     def league(self, column: str = "ID_liga") -> Column:
         return F.col(column) == F.lit(self.league_id)
@@ -44,3 +51,11 @@ class Scope:
     def squads(self, squads: DataFrame, teams: DataFrame) -> DataFrame:
         """Squads of the seasons whose team plays in the league."""
         return squads.filter(self.season()).join(self.teams(teams), "ID_equipo", "left_semi")
+
+    def near_rosters(self, rosters: DataFrame, squads: DataFrame, teams: DataFrame) -> DataFrame:
+        """Roster rows among which all of the scope's squads are; without ``clustered`` all rows."""
+        return rows_within(rosters, "ID_plantel", self.squads(squads, teams), "ID_plantel") if self.clustered else rosters
+
+    def near_goals(self, goals: DataFrame, matches: DataFrame) -> DataFrame:
+        """Goals among which all of the scope's matches are; without ``clustered`` all goals."""
+        return rows_within(goals, "ID_Partido", self.matches(matches), "ID_partido") if self.clustered else goals

@@ -180,18 +180,31 @@ def read_staged(spark: SparkSession, directory: str, fmt: str = "parquet") -> di
 PARTITIONED = {"tabla_partidos": ["ID_liga", "Temporada"]}
 
 
+# Order within and between the files of a table, so that a scan passes over ids and seasons that nobody asks for.
+CLUSTERED = {
+    "tabla_conformacion_plantel": ["ID_plantel", "ID_jugador"],
+    "tabla_atributos_jugador": ["Temporada", "ID_jugador"],
+    "tabla_goles": ["ID_Partido", "ID_Gol"],
+}
+
+
 def write_tables(
     tables: dict[str, DataFrame],
     directory: str,
     fmt: str = "parquet",
     partitioned: dict[str, list[str]] | None = None,
+    clustered: dict[str, list[str]] | None = None,
 ) -> None:
     """Write each table to its own place under ``directory``, replacing what is there.
 
     A partitioned table is rebalanced by its folder columns before the write: each folder gets a few
     files of good size, and a folder with a large part of all rows is written by several tasks.
+
+    A clustered table is cut into ranges of its columns, which are sorted; a ``Scope`` that is ``clustered`` makes use
+    of that. Rows with equal columns lie in one file: the last ones tell the rows of a hot season or match apart.
     """
     partitioned = PARTITIONED if partitioned is None else partitioned
+    clustered = CLUSTERED if clustered is None else clustered
     for name, df in tables.items():
         if fmt == "csv":
             df.write.mode("overwrite").options(**CSV_OPTIONS).csv(f"{directory}/{name}.csv")
@@ -199,4 +212,6 @@ def write_tables(
         folders = partitioned.get(name, [])
         if folders:
             df = df.hint("rebalance", *folders)
+        elif order := clustered.get(name):
+            df = df.repartitionByRange(*order).sortWithinPartitions(*order)
         df.write.mode("overwrite").format(fmt).partitionBy(*folders).save(f"{directory}/{name}")
