@@ -221,8 +221,9 @@ class DriverTables:
     def attributes(self) -> DataFrame:
         return stage_attributes(self.raw_ratings)
 
-    # Kept by the executors once a question has needed them, as staged tables are kept in files: nothing is written or
-    # run while planning, and what is lost with an executor is made again from the orders.
+    # Squads are kept by the executors once a question has needed them: nothing is written or run while planning, and
+    # what is lost with an executor is made again from the orders. Rosters are made inside each question's plan, of no
+    # more squads than it can ask for: the rosters of all of them are many times the matches.
 
     @cached_property
     def squads(self) -> DataFrame:
@@ -230,7 +231,18 @@ class DriverTables:
 
     @cached_property
     def rosters(self) -> DataFrame:
-        return stage_rosters(self.raw_matches, self.squads).persist()
+        """Of all squads."""
+        return stage_rosters(self.raw_matches, self.squads)
+
+    @cached_property
+    def scope_rosters(self) -> DataFrame:
+        """Of the squads that a question about the scope can ask for."""
+        return stage_rosters(self.raw_matches, SCOPE.near_squads(self.squads, self.teams, self.matches))
+
+    @cached_property
+    def last_rosters(self) -> DataFrame:
+        """Of all squads, of any league, of the scope's last season."""
+        return stage_rosters(self.raw_matches, self.squads.filter(SCOPE.only_last().season()))
 
 
 @cache

@@ -65,7 +65,7 @@ def _before(inside: list[str], order: list[str]) -> Column:
 
 
 def _joined(rows: DataFrame, starts: DataFrame, keys: list[str]) -> DataFrame:
-    """An inner join in which nulls are equal."""
+    """An inner join in which nulls are equal. It merges, so that numbered rows that are kept need no broadcast."""
     theirs = starts.withColumnsRenamed({c: f"_their_{c}" for c in keys})
     same = reduce(lambda x, y: x & y, (F.col(c).eqNullSafe(F.col(f"_their_{c}")) for c in keys))
-    return rows.join(theirs, same).drop(*(f"_their_{c}" for c in keys))
+    return rows.join(theirs.hint("merge"), same).drop(*(f"_their_{c}" for c in keys))

@@ -7,7 +7,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from touchline.operators import rows_within
+from touchline.operators import rows_with, rows_within
 
 
 @dataclass(frozen=True)
@@ -52,6 +52,13 @@ class Scope:
         """Squads of the seasons whose team plays in the league."""
         return squads.filter(self.season()).join(self.teams(teams), "ID_equipo", "left_semi")
 
+    def near_squads(self, squads: DataFrame, teams: DataFrame, matches: DataFrame) -> DataFrame:
+        """Squads of the seasons whose team is listed in the league or played in its matches, on either side. All that
+        a question about the scope asks for are among them, whichever of the two it goes by."""
+        played = self.matches(matches).select(F.explode(F.array("ID_local", "ID_visitante")).alias("ID_equipo"))
+        asked = played.union(self.teams(teams)).distinct()
+        return rows_with(squads.filter(self.season()), asked, ["ID_equipo"])
+
     def near_rosters(self, rosters: DataFrame, squads: DataFrame, teams: DataFrame) -> DataFrame:
         """Roster rows among which all of the scope's squads are; without ``clustered`` all rows."""
         return rows_within(rosters, "ID_plantel", self.squads(squads, teams), "ID_plantel") if self.clustered else rosters
