@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
+from touchline import plans
 from touchline.plans.staging import stage_rosters
 from touchline.scope import Scope
 
@@ -56,3 +57,26 @@ def test_scope_rosters_are_the_whole_ones_of_near_squads(spark):
     last = tables.squads.filter(F.col("Temporada") == driver.SCOPE.last_season)
     for some, squads in ((tables.scope_rosters, near), (tables.last_rosters, last)):
         assert rows(some) == rows(tables.rosters.join(squads, "ID_plantel", "left_semi").select(*some.columns))
+
+
+def test_without_a_season_all_rosters_are_made_once(spark, conf):
+    """The scope's members come of rosters of its own squads."""
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1")
+    tables = driver.DriverTables(spark, SF_DIR)
+    whole = tables.rosters.count()
+    # a distinct has a partial and a final aggregate
+    assert sum(n >= whole for n in made(driver.QUERIES["goal_histogram_season_free_by_team"](tables))) <= 2
+
+
+@pytest.mark.parametrize("ask", [plans.squad_strength, plans.rated_squads])
+@pytest.mark.parametrize("season_free", [True, False])
+def test_near_rosters_change_no_result(spark, ask, season_free):
+    """Player 10 is rated and of squad 0 (in scope) and 2 (not), 11 of 1 and 3."""
+    squads = L.squads(spark, (S1, 1), (S1, 2), (S2, 1), (S2, 3))
+    members = {0: [10], 1: [11], 2: [10, 11], 3: [11]}
+    ratings = L.ratings(spark, [(10, S1, 5.0), (10, S2, 7.0), (11, S1, 3.0)])
+    teams, scope = L.teams(spark, (1,), (2, "T2", 2)), Scope(1, (S1,))
+    whole, near = L.rosters(spark, members), L.rosters(spark, {0: [10]})
+    found = rows(ask(ratings, whole, squads, teams, scope, season_free, near=near))
+    assert found == rows(ask(ratings, whole, squads, teams, scope, season_free))
+    assert [r[0] for r in found] == ([0, 2] if season_free else [0])

@@ -89,6 +89,10 @@ def _strength_sums(attributes: DataFrame, keys: list[str]) -> DataFrame:
     return attributes.groupBy(*keys).agg(F.sum(row_sum).alias("sum")).filter(F.col("sum").isNotNull())
 
 
+def _first(near: DataFrame | None, rosters: DataFrame) -> DataFrame:
+    return rosters if near is None else near
+
+
 def squad_strength(
     attributes: DataFrame,
     rosters: DataFrame,
@@ -96,12 +100,14 @@ def squad_strength(
     teams: DataFrame,
     scope: Scope,
     season_free: bool = False,
+    near: DataFrame | None = None,
 ) -> DataFrame:
     """Sum of all skills of a squad's players: ``ID_plantel, ID_equipo, Temporada, Suma_Atributos_Plantel``.
 
     Only rating rows with all nineteen values count. Each counts once for the squads the player belonged
     to in the season of its date, for the squads of the scope. With ``season_free`` a row counts for all
-    squads of the player, of any season and league, as often as the player has squads in the scope.
+    squads of the player, of any season and league, as often as the player has squads in the scope. Who has rosters of
+    fewer squads, the scope's among them, gives them as ``near``, so that the others are gone through once.
 
     Rating rows shrink to one sum per player (and season) before they are joined, so their number
     multiplies nothing.
@@ -110,12 +116,11 @@ def squad_strength(
     if not season_free:
         keys = ["ID_jugador", "Temporada"]
         sums = _strength_sums(attributes, keys).withColumnRenamed("sum", "strength")
-        near = scope.near_rosters(rosters, squads, teams)
-        belonging = members(near).join(scope.squads(squads, teams), "ID_plantel")
+        belonging = members(scope.near_rosters(_first(near, rosters), squads, teams)).join(scope.squads(squads, teams), "ID_plantel")
         return belonging.join(sums, keys).groupBy("ID_plantel", "ID_equipo", "Temporada").agg(total)
     sums = _strength_sums(attributes, ["ID_jugador"])
     memberships = (
-        scoped_rosters(rosters, squads, teams, scope).groupBy("ID_jugador").agg(F.count(F.lit(1)).alias("squads"))
+        scoped_rosters(_first(near, rosters), squads, teams, scope).groupBy("ID_jugador").agg(F.count(F.lit(1)).alias("squads"))
     )
     repeated = sums.join(memberships, "ID_jugador").select(
         "ID_jugador", (F.col("sum") * F.col("squads")).alias("strength")
@@ -131,19 +136,19 @@ def rated_squads(
     teams: DataFrame,
     scope: Scope,
     season_free: bool = False,
+    near: DataFrame | None = None,
 ) -> DataFrame:
     """The squads that ``squad_strength`` has a sum for, without it: ``ID_plantel, ID_equipo, Temporada``. One member
     with one complete rating row is enough, so that nothing is added up and both sides of the question are
-    semi-joins."""
+    semi-joins. ``near`` is as for ``squad_strength``."""
     keys = ["ID_jugador"] if season_free else ["ID_jugador", "Temporada"]
     row_sum = reduce(add, (F.col(c) for c in STRENGTH_COLUMNS))
     rated = attributes.filter(row_sum.isNotNull()).select(*keys).distinct()
     if season_free:
-        rated = rows_with(rated, scoped_rosters(rosters, squads, teams, scope), keys)
+        rated = rows_with(rated, scoped_rosters(_first(near, rosters), squads, teams, scope), keys)
         found = rows_with(members(rosters), rated, keys)
         return rows_with(squads, found, ["ID_plantel"]).select("ID_plantel", "ID_equipo", "Temporada")
-    near = scope.near_rosters(rosters, squads, teams)
-    belonging = members(near).join(scope.squads(squads, teams), "ID_plantel")
+    belonging = members(scope.near_rosters(_first(near, rosters), squads, teams)).join(scope.squads(squads, teams), "ID_plantel")
     return rows_with(belonging, rated, keys).select("ID_plantel", "ID_equipo", "Temporada").distinct()
 
 
