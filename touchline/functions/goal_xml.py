@@ -27,7 +27,10 @@ PROLOGUE = r"^\x{FEFF}?\s*(<\?xml[^>]*\?>)?"
 
 def parse_document(xml: Column) -> Column:
     """Parse inside the JVM; text that is no XML comes back in the corrupt-record field. Blanks in values stay."""
-    wrapped = F.concat(F.lit(f"<{OUTER}>"), F.regexp_replace(xml, PROLOGUE, ""), F.lit(f"</{OUTER}>"))
+    # text that starts with an element has no prologue
+    bare = xml.startswith("<") & ~xml.startswith("<?")
+    element = F.when(bare, xml).otherwise(F.regexp_replace(xml, PROLOGUE, ""))
+    wrapped = F.concat(F.lit(f"<{OUTER}>"), element, F.lit(f"</{OUTER}>"))
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "ignoreSurroundingSpaces": "false"}
     return F.from_xml(wrapped, DOCUMENT, options)
 
