@@ -148,3 +148,18 @@ def test_stage_all(spark, landed):
     counts = {name: df.count() for name, df in staged.items()}
     assert counts.pop("tabla_atributos_jugador") == 0
     assert set(counts.values()) == {1} and len(counts) == 10
+
+
+def test_rosters_of_more_matches_take_more_tasks(spark, monkeypatch):
+    """Players are shuffled before any are combined, and a task's share does not grow with the matches."""
+    found = [match(i, S1, 1 + i % 3, 4, home_player_1=float(i % 7), away_player_2=float(i % 5)) for i in range(60)]
+    matches = raw_matches(spark, found)
+    squads = plans.stage_squads(plans.stage_matches(matches))
+    monkeypatch.setattr("touchline.plans.staging.ROSTER_PLACES", 44)
+    for count in (60, 120):
+        some = plans.stage_rosters(matches, squads, count)
+        assert rows(some) == rows(plans.stage_rosters(matches, squads))
+        plan = executed(some)
+        tasks = 1 + count * 22 // 44
+        assert f", {tasks}), REPARTITION_BY_NUM" in plan
+        assert "Aggregate" not in plan[plan.index("REPARTITION_BY_NUM") : plan.index("SortMergeJoin" if "SortMergeJoin" in plan else "HashJoin")]

@@ -74,6 +74,7 @@ class DriverTables:
         self.lineitem, self.region = read("lineitem"), read("region")
         # counted once, when the tables are opened, as their schemas are read
         self.team_count, self.player_count = self.customer.count(), self.part.count()
+        self.match_count = self.orders.count()
 
     # ---- raw tables -------------------------------------------------------------------------
 
@@ -232,7 +233,7 @@ class DriverTables:
     @cached_property
     def rosters(self) -> DataFrame:
         """Of all squads."""
-        return stage_rosters(self.raw_matches, self.squads)
+        return stage_rosters(self.raw_matches, self.squads, self.match_count)
 
     @cached_property
     def scope_rosters(self) -> DataFrame:

@@ -87,23 +87,35 @@ def line_ups(matches: DataFrame) -> DataFrame:
     return matches.select(F.col("season").alias("Temporada"), F.inline(sides))
 
 
-def stage_rosters(matches: DataFrame, squads: DataFrame) -> DataFrame:
+#: Places in a line-up that a task makes distinct, if the number of matches is known.
+ROSTER_PLACES = 1 << 21
+
+
+def stage_rosters(matches: DataFrame, squads: DataFrame, match_count: int | None = None) -> DataFrame:
     """Members of each of the ``squads``, all or some. A side whose team has none of them in the season has no roster.
 
     Sides meet the squads while they are two rows a match. Only then are they players, who are made distinct as two
     numbers: ``distinct`` combines before it shuffles, and spreads a team with a large part of the matches by player.
     Whoever asks for few squads has few players to make distinct.
+
+    With ``match_count``, about how many matches there are, players are shuffled before any of them are combined, to as
+    many tasks as keeps ``ROSTER_PLACES`` in each. That is for the rosters of all squads: no task then holds more of
+    them in memory when there are more matches.
     """
     seasons = squads.select(F.col("Temporada").alias("its_season"), F.col("ID_equipo").alias("its_team"), "ID_plantel")
     same = (F.col("Temporada") == F.col("its_season")) & (F.col("ID_equipo") == F.col("its_team"))
-    return (
+    members = (
         line_ups(matches)
         .join(seasons, same)
         .select("ID_plantel", F.explode("slots").alias("slot"))
         .select("ID_plantel", F.col("slot").try_cast("bigint").alias("ID_jugador"))
         .filter(F.col("ID_jugador").isNotNull())
-        .distinct()
     )
+    if match_count is not None:
+        places = match_count * (len(HOME_SLOTS) + len(AWAY_SLOTS))
+        tasks = max(matches.sparkSession.sparkContext.defaultParallelism, 1 + places // ROSTER_PLACES)
+        members = members.repartition(tasks, "ID_plantel", "ID_jugador")
+    return members.distinct()
 
 
 def explode_goal_xml(
@@ -195,6 +207,6 @@ def stage_all(
         "tabla_partidos": matches,
         "tabla_resultado": stage_outcomes(matches),
         "tabla_plantel": squads,
-        "tabla_conformacion_plantel": stage_rosters(raw_matches, squads),
+        "tabla_conformacion_plantel": stage_rosters(raw_matches, squads, raw_matches.count()),
         "tabla_atributos_jugador": stage_attributes(raw["enunciado_jugadores_atributos"], **season_rule),
     }
