@@ -219,3 +219,30 @@ def test_repeated_labelled_rows_come_to_the_driver_once(spark, monkeypatch):
     monkeypatch.setattr(quality, "Network", lambda features, marks: seen.append(len(marks)) or (lambda x: np.zeros(len(x))))
     quality.fit(docs, labels, sample=2)
     assert seen == [2]
+
+
+def test_words_reach_their_chunk_packed(spark, monkeypatch):
+    """What a chunk is told goes many words to a row, and sums in as few bytes as they need."""
+    rng = random.Random(4)
+    texts = [" ".join(f"w{rng.randrange(3000)}x" for _ in range(50)) for _ in range(200)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(quality, "FREQUENT", 0)
+    seen = quality.WordVectors(docs.select("text"))
+    grouped = type(docs).groupBy
+    told = []
+    monkeypatch.setattr(type(docs), "groupBy", lambda df, *c: (told.append(df) if c == ("chunk",) else None) or grouped(df, *c))
+    whole = {r.doc_id: r.features for r in seen.features(docs, "text", ["doc_id"]).collect()}
+    packs = [r for r in told[0].collect() if r.text is None]
+    asked = len({w for t in texts for w in t.split()})
+    assert 0 < len(packs) < asked / 10
+    assert all(len(r.sums) < 8 * quality.DIMENSIONS for r in told[0].collect() if r.text is not None)
+    # many small packs hold the same
+    monkeypatch.setattr(quality, "TOLD", 20)
+    assert {r.doc_id: r.features for r in seen.features(docs, "text", ["doc_id"]).collect()} == whole
+
+
+def test_sums_survive_being_narrowed():
+    for most in (0, 1, 127, 128, 1 << 40, (1 << 62) - 1):
+        x = np.array([[most, -most] * (quality.DIMENSIONS // 2)] * 3)
+        assert (quality._wide(quality._narrow(x)) == x).all()
+    assert quality._wide(quality._narrow(x) + quality._narrow(x[:1] % 100))[3].tolist() == (x[0] % 100).tolist()

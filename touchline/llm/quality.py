@@ -41,8 +41,11 @@ REACH = 2
 UNIT = float(1 << 24)
 #: Words whose contexts a task adds up, on average.
 WORDS = 30_000
-#: Bytes of text that are counted, or ask for their words, together.
+#: Bytes of text that are counted together, and of those that ask for their words together.
 CHUNK = 8 << 20
+ASKING = 24 << 20
+#: Words told to texts that a task gathers before it packs them.
+TOLD = 400_000
 #: Labelled documents for training and calibration, at most: those with the least hashes of their ids.
 SAMPLE = 20_000
 HIDDEN = 32
@@ -267,19 +270,88 @@ class WordVectors:
             _asked(self.frequent, self.recurring, self.all_words, text, keep),
             f"chunk long, word long, text int, places array<int>, sums binary, words long{', ' if keep else ''}{kinds}",
         )
-        told = asked.join(self.others, "word", "left")
+        known = asked.join(self.others, "word", "left")
+        told = known.mapInArrow(_told(keep), f"chunk long, text int, sums binary, words long, told binary{', ' if keep else ''}{kinds}")
         return told.groupBy("chunk").applyInArrow(_pooled(self.all_words, keep), f"{kinds}{', ' if keep else ''}features binary")
 
 
-def _sum_up(vectors: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
-    """Add up the rows of ``vectors`` that belong to each of ``n`` texts; ``text`` ascends."""
+def _sum_up(vectors: np.ndarray, which: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
+    """Add up the rows ``which`` of ``vectors`` that belong to each of ``n`` texts; ``text`` ascends. One dimension
+    after the other, for numpy adds up parts of a row of numbers far faster than parts of a table."""
     out = np.zeros((n, DIMENSIONS), np.int64)
     if len(text):
         first = np.flatnonzero(np.concatenate(([True], text[1:] != text[:-1])))
-        out[text[first]] = np.add.reduceat(vectors, first, axis=0, dtype=np.int64)
+        for k in range(DIMENSIONS):
+            out[text[first], k] = np.add.reduceat(vectors[:, k].astype(np.int64)[which], first)
     return out
 
 
+def _narrow(sums: np.ndarray) -> list[bytes]:
+    """Each row of whole numbers in as many bytes a number as all rows need."""
+    most = int(np.abs(sums).max(initial=0))
+    size = next(b for b in range(1, 9) if b == 8 or most < 1 << (8 * b - 1))
+    low = np.ascontiguousarray(sums.astype("<i8").view(np.uint8).reshape(len(sums), DIMENSIONS, 8)[:, :, :size])
+    return [x.tobytes() for x in low]
+
+
+def _wide(rows: list[bytes]) -> np.ndarray:
+    """The rows that ``_narrow`` made, each batch of them in its own width."""
+    out = np.zeros((len(rows), DIMENSIONS), np.int64)
+    sizes = np.array([len(x) // DIMENSIONS for x in rows], np.int64)
+    for size in np.unique(sizes).tolist():
+        these = np.flatnonzero(sizes == size)
+        full = np.zeros((len(these), DIMENSIONS, 8), np.uint8)
+        full[:, :, 8 - size :] = np.frombuffer(b"".join(rows[i] for i in these), np.uint8).reshape(-1, DIMENSIONS, size)
+        out[these] = full.reshape(len(these), -1).view("<i8") >> (8 * (8 - size))
+    return out
+
+
+#: What a text's chunk is told of a word.
+_ANSWER = ["word", "n", "places", "context"]
+
+
+def _told(keep: list[str]):
+    """Rows of texts as they are; of the words' rows those that a task has for a chunk in one, compressed."""
+
+    def packs(rows: list[pa.RecordBatch], kinds: list[pa.DataType]) -> pa.RecordBatch:
+        rare = pa.Table.from_batches(rows)
+        # contexts of words that are as frequent have numbers of like size, and compress better together
+        rare = rare.take(pa.compute.sort_indices(rare, [("chunk", "ascending"), ("n", "ascending")])).combine_chunks()
+        chunk = rare["chunk"].to_numpy()
+        first = np.flatnonzero(np.concatenate(([True], chunk[1:] != chunk[:-1])))
+        out, answers = [], rare.select(_ANSWER)
+        for a, b in zip(first.tolist(), [*first[1:].tolist(), len(chunk)], strict=True):
+            held = pa.BufferOutputStream()
+            with pa.ipc.new_stream(held, answers.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+                stream.write_table(answers.slice(a, b - a))
+            out.append(held.getvalue().to_pybytes())
+        n = len(out)
+        none = [pa.nulls(n, t) for t in (pa.int32(), pa.binary(), pa.int64())]
+        columns = [pa.array(chunk[first]), *none, pa.array(out, pa.binary()), *[pa.nulls(n, t) for t in kinds]]
+        return pa.RecordBatch.from_arrays(columns, ["chunk", "text", "sums", "words", "told", *keep])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, held, kinds = [], 0, []
+        for batch in batches:
+            kinds = [batch[c].type for c in keep]
+            is_text = pa.compute.is_valid(batch["text"])
+            texts = batch.filter(is_text)
+            if texts.num_rows:
+                columns = [*[texts[c] for c in ("chunk", "text", "sums", "words")], pa.nulls(texts.num_rows, pa.binary()), *[texts[c] for c in keep]]
+                yield pa.RecordBatch.from_arrays(columns, ["chunk", "text", "sums", "words", "told", *keep])
+            rare = batch.filter(pa.compute.invert(is_text)).select(["chunk", *_ANSWER])
+            if rare.num_rows:
+                rows.append(rare)
+                held += rare.num_rows
+            if held >= TOLD:
+                yield packs(rows, kinds)
+                rows, held = [], 0
+        if rows:
+            yield packs(rows, kinds)
+
+    return run
+
+
 def _asked(frequent, recurring, all_words: int, text_column: str, keep: list[str]):
     """For each text a row with the sum over its frequent words and those that stand nowhere else; for each other
     word of some texts a row with the texts where it occurs, one for each occurrence. The first kind asks for a word
@@ -289,7 +361,7 @@ def _asked(frequent, recurring, all_words: int, text_column: str, keep: list[str
         roller, (often, table), known = Roller(), frequent(), recurring()
         for batch in batches:
             row = batch["row"].to_numpy()
-            for begin, some_texts in chunks(arrow_bytes(batch[text_column]), CHUNK):
+            for begin, some_texts in chunks(arrow_bytes(batch[text_column]), ASKING):
                 n = len(some_texts)
                 sums, words = np.zeros((n, DIMENSIONS), np.int64), np.zeros(n, np.int64)
                 rare, held = [np.zeros(0, np.uint64)], [np.zeros(0, np.int32)]
@@ -303,7 +375,7 @@ def _asked(frequent, recurring, all_words: int, text_column: str, keep: list[str
                     vectors[is_often] = table[at[is_often]]
                     vectors[alone] = vectors_of(different[alone], count[alone], _contexts(different, which, alone, ends), all_words)
                     text = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))
-                    sums[start : start + len(texts)] = _sum_up(vectors[which], text, len(texts))
+                    sums[start : start + len(texts)] = _sum_up(vectors, which, text, len(texts))
                     words[start : start + len(texts)] = np.diff(ends, prepend=0)
                     asks = ask[which]
                     rare.append(hashes[asks])
@@ -319,7 +391,7 @@ def _asked(frequent, recurring, all_words: int, text_column: str, keep: list[str
                         pa.array(np.concatenate((own, word)).view(np.int64)),
                         pa.concat_arrays([pa.array(np.arange(n, dtype=np.int32)), pa.nulls(k, pa.int32())]),
                         pa.concat_arrays([pa.nulls(n, pa.list_(pa.int32())), pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(places))]),
-                        pa.array([*(x.tobytes() for x in sums), *[None] * k], pa.binary()),
+                        pa.array([*_narrow(sums), *[None] * k], pa.binary()),
                         pa.concat_arrays([pa.array(words), pa.nulls(k, pa.int64())]),
                         *[pa.concat_arrays([batch[c].slice(begin, n), pa.nulls(k, batch[c].type)]) for c in keep],
                     ],
@@ -335,18 +407,19 @@ def _pooled(all_words: int, keep: list[str]):
 
     def run(part: pa.Table) -> pa.Table:
         is_text = pa.compute.is_valid(part["text"])
-        texts, rare = part.filter(is_text), part.filter(pa.compute.invert(is_text))
+        texts, packs = part.filter(is_text), part.filter(pa.compute.invert(is_text))["told"].to_pylist()
         text, words = texts["text"].to_numpy(), texts["words"].to_numpy()
         sums = np.zeros((len(text), DIMENSIONS), np.int64)
-        sums[text] = np.frombuffer(b"".join(texts["sums"].to_pylist()), np.int64).reshape(-1, DIMENSIONS)
-        for batch in rare.to_batches(max_chunksize=20_000):
+        sums[text] = _wide(texts["sums"].to_pylist())
+        rare = [pa.ipc.open_stream(x).read_all() for x in packs]
+        for batch in pa.concat_tables(rare).combine_chunks().to_batches(max_chunksize=20_000) if rare else ():
             n = batch["n"].fill_null(1).to_numpy(zero_copy_only=False)
             vectors = vectors_of(batch["word"].to_numpy().view(np.uint64), n, _unpacked(batch["context"].to_pylist()), all_words)
             places = batch["places"].flatten().to_numpy()
             which = np.repeat(np.arange(len(vectors)), batch["places"].value_lengths().to_numpy())
             order = np.argsort(places, kind="stable")
             for some in np.array_split(order, 1 + len(order) // 200_000):
-                sums += _sum_up(vectors[which[some]], places[some], len(sums))
+                sums += _sum_up(vectors, which[some], places[some], len(sums))
         out = np.zeros((len(text), FEATURES), np.float32)
         out[:, :DIMENSIONS] = sums[text] / (UNIT * np.maximum(words, 1))[:, None]
         out[:, DIMENSIONS] = np.linalg.norm(out[:, :DIMENSIONS], axis=1)
