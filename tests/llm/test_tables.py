@@ -246,3 +246,17 @@ def test_sums_survive_being_narrowed():
         x = np.array([[most, -most] * (quality.DIMENSIONS // 2)] * 3)
         assert (quality._wide(quality._narrow(x)) == x).all()
     assert quality._wide(quality._narrow(x) + quality._narrow(x[:1] % 100))[3].tolist() == (x[0] % 100).tolist()
+
+
+def test_quality_stage_sends_no_text_along(spark, monkeypatch):
+    """Rows are kept by their text's score: those without id, those that share one, and all columns."""
+    good, bad = "fine words here", "zz !! zz"
+    rows = [(i, good + f" {i % 7}" if i % 2 else bad + f" {i % 7}", i) for i in range(200)] + [(None, good + " 1", 1), (None, bad + " 2", 2), (3, bad + " 2", 3), (3, good + " 3", 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, more long").repartition(3)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200) if i != 3], "doc_id long, quality int")
+    kept = []
+    fit = quality.fit
+    monkeypatch.setattr(quality, "fit", lambda *a, **k: kept.append(fit(*a, **k)) or kept[-1])
+    found = good_documents(docs, labels)
+    assert Counter(found.collect()) == Counter(r for r in docs.collect() if r.text.startswith("fine"))
+    assert not any(t == "string" for _, t in kept[0].rows.dtypes)

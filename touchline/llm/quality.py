@@ -24,7 +24,7 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm.common import BitFilter, Plain, arrow_bytes, share, table
+from touchline.llm.common import BitFilter, Plain, arrow_bytes, share, table, text_key
 from touchline.llm.recurrence import chunks
 from touchline.llm.rolling import Roller, mix
 from touchline.session import written
@@ -548,12 +548,23 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, i
     )
 
 
-def good_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, **columns: str) -> DataFrame:
+def good_documents(
+    docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, id_column: str = "doc_id", text_column: str = "text", **columns: str
+) -> DataFrame:
     """The rows of ``docs`` that the classifier does not reject, with all their columns. Without any labelled row to
-    learn from it rejects none."""
-    model = fit(docs, labels, **columns)
-    rows = model.scored()
-    return model.plain.restore(rows.where(F.col("score") >= threshold) if model.fitted else rows)
+    learn from it rejects none.
+
+    A score depends on the text alone. So texts are scored by their hashes, and rows leave whose text is rejected; no
+    text goes with the words."""
+    plain = Plain(docs)
+    keys = [f"{id_column}_{text_column}_{i}" for i in range(2)]
+    hashes = [h.alias(k) for h, k in zip(text_key(F.col(plain[text_column])), keys, strict=True)]
+    rows = plain.df.select(F.col(plain[id_column]).alias(id_column), F.col(plain[text_column]).alias(text_column), *hashes)
+    model = fit(rows, labels, id_column=id_column, text_column=text_column, keep=[id_column, *keys], **columns)
+    if not model.fitted:
+        return docs
+    rejected = model.scored().where(F.col("score") < threshold).select(*[F.col(model.plain[k]).alias(k) for k in keys]).distinct()
+    return plain.restore(plain.df.select("*", *hashes).join(written(rejected), keys, "left_anti"))
 
 
 def op3_quality_classifier(spark, sf_dir) -> DataFrame:
