@@ -4,6 +4,7 @@ import random
 import re
 from itertools import combinations
 
+from touchline.llm import jaccard
 from touchline.llm.jaccard import jaccard_groups, one_of_each
 
 SCHEMA = "doc_id long, text string"
@@ -79,3 +80,30 @@ def test_one_of_each_removes_rows_and_no_text_without_a_copy(spark):
         assert sorted(map(tuple, one_of_each(df).collect()), key=str) == want
     nameless = spark.createDataFrame([(None, a), (None, a)], SCHEMA)
     assert one_of_each(nameless).count() == 2
+
+
+def test_only_the_sets_of_a_rounds_pairs_travel(spark, monkeypatch):
+    rng = random.Random(5)
+    line = " ".join(f"l{i}" for i in range(12))  # makes classes of texts that are linked with none
+    rows = [" ".join(f"w{rng.randrange(9000)}" for _ in range(12)) + " " + line for _ in range(40)]
+    rows += [" ".join(f"n{i}" for i in range(60)) + end for end in ("", " more", " other")]
+    met = []
+
+    def watched(pairs, parts, percent):
+        ids = {i for p in pairs.collect() for i in (p.x, p.y)}
+        met.append((ids, {r.id for r in parts.select("id").collect()}))
+        return links(pairs, parts, percent)
+
+    links = jaccard.links
+    monkeypatch.setattr(jaccard, "links", watched)
+    rows = list(enumerate(rows))
+    got = jaccard_groups(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(rows)
+    assert met and all(0 < len(ids) == len(parts) <= 3 for ids, parts in met)
+
+
+def test_a_pair_of_the_last_round_is_made_once(spark):
+    about = spark.range(3).selectExpr("id", f"struct(100L AS n, {', '.join(f'0L AS s{i}' for i in range(jaccard.SIGNS))}) AS about")
+    rows = [(key, i, i) for i in range(3) for key in range(30) if (key + i) % 3]
+    labelled = spark.createDataFrame(rows, "key long, id long, label long")
+    assert sorted(map(tuple, jaccard._left_pairs(labelled, about, 85).collect())) == [(0, 1), (0, 2), (1, 2)]
