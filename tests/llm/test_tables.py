@@ -241,6 +241,22 @@ def test_words_reach_their_chunk_packed(spark, monkeypatch):
     assert {r.doc_id: r.features for r in seen.features(docs, "text", ["doc_id"]).collect()} == whole
 
 
+def test_texts_get_their_words_in_turns(spark, monkeypatch):
+    """Each turn asks for the words of its own texts only, and turns change no feature."""
+    rng = random.Random(6)
+    texts = [" ".join(f"w{rng.randrange(900)}x" for _ in range(30)) for _ in range(90)] + ["", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(quality, "FREQUENT", 0)
+    seen = quality.WordVectors(docs.select("text"))
+    one = {r.doc_id: r.features for r in seen.features(docs, "text", ["doc_id"], turns=1).collect()}
+    grouped = type(docs).groupBy
+    told = []
+    monkeypatch.setattr(type(docs), "groupBy", lambda df, *c: (told.append(df) if c == ("chunk",) else None) or grouped(df, *c))
+    assert {r.doc_id: r.features for r in seen.features(docs, "text", ["doc_id"]).collect()} == one
+    counts = [df.where("text IS NOT NULL").count() for df in told]
+    assert len(counts) == quality.TURNS and sum(counts) == len(texts) and max(counts) < len(texts) / 2
+
+
 def test_sums_survive_being_narrowed():
     for most in (0, 1, 127, 128, 1 << 40, (1 << 62) - 1):
         x = np.array([[most, -most] * (quality.DIMENSIONS // 2)] * 3)

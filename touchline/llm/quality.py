@@ -17,6 +17,7 @@ temperature fitted on labelled documents apart from those calibrates.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +47,8 @@ CHUNK = 8 << 20
 ASKING = 24 << 20
 #: Words told to texts that a task gathers before it packs them.
 TOLD = 400_000
+#: Parts of the texts, by hash, that get their words one after the other, so that only a part's words are on disk.
+TURNS = 3
 #: Labelled documents for training and calibration, at most: those with the least hashes of their ids.
 SAMPLE = 20_000
 HIDDEN = 32
@@ -122,7 +125,7 @@ def _added(parts: list[tuple[np.ndarray, ...]], dtype: type = np.int64) -> list[
 
 #: The types that a context's numbers are sent in: the smallest that holds all of them.
 _KINDS = (np.int8, np.int16, np.int32)
-PACKED = "bucket int, kind int, words binary, counts binary, contexts binary"
+PACKED = "bucket int, kind int, n int, words binary, counts binary, contexts binary"
 
 
 def _kinds(total: np.ndarray) -> np.ndarray:
@@ -147,10 +150,11 @@ def _context_rows(frequent, recurring, buckets: int):
         out = []
         for these in np.split(order, at[1:]) if len(at) else ():
             k = int(kind[these[0]])
-            out.append((int(bucket[these[0]]), k, words[these].tobytes(), count[these].astype(np.int64).tobytes(), total[these].astype(_KINDS[k]).tobytes()))
-        types = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+            data = (words[these], count[these].astype(np.int64), total[these].astype(_KINDS[k]))
+            out.append((int(bucket[these[0]]), k, len(these), *[pa.compress(x.tobytes(), "zstd", asbytes=True) for x in data]))
+        types = (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
         columns = [pa.array([r[i] for r in out], t) for i, t in enumerate(types)]
-        return pa.RecordBatch.from_arrays(columns, ["bucket", "kind", "words", "counts", "contexts"])
+        return pa.RecordBatch.from_arrays(columns, ["bucket", "kind", "n", "words", "counts", "contexts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         roller, often, known = Roller(), frequent(), recurring()
@@ -175,14 +179,19 @@ def _context_rows(frequent, recurring, buckets: int):
     return run
 
 
+def _unzipped(data: bytes, n: int, dtype: type) -> np.ndarray:
+    size = n * np.dtype(dtype).itemsize
+    return np.frombuffer(pa.decompress(data, size, "zstd", asbytes=True), dtype)
+
+
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(word, n, context) of the words of some buckets."""
     parts: list[tuple[np.ndarray, ...]] = []
     size = merged = 0
     for batch in batches:
-        for kind, words, counts, contexts in zip(*(batch[c].to_pylist() for c in ("kind", "words", "counts", "contexts")), strict=True):
-            held = np.frombuffer(contexts, _KINDS[kind]).reshape(-1, DIMENSIONS)
-            parts.append((np.frombuffer(words, np.uint64), np.frombuffer(counts, np.int64), held))
+        for kind, n, words, counts, contexts in zip(*(batch[c].to_pylist() for c in ("kind", "n", "words", "counts", "contexts")), strict=True):
+            held = _unzipped(contexts, n * DIMENSIONS, _KINDS[kind]).reshape(-1, DIMENSIONS)
+            parts.append((_unzipped(words, n, np.uint64), _unzipped(counts, n, np.int64), held))
             size += len(held)
             if size > 4 * WORDS + 2 * merged:
                 parts = [tuple(_added(parts))]
@@ -262,8 +271,12 @@ class WordVectors:
         self.frequent = share(spark, (word[order], vectors.astype(np.int32)))
         self.others = contexts.where(step < least)
 
-    def features(self, docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
-        """The columns ``keep`` of each row of ``docs`` and its ``features``."""
+    def features(self, docs: DataFrame, text: str, keep: list[str], turns: int = TURNS) -> DataFrame:
+        """The columns ``keep`` of each row of ``docs`` and its ``features``, written."""
+        turn = F.pmod(F.xxhash64(text), F.lit(turns))
+        return reduce(DataFrame.unionByName, [written(self._features(docs.where(turn == i), text, keep)) for i in range(turns)])
+
+    def _features(self, docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
         kinds = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in keep)
         rows = docs.withColumn("row", F.monotonically_increasing_id())
         asked = rows.mapInArrow(
@@ -516,7 +529,7 @@ def fit(
     plain, marks = Plain(docs), Plain(labels)
     vectors = WordVectors(plain.df.select(F.col(plain[text_column]).alias("text")))
     kept = plain.columns if keep is None else [plain[c] for c in keep]
-    rows = written(vectors.features(plain.df, plain[text_column], kept))
+    rows = vectors.features(plain.df, plain[text_column], kept)
     known = (
         marks.df.select(F.col(marks[id_column]).alias("doc_id"), F.col(marks[label_column]).cast("int").alias("label"))
         .where(F.col("doc_id").isNotNull() & F.col("label").isNotNull() & ~held_out(F.col("doc_id")))
