@@ -1,0 +1,94 @@
+"""What executors and their Python workers hold at once."""
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from touchline.llm import jaccard, quality
+from touchline.llm.common import released, share
+from touchline.llm.rolling import Roller
+from touchline.session import ARROW_BYTES, arrow_batches
+
+
+def test_shared_arrays_are_not_copied(spark):
+    value = share(spark, {"a": np.arange(1000), "b": [np.ones((3, 4), np.int32), "c"]})
+    one, two = value(), value()
+    assert np.array_equal(one["a"], np.arange(1000)) and np.array_equal(one["b"][0], np.ones((3, 4))) and one["b"][1] == "c"
+    assert np.shares_memory(one["a"], two["a"]) and np.shares_memory(one["b"][0], two["b"][0])
+    sums = spark.range(4).mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"s": [int(value()["a"].sum())]}) for _ in batches), "s long")
+    assert {r.s for r in sums.collect()} == {499500}
+
+
+def test_arrow_batches_are_bounded_and_the_callers_setting_stays(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+    texts = spark.range(0, 1000, 1, 1).selectExpr("repeat('x', 1000) AS text")
+    before = spark.conf.get(ARROW_BYTES)
+    with pytest.raises(ZeroDivisionError), arrow_batches(spark, 100_000):
+        rows = [r.n for r in texts.mapInArrow(released(sizes), "n long").collect()]
+        assert sum(rows) == 1000 and max(rows) <= 110
+        raise ZeroDivisionError
+    assert spark.conf.get(ARROW_BYTES) == before
+
+
+def test_texts_go_to_python_in_bounded_batches(spark, monkeypatch):
+    """Of the Jaccard join and of the classifier."""
+    met = {jaccard: [], quality: []}
+    for module, held in met.items():
+        write = module.written
+        monkeypatch.setattr(module, "written", lambda df, held=held, write=write: held.append(spark.conf.get(ARROW_BYTES)) or write(df))
+    docs = spark.createDataFrame([(i, f"a b c d e f {i % 3}") for i in range(9)], "doc_id long, text string")
+    before = spark.conf.get(ARROW_BYTES)
+    assert {r.component_id for r in jaccard.jaccard_groups(docs).collect()} == {0, 1, 2}
+    assert met[jaccard][:3] == [str(jaccard.BATCH)] * 3
+    quality.WordVectors(docs.select("text")).features(docs, "text", ["doc_id"])
+    assert met[quality] == [str(quality.CHUNK)] * 2 + [str(quality.ASKING)] * quality.TURNS
+    assert spark.conf.get(ARROW_BYTES) == before
+
+
+def test_packs_are_opened_a_few_at_a_time():
+    def pack(numbers):
+        held, table = pa.BufferOutputStream(), pa.table({"word": pa.array(numbers, pa.int64())})
+        with pa.ipc.new_stream(held, table.schema) as stream:
+            stream.write_table(table)
+        return held.getvalue().to_pybytes()
+
+    numbers = [list(range(a, a + n)) for a, n in ((0, 3), (3, 0), (3, 4), (7, 25), (32, 1))]
+    got = [b["word"].to_pylist() for b in quality._opened([pack(x) for x in numbers], 6)]
+    assert sum(got, []) == list(range(33)) and max(map(len, got)) <= 6
+    assert list(quality._opened([])) == []
+
+
+def test_a_tasks_frequent_words_are_packed_some_at_a_time(monkeypatch):
+    texts = pa.RecordBatch.from_pydict({"text": [" ".join(f"{a}{b}" for a in "abcdefgh" for b in "ijklmnop")] * 3})
+    often = np.unique(quality._words(Roller(), texts["text"].cast("binary").to_pylist())[0])
+
+    class Nothing:
+        def may_hold(self, words):
+            return np.zeros(len(words), bool)
+
+    def summed():
+        rows = [b for b in quality._context_rows(lambda: often, Nothing, 3)([texts]) if b.num_rows]
+        out = pa.Table.from_batches(quality._summed(rows))
+        return rows, sorted(zip(*(out[c].to_pylist() for c in ("word", "n", "context")), strict=True))
+
+    whole, want = summed()
+    monkeypatch.setattr(quality, "WORDS", 10)
+    rows, got = summed()
+    assert got == want and len(got) == len(often) == 64
+    assert max(sum(b["n"].to_pylist()) for b in rows) <= 10 < max(sum(b["n"].to_pylist()) for b in whole)
+
+
+def test_words_are_hashed_some_texts_at_a_time(monkeypatch):
+    texts = [b"Some words, 12 and more", b"", b"  ", "Wörter".encode(), b"x" * 50, b"a b"] * 3
+    hashes, ends = quality._words(Roller(), texts)
+    assert len(quality._words(Roller(), [])[1]) == 0
+    met = []
+    whole = quality._words_at_once
+    monkeypatch.setattr(quality, "HASHED", 30)
+    monkeypatch.setattr(quality, "_words_at_once", lambda roller, some: met.append(sum(map(len, some))) or whole(roller, some))
+    got = quality._words(Roller(), texts)
+    assert np.array_equal(got[0], hashes) and np.array_equal(got[1], ends) and len(ends) == len(texts)
+    assert len(met) > 3 and max(met) == 50

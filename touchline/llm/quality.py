@@ -25,10 +25,10 @@ import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm.common import BitFilter, Plain, arrow_bytes, share, table, text_key
-from touchline.llm.recurrence import chunks
+from touchline.llm.common import BitFilter, Plain, arrow_bytes, released, share, table, text_key
+from touchline.llm.recurrence import HASHED, chunks
 from touchline.llm.rolling import Roller, mix
-from touchline.session import written
+from touchline.session import arrow_batches, written
 
 #: Words whose vectors are broadcast, at most: 32 MB.
 FREQUENT = 1 << 17
@@ -63,6 +63,14 @@ def _words(roller: Roller, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, ends): the words of all texts, and how many there are up to each text's end.
 
     A word is a run of lower-case letters (and of all letters but A-Z), of capitals, of digits or of signs."""
+    found = [_words_at_once(roller, some) for _, some in chunks(texts, HASHED)]
+    before = np.cumsum([0, *[len(hashes) for hashes, _ in found]])
+    hashes = [np.zeros(0, np.uint64), *[hashes for hashes, _ in found]]
+    ends = [np.zeros(0, np.int64), *[ends + n for (_, ends), n in zip(found, before, strict=False)]]
+    return np.concatenate(hashes), np.concatenate(ends)
+
+
+def _words_at_once(roller: Roller, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     buffer = np.frombuffer(b"\n".join(texts), np.uint8)
     kind = np.full(256, 4, np.uint8)
     kind[[9, 10, 11, 12, 13, 32]] = 0
@@ -173,8 +181,9 @@ def _context_rows(frequent, recurring, buckets: int):
                     totals[at[is_often]] += total[is_often]
                     parts.append((some[~is_often], count[~is_often], total[~is_often]))
                 yield rows(*_added(parts, np.int32))
-        seen = counts > 0
-        yield rows(often[seen], counts[seen], totals[seen])
+        for a in range(0, len(often), WORDS):
+            seen = a + np.flatnonzero(counts[a : a + WORDS])
+            yield rows(often[seen], counts[seen], totals[seen])
 
     return run
 
@@ -248,7 +257,8 @@ class WordVectors:
     def __init__(self, texts: DataFrame) -> None:
         """Of the column ``text``."""
         spark = texts.sparkSession
-        counted = written(texts.mapInArrow(_counts, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")))
+        with arrow_batches(spark, CHUNK):
+            counted = written(texts.mapInArrow(released(_counts), "word long, n long").groupBy("word").agg(F.sum("n").alias("n")))
         # eight steps for each doubling of the count
         step = F.floor(F.log2("n") * 8).cast("int")
         steps = sorted(counted.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("words"), F.sum("n").alias("n")).collect(), reverse=True)
@@ -262,8 +272,9 @@ class WordVectors:
         frequent = share(spark, np.sort(words))
         self.recurring = share(spark, BitFilter.of(counted.where((step < least) & (F.col("n") > 1)), "word", others))
         buckets = 1 + (held + others) // WORDS
-        rows = texts.mapInArrow(_context_rows(frequent, self.recurring, buckets), PACKED).repartition(buckets, "bucket")
-        contexts = written(rows.mapInArrow(_summed, "word long, n long, context binary"))
+        rows = texts.mapInArrow(released(_context_rows(frequent, self.recurring, buckets)), PACKED).repartition(buckets, "bucket")
+        with arrow_batches(spark, CHUNK):
+            contexts = written(rows.mapInArrow(released(_summed), "word long, n long, context binary"))
         got = contexts.where(step >= least).toArrow()
         word, n = got["word"].to_numpy().view(np.uint64), got["n"].to_numpy()
         order = np.argsort(word)
@@ -274,17 +285,18 @@ class WordVectors:
     def features(self, docs: DataFrame, text: str, keep: list[str], turns: int = TURNS) -> DataFrame:
         """The columns ``keep`` of each row of ``docs`` and its ``features``, written."""
         turn = F.pmod(F.xxhash64(text), F.lit(turns))
-        return reduce(DataFrame.unionByName, [written(self._features(docs.where(turn == i), text, keep)) for i in range(turns)])
+        with arrow_batches(docs.sparkSession, ASKING):
+            return reduce(DataFrame.unionByName, [written(self._features(docs.where(turn == i), text, keep)) for i in range(turns)])
 
     def _features(self, docs: DataFrame, text: str, keep: list[str]) -> DataFrame:
         kinds = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in keep)
         rows = docs.withColumn("row", F.monotonically_increasing_id())
         asked = rows.mapInArrow(
-            _asked(self.frequent, self.recurring, self.all_words, text, keep),
+            released(_asked(self.frequent, self.recurring, self.all_words, text, keep)),
             f"chunk long, word long, text int, places array<int>, sums binary, words long{', ' if keep else ''}{kinds}",
         )
         known = asked.join(self.others, "word", "left")
-        told = known.mapInArrow(_told(keep), f"chunk long, text int, sums binary, words long, told binary{', ' if keep else ''}{kinds}")
+        told = known.mapInArrow(released(_told(keep)), f"chunk long, text int, sums binary, words long, told binary{', ' if keep else ''}{kinds}")
         return told.groupBy("chunk").applyInArrow(_pooled(self.all_words, keep), f"{kinds}{', ' if keep else ''}features binary")
 
 
@@ -414,6 +426,17 @@ def _asked(frequent, recurring, all_words: int, text_column: str, keep: list[str
     return run
 
 
+def _opened(packs: list[bytes], most: int = 20_000) -> Iterator[pa.RecordBatch]:
+    """What packs hold, about ``most`` rows at a time; no more packs are open than these rows need."""
+    held, n = [], 0
+    for i, pack in enumerate(packs):
+        held.append(pa.ipc.open_stream(pack).read_all())
+        n += held[-1].num_rows
+        if n >= most or i + 1 == len(packs):
+            yield from pa.concat_tables(held).combine_chunks().to_batches(max_chunksize=most)
+            held, n = [], 0
+
+
 def _pooled(all_words: int, keep: list[str]):
     """Of each text of a chunk: the mean vector, its length (which tells how alike the words are), and the logarithm
     of the number of words; zeros for a text without words."""
@@ -424,8 +447,7 @@ def _pooled(all_words: int, keep: list[str]):
         text, words = texts["text"].to_numpy(), texts["words"].to_numpy()
         sums = np.zeros((len(text), DIMENSIONS), np.int64)
         sums[text] = _wide(texts["sums"].to_pylist())
-        rare = [pa.ipc.open_stream(x).read_all() for x in packs]
-        for batch in pa.concat_tables(rare).combine_chunks().to_batches(max_chunksize=20_000) if rare else ():
+        for batch in _opened(packs):
             n = batch["n"].fill_null(1).to_numpy(zero_copy_only=False)
             vectors = vectors_of(batch["word"].to_numpy().view(np.uint64), n, _unpacked(batch["context"].to_pylist()), all_words)
             places = batch["places"].flatten().to_numpy()
@@ -437,6 +459,7 @@ def _pooled(all_words: int, keep: list[str]):
         out[:, :DIMENSIONS] = sums[text] / (UNIT * np.maximum(words, 1))[:, None]
         out[:, DIMENSIONS] = np.linalg.norm(out[:, :DIMENSIONS], axis=1)
         out[:, DIMENSIONS + 1] = np.log1p(words)
+        pa.default_memory_pool().release_unused()
         return pa.table([*[texts[c] for c in keep], pa.array([x.tobytes() for x in out], pa.binary())], names=[*keep, "features"])
 
     return run
